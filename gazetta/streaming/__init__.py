@@ -1,0 +1,5 @@
+"""Streaming.
+
+The gazetteer is a periodic full rebuild from dump files; the source system
+has no streams, watermarks or incremental state, so nothing is built here.
+"""
