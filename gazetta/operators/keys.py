@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gazetta.session import checkpoint_dir
+
 
 class KeyViolation(ValueError):
     """A primary-key or not-null rule of a table is broken."""
@@ -56,8 +58,14 @@ def assign_dense_ids(
     the partition's base); count rows per partition (one row per partition,
     so bounded by the partition count) and turn the counts into offsets with
     a running sum over that tiny table; broadcast the offsets back.
+
+    The range bounds come from sampling, and two plans that prune columns
+    differently sample differently; so the numbered rows are written once
+    with a reliable ``checkpoint()`` (into the shared ``spark.checkpoint.dir``)
+    and both the counts and the ids are read from that one copy.
     """
     spark = df.sparkSession
+    checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(k) for k in order_by]
     ranged = (
@@ -65,6 +73,7 @@ def assign_dense_ids(
         .sortWithinPartitions(*keys)
         .withColumn("__pid", F.spark_partition_id())
         .withColumn("__local", F.monotonically_increasing_id() - F.shiftleft(F.col("__pid").cast("long"), 33))
+        .checkpoint(eager=True)
     )
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"))
     offsets = counts.select(

@@ -38,6 +38,16 @@ from gazetta.operators.names import (
     attach_alternates,
 )
 from gazetta.operators.sets import drop_values, reassign, select_features, union_distinct
+from gazetta.plans.tables import (
+    ORPHAN_OWNER,
+    ORPHAN_SUFFIXES,
+    build_countries,
+    build_lang_codes,
+    CITY_NAMES_FIRST_ID,
+    build_city_names,
+    stage_lang_codes,
+    with_ids,
+)
 
 # --- fixed values for the driver queries ------------------------------------
 # Language lookup used to label alternate names in these queries.
@@ -117,13 +127,563 @@ def q_alt_names_all_scripts(spark: SparkSession, d: str) -> DataFrame:
     return aggregate_alt_names(doc_line_alternates(spark, d), _languages(spark), latin_only=False)
 
 
+def doc_word_alternates(spark: SparkSession, d: str) -> DataFrame:
+    """Every word of every document as a name of that document (larger input)."""
+    docs = _t(spark, d, "documents")
+    return docs.select(
+        F.col("doc_id").alias("geoname_id"),
+        F.nullif(F.col("lang"), F.lit("es")).alias("iso_language"),
+        F.explode(F.split(F.col("text"), "[ \t\n\r]+")).alias("alternate_name"),
+    )
+
+
+SQL_DOC_WORDS = r"""raw AS (
+  SELECT doc_id AS geoname_id, NULLIF(lang, 'es') AS iso_language,
+         UNNEST(regexp_split_to_array(text, '[ \t\n\r]+')) AS alternate_name
+  FROM documents)"""
+
+
+def q_alt_names_words(spark: SparkSession, d: str) -> DataFrame:
+    return aggregate_alt_names(doc_word_alternates(spark, d), _languages(spark), latin_only=False)
+
+
+# ---------------------------------------------------------------------------
+# Filters and projections on whole texts
+# ---------------------------------------------------------------------------
+
+def q_latin_only(spark: SparkSession, d: str) -> DataFrame:
+    conv = _t(spark, d, "conversations")
+    return conv.where(is_latin_name("text")).select("conv_id", "turn", "role", "text")
+
+
+SQL_LATIN_ONLY = "SELECT conv_id, turn, role, text FROM conversations WHERE text <= 'ZZ'"
+
+EVENT_CODES_EXCLUDED = ("error", "click")
+
+
+def q_exclude_codes(spark: SparkSession, d: str) -> DataFrame:
+    ev = _t(spark, d, "events").select(
+        "event_id", "user_id", F.nullif(F.col("event_type"), F.lit("view")).alias("code"))
+    kept = ev.where(not_pseudo_language("code", EVENT_CODES_EXCLUDED))
+    return kept.select("event_id", "user_id", F.coalesce(F.col("code"), F.lit("none")).alias("code"))
+
+
+SQL_EXCLUDE_CODES = f"""SELECT event_id, user_id, COALESCE(NULLIF(event_type, 'view'), 'none') AS code
+FROM events
+WHERE COALESCE(NULLIF(event_type, 'view'), 'none') NOT IN ({_sql_str_list(EVENT_CODES_EXCLUDED)})"""
+
+
+def q_clean_names(spark: SparkSession, d: str) -> DataFrame:
+    conv = _t(spark, d, "conversations")
+    return conv.select(
+        "conv_id", "turn", clean_name("text").alias("name_clean"), curly_apostrophe("text").alias("name_curly")
+    )
+
+
+SQL_CLEAN_NAMES = f"""SELECT conv_id, turn, {_sql_clean('text')} AS name_clean,
+       replace(text, '''', '’') AS name_curly FROM conversations"""
+
+
+# ---------------------------------------------------------------------------
+# Duplicate places: parts as places named p_name, in area p_type (PROMO
+# parts have no area) and country LOW/HIGH by size, with population
+# p_size div 10 (parts under size 10 have none).
+# ---------------------------------------------------------------------------
+
+def part_places(spark: SparkSession, d: str) -> DataFrame:
+    part = _t(spark, d, "part")
+    return part.select(
+        F.col("p_partkey").alias("id"),
+        F.col("p_name").alias("name"),
+        F.nullif(F.col("p_type"), F.lit("PROMO")).alias("area"),
+        F.when(F.col("p_size") <= 25, F.lit("LOW")).otherwise(F.lit("HIGH")).alias("country"),
+        F.nullif(F.expr("cast(p_size div 10 as int)"), F.lit(0)).alias("pop"),
+    )
+
+
+SQL_PART_PLACES = """city AS (
+  SELECT p_partkey AS id, p_name AS name, NULLIF(p_type, 'PROMO') AS area,
+         CASE WHEN p_size <= 25 THEN 'LOW' ELSE 'HIGH' END AS country,
+         NULLIF(CAST(p_size // 10 AS INTEGER), 0) AS pop
+  FROM part)"""
+
+PLACE_KEYS = ["name", "area", "country"]
+_SQL_VALID = "name IS NOT NULL AND area IS NOT NULL AND country IS NOT NULL"
+
+
+def q_drop_smaller_dups(spark: SparkSession, d: str) -> DataFrame:
+    return drop_smaller_duplicates(part_places(spark, d), PLACE_KEYS, "pop")
+
+
+SQL_DROP_SMALLER = f"""WITH {SQL_PART_PLACES},
+dups AS (SELECT name, area, country, max(pop) AS maxpop FROM city WHERE {_SQL_VALID}
+         GROUP BY name, area, country HAVING count(id) > 1),
+losers AS (SELECT c.id FROM city c JOIN dups d
+           ON c.name = d.name AND c.area = d.area AND c.country = d.country
+           WHERE c.pop IS NULL OR d.maxpop IS NULL OR c.pop <> d.maxpop)
+SELECT * FROM city WHERE id NOT IN (SELECT id FROM losers)"""
+
+
+def q_drop_min_id_dups(spark: SparkSession, d: str) -> DataFrame:
+    return drop_min_id_duplicates(part_places(spark, d), PLACE_KEYS, "id")
+
+
+SQL_DROP_MIN_ID = f"""WITH {SQL_PART_PLACES},
+dups AS (SELECT min(id) AS minid FROM city WHERE {_SQL_VALID}
+         GROUP BY name, area, country HAVING count(id) > 1)
+SELECT * FROM city WHERE id NOT IN (SELECT minid FROM dups)"""
+
+
+def q_dedupe_places(spark: SparkSession, d: str) -> DataFrame:
+    return dedupe_places(part_places(spark, d), PLACE_KEYS, "pop", "id")
+
+
+SQL_DEDUPE = f"""WITH {SQL_PART_PLACES},
+dups AS (SELECT name, area, country, max(pop) AS maxpop FROM city WHERE {_SQL_VALID}
+         GROUP BY name, area, country HAVING count(id) > 1),
+losers AS (SELECT c.id FROM city c JOIN dups d
+           ON c.name = d.name AND c.area = d.area AND c.country = d.country
+           WHERE c.pop IS NULL OR d.maxpop IS NULL OR c.pop <> d.maxpop),
+pass1 AS (SELECT * FROM city WHERE id NOT IN (SELECT id FROM losers)),
+dups2 AS (SELECT min(id) AS minid FROM pass1 WHERE {_SQL_VALID}
+          GROUP BY name, area, country HAVING count(id) > 1)
+SELECT * FROM pass1 WHERE id NOT IN (SELECT minid FROM dups2)"""
+
+
+# ---------------------------------------------------------------------------
+# Lookup enrichment (UPDATE ... FROM)
+# ---------------------------------------------------------------------------
+
+def q_enrich_lookup(spark: SparkSession, d: str) -> DataFrame:
+    cust = _t(spark, d, "customer").select(
+        "c_custkey", "c_nationkey",
+        F.lit(None).cast("int").alias("country_id"),
+        F.col("c_mktsegment").alias("country_name"),
+    )
+    nations = _t(spark, d, "nation").where(F.col("n_regionkey") != 2)
+    return enrich_by_lookup(
+        cust, nations, on={"c_nationkey": "n_nationkey"},
+        assignments={"country_id": "n_nationkey", "country_name": "n_name"}, order_by="n_nationkey",
+    )
+
+
+SQL_ENRICH = """SELECT c.c_custkey, c.c_nationkey,
+       CASE WHEN n.n_nationkey IS NULL THEN CAST(NULL AS INTEGER) ELSE n.n_nationkey END AS country_id,
+       CASE WHEN n.n_nationkey IS NULL THEN c.c_mktsegment ELSE n.n_name END AS country_name
+FROM customer c LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 2) n ON c.c_nationkey = n.n_nationkey"""
+
+
+def q_enrich_lookup_first_match(spark: SparkSession, d: str) -> DataFrame:
+    cust = _t(spark, d, "customer").select(
+        "c_custkey", "c_nationkey",
+        F.lit(None).cast("long").alias("supplier_id"),
+        F.lit(None).cast("string").alias("supplier_name"),
+    )
+    sup = _t(spark, d, "supplier")
+    return enrich_by_lookup(
+        cust, sup, on={"c_nationkey": "s_nationkey"},
+        assignments={"supplier_id": "s_suppkey", "supplier_name": "s_name"}, order_by="s_suppkey",
+    )
+
+
+SQL_ENRICH_FIRST = """WITH first AS (SELECT s_nationkey, min(s_suppkey) AS sid FROM supplier GROUP BY s_nationkey),
+pick AS (SELECT s.s_nationkey, s.s_suppkey, s.s_name FROM supplier s JOIN first f ON s.s_suppkey = f.sid)
+SELECT c.c_custkey, c.c_nationkey, p.s_suppkey AS supplier_id, p.s_name AS supplier_name
+FROM customer c LEFT JOIN pick p ON c.c_nationkey = p.s_nationkey"""
+
+
+# ---------------------------------------------------------------------------
+# Ambiguous alternates: each part is named by its own name and by its type,
+# within the scope of its brand (Brand#1 parts have no scope).
+# ---------------------------------------------------------------------------
+
+def part_names(spark: SparkSession, d: str) -> DataFrame:
+    part = _t(spark, d, "part")
+    scope = F.nullif(F.col("p_brand"), F.lit("Brand#1")).alias("scope")
+    own = part.select(F.col("p_partkey").alias("id"), scope, F.col("p_name").alias("alt_name"),
+                      F.col("p_name").alias("default_name"))
+    typ = part.select(F.col("p_partkey").alias("id"), scope, F.col("p_type").alias("alt_name"),
+                      F.col("p_name").alias("default_name"))
+    return own.unionByName(typ)
+
+
+def q_drop_ambiguous(spark: SparkSession, d: str) -> DataFrame:
+    return drop_ambiguous_alternates(part_names(spark, d), "scope", "alt_name", "default_name")
+
+
+SQL_DROP_AMBIGUOUS = """WITH n AS (
+  SELECT p_partkey AS id, NULLIF(p_brand, 'Brand#1') AS scope, p_name AS alt_name, p_name AS default_name
+  FROM part
+  UNION ALL
+  SELECT p_partkey, NULLIF(p_brand, 'Brand#1'), p_type, p_name FROM part),
+d AS (SELECT scope, alt_name FROM n GROUP BY scope, alt_name HAVING count(*) > 1)
+SELECT n.* FROM n WHERE NOT EXISTS (
+  SELECT 1 FROM d WHERE d.scope = n.scope AND d.alt_name = n.alt_name AND d.alt_name <> n.default_name)"""
+
+
+# ---------------------------------------------------------------------------
+# Language-code union: documents give (c3 = source unless Spanish, c2 = lang,
+# c1 = lang for documents of 1000+ characters, name = source).
+# ---------------------------------------------------------------------------
+
+def doc_lang_rows(spark: SparkSession, d: str) -> DataFrame:
+    docs = _t(spark, d, "documents")
+    return docs.select(
+        F.when(F.col("lang") == "es", F.lit("")).otherwise(F.col("source")).alias("c3"),
+        F.col("lang").alias("c2"),
+        F.when(F.col("n_chars") < 1000, F.lit("")).otherwise(F.col("lang")).alias("c1"),
+        F.col("source").alias("name"),
+    )
+
+
+def q_lang_codes(spark: SparkSession, d: str) -> DataFrame:
+    return build_lang_codes(stage_lang_codes(doc_lang_rows(spark, d)))
+
+
+SQL_LANG_CODES = f"""WITH raw AS (
+  SELECT CASE WHEN lang = 'es' THEN '' ELSE source END AS c3, lang AS c2,
+         CASE WHEN n_chars < 1000 THEN '' ELSE lang END AS c1, {_sql_clean('source')} AS name
+  FROM documents)
+SELECT c2 AS code, name, '639-2' AS code_type FROM raw WHERE c3 = '' AND c2 NOT IN ('frr', 'srn', 'syc', 'rup')
+UNION
+SELECT c3 AS code, name, '639-3' AS code_type FROM raw WHERE c3 <> ''
+UNION
+SELECT c1 AS code, name, '639-1' AS code_type FROM raw WHERE c1 <> ''"""
+
+
+# ---------------------------------------------------------------------------
+# Countries: nations, with population = sum of their customers' rounded
+# account balances and the region as continent.
+# ---------------------------------------------------------------------------
+
+def nation_countries(spark: SparkSession, d: str) -> DataFrame:
+    nation, region, cust = _t(spark, d, "nation"), _t(spark, d, "region"), _t(spark, d, "customer")
+    pop = cust.groupBy("c_nationkey").agg(F.sum(F.round("c_acctbal")).cast("long").alias("population"))
+    return (
+        nation.join(region, nation["n_regionkey"] == region["r_regionkey"])
+        .join(pop, nation["n_nationkey"] == pop["c_nationkey"], "left")
+        .select(
+            F.col("n_nationkey").cast("long").alias("geonameid"),
+            F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("iso"),
+            F.col("n_name").alias("country"),
+            F.coalesce(F.col("population"), F.lit(0).cast("long")).alias("population"),
+            F.col("r_name").alias("continent"),
+            F.lit(None).cast("string").alias("tld"),
+            F.lit(None).cast("string").alias("languages"),
+            F.lit(None).cast("string").alias("capital"),
+        )
+    )
+
+
+def q_countries(spark: SparkSession, d: str) -> DataFrame:
+    return build_countries(nation_countries(spark, d))
+
+
+SQL_COUNTRIES = f"""WITH pop AS (SELECT c_nationkey, CAST(sum(round(c_acctbal)) AS BIGINT) AS population
+             FROM customer GROUP BY c_nationkey)
+SELECT n_nationkey AS id,
+       CASE WHEN COALESCE(p.population, 0) < 320000 THEN 2 ELSE 1 END AS rank,
+       'N' || CAST(n_nationkey AS VARCHAR) AS iso_code,
+       {_sql_clean('n_name')} AS country_name, r_name AS continent, '' AS tld, '' AS languages, '' AS capital
+FROM nation JOIN region ON n_regionkey = r_regionkey LEFT JOIN pop p ON n_nationkey = p.c_nationkey"""
+
+
+# ---------------------------------------------------------------------------
+# Regions: events as features, the 'view' and 'signup' ones kept.
+# ---------------------------------------------------------------------------
+
+EVENT_FEATURES = ("view", "signup")
+
+
+def q_select_regions(spark: SparkSession, d: str) -> DataFrame:
+    ev = _t(spark, d, "events")
+    return select_features(
+        ev, "event_type", EVENT_FEATURES,
+        {"id": "event_id", "feature_code": "event_type", "name": "props",
+         "members": F.col("user_id").cast("string")},
+    )
+
+
+SQL_SELECT_REGIONS = f"""SELECT event_id AS id, event_type AS feature_code, props AS name,
+       CAST(user_id AS VARCHAR) AS members
+FROM events WHERE event_type IN ({_sql_str_list(EVENT_FEATURES)})"""
+
+
+# ---------------------------------------------------------------------------
+# Default names. Customers are the places; each order is a name of its
+# customer: the customer's own name for urgent orders, else the priority.
+# ---------------------------------------------------------------------------
+
+def order_names(spark: SparkSession, d: str) -> DataFrame:
+    orders, cust = _t(spark, d, "orders"), _t(spark, d, "customer")
+    j = orders.join(cust, orders["o_custkey"] == cust["c_custkey"])
+    return j.select(
+        F.col("c_custkey").alias("place_id"),
+        F.col("c_name").alias("place_name"),
+        F.col("c_mktsegment").alias("area_name"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.col("c_name"))
+        .otherwise(F.col("o_orderpriority")).alias("alt_name"),
+        F.col("o_orderstatus").alias("langlist"),
+    )
+
+
+SQL_ORDER_NAMES = """names AS (
+  SELECT c_custkey AS place_id, c_name AS place_name, c_mktsegment AS area_name,
+         CASE WHEN o_orderpriority = '1-URGENT' THEN c_name ELSE o_orderpriority END AS alt_name,
+         o_orderstatus AS langlist
+  FROM orders JOIN customer ON o_custkey = c_custkey)"""
+
+
+def q_missing_default_country(spark: SparkSession, d: str) -> DataFrame:
+    names = order_names(spark, d).drop("area_name")
+    ents = _t(spark, d, "customer").select(
+        F.col("c_custkey").alias("place_id"), F.col("c_name").alias("place_name"))
+    return add_missing_defaults_by_name(names, ents, "place_id", "place_name", "place_id", "place_name")
+
+
+SQL_MISSING_COUNTRY = f"""WITH {SQL_ORDER_NAMES}
+SELECT place_id, place_name, alt_name, langlist FROM names
+UNION ALL
+SELECT c.c_custkey, c.c_name, c.c_name, ''
+FROM customer c LEFT JOIN (SELECT place_name FROM names WHERE place_name = alt_name) m
+  ON c.c_name = m.place_name
+WHERE m.place_name IS NULL"""
+
+
+def q_missing_default_city(spark: SparkSession, d: str) -> DataFrame:
+    names = order_names(spark, d)
+    return add_missing_defaults_by_entity(names, ["place_id", "place_name", "area_name"], "place_name")
+
+
+SQL_MISSING_CITY = f"""WITH {SQL_ORDER_NAMES}
+SELECT * FROM names
+UNION ALL
+SELECT DISTINCT n.place_id, n.place_name, n.area_name, n.place_name, CAST(NULL AS VARCHAR)
+FROM names n LEFT JOIN (SELECT place_id FROM names WHERE place_name = alt_name) m ON n.place_id = m.place_id
+WHERE m.place_id IS NULL"""
+
+
+def q_attach_alternates(spark: SparkSession, d: str) -> DataFrame:
+    cust = _t(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
+    alts = q_alt_names(spark, d)
+    return attach_alternates(cust, alts, entity_id="c_custkey")
+
+
+SQL_ATTACH = f"""WITH alts AS ({_sql_alt_names(True)})
+SELECT c.c_custkey, c.c_name, c.c_nationkey, a.alt_name, a.langs AS langlist
+FROM customer c JOIN alts a ON c.c_custkey = a.id"""
+
+
+# ---------------------------------------------------------------------------
+# Codes and reassignment on customers: the country code comes from the
+# region (EUROPE -> GB, AMERICA -> FR, ASIA -> none, else the nation name).
+# ---------------------------------------------------------------------------
+
+def customer_codes(spark: SparkSession, d: str) -> DataFrame:
+    cust, nation, region = _t(spark, d, "customer"), _t(spark, d, "nation"), _t(spark, d, "region")
+    j = cust.join(nation, cust["c_nationkey"] == nation["n_nationkey"]).join(
+        region, nation["n_regionkey"] == region["r_regionkey"])
+    r = F.col("r_name")
+    cc = (F.when(r == "EUROPE", F.lit("GB")).when(r == "AMERICA", F.lit("FR"))
+          .when(r == "ASIA", F.lit(None).cast("string")).otherwise(F.col("n_name")))
+    return j.select(
+        "c_custkey",
+        cc.alias("cc"),
+        F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")).alias("admin1"),
+        F.nullif(F.col("n_name"), F.lit("NATION_3")).alias("admin2"),
+    )
+
+
+SQL_CUSTOMER_CODES = """codes AS (
+  SELECT c_custkey,
+         CASE WHEN r_name = 'EUROPE' THEN 'GB' WHEN r_name = 'AMERICA' THEN 'FR'
+              WHEN r_name = 'ASIA' THEN NULL ELSE n_name END AS cc,
+         NULLIF(c_mktsegment, 'BUILDING') AS admin1, NULLIF(n_name, 'NATION_3') AS admin2
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
+
+
+def q_disamb_code(spark: SparkSession, d: str) -> DataFrame:
+    rows = customer_codes(spark, d)
+    dtype, dcode, cc = disambiguation("cc", "admin1", "admin2")
+    return rows.select("c_custkey", dtype.alias("disamb_type"), none_to_null(dcode).alias("disamb_code"),
+                       cc.alias("country_code"))
+
+
+SQL_DISAMB = f"""WITH {SQL_CUSTOMER_CODES},
+built AS (
+  SELECT c_custkey,
+    CASE WHEN cc IS NULL THEN 'none' WHEN cc IN ('GB', 'FR') THEN 'admin2' ELSE 'admin1' END AS disamb_type,
+    CASE WHEN cc IS NULL THEN 'none'
+         WHEN cc IN ('GB', 'FR') THEN
+           CASE WHEN admin2 IS NULL THEN 'none'
+                ELSE (CASE WHEN admin1 IS NULL THEN 'none' ELSE cc || '.' || admin1 END) || '.' || admin2 END
+         ELSE CASE WHEN admin1 IS NULL THEN 'none' ELSE cc || '.' || admin1 END END AS code,
+    COALESCE(cc, 'none') AS country_code
+  FROM codes)
+SELECT c_custkey, disamb_type, NULLIF(code, 'none') AS disamb_code, country_code FROM built"""
+
+
+def customer_places(spark: SparkSession, d: str) -> DataFrame:
+    cust, nation = _t(spark, d, "customer"), _t(spark, d, "nation")
+    j = cust.join(nation, cust["c_nationkey"] == nation["n_nationkey"])
+    n = F.col("n_name")
+    return j.select(
+        "c_custkey",
+        F.nullif(F.col("c_mktsegment"), F.lit("MACHINERY")).alias("disamb_name"),
+        F.col("n_nationkey").alias("country_id"),
+        F.when(n == "NATION_3", F.lit("HK")).when(n == "NATION_8", F.lit("MO")).otherwise(n).alias("country_code"),
+        n.alias("country_name"),
+    )
+
+
+SQL_CUSTOMER_PLACES = """places AS (
+  SELECT c_custkey, NULLIF(c_mktsegment, 'MACHINERY') AS disamb_name, n_nationkey AS country_id,
+         CASE WHEN n_name = 'NATION_3' THEN 'HK' WHEN n_name = 'NATION_8' THEN 'MO' ELSE n_name END AS country_code,
+         n_name AS country_name
+  FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
+
+
+def q_reassign_orphans(spark: SparkSession, d: str) -> DataFrame:
+    return reassign(customer_places(spark, d), "country_code", ORPHAN_SUFFIXES, "disamb_name", ORPHAN_OWNER)
+
+
+SQL_REASSIGN = f"""WITH {SQL_CUSTOMER_PLACES}
+SELECT c_custkey,
+  CASE WHEN country_code = 'HK' THEN disamb_name || ' (HK)'
+       WHEN country_code = 'MO' THEN disamb_name || ' (Macao)' ELSE disamb_name END AS disamb_name,
+  CASE WHEN country_code IN ('HK', 'MO') THEN 1814991 ELSE country_id END AS country_id,
+  CASE WHEN country_code IN ('HK', 'MO') THEN 'CN' ELSE country_code END AS country_code,
+  CASE WHEN country_code IN ('HK', 'MO') THEN 'China' ELSE country_name END AS country_name
+FROM places"""
+
+RETIRED_NATIONS = ("NATION_3", "NATION_8", "NATION_13")
+
+
+def q_drop_obsolete(spark: SparkSession, d: str) -> DataFrame:
+    return drop_values(customer_places(spark, d), "country_name", RETIRED_NATIONS)
+
+
+SQL_DROP_OBSOLETE = f"""WITH {SQL_CUSTOMER_PLACES}
+SELECT * FROM places WHERE country_name NOT IN ({_sql_str_list(RETIRED_NATIONS)})"""
+
+
+def q_surrogate_ids(spark: SparkSession, d: str) -> DataFrame:
+    orders = _t(spark, d, "orders").select("o_orderkey", "o_custkey")
+    return assign_dense_ids(orders, ["o_orderkey"], id_col="id", start=1000001)
+
+
+SQL_SURROGATE = "SELECT o_orderkey, o_custkey, row_number() OVER (ORDER BY o_orderkey) + 1000000 AS id FROM orders"
+
+
+# ---------------------------------------------------------------------------
+# City names end to end: parts are cities (name p_name, area p_type, country
+# p_brand). Their alternates: the lines of the document with the same id,
+# the part's own name for parts of size over 25, and its type for all.
+# ---------------------------------------------------------------------------
+
+def part_alternates(spark: SparkSession, d: str) -> DataFrame:
+    part = _t(spark, d, "part")
+    own = part.where(F.col("p_size") > 25).select(
+        F.col("p_partkey").alias("geoname_id"), F.lit("en").alias("iso_language"),
+        F.col("p_name").alias("alternate_name"))
+    typ = part.select(
+        F.col("p_partkey").alias("geoname_id"), F.lit(None).cast("string").alias("iso_language"),
+        F.col("p_type").alias("alternate_name"))
+    return doc_line_alternates(spark, d).unionByName(own).unionByName(typ)
+
+
+SQL_PART_ALTERNATES = SQL_DOC_LINES.replace("raw AS (", "raw0 AS (", 1) + """,
+raw AS (
+  SELECT * FROM raw0
+  UNION ALL SELECT p_partkey, 'en', p_name FROM part WHERE p_size > 25
+  UNION ALL SELECT p_partkey, CAST(NULL AS VARCHAR), p_type FROM part)"""
+
+
+def part_cities(spark: SparkSession, d: str) -> DataFrame:
+    part = _t(spark, d, "part")
+    return part.select(
+        F.col("p_partkey").cast("int").alias("id"),
+        F.col("p_name").alias("name"),
+        F.lit(None).cast("int").alias("disamb_id"),
+        F.col("p_type").alias("disamb_name"),
+        F.lit(None).cast("int").alias("country_id"),
+        F.col("p_brand").alias("country_name"),
+    )
+
+
+def q_city_names(spark: SparkSession, d: str) -> DataFrame:
+    alts = aggregate_alt_names(part_alternates(spark, d), _languages(spark), latin_only=False)
+    names = build_city_names(part_cities(spark, d), alts)
+    return with_ids(names, ["city_id", "alt_name"], CITY_NAMES_FIRST_ID)
+
+
+SQL_CITY_NAMES = f"""WITH alts AS ({_sql_alt_names(False, SQL_PART_ALTERNATES)}),
+cities AS (SELECT CAST(p_partkey AS INTEGER) AS city_id, p_name AS city_name, CAST(NULL AS INTEGER) AS disamb_id,
+                  p_type AS disamb_name, CAST(NULL AS INTEGER) AS country_id, p_brand AS country_name FROM part),
+attached AS (SELECT c.*, a.alt_name, a.langs AS langlist FROM cities c JOIN alts a ON c.city_id = a.id),
+matched AS (SELECT city_id FROM attached WHERE city_name = alt_name),
+completed AS (
+  SELECT * FROM attached
+  UNION ALL
+  SELECT DISTINCT n.city_id, n.city_name, n.disamb_id, n.disamb_name, n.country_id, n.country_name,
+         n.city_name, CAST(NULL AS VARCHAR)
+  FROM attached n LEFT JOIN matched m ON n.city_id = m.city_id WHERE m.city_id IS NULL),
+dup AS (SELECT country_name, alt_name FROM completed GROUP BY country_name, alt_name HAVING count(*) > 1),
+kept AS (SELECT n.* FROM completed n WHERE NOT EXISTS (
+  SELECT 1 FROM dup d WHERE d.country_name = n.country_name AND d.alt_name = n.alt_name
+                        AND d.alt_name <> n.city_name))
+SELECT CAST(row_number() OVER (ORDER BY city_id, alt_name) + 1000000 AS INTEGER) AS id, * FROM kept"""
+
+FLAGSHIP = "city_names"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "alt_names": q_alt_names,
     "alt_names_all_scripts": q_alt_names_all_scripts,
+    "alt_names_words": q_alt_names_words,
+    "latin_only": q_latin_only,
+    "exclude_codes": q_exclude_codes,
+    "clean_names": q_clean_names,
+    "drop_smaller_dups": q_drop_smaller_dups,
+    "drop_min_id_dups": q_drop_min_id_dups,
+    "dedupe_places": q_dedupe_places,
+    "enrich_lookup": q_enrich_lookup,
+    "enrich_lookup_first_match": q_enrich_lookup_first_match,
+    "drop_ambiguous": q_drop_ambiguous,
+    "lang_codes": q_lang_codes,
+    "countries": q_countries,
+    "select_regions": q_select_regions,
+    "missing_default_country": q_missing_default_country,
+    "missing_default_city": q_missing_default_city,
+    "attach_alternates": q_attach_alternates,
+    "disamb_code": q_disamb_code,
+    "reassign_orphans": q_reassign_orphans,
+    "drop_obsolete": q_drop_obsolete,
+    "surrogate_ids": q_surrogate_ids,
+    "city_names": q_city_names,
 }
 
 ORACLE: dict[str, str] = {
     "alt_names": _sql_alt_names(True),
     "alt_names_all_scripts": _sql_alt_names(False),
+    "alt_names_words": _sql_alt_names(False, SQL_DOC_WORDS),
+    "latin_only": SQL_LATIN_ONLY,
+    "exclude_codes": SQL_EXCLUDE_CODES,
+    "clean_names": SQL_CLEAN_NAMES,
+    "drop_smaller_dups": SQL_DROP_SMALLER,
+    "drop_min_id_dups": SQL_DROP_MIN_ID,
+    "dedupe_places": SQL_DEDUPE,
+    "enrich_lookup": SQL_ENRICH,
+    "enrich_lookup_first_match": SQL_ENRICH_FIRST,
+    "drop_ambiguous": SQL_DROP_AMBIGUOUS,
+    "lang_codes": SQL_LANG_CODES,
+    "countries": SQL_COUNTRIES,
+    "select_regions": SQL_SELECT_REGIONS,
+    "missing_default_country": SQL_MISSING_COUNTRY,
+    "missing_default_city": SQL_MISSING_CITY,
+    "attach_alternates": SQL_ATTACH,
+    "disamb_code": SQL_DISAMB,
+    "reassign_orphans": SQL_REASSIGN,
+    "drop_obsolete": SQL_DROP_OBSOLETE,
+    "surrogate_ids": SQL_SURROGATE,
+    "city_names": SQL_CITY_NAMES,
 }
-FLAGSHIP = "alt_names"
