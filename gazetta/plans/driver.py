@@ -90,8 +90,21 @@ SQL_PSEUDO = _sql_str_list(PSEUDO_LANGUAGES)
 # that document in the document's language ('es' documents carry no language).
 # ---------------------------------------------------------------------------
 
-def doc_line_alternates(spark: SparkSession, d: str) -> DataFrame:
+def _documents(spark: SparkSession, d: str) -> DataFrame:
+    """Documents spread evenly over the cluster's task slots.
+
+    A document is one row that explodes into hundreds or thousands of names,
+    and the table comes in few row groups (a row group is never split), so
+    without this one task would generate and clean every name. Spreading the
+    (few, wide) document rows round-robin before the explode is a shuffle of
+    the raw text only; the names themselves are shuffled later by key.
+    """
     docs = _t(spark, d, "documents")
+    return docs.repartition(spark.sparkContext.defaultParallelism)
+
+
+def doc_line_alternates(spark: SparkSession, d: str) -> DataFrame:
+    docs = _documents(spark, d)
     return docs.select(
         F.col("doc_id").alias("geoname_id"),
         F.nullif(F.col("lang"), F.lit("es")).alias("iso_language"),
@@ -129,7 +142,7 @@ def q_alt_names_all_scripts(spark: SparkSession, d: str) -> DataFrame:
 
 def doc_word_alternates(spark: SparkSession, d: str) -> DataFrame:
     """Every word of every document as a name of that document (larger input)."""
-    docs = _t(spark, d, "documents")
+    docs = _documents(spark, d)
     return docs.select(
         F.col("doc_id").alias("geoname_id"),
         F.nullif(F.col("lang"), F.lit("es")).alias("iso_language"),
