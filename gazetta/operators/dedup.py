@@ -18,6 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _PREFIX = "__dup_"
 
@@ -67,26 +68,46 @@ def drop_min_id_duplicates(df: DataFrame, keys: Sequence[str], id_col: str) -> D
     return joined.where(keep).select(*[df[c] for c in df.columns])
 
 
+def _is_int32(df: DataFrame, col: str) -> bool:
+    return isinstance(df.schema[col].dataType, (T.IntegerType, T.ShortType, T.ByteType))
+
+
 def dedupe_places(df: DataFrame, keys: Sequence[str], measure: str, id_col: str) -> DataFrame:
     """``drop_smaller_duplicates`` followed by ``drop_min_id_duplicates``, fused.
 
     After the first pass a duplicated group keeps its rows at the maximum
     measure; the second pass then deletes the smallest id among them if two
-    or more are left. Both facts come from one aggregation:
-    ``max(struct(measure, id))`` and ``max(struct(measure, -id))`` give the
-    largest and the smallest id among the rows at the maximum measure, and
-    they differ exactly when at least two rows tie there. One aggregation and
-    one join instead of two full group/join/delete rounds.
+    or more are left. Both facts come from one aggregation: the largest and
+    the smallest id among the rows at the maximum measure, which differ
+    exactly when at least two rows tie there. One aggregation and one join
+    instead of two full group / join-back / delete rounds.
+
+    When measure and id are 32-bit integers (population and id of a city),
+    (measure, id) is packed into one long so the aggregate is a plain
+    ``max`` over longs, which runs as a hash aggregate; wider types fall back
+    to ``max`` over a struct (sort-based aggregate, same result).
     """
-    top_hi = F.max(F.struct(F.col(measure).alias("m"), F.col(id_col).alias("i"))).alias(f"{_PREFIX}hi")
-    top_lo = F.max(F.struct(F.col(measure).alias("m"), (-F.col(id_col)).alias("i"))).alias(f"{_PREFIX}lo")
-    stats = _group_stats(df, keys, [top_hi, top_lo])
+    m, i = F.col(measure), F.col(id_col)
+    if _is_int32(df, measure) and _is_int32(df, id_col):
+        shift = F.lit(1 << 32)
+        low = (i.cast("long") + F.lit(1 << 31))                 # id mapped onto [0, 2^32)
+        low_rev = (F.lit((1 << 31) - 1) - i.cast("long"))       # reversed id on [0, 2^32)
+        hi = F.max(m.cast("long") * shift + low).alias(f"{_PREFIX}hi")
+        lo = F.max(m.cast("long") * shift + low_rev).alias(f"{_PREFIX}lo")
+        stats = _group_stats(df, keys, [hi, lo])
+        max_measure = F.shiftright(F.col(f"{_PREFIX}hi"), 32)
+        hi_id = F.pmod(F.col(f"{_PREFIX}hi"), shift) - F.lit(1 << 31)
+        lo_id = F.lit((1 << 31) - 1) - F.pmod(F.col(f"{_PREFIX}lo"), shift)
+    else:
+        hi = F.max(F.struct(m.alias("m"), i.alias("i"))).alias(f"{_PREFIX}hi")
+        lo = F.max(F.struct(m.alias("m"), (-i).alias("i"))).alias(f"{_PREFIX}lo")
+        stats = _group_stats(df, keys, [hi, lo])
+        max_measure = F.col(f"{_PREFIX}hi.m")
+        hi_id = F.col(f"{_PREFIX}hi.i")
+        lo_id = -F.col(f"{_PREFIX}lo.i")
     joined = _join_stats(df, stats, keys)
-    max_measure = F.col(f"{_PREFIX}hi.m")
-    hi_id = F.col(f"{_PREFIX}hi.i")
-    lo_id = -F.col(f"{_PREFIX}lo.i")
-    at_max = F.coalesce(F.col(measure) == max_measure, F.lit(False))
-    second_pass_victim = (hi_id != lo_id) & (F.col(id_col) == lo_id)
+    at_max = F.coalesce(m == max_measure, F.lit(False))
+    second_pass_victim = (hi_id != lo_id) & (i == lo_id)
     keep = F.col(f"{_PREFIX}n").isNull() | (at_max & ~second_pass_victim)
     return joined.where(keep).select(*[df[c] for c in df.columns])
 

@@ -100,7 +100,7 @@ def _documents(spark: SparkSession, d: str) -> DataFrame:
     the raw text only; the names themselves are shuffled later by key.
     """
     docs = _t(spark, d, "documents")
-    return docs.repartition(spark.sparkContext.defaultParallelism)
+    return docs.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def doc_line_alternates(spark: SparkSession, d: str) -> DataFrame:
@@ -198,7 +198,7 @@ SQL_CLEAN_NAMES = f"""SELECT conv_id, turn, {_sql_clean('text')} AS name_clean,
 
 
 # ---------------------------------------------------------------------------
-# Duplicate places: parts as places named p_name, in area p_type (PROMO
+# Duplicate places: parts as places (int ids, like cities) named p_name, in area p_type (PROMO
 # parts have no area) and country LOW/HIGH by size, with population
 # p_size div 10 (parts under size 10 have none).
 # ---------------------------------------------------------------------------
@@ -206,7 +206,7 @@ SQL_CLEAN_NAMES = f"""SELECT conv_id, turn, {_sql_clean('text')} AS name_clean,
 def part_places(spark: SparkSession, d: str) -> DataFrame:
     part = _t(spark, d, "part")
     return part.select(
-        F.col("p_partkey").alias("id"),
+        F.col("p_partkey").cast("int").alias("id"),
         F.col("p_name").alias("name"),
         F.nullif(F.col("p_type"), F.lit("PROMO")).alias("area"),
         F.when(F.col("p_size") <= 25, F.lit("LOW")).otherwise(F.lit("HIGH")).alias("country"),
@@ -215,7 +215,7 @@ def part_places(spark: SparkSession, d: str) -> DataFrame:
 
 
 SQL_PART_PLACES = """city AS (
-  SELECT p_partkey AS id, p_name AS name, NULLIF(p_type, 'PROMO') AS area,
+  SELECT CAST(p_partkey AS INTEGER) AS id, p_name AS name, NULLIF(p_type, 'PROMO') AS area,
          CASE WHEN p_size <= 25 THEN 'LOW' ELSE 'HIGH' END AS country,
          NULLIF(CAST(p_size // 10 AS INTEGER), 0) AS pop
   FROM part)"""

@@ -43,5 +43,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = tempfile.mkdtemp(prefix="gazetta-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    try:
+        spark.sparkContext.setCheckpointDir(current)
+    except Exception:  # no SparkContext handle (e.g. a remote session): the conf is enough
+        pass
     return current

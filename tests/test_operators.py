@@ -189,3 +189,15 @@ def test_build_lang_codes_excludes_and_dedups(spark):
          ("", "afa", "", "Afro")], "c3 string, c2 string, c1 string, name string")
     got = sorted(tuple(r) for r in build_lang_codes(raw).collect())
     assert got == [("afa", "Afro", "639-2"), ("en", "English", "639-1"), ("eng", "English", "639-3")]
+
+
+def test_fused_dedupe_packed_int_path(spark):
+    rows = [(i, n, a, c, p) for i, n, a, c, p in DUP_ROWS] + [
+        (20, "F", "d", "c", -5), (21, "F", "d", "c", -5), (22, "F", "d", "c", -7),
+        (-3, "G", "d", "c", 2147483647), (-4, "G", "d", "c", 2147483647), (2147483647, "H", "d", "c", -2147483648),
+        (2147483646, "J", "d", "c", 2147483647), (2147483647, "J", "d", "c", 2147483647),
+    ]
+    df = spark.createDataFrame(rows, "id int, name string, area string, country string, pop int")
+    assert ids(dedupe_places(df, KEYS, "pop", "id")) == [-3, 3, 4, 5, 8, 9, 11, 12, 21, 2147483647, 2147483647]
+    plan = dedupe_places(df, KEYS, "pop", "id")._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
