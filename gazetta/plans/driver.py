@@ -44,7 +44,11 @@ from gazetta.plans.tables import (
     build_countries,
     build_lang_codes,
     CITY_NAMES_FIRST_ID,
+    COUNTRY_NAMES_FIRST_ID,
     build_city_names,
+    build_country_names,
+    curate_cities,
+    stage_cities,
     stage_lang_codes,
     with_ids,
 )
@@ -647,6 +651,163 @@ kept AS (SELECT n.* FROM completed n WHERE NOT EXISTS (
                         AND d.alt_name <> n.city_name))
 SELECT CAST(row_number() OVER (ORDER BY city_id, alt_name) + 1000000 AS INTEGER) AS id, * FROM kept"""
 
+# ---------------------------------------------------------------------------
+# City curation end to end: customers are raw cities named by their market
+# segment; the country code comes from the nation's region (region 2 -> HK,
+# a retired country; 3 -> GB, told apart by second-level areas; 4 -> no
+# country; else C<region>). Countries are the nations (five per code, so the
+# lookup is not unique); admin areas are derived by grouping the customers.
+# ---------------------------------------------------------------------------
+
+def _customer_geo(spark: SparkSession, d: str) -> DataFrame:
+    cust, nation = _t(spark, d, "customer"), _t(spark, d, "nation")
+    rk = F.col("n_regionkey")
+    cc = (F.when(rk == 2, F.lit("HK")).when(rk == 3, F.lit("GB")).when(rk == 4, F.lit(None).cast("string"))
+          .otherwise(F.concat(F.lit("C"), rk.cast("string"))))
+    return cust.join(nation, cust["c_nationkey"] == nation["n_nationkey"]).select(
+        "c_custkey", "c_mktsegment", "c_acctbal", "n_nationkey", "n_name", "n_regionkey", cc.alias("cc"),
+        F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")).alias("a1"),
+        F.nullif(F.col("n_nationkey").cast("string"), F.lit("8")).alias("a2"),
+    )
+
+
+def customer_raw_cities(spark: SparkSession, d: str) -> DataFrame:
+    g = _customer_geo(spark, d)
+    return g.select(
+        F.col("c_custkey").alias("geonameid"),
+        F.col("c_mktsegment").alias("name"),
+        F.col("c_acctbal").alias("latitude"),
+        F.col("n_nationkey").cast("double").alias("longitude"),
+        F.col("cc").alias("country_code"),
+        F.col("a1").alias("admin1_code"),
+        F.col("a2").alias("admin2_code"),
+        F.nullif(F.floor(F.col("c_acctbal") / 1000), F.lit(0)).alias("population"),
+    )
+
+
+def nation_country_lookup(spark: SparkSession, d: str) -> DataFrame:
+    nation = _t(spark, d, "nation").where(F.col("n_regionkey") != 2)
+    rk = F.col("n_regionkey")
+    return nation.select(
+        (F.col("n_nationkey") + 100).alias("id"),
+        F.when(rk == 3, F.lit("GB")).otherwise(F.concat(F.lit("C"), rk.cast("string"))).alias("iso_code"),
+        F.col("n_name").alias("country_name"),
+    )
+
+
+def customer_admins(spark: SparkSession, d: str) -> DataFrame:
+    g = _customer_geo(spark, d).where(F.col("cc").isNotNull())
+    adm1 = (
+        g.where(F.col("a1").isNotNull() & (F.col("a1") != "FURNITURE") & ~F.col("cc").isin("GB"))
+        .groupBy("cc", "a1").agg(F.min("c_custkey").cast("int").alias("id"))
+        .select(F.lit("admin1").alias("level"), "id", F.concat_ws(".", "cc", "a1").alias("code"),
+                F.concat(F.col("a1"), F.lit(" area")).alias("name"))
+    )
+    adm2 = (
+        g.where((F.col("cc") == "GB") & F.col("a1").isNotNull() & F.col("a2").isNotNull())
+        .groupBy("cc", "a1", "a2", "n_name").agg(F.min("c_custkey").cast("int").alias("id"))
+        .select(F.lit("admin2").alias("level"), "id", F.concat_ws(".", "cc", "a1", "a2").alias("code"),
+                F.col("n_name").alias("name"))
+    )
+    return adm1.unionByName(adm2)
+
+
+def q_curate_cities(spark: SparkSession, d: str) -> DataFrame:
+    staged = stage_cities(customer_raw_cities(spark, d))
+    return curate_cities(staged, nation_country_lookup(spark, d), customer_admins(spark, d))
+
+
+SQL_CURATE_CITIES = """WITH base AS (
+  SELECT c_custkey, c_mktsegment, c_acctbal, n_nationkey, n_name, n_regionkey,
+    CASE WHEN n_regionkey = 2 THEN 'HK' WHEN n_regionkey = 3 THEN 'GB' WHEN n_regionkey = 4 THEN NULL
+         ELSE 'C' || CAST(n_regionkey AS VARCHAR) END AS cc,
+    NULLIF(c_mktsegment, 'BUILDING') AS a1,
+    NULLIF(CAST(n_nationkey AS VARCHAR), '8') AS a2
+  FROM customer JOIN nation ON c_nationkey = n_nationkey),
+staged AS (
+  SELECT CAST(c_custkey AS INTEGER) AS id, replace(c_mktsegment, '''', '’') AS name,
+    CASE WHEN cc IS NULL THEN 'none' WHEN cc IN ('GB', 'FR') THEN 'admin2' ELSE 'admin1' END AS disamb_type,
+    CASE WHEN cc IS NULL THEN 'none'
+         WHEN cc IN ('GB', 'FR') THEN
+           CASE WHEN a2 IS NULL THEN 'none'
+                ELSE (CASE WHEN a1 IS NULL THEN 'none' ELSE cc || '.' || a1 END) || '.' || a2 END
+         ELSE CASE WHEN a1 IS NULL THEN 'none' ELSE cc || '.' || a1 END END AS disamb_code,
+    COALESCE(cc, 'none') AS country_code,
+    c_acctbal AS lat, CAST(n_nationkey AS DOUBLE) AS lng,
+    CAST(NULLIF(CAST(floor(c_acctbal / 1000) AS BIGINT), 0) AS INTEGER) AS pop
+  FROM base),
+countries AS (
+  SELECT n_nationkey + 100 AS id,
+         CASE WHEN n_regionkey = 3 THEN 'GB' ELSE 'C' || CAST(n_regionkey AS VARCHAR) END AS iso_code,
+         n_name AS country_name
+  FROM nation WHERE n_regionkey <> 2),
+cpick AS (SELECT c.* FROM countries c
+          JOIN (SELECT iso_code, min(id) AS id FROM countries GROUP BY iso_code) m ON c.id = m.id),
+admins AS (
+  SELECT 'admin1' AS level, CAST(min(c_custkey) AS INTEGER) AS id, cc || '.' || a1 AS code, a1 || ' area' AS name
+  FROM base WHERE cc IS NOT NULL AND a1 IS NOT NULL AND a1 <> 'FURNITURE' AND cc <> 'GB' GROUP BY cc, a1
+  UNION ALL
+  SELECT 'admin2', CAST(min(c_custkey) AS INTEGER), cc || '.' || a1 || '.' || a2, n_name
+  FROM base WHERE cc = 'GB' AND a1 IS NOT NULL AND a2 IS NOT NULL GROUP BY cc, a1, a2, n_name),
+apick AS (SELECT a.* FROM admins a
+          JOIN (SELECT level, code, min(id) AS id FROM admins GROUP BY level, code) m
+            ON a.level = m.level AND a.code = m.code AND a.id = m.id),
+step1 AS (
+  SELECT s.id, s.name, s.disamb_type, NULLIF(s.disamb_code, 'none') AS disamb_code,
+         cp.id AS country_id, s.country_code, cp.country_name, s.lat, s.lng, s.pop
+  FROM staged s LEFT JOIN cpick cp ON s.country_code = cp.iso_code),
+step2 AS (
+  SELECT s.*, a.id AS disamb_id, a.name AS disamb_name
+  FROM step1 s LEFT JOIN apick a ON s.disamb_type = a.level AND s.disamb_code = a.code),
+city AS (
+  SELECT id, name, disamb_type, disamb_id, disamb_code,
+    CASE WHEN country_code = 'HK' THEN disamb_name || ' (HK)'
+         WHEN country_code = 'MO' THEN disamb_name || ' (Macao)' ELSE disamb_name END AS disamb_name,
+    CASE WHEN country_code IN ('HK', 'MO') THEN 1814991 ELSE country_id END AS country_id,
+    CASE WHEN country_code IN ('HK', 'MO') THEN 'CN' ELSE country_code END AS country_code,
+    CASE WHEN country_code IN ('HK', 'MO') THEN 'China' ELSE country_name END AS country_name,
+    lat, lng, pop
+  FROM step2),
+dups AS (SELECT name, disamb_name, country_name, max(pop) AS maxpop FROM city
+         WHERE name IS NOT NULL AND disamb_name IS NOT NULL AND country_name IS NOT NULL
+         GROUP BY name, disamb_name, country_name HAVING count(id) > 1),
+losers AS (SELECT c.id FROM city c JOIN dups d
+           ON c.name = d.name AND c.disamb_name = d.disamb_name AND c.country_name = d.country_name
+           WHERE c.pop IS NULL OR d.maxpop IS NULL OR c.pop <> d.maxpop),
+pass1 AS (SELECT * FROM city WHERE id NOT IN (SELECT id FROM losers)),
+dups2 AS (SELECT min(id) AS minid FROM pass1
+          WHERE name IS NOT NULL AND disamb_name IS NOT NULL AND country_name IS NOT NULL
+          GROUP BY name, disamb_name, country_name HAVING count(id) > 1)
+SELECT * FROM pass1 WHERE id NOT IN (SELECT minid FROM dups2)"""
+
+
+# ---------------------------------------------------------------------------
+# Country names end to end: customers as countries, document lines as their
+# alternates; every customer gets its own name if missing (even with no
+# alternates), then dense ids from 10001.
+# ---------------------------------------------------------------------------
+
+def q_country_names(spark: SparkSession, d: str) -> DataFrame:
+    countries = _t(spark, d, "customer").select(
+        F.col("c_custkey").cast("int").alias("id"), F.col("c_name").alias("country_name"))
+    alts = q_alt_names(spark, d)
+    names = build_country_names(countries, alts)
+    return with_ids(names, ["country_id", "alt_name"], COUNTRY_NAMES_FIRST_ID)
+
+
+SQL_COUNTRY_NAMES = f"""WITH alts AS ({_sql_alt_names(True)}),
+countries AS (SELECT CAST(c_custkey AS INTEGER) AS country_id, c_name AS country_name FROM customer),
+attached AS (SELECT c.country_id, c.country_name, a.alt_name, a.langs AS langlist
+             FROM countries c JOIN alts a ON c.country_id = a.id),
+completed AS (
+  SELECT * FROM attached
+  UNION ALL
+  SELECT c.country_id, c.country_name, c.country_name, ''
+  FROM countries c LEFT JOIN (SELECT country_name FROM attached WHERE country_name = alt_name) m
+    ON c.country_name = m.country_name
+  WHERE m.country_name IS NULL)
+SELECT CAST(row_number() OVER (ORDER BY country_id, alt_name) + 10000 AS INTEGER) AS id, * FROM completed"""
+
 FLAGSHIP = "city_names"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -673,6 +834,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "drop_obsolete": q_drop_obsolete,
     "surrogate_ids": q_surrogate_ids,
     "city_names": q_city_names,
+    "curate_cities": q_curate_cities,
+    "country_names": q_country_names,
 }
 
 ORACLE: dict[str, str] = {
@@ -699,4 +862,6 @@ ORACLE: dict[str, str] = {
     "drop_obsolete": SQL_DROP_OBSOLETE,
     "surrogate_ids": SQL_SURROGATE,
     "city_names": SQL_CITY_NAMES,
+    "curate_cities": SQL_CURATE_CITIES,
+    "country_names": SQL_COUNTRY_NAMES,
 }
