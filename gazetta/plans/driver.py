@@ -30,7 +30,7 @@ from gazetta.operators.dedup import (
     drop_smaller_duplicates,
 )
 from gazetta.operators.keys import assign_dense_ids
-from gazetta.operators.lookup import enrich_by_lookup
+from gazetta.operators.lookup import broadcast_if_bounded, enrich_by_lookup
 from gazetta.operators.names import (
     add_missing_defaults_by_entity,
     add_missing_defaults_by_name,
@@ -58,11 +58,23 @@ from gazetta.plans.tables import (
 LANGUAGES = (("en", "English"), ("fr", "French"), ("de", "German"))
 # -----------------------------------------------------------------------------
 
+# Largest dimension table broadcast without a second thought (rows).
+DIM_MAX_ROWS = 100_000
+
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def _dim(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """A dimension table (region, nation), broadcast after its size is checked.
+
+    Joining a fact table to a tiny dimension by sort-merge would shuffle the
+    fact side; a checked broadcast hash join leaves it where it is.
+    """
+    return broadcast_if_bounded(_t(spark, d, name), DIM_MAX_ROWS)
+
+
 def _languages(spark: SparkSession) -> DataFrame:
     schema = "code string, name string"
     return spark.createDataFrame(list(LANGUAGES), schema).withColumn("code_type", F.lit("639-1"))
@@ -374,7 +386,7 @@ SELECT c1 AS code, name, '639-1' AS code_type FROM raw WHERE c1 <> ''"""
 # ---------------------------------------------------------------------------
 
 def nation_countries(spark: SparkSession, d: str) -> DataFrame:
-    nation, region, cust = _t(spark, d, "nation"), _t(spark, d, "region"), _t(spark, d, "customer")
+    nation, region, cust = _t(spark, d, "nation"), _dim(spark, d, "region"), _t(spark, d, "customer")
     pop = cust.groupBy("c_nationkey").agg(F.sum(F.round("c_acctbal")).cast("long").alias("population"))
     return (
         nation.join(region, nation["n_regionkey"] == region["r_regionkey"])
@@ -497,7 +509,7 @@ FROM customer c JOIN alts a ON c.c_custkey = a.id"""
 # ---------------------------------------------------------------------------
 
 def customer_codes(spark: SparkSession, d: str) -> DataFrame:
-    cust, nation, region = _t(spark, d, "customer"), _t(spark, d, "nation"), _t(spark, d, "region")
+    cust, nation, region = _t(spark, d, "customer"), _dim(spark, d, "nation"), _dim(spark, d, "region")
     j = cust.join(nation, cust["c_nationkey"] == nation["n_nationkey"]).join(
         region, nation["n_regionkey"] == region["r_regionkey"])
     r = F.col("r_name")
@@ -541,7 +553,7 @@ SELECT c_custkey, disamb_type, NULLIF(code, 'none') AS disamb_code, country_code
 
 
 def customer_places(spark: SparkSession, d: str) -> DataFrame:
-    cust, nation = _t(spark, d, "customer"), _t(spark, d, "nation")
+    cust, nation = _t(spark, d, "customer"), _dim(spark, d, "nation")
     j = cust.join(nation, cust["c_nationkey"] == nation["n_nationkey"])
     n = F.col("n_name")
     return j.select(
@@ -660,7 +672,7 @@ SELECT CAST(row_number() OVER (ORDER BY city_id, alt_name) + 1000000 AS INTEGER)
 # ---------------------------------------------------------------------------
 
 def _customer_geo(spark: SparkSession, d: str) -> DataFrame:
-    cust, nation = _t(spark, d, "customer"), _t(spark, d, "nation")
+    cust, nation = _t(spark, d, "customer"), _dim(spark, d, "nation")
     rk = F.col("n_regionkey")
     cc = (F.when(rk == 2, F.lit("HK")).when(rk == 3, F.lit("GB")).when(rk == 4, F.lit(None).cast("string"))
           .otherwise(F.concat(F.lit("C"), rk.cast("string"))))

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazetta.operators.keys import assert_unique
+from gazetta.operators.lookup import broadcast_if_bounded
 from gazetta.operators.names import aggregate_alt_names
 from gazetta.plans.tables import (
     CITY_NAMES_FIRST_ID,
@@ -62,6 +63,9 @@ FILES = {
 }
 # -----------------------------------------------------------------------------
 
+# Place ids (countries + cities) broadcast for the alternate-name reduction.
+SEMI_JOIN_BROADCAST_ROWS = 5_000_000
+
 
 def build_gazetteer(
     spark: SparkSession,
@@ -100,6 +104,7 @@ def build_gazetteer(
         used = raw_countries.select(F.col("geonameid").alias("__id")).unionByName(
             raw_cities.select(F.col("geonameid").alias("__id"))
         )
+        used = broadcast_if_bounded(used, SEMI_JOIN_BROADCAST_ROWS)
         raw_alt = raw_alt.join(used, raw_alt["geoname_id"] == used["__id"], "left_semi")
     alt = aggregate_alt_names(raw_alt, out["src.lang_codes"], latin_only=not include_nonlatin)
     alt = alt.select(F.col("id").cast("int").alias("id"), "alt_name", "langs")
