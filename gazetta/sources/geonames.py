@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import logging
 import os
+import time
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -66,6 +67,7 @@ def land(df: DataFrame, path: str, kind: str) -> DataFrame:
     Raises on the first malformed row (FAILFAST sees every column here), on a
     missing required value and on a negative unsigned count.
     """
+    t0 = time.perf_counter()
     df.write.mode("overwrite").parquet(path)
     landed = df.sparkSession.read.parquet(path)
     require_not_null(landed, schemas.REQUIRED.get(kind, []), table=path)
@@ -77,6 +79,7 @@ def land(df: DataFrame, path: str, kind: str) -> DataFrame:
             bad = cond if bad is None else bad | cond
         if landed.where(bad).limit(1).count():
             raise KeyViolation(f"negative count in {path}")
+    log.info("landed %s in %.2fs", path, time.perf_counter() - t0)
     return landed
 
 
@@ -113,7 +116,8 @@ def write_table(df: DataFrame, out_dir: str, schema: str, table: str) -> DataFra
     failure never recomputes the upstream plan.
     """
     path = os.path.join(out_dir, schema, table)
+    t0 = time.perf_counter()
     obs = Observation(f"{schema}.{table}")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    log.info("%s.%s: %s rows", schema, table, obs.get.get("rows"))
+    log.info("%s.%s: %s rows in %.2fs", schema, table, obs.get.get("rows"), time.perf_counter() - t0)
     return df.sparkSession.read.parquet(path)
