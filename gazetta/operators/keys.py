@@ -40,6 +40,18 @@ def require_not_null(df: DataFrame, cols: Sequence[str], table: str = "table") -
     return df
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it from there.
+
+    For a frame consumed by several branches of a later plan: without it,
+    each branch recomputes the whole subtree (exchanges are only reused when
+    the subtrees stay identical, which filter pushdown usually breaks). It
+    also cuts the lineage, so a lost executor never recomputes upstream work.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def assign_dense_ids(
     df: DataFrame,
     order_by: Sequence[str],

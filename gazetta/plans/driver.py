@@ -29,7 +29,7 @@ from gazetta.operators.dedup import (
     drop_min_id_duplicates,
     drop_smaller_duplicates,
 )
-from gazetta.operators.keys import assign_dense_ids
+from gazetta.operators.keys import assign_dense_ids, materialize
 from gazetta.operators.lookup import broadcast_if_bounded, enrich_by_lookup
 from gazetta.operators.names import (
     add_missing_defaults_by_entity,
@@ -641,7 +641,8 @@ def part_cities(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_city_names(spark: SparkSession, d: str) -> DataFrame:
-    alts = aggregate_alt_names(part_alternates(spark, d), _languages(spark), latin_only=False)
+    # materialised like the build's written geo.alt_names table: read by several branches
+    alts = materialize(aggregate_alt_names(part_alternates(spark, d), _languages(spark), latin_only=False))
     names = build_city_names(part_cities(spark, d), alts)
     return with_ids(names, ["city_id", "alt_name"], CITY_NAMES_FIRST_ID)
 
@@ -802,7 +803,7 @@ SELECT * FROM pass1 WHERE id NOT IN (SELECT minid FROM dups2)"""
 def q_country_names(spark: SparkSession, d: str) -> DataFrame:
     countries = _t(spark, d, "customer").select(
         F.col("c_custkey").cast("int").alias("id"), F.col("c_name").alias("country_name"))
-    alts = q_alt_names(spark, d)
+    alts = materialize(q_alt_names(spark, d))
     names = build_country_names(countries, alts)
     return with_ids(names, ["country_id", "alt_name"], COUNTRY_NAMES_FIRST_ID)
 

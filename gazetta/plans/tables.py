@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gazetta.functions.codes import disambiguation, none_to_null, rank_by_threshold
 from gazetta.functions.text import clean_name, curly_apostrophe, empty_if_null
 from gazetta.operators.dedup import dedupe_places, drop_ambiguous_alternates
-from gazetta.operators.keys import assign_dense_ids
+from gazetta.operators.keys import assign_dense_ids, materialize
 from gazetta.operators.lookup import enrich_by_lookup
 from gazetta.operators.names import (
     add_missing_defaults_by_entity,
@@ -154,7 +154,7 @@ def curate_cities(staged: DataFrame, countries: DataFrame, admins: DataFrame) ->
     return dedupe_places(cities, list(CITY_DUP_KEYS), measure="pop", id_col="id")
 
 
-def build_city_names(cities: DataFrame, alt_names: DataFrame) -> DataFrame:
+def build_city_names(cities: DataFrame, alt_names: DataFrame, materialize_names: bool = True) -> DataFrame:
     """``(city_id, city_name, disamb_id, disamb_name, country_id, country_name, alt_name, langlist)``.
 
     Alternates of each city; the city's own name added (NULL language list)
@@ -171,6 +171,8 @@ def build_city_names(cities: DataFrame, alt_names: DataFrame) -> DataFrame:
     )
     names = attach_alternates(ents, alt_names, entity_id="city_id")
     names = add_missing_defaults_by_entity(names, list(ents.columns), default_col="city_name")
+    if materialize_names:  # read twice below (group counts and the rows themselves)
+        names = materialize(names)
     return drop_ambiguous_alternates(names, "country_name", "alt_name", "city_name")
 
 
