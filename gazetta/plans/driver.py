@@ -12,9 +12,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from gazetta.functions.codes import disambiguation, none_to_null, rank_by_threshold
+from gazetta.functions.codes import disambiguation, none_to_null
 from gazetta.functions.text import (
     PSEUDO_LANGUAGES,
     WHITE_SPACE,
@@ -37,7 +36,7 @@ from gazetta.operators.names import (
     aggregate_alt_names,
     attach_alternates,
 )
-from gazetta.operators.sets import drop_values, reassign, select_features, union_distinct
+from gazetta.operators.sets import drop_values, reassign, select_features
 from gazetta.plans.tables import (
     ORPHAN_OWNER,
     ORPHAN_SUFFIXES,

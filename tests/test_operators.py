@@ -201,3 +201,27 @@ def test_fused_dedupe_packed_int_path(spark):
     assert ids(dedupe_places(df, KEYS, "pop", "id")) == [-3, 3, 4, 5, 8, 9, 11, 12, 21, 2147483647, 2147483647]
     plan = dedupe_places(df, KEYS, "pop", "id")._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan
+
+
+def test_hot_keys_in_name_operators(spark):
+    """One (scope, alternate) / one entity holding most rows: results stay exact."""
+    n = 30000
+    rows = spark.range(n).select(
+        (F.col("id") % 3).cast("int").alias("id"),
+        F.lit("Land").alias("country"),
+        F.when(F.col("id") < 20000, F.lit("Hot")).otherwise(F.concat(F.lit("n"), F.col("id").cast("string"))).alias("alt_name"),
+        F.when(F.col("id") % 3 == 0, F.lit("Hot")).otherwise(F.lit("Other")).alias("city_name"),
+        F.lit(None).cast("string").alias("langlist"),
+    )
+    kept = drop_ambiguous_alternates(rows, "country", "alt_name", "city_name")
+    hot_kept = kept.where(F.col("alt_name") == "Hot").count()
+    assert hot_kept == len([i for i in range(20000) if i % 3 == 0])
+    assert kept.where(F.col("alt_name") != "Hot").count() == 10000
+
+    ents = spark.createDataFrame([(0, "Hot"), (1, "Other"), (2, "Other")], "id int, city_name string")
+    alts = rows.select("id", "alt_name", F.col("langlist").alias("langs"))
+    attached = attach_alternates(ents, alts)
+    assert attached.count() == n
+    completed = add_missing_defaults_by_entity(attached, ["id", "city_name"], "city_name")
+    # entity 0 owns "Hot" already; entities 1 and 2 get their default added once each
+    assert completed.count() == n + 2
