@@ -42,11 +42,16 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster names it; only when it is unset (local tests) do we pick a
-    fresh scratch folder of our own.
+    The cluster names it; only when it is unset on a *local* master (tests,
+    the bench) do we pick a fresh scratch folder of our own. A machine-local
+    folder is useless to a cluster's executors, so there an unset setting is
+    an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
         current = tempfile.mkdtemp(prefix="gazetta-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     try:
