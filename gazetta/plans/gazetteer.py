@@ -10,12 +10,13 @@ back before use, which both publishes it and cuts the lineage):
 5. cities        -> geo.cities, src.cities, src.city_names
 6. regions       -> src.regions
 
-Independent reads are lazy; Spark runs each write as its own job.
+The seven files are landed concurrently (independent jobs); the steps then run in order.
 """
 
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,18 +89,30 @@ def build_gazetteer(
     landed = lambda k: os.path.join(out_dir, "_landed", k)
     out: dict[str, DataFrame] = {}
 
+    # Land the seven files first. They are independent, so their jobs are
+    # submitted together: the small files' jobs fill the slots that the big
+    # alternate-name file leaves free instead of queueing behind it.
+    readers = {
+        "lang_codes": (lambda: read_lang_codes(spark, src("lang_codes"), quoting), "lang_codes"),
+        "alt_names": (lambda: read_alt_names(spark, src("alt_names"), quoting), "alt_names"),
+        "admin1": (lambda: read_admins(spark, src("admin1"), quoting), "admins"),
+        "admin2": (lambda: read_admins(spark, src("admin2"), quoting), "admins"),
+        "countries": (lambda: read_countries(spark, src("countries"), quoting), "countries"),
+        "cities": (lambda: read_places(spark, src("cities"), quoting), "places"),
+        "regions": (lambda: read_places(spark, src("regions"), quoting), "places"),
+    }
+    with ThreadPoolExecutor(max_workers=len(readers)) as pool:
+        futures = {k: pool.submit(lambda k=k, r=r: land(r[0](), landed(k), r[1])) for k, r in readers.items()}
+        raw = {k: f.result() for k, f in futures.items()}
+    raw_countries, raw_cities = raw["countries"], raw["cities"]
+
     # 1. languages
-    raw_lc = land(read_lang_codes(spark, src("lang_codes"), quoting), landed("lang_codes"), "lang_codes")
-    out["geo.lang_codes"] = write_table(stage_lang_codes(raw_lc), out_dir, "geo", "lang_codes")
+    out["geo.lang_codes"] = write_table(stage_lang_codes(raw["lang_codes"]), out_dir, "geo", "lang_codes")
     out["src.lang_codes"] = write_table(build_lang_codes(out["geo.lang_codes"]), out_dir, "src", "lang_codes")
     assert_unique(out["src.lang_codes"], ["code"], "src.lang_codes")
 
-    # raw countries and cities are needed early when alternates are reduced
-    raw_countries = land(read_countries(spark, src("countries"), quoting), landed("countries"), "countries")
-    raw_cities = land(read_places(spark, src("cities"), quoting), landed("cities"), "places")
-
     # 2. alternates
-    raw_alt = land(read_alt_names(spark, src("alt_names"), quoting), landed("alt_names"), "alt_names")
+    raw_alt = raw["alt_names"]
     if not keep_all_alt_names:
         used = raw_countries.select(F.col("geonameid").alias("__id")).unionByName(
             raw_cities.select(F.col("geonameid").alias("__id"))
@@ -111,10 +124,8 @@ def build_gazetteer(
     out["geo.alt_names"] = write_table(alt, out_dir, "geo", "alt_names")
 
     # 3. admin areas
-    adm1 = land(read_admins(spark, src("admin1"), quoting), landed("admin1"), "admins")
-    adm2 = land(read_admins(spark, src("admin2"), quoting), landed("admin2"), "admins")
-    out["geo.adm1s"] = write_table(build_admins(adm1), out_dir, "geo", "adm1s")
-    out["geo.adm2s"] = write_table(build_admins(adm2), out_dir, "geo", "adm2s")
+    out["geo.adm1s"] = write_table(build_admins(raw["admin1"]), out_dir, "geo", "adm1s")
+    out["geo.adm2s"] = write_table(build_admins(raw["admin2"]), out_dir, "geo", "adm2s")
 
     # 4. countries
     out["geo.countries"] = write_table(build_countries(raw_countries), out_dir, "geo", "countries")
@@ -138,6 +149,5 @@ def build_gazetteer(
     out["src.city_names"] = write_table(city_names, out_dir, "src", "city_names")
 
     # 6. regions
-    raw_regions = land(read_places(spark, src("regions"), quoting), landed("regions"), "places")
-    out["src.regions"] = write_table(select_regions(raw_regions), out_dir, "src", "regions")
+    out["src.regions"] = write_table(select_regions(raw["regions"]), out_dir, "src", "regions")
     return out
