@@ -10,7 +10,8 @@ back before use, which both publishes it and cuts the lineage):
 5. cities        -> geo.cities, src.cities, src.city_names
 6. regions       -> src.regions
 
-The seven files are landed concurrently (independent jobs); the steps then run in order.
+The seven files are landed concurrently (independent jobs); then the alternate-name chain
+and the places chain run concurrently; the two names tables come last.
 """
 
 from __future__ import annotations
@@ -106,48 +107,54 @@ def build_gazetteer(
         raw = {k: f.result() for k, f in futures.items()}
     raw_countries, raw_cities = raw["countries"], raw["cities"]
 
-    # 1. languages
-    out["geo.lang_codes"] = write_table(stage_lang_codes(raw["lang_codes"]), out_dir, "geo", "lang_codes")
-    out["src.lang_codes"] = write_table(build_lang_codes(out["geo.lang_codes"]), out_dir, "src", "lang_codes")
-    assert_unique(out["src.lang_codes"], ["code"], "src.lang_codes")
-
-    # 2. alternates
-    raw_alt = raw["alt_names"]
-    if not keep_all_alt_names:
-        used = raw_countries.select(F.col("geonameid").alias("__id")).unionByName(
-            raw_cities.select(F.col("geonameid").alias("__id"))
+    def languages_and_alternates() -> None:
+        # 1. languages
+        out["geo.lang_codes"] = write_table(stage_lang_codes(raw["lang_codes"]), out_dir, "geo", "lang_codes")
+        out["src.lang_codes"] = write_table(build_lang_codes(out["geo.lang_codes"]), out_dir, "src", "lang_codes")
+        assert_unique(out["src.lang_codes"], ["code"], "src.lang_codes")
+        # 2. alternates
+        raw_alt = raw["alt_names"]
+        if not keep_all_alt_names:
+            used = raw_countries.select(F.col("geonameid").alias("__id")).unionByName(
+                raw_cities.select(F.col("geonameid").alias("__id"))
+            )
+            used = broadcast_if_bounded(used, SEMI_JOIN_BROADCAST_ROWS)
+            raw_alt = raw_alt.join(used, raw_alt["geoname_id"] == used["__id"], "left_semi")
+        alt = aggregate_alt_names(raw_alt, out["src.lang_codes"], latin_only=not include_nonlatin)
+        alt = alt.select(F.col("id").cast("int").alias("id"), "alt_name", "langs")
+        out["geo.alt_names"] = write_table(alt, out_dir, "geo", "alt_names")
+
+    def places() -> None:
+        # 3. admin areas
+        out["geo.adm1s"] = write_table(build_admins(raw["admin1"]), out_dir, "geo", "adm1s")
+        out["geo.adm2s"] = write_table(build_admins(raw["admin2"]), out_dir, "geo", "adm2s")
+        # 4. countries
+        out["geo.countries"] = write_table(build_countries(raw_countries), out_dir, "geo", "countries")
+        assert_unique(out["geo.countries"], ["id"], "geo.countries")
+        out["src.countries"] = write_table(
+            drop_obsolete_countries(curate_countries(out["geo.countries"])), out_dir, "src", "countries")
+        # 5. cities
+        out["geo.cities"] = write_table(stage_cities(raw_cities), out_dir, "geo", "cities")
+        assert_unique(out["geo.cities"], ["id"], "geo.cities")
+        admins = out["geo.adm1s"].select(F.lit("admin1").alias("level"), "id", "code", "name").unionByName(
+            out["geo.adm2s"].select(F.lit("admin2").alias("level"), "id", "code", "name")
         )
-        used = broadcast_if_bounded(used, SEMI_JOIN_BROADCAST_ROWS)
-        raw_alt = raw_alt.join(used, raw_alt["geoname_id"] == used["__id"], "left_semi")
-    alt = aggregate_alt_names(raw_alt, out["src.lang_codes"], latin_only=not include_nonlatin)
-    alt = alt.select(F.col("id").cast("int").alias("id"), "alt_name", "langs")
-    out["geo.alt_names"] = write_table(alt, out_dir, "geo", "alt_names")
-
-    # 3. admin areas
-    out["geo.adm1s"] = write_table(build_admins(raw["admin1"]), out_dir, "geo", "adm1s")
-    out["geo.adm2s"] = write_table(build_admins(raw["admin2"]), out_dir, "geo", "adm2s")
-
-    # 4. countries
-    out["geo.countries"] = write_table(build_countries(raw_countries), out_dir, "geo", "countries")
-    assert_unique(out["geo.countries"], ["id"], "geo.countries")
-    curated = curate_countries(out["geo.countries"])
-    names = build_country_names(curated, out["geo.alt_names"])
-    out["src.countries"] = write_table(drop_obsolete_countries(curated), out_dir, "src", "countries")
+        cities = curate_cities(out["geo.cities"], out["src.countries"], admins)
+        out["src.cities"] = write_table(cities, out_dir, "src", "cities")
+        # 6. regions
+        out["src.regions"] = write_table(select_regions(raw["regions"]), out_dir, "src", "regions")
+
+    # The alternate names and the places do not depend on each other: run both
+    # chains at once; the names tables below need both.
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        for fut in [pool.submit(languages_and_alternates), pool.submit(places)]:
+            fut.result()
+
+    # names of countries (all countries, retired ones dropped afterwards) and cities
+    names = build_country_names(curate_countries(out["geo.countries"]), out["geo.alt_names"])
     names = with_ids(drop_obsolete_countries(names), ["country_id", "alt_name"], COUNTRY_NAMES_FIRST_ID)
     out["src.country_names"] = write_table(names, out_dir, "src", "country_names")
-
-    # 5. cities
-    out["geo.cities"] = write_table(stage_cities(raw_cities), out_dir, "geo", "cities")
-    assert_unique(out["geo.cities"], ["id"], "geo.cities")
-    admins = out["geo.adm1s"].select(F.lit("admin1").alias("level"), "id", "code", "name").unionByName(
-        out["geo.adm2s"].select(F.lit("admin2").alias("level"), "id", "code", "name")
-    )
-    cities = curate_cities(out["geo.cities"], out["src.countries"], admins)
-    out["src.cities"] = write_table(cities, out_dir, "src", "cities")
     city_names = with_ids(build_city_names(out["src.cities"], out["geo.alt_names"]), ["city_id", "alt_name"],
                           CITY_NAMES_FIRST_ID)
     out["src.city_names"] = write_table(city_names, out_dir, "src", "city_names")
-
-    # 6. regions
-    out["src.regions"] = write_table(select_regions(raw["regions"]), out_dir, "src", "regions")
     return out
