@@ -8,6 +8,10 @@ group holding a large share of all rows) is therefore reduced map-side in
 the aggregation, and in the join AQE's skew handling can split the hot
 partition of the row side; no group is ever gathered into a single buffer.
 
+The statistics only cover duplicated groups (count > 1), usually a small
+table: they are computed once, checked, and broadcast when small, so the
+rows themselves are then filtered where they are, without a shuffle.
+
 Rows whose key has a NULL part never match (equi-join semantics), so they are
 never treated as duplicates -- the behaviour of the SQL original.
 """
@@ -20,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gazetta.operators.lookup import broadcast_if_small_result
+
 _PREFIX = "__dup_"
 
 
@@ -38,6 +44,7 @@ def _group_stats(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) ->
 
 
 def _join_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
+    stats = broadcast_if_small_result(stats)
     cond = None
     for k in keys:
         c = df[k] == stats[f"{_PREFIX}{k}"]
@@ -125,7 +132,7 @@ def drop_ambiguous_alternates(
     empties the group. Rows with a NULL scope or alternate are never touched,
     nor are rows with a NULL default (the inequality is not true).
     """
-    stats = _group_stats(names, [scope_col, alt_col], [])
+    stats = broadcast_if_small_result(_group_stats(names, [scope_col, alt_col], []))
     cond = (
         (names[scope_col] == stats[f"{_PREFIX}{scope_col}"])
         & (names[alt_col] == stats[f"{_PREFIX}{alt_col}"])

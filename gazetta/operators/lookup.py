@@ -33,6 +33,21 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS)
     return F.broadcast(df) if n <= max_rows else df
 
 
+def broadcast_if_small_result(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """For a *derived* side (e.g. the statistics of duplicated groups).
+
+    Its size is only known once computed, and AQE cannot turn a join into a
+    broadcast when an aggregate sits above the shuffle it measured. So the
+    side is computed once and written to the checkpoint folder, its rows are
+    counted from there, and it is broadcast when small -- then the other,
+    large side of the join is never shuffled. Beyond the bound it is joined
+    by shuffle as usual.
+    """
+    from gazetta.operators.keys import materialize
+
+    return broadcast_if_bounded(materialize(df), max_rows)
+
+
 def unique_by_key(lookup: DataFrame, keys: Sequence[str], order_by: str | None, payload: Sequence[str]) -> DataFrame:
     """One lookup row per key: the row with the smallest ``order_by`` value.
 

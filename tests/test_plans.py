@@ -32,11 +32,24 @@ def test_alt_names_plan(spark):
     assert "ReadSchema: struct<doc_id:bigint,text:string,lang:string>" in df._jdf.queryExecution().executedPlan().treeString()
 
 
-def test_dedupe_is_hash_aggregated_and_single_join(spark):
-    df = driver.q_dedupe_places(spark, SF)
-    p = plan(df)
-    assert "SortAggregate" not in p
-    assert p.count("Join") == 1
+def test_dedupe_rows_are_not_shuffled(spark):
+    p = plan(driver.q_dedupe_places(spark, SF))
+    # the duplicate-group statistics were materialised and broadcast: the rows are
+    # filtered where they are, with one join and no shuffle at all
+    assert p.count("Join") == 1 and "BroadcastHashJoin" in p
+    assert "Exchange hashpartitioning" not in p and "SortMergeJoin" not in p
+
+
+def test_dedupe_statistics_are_hash_aggregated(spark):
+    from pyspark.sql import functions as F
+
+    from gazetta.operators import dedup
+
+    places = driver.part_places(spark, SF)
+    m, i = F.col("pop"), F.col("id")
+    hi = F.max(m.cast("long") * F.lit(1 << 32) + i.cast("long")).alias("hi")
+    p = plan(dedup._group_stats(places, driver.PLACE_KEYS, [hi]))
+    assert "SortAggregate" not in p and "partial_max" in p
 
 
 def test_dimension_joins_are_broadcast(spark):
