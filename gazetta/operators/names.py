@@ -13,7 +13,7 @@ from gazetta.functions.text import (
     is_latin_name,
     language_or_none,
 )
-from gazetta.operators.lookup import broadcast_if_bounded
+from gazetta.operators.lookup import broadcast_if_bounded, broadcast_if_small_result
 
 # ISO 639-1 codes are two letters, so a table unique on them has at most
 # 26 * 26 rows: a proven bound for broadcasting the language lookup.
@@ -171,6 +171,8 @@ def add_missing_defaults_by_name(
     ``langlist_value`` (``''`` in the reference behaviour).
     """
     own = names.where(F.col(name_col) == F.col(alt_col)).select(F.col(name_col).alias("__own")).distinct()
+    # at most one row per entity name: computed once, broadcast when small
+    own = broadcast_if_small_result(own)
     lacking = entities.join(own, entities[entity_name] == own["__own"], "left_anti")
     added = lacking.select(
         F.col(entity_id).alias(name_id),

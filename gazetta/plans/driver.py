@@ -29,7 +29,7 @@ from gazetta.operators.dedup import (
     drop_smaller_duplicates,
 )
 from gazetta.operators.keys import assign_dense_ids, materialize
-from gazetta.operators.lookup import broadcast_if_bounded, enrich_by_lookup
+from gazetta.operators.lookup import broadcast_if_bounded, broadcast_if_small_result, enrich_by_lookup
 from gazetta.operators.names import (
     add_missing_defaults_by_entity,
     add_missing_defaults_by_name,
@@ -387,6 +387,7 @@ SELECT c1 AS code, name, '639-1' AS code_type FROM raw WHERE c1 <> ''"""
 def nation_countries(spark: SparkSession, d: str) -> DataFrame:
     nation, region, cust = _t(spark, d, "nation"), _dim(spark, d, "region"), _t(spark, d, "customer")
     pop = cust.groupBy("c_nationkey").agg(F.sum(F.round("c_acctbal")).cast("long").alias("population"))
+    pop = broadcast_if_small_result(pop, DIM_MAX_ROWS)  # one row per nation
     return (
         nation.join(region, nation["n_regionkey"] == region["r_regionkey"])
         .join(pop, nation["n_nationkey"] == pop["c_nationkey"], "left")
@@ -463,7 +464,8 @@ SQL_ORDER_NAMES = """names AS (
 
 
 def q_missing_default_country(spark: SparkSession, d: str) -> DataFrame:
-    names = order_names(spark, d).drop("area_name")
+    # a stored names table in the build; read twice here (rows and own names)
+    names = materialize(order_names(spark, d).drop("area_name"))
     ents = _t(spark, d, "customer").select(
         F.col("c_custkey").alias("place_id"), F.col("c_name").alias("place_name"))
     return add_missing_defaults_by_name(names, ents, "place_id", "place_name", "place_id", "place_name")
@@ -479,7 +481,8 @@ WHERE m.place_name IS NULL"""
 
 
 def q_missing_default_city(spark: SparkSession, d: str) -> DataFrame:
-    names = order_names(spark, d)
+    # a stored names table in the build; read twice here (rows and per-place check)
+    names = materialize(order_names(spark, d))
     return add_missing_defaults_by_entity(names, ["place_id", "place_name", "area_name"], "place_name")
 
 
