@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 # Lookups at or below this many rows are broadcast; larger ones are joined by
@@ -38,14 +38,16 @@ def broadcast_if_small_result(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_R
 
     Its size is only known once computed, and AQE cannot turn a join into a
     broadcast when an aggregate sits above the shuffle it measured. So the
-    side is computed once and written to the checkpoint folder, its rows are
-    counted from there, and it is broadcast when small -- then the other,
-    large side of the join is never shuffled. Beyond the bound it is joined
-    by shuffle as usual.
+    side is computed once and written to the checkpoint folder -- its rows
+    are counted by an ``Observation`` during that write, no extra job -- and
+    broadcast when small; then the other, large side of the join is never
+    shuffled. Beyond the bound it is joined by shuffle as usual.
     """
     from gazetta.operators.keys import materialize
 
-    return broadcast_if_bounded(materialize(df), max_rows)
+    obs = Observation()
+    stored = materialize(df.observe(obs, F.count(F.lit(1)).alias("rows")))
+    return F.broadcast(stored) if obs.get["rows"] <= max_rows else stored
 
 
 def unique_by_key(lookup: DataFrame, keys: Sequence[str], order_by: str | None, payload: Sequence[str]) -> DataFrame:
