@@ -65,7 +65,8 @@ def land(df: DataFrame, path: str, kind: str) -> DataFrame:
     """Parse every column by writing the raw rows to Parquet; read them back.
 
     Raises on the first malformed row (FAILFAST sees every column here), on a
-    missing required value and on a negative unsigned count.
+    missing required value and on a negative unsigned count. Required text
+    columns come back as ``''`` where the field was empty.
     """
     t0 = time.perf_counter()
     df.write.mode("overwrite").parquet(path)
@@ -80,7 +81,9 @@ def land(df: DataFrame, path: str, kind: str) -> DataFrame:
         if landed.where(bad).limit(1).count():
             raise KeyViolation(f"negative count in {path}")
     log.info("landed %s in %.2fs", path, time.perf_counter() - t0)
-    return landed
+    text = set(schemas.REQUIRED_TEXT.get(kind, []))
+    return landed.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) if c in text else F.col(c)
+                           for c in landed.columns])
 
 
 def read_lang_codes(spark: SparkSession, path: str, quoting: str = QUOTE_CSV) -> DataFrame:

@@ -48,5 +48,15 @@ REQUIRED = {
     "lang_codes": [],
 }
 
+# Required text columns: an empty field there is the empty string, not NULL
+# (Spark's reader turns every empty field into NULL).
+REQUIRED_TEXT = {
+    "alt_names": ["alternate_name"],
+    "admins": ["code", "name", "asciiname"],
+    "countries": ["iso", "iso3", "country", "continent"],
+    "places": ["name", "asciiname"],
+    "lang_codes": ["c3", "c2", "c1", "name"],
+}
+
 # Columns parsed as unsigned counts in the source; a negative value is malformed.
 NON_NEGATIVE = {"alt_names": ["is_preferred_name", "is_short_name", "is_colloquial", "is_historic"]}

@@ -68,3 +68,16 @@ def test_lang_codes_by_header_name(spark, scratch):
     bad = write(os.path.join(scratch, "m.txt"), ["ISO 639-3\tName", "eng\tEnglish"])
     with pytest.raises(KeyViolation):
         read_lang_codes(spark, bad)
+
+
+def test_empty_required_text_is_empty_string(spark, scratch):
+    from gazetta.operators.names import aggregate_alt_names
+
+    p = write(os.path.join(scratch, "a.txt"), [tsv((1, 7, "en", "", "", "", "", "", "", "")),
+                                                tsv((2, 7, "", "Rome", "", "", "", "", "", ""))])
+    raw = land(read_alt_names(spark, p), os.path.join(scratch, "landed"), "alt_names")
+    rows = sorted((r["alternate_name"], r["iso_language"]) for r in raw.collect())
+    assert rows == [("", "en"), ("Rome", None)]
+    codes = spark.createDataFrame([("en", "English", "639-1")], "code string, name string, code_type string")
+    got = sorted(tuple(r) for r in aggregate_alt_names(raw, codes).collect())
+    assert got == [(7, "", "English"), (7, "Rome", None)]
