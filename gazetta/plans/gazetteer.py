@@ -17,6 +17,8 @@ and the places chain run concurrently; the two names tables come last.
 from __future__ import annotations
 
 import os
+import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,6 +67,15 @@ FILES = {
 }
 # -----------------------------------------------------------------------------
 
+# Every table a run writes, as <schema>.<table>.
+TABLES = (
+    "geo.lang_codes", "src.lang_codes", "geo.alt_names", "geo.adm1s", "geo.adm2s", "geo.countries",
+    "src.countries", "src.country_names", "geo.cities", "src.cities", "src.city_names", "src.regions",
+)
+# Layout of a published output folder.
+RUNS = "runs"
+CURRENT = "current"
+
 # Place ids (countries + cities) broadcast for the alternate-name reduction.
 SEMI_JOIN_BROADCAST_ROWS = 5_000_000
 
@@ -77,17 +88,26 @@ def build_gazetteer(
     quoting: str = QUOTE_CSV,
     keep_all_alt_names: bool = True,
     files: dict[str, str] | None = None,
+    publish: bool = True,
 ) -> dict[str, DataFrame]:
-    """Build every table; return them (re-read from ``out_dir``) by name.
+    """Build every table; return them (re-read from where they were written) by name.
+
+    With ``publish`` (the default) a run writes into its own folder
+    ``<out_dir>/runs/<run id>/`` and, only once every table is written, points
+    ``<out_dir>/current`` at it: readers (``load_gazetteer``) see the previous
+    complete gazetteer until then, and a failed run publishes nothing. With
+    ``publish=False`` the tables are rebuilt in place under ``out_dir``.
 
     ``include_nonlatin`` keeps alternate names that fail the 'Latin' test.
     ``keep_all_alt_names=False`` first semi-joins the alternates with the
     ids of countries and cities -- the only ones ever used -- so the big
     aggregation only sees rows that matter (geo.alt_names is then partial).
     """
+    run_id = time.strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
+    root = os.path.join(out_dir, RUNS, run_id) if publish else out_dir
     f = {**FILES, **(files or {})}
     src = lambda k: os.path.join(data_dir, f[k])
-    landed = lambda k: os.path.join(out_dir, "_landed", k)
+    landed = lambda k: os.path.join(root, "_landed", k)
     out: dict[str, DataFrame] = {}
 
     # Land the seven files first. They are independent, so their jobs are
@@ -109,8 +129,8 @@ def build_gazetteer(
 
     def languages_and_alternates() -> None:
         # 1. languages
-        out["geo.lang_codes"] = write_table(stage_lang_codes(raw["lang_codes"]), out_dir, "geo", "lang_codes")
-        out["src.lang_codes"] = write_table(build_lang_codes(out["geo.lang_codes"]), out_dir, "src", "lang_codes")
+        out["geo.lang_codes"] = write_table(stage_lang_codes(raw["lang_codes"]), root, "geo", "lang_codes")
+        out["src.lang_codes"] = write_table(build_lang_codes(out["geo.lang_codes"]), root, "src", "lang_codes")
         assert_unique(out["src.lang_codes"], ["code"], "src.lang_codes")
         # 2. alternates
         raw_alt = raw["alt_names"]
@@ -122,27 +142,27 @@ def build_gazetteer(
             raw_alt = raw_alt.join(used, raw_alt["geoname_id"] == used["__id"], "left_semi")
         alt = aggregate_alt_names(raw_alt, out["src.lang_codes"], latin_only=not include_nonlatin)
         alt = alt.select(F.col("id").cast("int").alias("id"), "alt_name", "langs")
-        out["geo.alt_names"] = write_table(alt, out_dir, "geo", "alt_names")
+        out["geo.alt_names"] = write_table(alt, root, "geo", "alt_names")
 
     def places() -> None:
         # 3. admin areas
-        out["geo.adm1s"] = write_table(build_admins(raw["admin1"]), out_dir, "geo", "adm1s")
-        out["geo.adm2s"] = write_table(build_admins(raw["admin2"]), out_dir, "geo", "adm2s")
+        out["geo.adm1s"] = write_table(build_admins(raw["admin1"]), root, "geo", "adm1s")
+        out["geo.adm2s"] = write_table(build_admins(raw["admin2"]), root, "geo", "adm2s")
         # 4. countries
-        out["geo.countries"] = write_table(build_countries(raw_countries), out_dir, "geo", "countries")
+        out["geo.countries"] = write_table(build_countries(raw_countries), root, "geo", "countries")
         assert_unique(out["geo.countries"], ["id"], "geo.countries")
         out["src.countries"] = write_table(
-            drop_obsolete_countries(curate_countries(out["geo.countries"])), out_dir, "src", "countries")
+            drop_obsolete_countries(curate_countries(out["geo.countries"])), root, "src", "countries")
         # 5. cities
-        out["geo.cities"] = write_table(stage_cities(raw_cities), out_dir, "geo", "cities")
+        out["geo.cities"] = write_table(stage_cities(raw_cities), root, "geo", "cities")
         assert_unique(out["geo.cities"], ["id"], "geo.cities")
         admins = out["geo.adm1s"].select(F.lit("admin1").alias("level"), "id", "code", "name").unionByName(
             out["geo.adm2s"].select(F.lit("admin2").alias("level"), "id", "code", "name")
         )
         cities = curate_cities(out["geo.cities"], out["src.countries"], admins)
-        out["src.cities"] = write_table(cities, out_dir, "src", "cities")
+        out["src.cities"] = write_table(cities, root, "src", "cities")
         # 6. regions
-        out["src.regions"] = write_table(select_regions(raw["regions"]), out_dir, "src", "regions")
+        out["src.regions"] = write_table(select_regions(raw["regions"]), root, "src", "regions")
 
     # The alternate names and the places do not depend on each other: run both
     # chains at once; the names tables below need both.
@@ -153,8 +173,18 @@ def build_gazetteer(
     # names of countries (all countries, retired ones dropped afterwards) and cities
     names = build_country_names(curate_countries(out["geo.countries"]), out["geo.alt_names"])
     names = with_ids(drop_obsolete_countries(names), ["country_id", "alt_name"], COUNTRY_NAMES_FIRST_ID)
-    out["src.country_names"] = write_table(names, out_dir, "src", "country_names")
+    out["src.country_names"] = write_table(names, root, "src", "country_names")
     city_names = with_ids(build_city_names(out["src.cities"], out["geo.alt_names"]), ["city_id", "alt_name"],
                           CITY_NAMES_FIRST_ID)
-    out["src.city_names"] = write_table(city_names, out_dir, "src", "city_names")
+    out["src.city_names"] = write_table(city_names, root, "src", "city_names")
+    if publish:
+        spark.createDataFrame([(run_id,)], "run string").coalesce(1).write.mode("overwrite").text(
+            os.path.join(out_dir, CURRENT))
     return out
+
+
+def load_gazetteer(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
+    """The tables of the last published run, by name (``'src.city_names'`` ...)."""
+    run_id = spark.read.text(os.path.join(out_dir, CURRENT)).first()[0]
+    root = os.path.join(out_dir, RUNS, run_id)
+    return {t: spark.read.parquet(os.path.join(root, *t.split("."))) for t in TABLES}

@@ -93,3 +93,19 @@ def test_regions(built):
 def test_tables_written(built, tmp_path):
     for name, df in built["latin"].items():
         assert df.count() >= 0, name
+
+
+def test_cli_publishes_and_loads(spark, tmp_path):
+    from gazetta.__main__ import main
+    from gazetta.plans.gazetteer import load_gazetteer
+
+    data = write_dump(str(tmp_path / "data"))
+    out = str(tmp_path / "out")
+    assert main(["--data", data, "--out", out]) == 0
+    first = load_gazetteer(spark, out)
+    assert first["src.city_names"].count() == 11
+    # a second run with -n is published over it; the first run stays on disk untouched
+    assert main(["--data", data, "--out", out, "-n"]) == 0
+    second = load_gazetteer(spark, out)
+    assert second["src.city_names"].count() == 14
+    assert len(os.listdir(os.path.join(out, "runs"))) == 2
