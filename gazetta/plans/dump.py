@@ -38,7 +38,7 @@ def write_dump(spark: SparkSession, sf_dir: str, out_dir: str) -> str:
     langs = docs.select("lang").distinct().join(driver._languages(spark), F.col("lang") == F.col("code"), "left")
     _write(langs.select(
         F.concat(F.col("lang"), F.col("lang")).alias("ISO 639-3"), F.concat(F.col("lang"), F.col("lang")).alias("ISO 639-2"),
-        F.col("lang").alias("ISO 639-1"), F.coalesce(F.col("name"), F.initcap("lang")).alias("Language Name")),
+        F.col("lang").alias("ISO 639-1"), F.coalesce(F.col("name"), F.upper("lang")).alias("Language Name")),
         path("lang_codes"), header=True)
 
     words = docs.select("doc_id", "lang", F.posexplode(F.split(F.col("text"), "[ \t\n\r]+")).alias("pos", "word"))
