@@ -1,39 +1,60 @@
-"""The whole build as a registered query, with its DuckDB twin.
+"""The whole build as registered queries, with their DuckDB twins.
 
 Spark derives GeoNames-format dump files from the driver tables
 (``gazetta.plans.dump``), the gazetteer is built from them exactly as from a
-real dump (strict landing, every step, published run), and the published
-``src.city_names`` table is the query result. The SQL below recomputes the
-same table straight from the driver tables, step by step as the source
-system's SQL does: group and join back for duplicates, anti-joins for
-missing defaults, ``row_number`` for ids.
+real dump (strict landing, every step, published run), and each published
+table is one query result. One build serves all of them per session and
+input folder. The SQL below recomputes the same tables straight from the
+driver tables, step by step the way the source system's SQL does: group and
+join back for duplicates, anti-joins for missing defaults, ``row_number``
+for ids.
 """
 
 from __future__ import annotations
 
 import os
+import threading
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from gazetta.plans.driver import SQL_LANGUAGES, SQL_PSEUDO, _sql_clean
-from gazetta.plans.dump import CITY_ID_OFFSET, write_dump
-from gazetta.plans.gazetteer import build_gazetteer
+from gazetta.plans.dump import CITY_ID_OFFSET, REGION_ID_OFFSET, write_dump
+from gazetta.plans.gazetteer import build_gazetteer, load_gazetteer
 from gazetta.session import checkpoint_dir
 
+_BUILDS: dict[tuple[str, str], str] = {}
+_LOCK = threading.Lock()
 
-def q_gazetteer_city_names(spark: SparkSession, d: str) -> DataFrame:
-    # scratch space in the shared checkpoint folder, one per call
-    base = os.path.join(checkpoint_dir(spark), "gazetteer-" + uuid.uuid4().hex)
-    dump = write_dump(spark, d, os.path.join(base, "dump"))
-    return build_gazetteer(spark, dump, os.path.join(base, "out"))["src.city_names"]
+
+def _published(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """Tables of the build over ``d``; built once per session and folder."""
+    key = (spark.conf.get("spark.app.id", ""), d)
+    with _LOCK:
+        if key not in _BUILDS:
+            # scratch space in the shared checkpoint folder
+            base = os.path.join(checkpoint_dir(spark), "gazetteer-" + uuid.uuid4().hex)
+            dump = write_dump(spark, d, os.path.join(base, "dump"))
+            build_gazetteer(spark, dump, os.path.join(base, "out"))
+            _BUILDS[key] = os.path.join(base, "out")
+        return load_gazetteer(spark, _BUILDS[key])
+
+
+def _table(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        return _published(spark, d)[name]
+
+    query.__name__ = "q_gazetteer_" + name.replace(".", "_")
+    return query
 
 
 _OFF = CITY_ID_OFFSET
+_OBSOLETE = "('Serbia and Montenegro', 'Macao', 'Hong Kong')"
 
-SQL_GAZETTEER_CITY_NAMES = f"""WITH {SQL_LANGUAGES},
+SQL_PREFIX = f"""WITH {SQL_LANGUAGES},
 lang639 AS (
-  SELECT DISTINCT d.lang AS code, COALESCE(c.name, upper(d.lang)) AS name
+  SELECT DISTINCT d.lang AS code, {_sql_clean('COALESCE(c.name, upper(d.lang))')} AS name
   FROM documents d LEFT JOIN codes c ON d.lang = c.code),
 words AS (
   SELECT doc_id AS geoname_id, lang AS iso_language,
@@ -44,8 +65,18 @@ kept AS (
   FROM words
   WHERE COALESCE(iso_language, 'none') NOT IN ({SQL_PSEUDO}) AND alternate_name <= 'ZZ'),
 alts AS (
-  SELECT k.id, k.alt_name, string_agg(l.name, ', ' ORDER BY l.name) AS langs
+  SELECT CAST(k.id AS INTEGER) AS id, k.alt_name, string_agg(l.name, ', ' ORDER BY l.name) AS langs
   FROM kept k LEFT JOIN lang639 l ON k.lang = l.code GROUP BY k.id, k.alt_name),
+pop AS (SELECT c_nationkey, CAST(sum(round(c_acctbal)) AS BIGINT) AS population FROM customer GROUP BY c_nationkey),
+countries_all AS (
+  SELECT CAST(n_nationkey AS INTEGER) AS id,
+         CASE WHEN COALESCE(p.population, 0) < 320000 THEN 2 ELSE 1 END AS rank,
+         CASE WHEN n_regionkey = 2 THEN 'HK' WHEN n_regionkey = 3 THEN 'GB'
+              ELSE 'C' || CAST(n_regionkey AS VARCHAR) END AS iso_code,
+         {_sql_clean("CASE WHEN n_regionkey = 2 THEN 'Hong Kong' ELSE n_name END")} AS country_name,
+         r_name AS continent, '' AS tld, CAST(NULL AS VARCHAR) AS languages, '' AS capital
+  FROM nation JOIN region ON n_regionkey = r_regionkey LEFT JOIN pop p ON n_nationkey = p.c_nationkey),
+kept_countries AS (SELECT * FROM countries_all WHERE country_name NOT IN {_OBSOLETE}),
 base AS (
   SELECT c_custkey + {_OFF} AS gid, c_mktsegment, c_acctbal, n_nationkey, n_name, n_regionkey,
     CASE WHEN n_regionkey = 2 THEN 'HK' WHEN n_regionkey = 3 THEN 'GB' WHEN n_regionkey = 4 THEN NULL
@@ -62,16 +93,9 @@ staged AS (
                 ELSE (CASE WHEN a1 IS NULL THEN 'none' ELSE cc || '.' || a1 END) || '.' || a2 END
          ELSE CASE WHEN a1 IS NULL THEN 'none' ELSE cc || '.' || a1 END END AS disamb_code,
     COALESCE(cc, 'none') AS country_code,
+    c_acctbal AS lat, CAST(n_nationkey AS DOUBLE) AS lng,
     CAST(NULLIF(CAST(floor(c_acctbal / 1000) AS BIGINT), 0) AS INTEGER) AS pop
   FROM base),
-countries AS (
-  SELECT CAST(n_nationkey AS INTEGER) AS id,
-         CASE WHEN n_regionkey = 2 THEN 'HK' WHEN n_regionkey = 3 THEN 'GB'
-              ELSE 'C' || CAST(n_regionkey AS VARCHAR) END AS iso_code,
-         {_sql_clean("CASE WHEN n_regionkey = 2 THEN 'Hong Kong' ELSE n_name END")} AS country_name
-  FROM nation),
-kept_countries AS (
-  SELECT * FROM countries WHERE country_name NOT IN ('Serbia and Montenegro', 'Macao', 'Hong Kong')),
 cpick AS (SELECT c.* FROM kept_countries c
           JOIN (SELECT iso_code, min(id) AS id FROM kept_countries GROUP BY iso_code) m ON c.id = m.id),
 admins AS (
@@ -85,18 +109,19 @@ apick AS (SELECT a.* FROM admins a
             ON a.level = m.level AND a.code = m.code AND a.id = m.id),
 step1 AS (
   SELECT s.id, s.name, s.disamb_type, NULLIF(s.disamb_code, 'none') AS disamb_code,
-         cp.id AS country_id, s.country_code, cp.country_name, s.pop
+         cp.id AS country_id, s.country_code, cp.country_name, s.lat, s.lng, s.pop
   FROM staged s LEFT JOIN cpick cp ON s.country_code = cp.iso_code),
 step2 AS (
   SELECT s.*, a.id AS disamb_id, a.name AS disamb_name
   FROM step1 s LEFT JOIN apick a ON s.disamb_type = a.level AND s.disamb_code = a.code),
 city AS (
-  SELECT id, name, disamb_id,
+  SELECT id, name, disamb_type, disamb_id, disamb_code,
     CASE WHEN country_code = 'HK' THEN disamb_name || ' (HK)'
          WHEN country_code = 'MO' THEN disamb_name || ' (Macao)' ELSE disamb_name END AS disamb_name,
     CASE WHEN country_code IN ('HK', 'MO') THEN 1814991 ELSE country_id END AS country_id,
+    CASE WHEN country_code IN ('HK', 'MO') THEN 'CN' ELSE country_code END AS country_code,
     CASE WHEN country_code IN ('HK', 'MO') THEN 'China' ELSE country_name END AS country_name,
-    pop
+    lat, lng, pop
   FROM step2),
 dups AS (SELECT name, disamb_name, country_name, max(pop) AS maxpop FROM city
          WHERE name IS NOT NULL AND disamb_name IS NOT NULL AND country_name IS NOT NULL
@@ -108,7 +133,9 @@ pass1 AS (SELECT * FROM city WHERE id NOT IN (SELECT id FROM losers)),
 dups2 AS (SELECT min(id) AS minid FROM pass1
           WHERE name IS NOT NULL AND disamb_name IS NOT NULL AND country_name IS NOT NULL
           GROUP BY name, disamb_name, country_name HAVING count(id) > 1),
-cities AS (SELECT * FROM pass1 WHERE id NOT IN (SELECT minid FROM dups2)),
+cities AS (SELECT * FROM pass1 WHERE id NOT IN (SELECT minid FROM dups2))"""
+
+SQL_CITY_NAMES = SQL_PREFIX + """,
 attached AS (
   SELECT c.id AS city_id, c.name AS city_name, c.disamb_id, c.disamb_name, c.country_id, c.country_name,
          a.alt_name, a.langs AS langlist
@@ -126,5 +153,48 @@ final AS (SELECT n.* FROM completed n WHERE NOT EXISTS (
                         AND d.alt_name <> n.city_name))
 SELECT CAST(row_number() OVER (ORDER BY city_id, alt_name) + 1000000 AS INTEGER) AS id, * FROM final"""
 
-QUERIES = {"gazetteer_city_names": q_gazetteer_city_names}
-ORACLE = {"gazetteer_city_names": SQL_GAZETTEER_CITY_NAMES}
+SQL_CITIES = SQL_PREFIX + """
+SELECT id, name, disamb_type, disamb_id, disamb_code, disamb_name, country_id, country_code, country_name,
+       lat, lng, pop FROM cities"""
+
+SQL_ALT_NAMES = SQL_PREFIX + "\nSELECT id, alt_name, langs FROM alts"
+
+SQL_COUNTRIES = SQL_PREFIX + """
+SELECT id, rank, iso_code, country_name, continent, tld, languages, capital FROM kept_countries"""
+
+SQL_COUNTRY_NAMES = SQL_PREFIX + f""",
+attached AS (
+  SELECT c.id AS country_id, c.country_name, a.alt_name, a.langs AS langlist
+  FROM countries_all c JOIN alts a ON c.id = a.id),
+completed AS (
+  SELECT * FROM attached
+  UNION ALL
+  SELECT c.id, c.country_name, c.country_name, ''
+  FROM countries_all c LEFT JOIN (SELECT country_name FROM attached WHERE country_name = alt_name) m
+    ON c.country_name = m.country_name
+  WHERE m.country_name IS NULL),
+final AS (SELECT * FROM completed WHERE country_name NOT IN {_OBSOLETE})
+SELECT CAST(row_number() OVER (ORDER BY country_id, alt_name) + 10000 AS INTEGER) AS id, * FROM final"""
+
+SQL_LANG_CODES = SQL_PREFIX + """
+SELECT code || code AS code, name, '639-3' AS code_type FROM lang639
+UNION
+SELECT code, name, '639-1' AS code_type FROM lang639"""
+
+SQL_REGIONS = f"""SELECT CAST(event_id + {REGION_ID_OFFSET} AS INTEGER) AS id,
+       CASE WHEN event_type = 'view' THEN 'RGN' ELSE 'CONT' END AS feature_code,
+       props AS name, CAST(user_id AS VARCHAR) AS members
+FROM events WHERE event_type IN ('view', 'signup')"""
+
+_TABLES = {
+    "gazetteer_city_names": ("src.city_names", SQL_CITY_NAMES),
+    "gazetteer_cities": ("src.cities", SQL_CITIES),
+    "gazetteer_alt_names": ("geo.alt_names", SQL_ALT_NAMES),
+    "gazetteer_countries": ("src.countries", SQL_COUNTRIES),
+    "gazetteer_country_names": ("src.country_names", SQL_COUNTRY_NAMES),
+    "gazetteer_lang_codes": ("src.lang_codes", SQL_LANG_CODES),
+    "gazetteer_regions": ("src.regions", SQL_REGIONS),
+}
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _table(t) for k, (t, _) in _TABLES.items()}
+ORACLE: dict[str, str] = {k: sql for k, (_, sql) in _TABLES.items()}

@@ -20,6 +20,7 @@ from gazetta.plans import driver
 from gazetta.plans.gazetteer import FILES
 
 CITY_ID_OFFSET = 25
+REGION_ID_OFFSET = 10_000_000
 
 
 def _write(df: DataFrame, path: str, header: bool = False) -> None:
@@ -74,7 +75,7 @@ def write_dump(spark: SparkSession, sf_dir: str, out_dir: str) -> str:
     fc = (F.when(F.col("event_type") == "view", F.lit("RGN")).when(F.col("event_type") == "signup", F.lit("CONT"))
           .otherwise(F.upper("event_type")))
     _write(ev.select(
-        (F.col("event_id") + 10_000_000).alias("geonameid"), "props", "props", F.lit(None).cast("string"),
+        (F.col("event_id") + REGION_ID_OFFSET).alias("geonameid"), "props", "props", F.lit(None).cast("string"),
         F.lit(0.0), F.lit(0.0), F.lit("L"), fc, F.lit(None).cast("string"), F.col("user_id").cast("string"),
         *_blank(4), F.lit(None).cast("long"), *_blank(2), F.lit("UTC"), F.lit("2024-01-01")), path("regions"))
     return out_dir
