@@ -65,13 +65,21 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+_DIM_SMALL: dict[tuple[str, str], bool] = {}
+
+
 def _dim(spark: SparkSession, d: str, name: str) -> DataFrame:
     """A dimension table (region, nation), broadcast after its size is checked.
 
     Joining a fact table to a tiny dimension by sort-merge would shuffle the
-    fact side; a checked broadcast hash join leaves it where it is.
+    fact side; a checked broadcast hash join leaves it where it is. The check
+    runs once per session and table.
     """
-    return broadcast_if_bounded(_t(spark, d, name), DIM_MAX_ROWS)
+    key = (spark.conf.get("spark.app.id", ""), f"{d}/{name}")
+    table = _t(spark, d, name)
+    if key not in _DIM_SMALL:
+        _DIM_SMALL[key] = table.limit(DIM_MAX_ROWS + 1).count() <= DIM_MAX_ROWS
+    return F.broadcast(table) if _DIM_SMALL[key] else table
 
 
 def _languages(spark: SparkSession) -> DataFrame:
