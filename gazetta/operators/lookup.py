@@ -95,7 +95,8 @@ def enrich_by_lookup(
         *payload_exprs,
         F.lit(True).alias(_MATCHED),
     )
-    side = broadcast_if_bounded(reduced, max_broadcast_rows)
+    # the reduced lookup is derived data: computed once, broadcast when small
+    side = broadcast_if_small_result(reduced, max_broadcast_rows)
     cond = None
     for i, tk in enumerate(on.keys()):
         c = target[tk] == side[f"__key_{i}"]

@@ -77,8 +77,7 @@ def aggregate_alt_names(
         clean_name(name_col).alias("alt_name"),
         language_or_none(language_col).alias("__lang"),
     )
-    names = _language_names(codes, code_type)
-    names = broadcast_if_bounded(names, max(ISO_639_1_MAX_CODES, 10_000))
+    names = broadcast_if_small_result(_language_names(codes, code_type), max(ISO_639_1_MAX_CODES, 10_000))
     labelled = alts.join(names, alts["__lang"] == names["__code"], "left").select(
         "id", "alt_name", "__lang_name"
     )
