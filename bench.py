@@ -13,15 +13,15 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from gazetta.plans import driver  # noqa: E402
 from gazetta.plans.dump import write_dump  # noqa: E402
 from gazetta.plans.gazetteer import build_gazetteer  # noqa: E402
-from gazetta.session import local_session  # noqa: E402
+from gazetta.session import checkpoint_dir, local_session  # noqa: E402
 
 HEADLINE = [
     "alt_names",
@@ -63,7 +63,7 @@ def main() -> None:
     # Whole build (strict landing of the seven dump files, every table written)
     # on GeoNames-format dumps Spark derives from the same tables; the dump is
     # written first and not timed.
-    scratch = tempfile.mkdtemp(prefix="gazetta-bench-")
+    scratch = os.path.join(checkpoint_dir(spark), f"bench-{uuid.uuid4().hex}")
     dump = write_dump(spark, sf_dir, os.path.join(scratch, "dump"))
     t0 = time.perf_counter()
     build_gazetteer(spark, dump, os.path.join(scratch, "out"))
