@@ -225,3 +225,16 @@ def test_hot_keys_in_name_operators(spark):
     completed = add_missing_defaults_by_entity(attached, ["id", "city_name"], "city_name")
     # entity 0 owns "Hot" already; entities 1 and 2 get their default added once each
     assert completed.count() == n + 2
+
+
+def test_default_completion_is_idempotent(spark):
+    names = spark.createDataFrame(
+        [(1, "Aa", "Ab", "English"), (2, "Bb", "Bb", None), (3, "Cc", "x", None), (3, "Cc", "y", "German")],
+        "id int, name string, alt_name string, langlist string")
+    once = add_missing_defaults_by_entity(names, ["id", "name"], "name")
+    twice = add_missing_defaults_by_entity(once, ["id", "name"], "name")
+    assert sorted(map(tuple, once.collect()), key=str) == sorted(map(tuple, twice.collect()), key=str)
+    ents = spark.createDataFrame([(1, "Aa"), (2, "Bb"), (4, "Dd")], "id int, name string")
+    once = add_missing_defaults_by_name(names, ents, "id", "name", "id", "name")
+    twice = add_missing_defaults_by_name(once, ents, "id", "name", "id", "name")
+    assert sorted(map(tuple, once.collect()), key=str) == sorted(map(tuple, twice.collect()), key=str)
