@@ -186,6 +186,21 @@ SQL_REGIONS = f"""SELECT CAST(event_id + {REGION_ID_OFFSET} AS INTEGER) AS id,
        props AS name, CAST(user_id AS VARCHAR) AS members
 FROM events WHERE event_type IN ('view', 'signup')"""
 
+SQL_GEO_LANG_CODES = SQL_PREFIX + """
+SELECT code || code AS c3, code || code AS c2, code AS c1, name FROM lang639"""
+
+SQL_GEO_ADM1S = SQL_PREFIX + "\nSELECT id, code, name FROM admins WHERE level = 'admin1'"
+
+SQL_GEO_ADM2S = SQL_PREFIX + "\nSELECT id, code, name FROM admins WHERE level = 'admin2'"
+
+SQL_GEO_COUNTRIES = SQL_PREFIX + """
+SELECT id, rank, iso_code, country_name, continent, tld, '' AS languages, capital FROM countries_all"""
+
+SQL_GEO_CITIES = SQL_PREFIX + """
+SELECT id, name, disamb_type, CAST(NULL AS INTEGER) AS disamb_id, disamb_code, CAST(NULL AS VARCHAR) AS disamb_name,
+       CAST(NULL AS INTEGER) AS country_id, country_code, CAST(NULL AS VARCHAR) AS country_name, lat, lng, pop
+FROM staged"""
+
 _TABLES = {
     "gazetteer_city_names": ("src.city_names", SQL_CITY_NAMES),
     "gazetteer_cities": ("src.cities", SQL_CITIES),
@@ -194,6 +209,11 @@ _TABLES = {
     "gazetteer_country_names": ("src.country_names", SQL_COUNTRY_NAMES),
     "gazetteer_lang_codes": ("src.lang_codes", SQL_LANG_CODES),
     "gazetteer_regions": ("src.regions", SQL_REGIONS),
+    "gazetteer_geo_lang_codes": ("geo.lang_codes", SQL_GEO_LANG_CODES),
+    "gazetteer_geo_adm1s": ("geo.adm1s", SQL_GEO_ADM1S),
+    "gazetteer_geo_adm2s": ("geo.adm2s", SQL_GEO_ADM2S),
+    "gazetteer_geo_countries": ("geo.countries", SQL_GEO_COUNTRIES),
+    "gazetteer_geo_cities": ("geo.cities", SQL_GEO_CITIES),
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _table(t) for k, (t, _) in _TABLES.items()}
