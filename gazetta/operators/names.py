@@ -96,10 +96,14 @@ def langs_from_counts(df: DataFrame, keys: Sequence[str], value_col: str, out_co
         F.col(value_col).isNotNull(), F.struct(F.col(value_col).alias("v"), F.col("__n").alias("n"))
     )
     pairs = per_value.groupBy(*keys).agg(F.sort_array(F.collect_list(pair)).alias("__pairs"))
-    expanded = F.array_join(
+    general = F.array_join(
         F.flatten(F.transform("__pairs", lambda p: F.array_repeat(p["v"], p["n"].cast("int")))), sep
     )
-    return pairs.select(*keys, F.when(F.size("__pairs") > 0, expanded).alias(out_col))
+    # most names carry one language: build that string directly, no lambda
+    first = F.element_at("__pairs", 1)
+    single = F.concat(F.repeat(F.concat(first["v"], F.lit(sep)), first["n"].cast("int") - 1), first["v"])
+    size = F.size("__pairs")
+    return pairs.select(*keys, F.when(size == 1, single).when(size > 1, general).alias(out_col))
 
 
 def attach_alternates(
