@@ -127,12 +127,19 @@ def _documents(spark: SparkSession, d: str) -> DataFrame:
 
 
 def doc_line_alternates(spark: SparkSession, d: str) -> DataFrame:
-    docs = _documents(spark, d)
-    return docs.select(
+    """Every line of every document as a name of that document.
+
+    The lines are spread round-robin after the explode (filters on them are
+    pushed below the redistribution), so even one huge document's lines are
+    cleaned and counted by many tasks.
+    """
+    docs = _t(spark, d, "documents")
+    lines = docs.select(
         F.col("doc_id").alias("geoname_id"),
         F.nullif(F.col("lang"), F.lit("es")).alias("iso_language"),
         F.explode(F.split(F.col("text"), "\n")).alias("alternate_name"),
     )
+    return lines.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 SQL_DOC_LINES = """raw AS (
