@@ -170,14 +170,44 @@ def q_alt_names_all_scripts(spark: SparkSession, d: str) -> DataFrame:
     return aggregate_alt_names(doc_line_alternates(spark, d), _languages(spark), latin_only=False)
 
 
+WORD_CHARS = (" ", "\t", "\n", "\r")
+WORD_BREAK = "[ \t\n\r]+"
+
+
 def doc_word_alternates(spark: SparkSession, d: str) -> DataFrame:
-    """Every word of every document as a name of that document (larger input)."""
-    docs = _documents(spark, d)
-    return docs.select(
+    """Every word of every document as a name of that document (larger input).
+
+    Same tokens as splitting each whole text on runs of white space, but
+    computed per line after the lines are spread round-robin, so even one
+    huge document is split by many tasks. Splitting lines yields the same
+    non-empty words; the empty tokens of a whole-text split (one for an empty
+    text, else one for leading and one for trailing white space) are added
+    from the documents themselves.
+    """
+    docs = _t(spark, d, "documents").select(
         F.col("doc_id").alias("geoname_id"),
         F.nullif(F.col("lang"), F.lit("es")).alias("iso_language"),
-        F.explode(F.split(F.col("text"), "[ \t\n\r]+")).alias("alternate_name"),
+        "text",
+    )
+    lines = docs.select(
+        "geoname_id", "iso_language", F.explode(F.split(F.col("text"), "\n")).alias("line")
+    ).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    words = lines.select(
+        "geoname_id", "iso_language", F.explode(F.split(F.col("line"), WORD_BREAK)).alias("alternate_name")
+    ).where(F.col("alternate_name") != "")
+    text = F.col("text")
+    starts = F.lit(False)
+    ends = F.lit(False)
+    for ch in WORD_CHARS:
+        starts = starts | F.startswith(text, F.lit(ch))
+        ends = ends | F.endswith(text, F.lit(ch))
+    n_empty = F.when(text == "", F.lit(1)).otherwise(
+        F.when(starts, 1).otherwise(0) + F.when(ends, 1).otherwise(0)
+    )
+    empties = docs.select(
+        "geoname_id", "iso_language", F.explode(F.array_repeat(F.lit(""), n_empty)).alias("alternate_name")
     )
+    return words.unionByName(empties)
 
 
 SQL_DOC_WORDS = r"""raw AS (

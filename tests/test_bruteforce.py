@@ -157,3 +157,25 @@ def test_dense_ids_against_reference(spark):
     want = {(s, k): i for i, (s, k) in enumerate(sorted((str(k % 97), k) for k in keys), start=1000001)}
     got = {(r["s"], r["k"]): r["rid"] for r in out.collect()}
     assert got == want
+
+
+def test_word_split_matches_whole_text_split(spark, tmp_path):
+    """The per-line word split gives exactly the tokens of a whole-text split."""
+    import re
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from gazetta.plans import driver
+
+    texts = ["", " ", "\n", "a", " a", "a ", "a\nb", "a\n\nb", " a \n b ", "\n\na", "a\n\n", "x\r\ny",
+             "\t\tx\t", "one two  three", "\n \n", "é f g"]
+    texts += ["".join(R.choice("ab \n\t\r") for _ in range(R.randrange(0, 12))) for _ in range(300)]
+    table = pa.table({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": texts,
+                      "lang": ["en"] * len(texts), "source": ["s"] * len(texts),
+                      "n_chars": pa.array([len(t) for t in texts], pa.int64())})
+    pq.write_table(table, str(tmp_path / "documents.parquet"))
+    got = Counter((r[0], r[1]) for r in driver.doc_word_alternates(spark, str(tmp_path))
+                  .select("geoname_id", "alternate_name").collect())
+    want = Counter((i, tok) for i, t in enumerate(texts) for tok in re.split("[ \t\n\r]+", t))
+    assert got == want
