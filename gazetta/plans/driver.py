@@ -175,7 +175,13 @@ WORD_BREAK = "[ \t\n\r]+"
 
 
 def doc_word_alternates(spark: SparkSession, d: str) -> DataFrame:
-    """Every word of every document as a name of that document (larger input).
+    """Every word of every document as a name of that document (larger input);
+    Spanish documents carry no language."""
+    return doc_words(spark, d, F.nullif(F.col("lang"), F.lit("es")))
+
+
+def doc_words(spark: SparkSession, d: str, language) -> DataFrame:
+    """``(geoname_id, iso_language, alternate_name)`` for every word of every document.
 
     Same tokens as splitting each whole text on runs of white space, but
     computed per line after the lines are spread round-robin, so even one
@@ -186,7 +192,7 @@ def doc_word_alternates(spark: SparkSession, d: str) -> DataFrame:
     """
     docs = _t(spark, d, "documents").select(
         F.col("doc_id").alias("geoname_id"),
-        F.nullif(F.col("lang"), F.lit("es")).alias("iso_language"),
+        language.alias("iso_language"),
         "text",
     )
     lines = docs.select(

@@ -42,10 +42,12 @@ def write_dump(spark: SparkSession, sf_dir: str, out_dir: str) -> str:
         F.col("lang").alias("ISO 639-1"), F.coalesce(F.col("name"), F.upper("lang")).alias("Language Name")),
         path("lang_codes"), header=True)
 
-    words = docs.select("doc_id", "lang", F.posexplode(F.split(F.col("text"), "[ \t\n\r]+")).alias("pos", "word"))
+    # words split per line after the lines are spread (exactly the whole-text split);
+    # ids only need to be unique, and the file is written once
+    words = driver.doc_words(spark, sf_dir, F.col("lang"))
     _write(words.select(
-        (F.col("doc_id") * 1_000_000 + F.col("pos")).alias("alternate_name_id"), F.col("doc_id").alias("geoname_id"),
-        "lang", "word", *_blank(6)), path("alt_names"))
+        F.monotonically_increasing_id().alias("alternate_name_id"), "geoname_id", "iso_language",
+        "alternate_name", *_blank(6)), path("alt_names"))
 
     admins = driver.customer_admins(spark, sf_dir)
     for level, key in (("admin1", "admin1"), ("admin2", "admin2")):
