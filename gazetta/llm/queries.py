@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from gazetta.llm import quality_rules
+from gazetta.llm import quality_rules, substring_dedup
 
 QUERIES = {
+    "op4_substring_dedup": substring_dedup.op4_substring_dedup,
     "op9_quality_rules": quality_rules.op9_quality_rules,
 }
 
 ORACLE = {
+    "op4_substring_dedup": substring_dedup.ORACLE,
     "op9_quality_rules": quality_rules.ORACLE,
 }
