@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from gazetta.llm import quality_rules, substring_dedup
+from gazetta.llm import minhash_dedup, quality_rules, substring_dedup
 
 QUERIES = {
+    "op10_minhash_dedup": minhash_dedup.op10_minhash_dedup,
     "op4_substring_dedup": substring_dedup.op4_substring_dedup,
     "op9_quality_rules": quality_rules.op9_quality_rules,
 }

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +24,27 @@ BATCH_BYTES = 4 << 20
 
 # -- tables ---------------------------------------------------------------
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once an application
+    (they need not have the repository on their path)."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    target = os.path.join(tempfile.mkdtemp(prefix="gazetta-code-"), "gazetta.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, files in os.walk(os.path.join(root, "gazetta")):
+            for f in files:
+                if f.endswith(".py"):
+                    path = os.path.join(folder, f)
+                    z.write(path, os.path.relpath(path, root))
+    context.addPyFile(target)
+    _shipped.add(context.applicationId)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder under the cluster's shared ``spark.checkpoint.dir``."""
     return f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
@@ -28,12 +53,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read that copy:
     later branches and retries after a lost executor never recompute it."""
+    ship(df.sparkSession)
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
