@@ -29,8 +29,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gazetta.llm.pieces import TextIds, worker_memory
-from gazetta.llm.util import read_table, ship, text_slices
+from gazetta.llm.pieces import TextIds, by_match, worker_memory
+from gazetta.llm.util import read_table, ship, text_bytes, text_slices
 
 LONG = 48
 #: Words and tokens that one query of a worker's database handles.
@@ -90,7 +90,7 @@ class _Bpe:
         # Bytes as Latin-1 characters: text functions then work byte by byte.
         self._table("vocab", {"id": pa.array(list(self.ranks.values()), pa.int32()),
                               "token": pa.array([t.decode("latin-1") for t in self.ranks], pa.string())})
-        self.texts = TextIds(self._matches)
+        self.texts = TextIds(by_match(self._matches), most=300_000)
 
     def _table(self, name: str, columns: dict):
         self.con.register("given", pa.table(columns))
@@ -162,8 +162,7 @@ def encode(df: DataFrame, path: str, text_col: str = "text", out: str = "ids") -
     def run(batches):
         for batch in batches:
             for part in text_slices(batch, text_col):
-                texts = [t or "" for t in part.column(len(others)).to_pylist()]
-                ids, size = _bpe(data.value).texts.of(texts)
+                ids, size = _bpe(data.value).texts.of(*text_bytes(part.column(len(others))))
                 offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(i) for i in range(len(others))] + [pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))],

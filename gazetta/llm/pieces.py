@@ -8,7 +8,6 @@ of every distinct match in it, are worked out once and kept in the worker.
 
 from __future__ import annotations
 
-import re
 import sys
 from collections.abc import Callable
 from types import SimpleNamespace
@@ -16,10 +15,15 @@ from types import SimpleNamespace
 import numpy as np
 import regex
 
+from gazetta.llm.util import hash_ranges, ranges
+
 #: The pattern that splits text before the merges (a fixed value of the public vocabularies).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Before a space and a printable ASCII or Latin character: always between two matches.
-_CUT = re.compile("(?= [!-~À-ɏ])")
+#: First bytes of printable ASCII and of U+00C0 to U+027F: before a space and one
+#: of these there is always an end between two matches.
+_VISIBLE = np.zeros(256, bool)
+_VISIBLE[0x21:0x7F] = True
+_VISIBLE[0xC3:0xCA] = True
 _MATCH = regex.compile(PATTERN)
 
 
@@ -29,24 +33,28 @@ def worker_memory(key) -> SimpleNamespace:
     return kept.by_key.setdefault(key, SimpleNamespace())
 
 
-class Memory:
-    """Ids of strings; ``encode`` gives (all ids, ids per string) of new ones.
-    Forgets everything when more than ``most`` strings are held."""
+def cuts(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start of each cut, cuts per text)."""
+    n = len(raw)
+    mark = np.zeros(n + 1, bool)
+    if n:
+        mark[: n - 1] = (raw[:-1] == 32) & _VISIBLE[raw[1:]]
+        inner = offsets[(offsets > 0) & (offsets < n)]
+        mark[inner - 1] = False  # its visible character is in the next text
+        mark[offsets[:-1][np.diff(offsets) > 0]] = True
+    start = np.flatnonzero(mark)
+    return start, np.diff(np.searchsorted(start, offsets))
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int):
-        self.encode, self.most = encode, most
-        self.clear()
-
-    def clear(self):
-        self.code: dict[str, int] = {}
-        self.ids = np.zeros(1 << 16, np.int32)
-        self.start = np.zeros(1 << 14, np.int64)
-        self.size = np.zeros(1 << 14, np.int64)
-        self.used = 0
-
-    def _add(self, new: list[str]):
-        ids, size = self.encode(new)
-        n, m = len(self.code), len(new)
+
+class _Pool:
+    """Id lists by code, in growing arrays."""
+
+    def __init__(self):
+        self.ids, self.start, self.size = np.zeros(1 << 16, np.int32), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.used = self.n = 0
+
+    def add(self, ids: np.ndarray, size: np.ndarray):
+        n, m = self.n, len(size)
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while n + m > len(self.start):
@@ -55,45 +63,69 @@ class Memory:
         self.ids[self.used: self.used + len(ids)] = ids
         self.size[n: n + m] = size
         self.start[n: n + m] = self.used + np.cumsum(size) - size
-        self.used += len(ids)
-        self.code.update(zip(new, range(n, n + m)))
-
-    def lookup(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all strings in order, ids per string)."""
-        code = self.code
-        new = [s for s in dict.fromkeys(strings) if s not in code]
-        if len(code) + len(new) > self.most:
-            self.clear()
-            code = self.code
-            new = list(dict.fromkeys(strings))
-        if new:
-            self._add(new)
-        at = np.fromiter(map(code.__getitem__, strings), np.int64, len(strings))
-        size = self.size[at]
-        shift = np.repeat(self.start[at] - (np.cumsum(size) - size), size)
-        return self.ids[shift + np.arange(len(shift))], size
-
-
-def _per_group(sizes: np.ndarray, groups: list[int]) -> np.ndarray:
+        self.used, self.n = self.used + len(ids), n + m
+
+    def get(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        size = self.size[codes]
+        return self.ids[ranges(self.start[codes], size)], size
+
+
+class Memory:
+    """Ids of strings; ``encode`` gives (all ids, ids per string) of new ones.
+    Forgets everything when more than ``most`` strings are held."""
+
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int):
+        self.encode, self.most = encode, most
+        self.code, self.pool = {}, _Pool()
+
+    def of_new(self, keys: list, string_at: Callable[[int], str]) -> np.ndarray:
+        """Codes of distinct keys; ``string_at(i)`` is the string of the i-th."""
+        new = [i for i, k in enumerate(keys) if k not in self.code]
+        if len(self.code) + len(new) > self.most:
+            self.code, self.pool, new = {}, _Pool(), range(len(keys))
+        if len(new):
+            ids, size = self.encode([string_at(i) for i in new])
+            self.code.update(zip((keys[i] for i in new), range(self.pool.n, self.pool.n + len(new))))
+            self.pool.add(ids, size)
+        return np.fromiter(map(self.code.__getitem__, keys), np.int64, len(keys))
+
+
+def by_match(encode_matches: Callable, most: int = 600_000) -> Callable:
+    """An ``encode`` for ``TextIds`` that splits cuts by the pattern and
+    remembers the ids of matches."""
+    memory = Memory(encode_matches, most)
+
+    def encode(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [_MATCH.findall(c) for c in new]
+        flat = [m for f in found for m in f]
+        keys = list(dict.fromkeys(flat))
+        codes = memory.of_new(keys, keys.__getitem__)
+        place = dict(zip(keys, codes.tolist()))
+        ids, size = memory.pool.get(np.fromiter(map(place.__getitem__, flat), np.int64, len(flat)))
+        return ids, per_group(size, np.fromiter(map(len, found), np.int64, len(found)))
+
+    return encode
+
+
+def per_group(sizes: np.ndarray, groups: np.ndarray) -> np.ndarray:
+    """Sums of ``sizes`` over consecutive groups of so many entries."""
     total = np.concatenate([[0], np.cumsum(sizes)])
     ends = np.cumsum(groups)
     return total[ends] - total[ends - groups]
 
 
 class TextIds:
-    """Ids of texts, by way of cuts and pattern matches."""
-
-    def __init__(self, encode_matches, most_cuts: int = 300_000, most_matches: int = 600_000):
-        self.matches = Memory(encode_matches, most_matches)
-        self.cuts = Memory(self._cuts, most_cuts)
+    """Ids of texts; ``encode`` gives (all ids, ids per cut) of new cuts."""
 
-    def _cuts(self, cuts: list[str]):
-        found = [_MATCH.findall(c) for c in cuts]
-        ids, size = self.matches.lookup([m for f in found for m in f])
-        return ids, _per_group(size, np.array([len(f) for f in found], np.int64))
+    def __init__(self, encode: Callable, most: int = 600_000):
+        self.memory = Memory(encode, most)
 
-    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def of(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in order, ids per text)."""
-        cuts = [_CUT.split(t) if t else [] for t in texts]
-        ids, size = self.cuts.lookup([c for part in cuts for c in part])
-        return ids, _per_group(size, np.array([len(c) for c in cuts], np.int64))
+        start, per_text = cuts(raw, offsets)
+        size = np.diff(np.concatenate([start, [len(raw)]]))
+        keys, first, where = np.unique(hash_ranges(raw, start, size), return_index=True, return_inverse=True)
+        lo, hi, data = start[first].tolist(), (start + size)[first].tolist(), raw.tobytes()
+        codes = self.memory.of_new(keys.tolist(), lambda i: data[lo[i]: hi[i]].decode())
+        ids, sizes = self.memory.pool.get(codes[where])
+        return ids, per_group(sizes, per_text)
