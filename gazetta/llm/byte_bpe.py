@@ -30,31 +30,35 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gazetta.llm.pieces import TextIds, by_match, worker_memory
-from gazetta.llm.util import read_table, ship, text_bytes, text_slices
+from gazetta.llm.util import ranges, read_table, ship, text_bytes, text_slices
 
 LONG = 48
 #: Words and tokens that one query of a worker's database handles.
 BLOCK_BYTES, BLOCK_TOKENS = 400_000, 1_000_000
 
-_NEXT = """(SELECT *, lead(id) OVER (PARTITION BY w ORDER BY pos) AS nxt FROM step)"""
+_LAST = """SELECT w, id FROM (SELECT step.*, last FROM step JOIN (SELECT w, max(round) AS last FROM step GROUP BY w) USING (w))
+WHERE round = last ORDER BY w, pos"""
+# Positions stay dense, so the next token of a word is the one at pos + 1.
 ENCODE = f"""
 WITH RECURSIVE step(w, pos, id, round) AS (
   SELECT w, pos, id, 0 FROM start
   UNION ALL
-  SELECT w, pos, CASE WHEN key = best THEN (best >> 32)::INTEGER ELSE id END, round + 1
-  FROM (SELECT *, min(key) OVER (PARTITION BY w) AS best, lag(key) OVER (PARTITION BY w ORDER BY pos) AS before
-        FROM (SELECT s.*, (m.rank::BIGINT << 32) | s.pos AS key
-              FROM {_NEXT} AS s LEFT JOIN merges AS m ON m.a = s.id AND m.b = s.nxt))
-  WHERE best IS NOT NULL AND before IS DISTINCT FROM best
+  (WITH least AS (SELECT a.w, min((m.rank::BIGINT << 32) | a.pos) AS best
+                  FROM step AS a JOIN step AS b ON b.w = a.w AND b.pos = a.pos + 1
+                  JOIN merges AS m ON m.a = a.id AND m.b = b.id GROUP BY a.w),
+        pair AS (SELECT w, (best & 4294967295)::INTEGER AS spot, (best >> 32)::INTEGER AS merged FROM least)
+   SELECT s.w, CASE WHEN s.pos > spot THEN s.pos - 1 ELSE s.pos END, CASE WHEN s.pos = spot THEN merged ELSE s.id END, round + 1
+   FROM step AS s JOIN pair ON pair.w = s.w WHERE s.pos <> spot + 1)
 )
-SELECT w, id FROM (SELECT *, max(round) OVER (PARTITION BY w) AS last FROM step) WHERE round = last ORDER BY w, pos
+{_LAST}
 """
+_NEXT = """(SELECT *, lead(id) OVER (PARTITION BY w ORDER BY pos) AS nxt FROM step)"""
 # A run of overlapping occurrences (aaaa) contracts at its 1st, 3rd, ... place.
 ENCODE_LONG = f"""
 WITH RECURSIVE step(w, pos, id, round) AS (
   SELECT w, pos, id, 0 FROM start
   UNION ALL
-  SELECT w, n, CASE WHEN here THEN best ELSE id END, round + 1
+  SELECT w, n::INTEGER, CASE WHEN here THEN best ELSE id END, round + 1
   FROM (SELECT *, coalesce(lag(here) OVER (PARTITION BY w ORDER BY n), false) AS gone
         FROM (SELECT *, hit AND (row_number() OVER (PARTITION BY w, hit, island ORDER BY n)) % 2 = 1 AS here
               FROM (SELECT *, n - row_number() OVER (PARTITION BY w, hit ORDER BY n) AS island
@@ -65,7 +69,7 @@ WITH RECURSIVE step(w, pos, id, round) AS (
                           WHERE best IS NOT NULL))))
   WHERE NOT gone
 )
-SELECT w, id FROM (SELECT *, max(round) OVER (PARTITION BY w) AS last FROM step) WHERE round = last ORDER BY w, pos
+{_LAST}
 """
 DECODE = "SELECT doc, string_agg(token, '' ORDER BY pos) AS text FROM tokens JOIN vocab ON vocab.id = tokens.id GROUP BY doc ORDER BY doc"
 
@@ -90,43 +94,42 @@ class _Bpe:
         # Bytes as Latin-1 characters: text functions then work byte by byte.
         self._table("vocab", {"id": pa.array(list(self.ranks.values()), pa.int32()),
                               "token": pa.array([t.decode("latin-1") for t in self.ranks], pa.string())})
-        self.texts = TextIds(by_match(self._matches), most=300_000)
+        self.texts = TextIds(by_match(self._matches))
 
     def _table(self, name: str, columns: dict):
         self.con.register("given", pa.table(columns))
         self.con.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM given")
         self.con.unregister("given")
 
-    def _contract(self, words: list[bytes], sql: str) -> list[np.ndarray]:
+    def _contract(self, words: list[bytes], sql: str) -> tuple[np.ndarray, np.ndarray]:
         size = np.array([len(w) for w in words])
         first = np.cumsum(size) - size
         raw = np.frombuffer(b"".join(words), np.uint8)
         self._table("start", {"w": pa.array(np.repeat(np.arange(len(words)), size), pa.int32()),
-                              "pos": pa.array(np.arange(len(raw)) - np.repeat(first, size), pa.int64()),
+                              "pos": pa.array(np.arange(len(raw)) - np.repeat(first, size), pa.int32()),
                               "id": pa.array(self.byte[raw], pa.int32())})
         out = self.con.sql(sql).fetchnumpy()
-        return np.split(out["id"].astype(np.int32), np.searchsorted(out["w"], np.arange(1, len(words))))
+        return out["id"].astype(np.int32), np.bincount(out["w"], minlength=len(words))
 
     def _matches(self, matches: list[str]) -> tuple[np.ndarray, np.ndarray]:
         words = [m.encode() for m in matches]
-        out: list = [None] * len(words)
-        rest: dict[str, list[int]] = {ENCODE: [], ENCODE_LONG: []}
-        for i, w in enumerate(words):
-            if (r := self.ranks.get(w)) is not None:
-                out[i] = np.array([r], np.int32)
-            else:
-                rest[ENCODE if len(w) <= LONG else ENCODE_LONG].append(i)
-        for sql, at in rest.items():
-            lo = 0
-            while lo < len(at):
-                hi, total = lo, 0
-                while hi < len(at) and (hi == lo or total < BLOCK_BYTES):
-                    total += len(words[at[hi]])
-                    hi += 1
-                for i, ids in zip(at[lo:hi], self._contract([words[i] for i in at[lo:hi]], sql)):
-                    out[i] = ids
-                lo = hi
-        return np.concatenate(out) if out else np.zeros(0, np.int32), np.array([len(x) for x in out], np.int64)
+        whole = np.array([self.ranks.get(w, -1) for w in words], np.int32)
+        order = [np.flatnonzero(whole >= 0)]
+        parts, sizes = [whole[order[0]]], [np.ones(len(order[0]), np.int64)]
+        length = np.array([len(w) for w in words])
+        for sql, some in ((ENCODE, length <= LONG), (ENCODE_LONG, length > LONG)):
+            at = np.flatnonzero(some & (whole < 0))
+            block = np.cumsum(length[at]) // BLOCK_BYTES
+            for i in np.unique(block):
+                here = at[block == i]
+                ids, size = self._contract([words[j] for j in here.tolist()], sql)
+                order.append(here)
+                parts.append(ids)
+                sizes.append(size)
+        order, ids, size = np.concatenate(order), np.concatenate(parts), np.concatenate(sizes)
+        start = np.cumsum(size) - size
+        back = np.argsort(order)
+        return ids[ranges(start[back], size[back])], size[back]
 
     def decode(self, ids: np.ndarray, size: np.ndarray) -> list[bytes]:
         doc = np.repeat(np.arange(len(size)), size)

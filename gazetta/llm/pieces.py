@@ -99,9 +99,8 @@ def by_match(encode_matches: Callable, most: int = 600_000) -> Callable:
         found = [_MATCH.findall(c) for c in new]
         flat = [m for f in found for m in f]
         keys = list(dict.fromkeys(flat))
-        codes = memory.of_new(keys, keys.__getitem__)
-        place = dict(zip(keys, codes.tolist()))
-        ids, size = memory.pool.get(np.fromiter(map(place.__getitem__, flat), np.int64, len(flat)))
+        memory.of_new(keys, keys.__getitem__)
+        ids, size = memory.pool.get(np.fromiter(map(memory.code.__getitem__, flat), np.int64, len(flat)))
         return ids, per_group(size, np.fromiter(map(len, found), np.int64, len(found)))
 
     return encode
