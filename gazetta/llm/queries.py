@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from gazetta.llm import byte_bpe, minhash_dedup, quality_rules, substring_dedup, token_files
+from gazetta.llm import byte_bpe, minhash_dedup, quality_rules, substring_dedup, token_files, warc
 
 QUERIES = {
+    "op3_warc": warc.op3_warc,
     "op8_token_files": token_files.op8_token_files,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
     "op10_minhash_dedup": minhash_dedup.op10_minhash_dedup,
@@ -13,6 +14,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op3_warc": warc.ORACLE,
     "op4_substring_dedup": substring_dedup.ORACLE,
     "op9_quality_rules": quality_rules.ORACLE,
 }
