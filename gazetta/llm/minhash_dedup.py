@@ -4,12 +4,16 @@
    group at once (by a 128-bit fingerprint); one representative goes on.
 2. ``BANDS x ROWS`` universal hash minima a set; equal bands make buckets.
    Two sets of similarity 0.8 share no bucket with probability 3e-6.
-3. Each bucket tests its members against pivots, in rounds of 1, 8, 64, ...
-   pivots, as long as it holds members of different components: a bucket of
-   thousands of copies is done after the first round, without all its pairs, and
-   a bucket of unrelated texts still ends with every pair tested. No cap.
-4. A tested pair is first judged by its signatures (pairs five standard errors
-   below the threshold go), then by its full sets, computed from whole texts.
+3. Each bucket tests its members against one of them, the one that shares most
+   buckets (a group's original rather than one of its variants). A pair is first
+   judged by its signatures (pairs five standard errors below the threshold
+   go), then by its full sets, computed from whole texts.
+4. Buckets that then still hold members of different components are settled by
+   full sets: their members, by that middle member, are dealt into blocks of
+   bounded size, and every two blocks meet in one task, which tests the pairs
+   of different components. Blocks of the largest component do not meet each
+   other. No pair that shares a bucket and could join two components goes
+   untested; there is no cap, and no pairs are written out.
 5. Links become components by alternating large-star and small-star.
 
 Defined results: null or empty text has an empty set and is linked with
@@ -32,6 +36,8 @@ from gazetta.llm.components import components
 from gazetta.llm.util import Words, fresh, lower_ascii, materialise, mix, read_table, text_bytes, text_slices, window_hashes
 
 BANDS, ROWS = 32, 5
+#: Members and shingles of a block of sets (a task holds two blocks).
+BLOCK_ROWS, BLOCK_SHINGLES = 1024, 1 << 17
 _RNG = np.random.default_rng(20240229)
 _A = _RNG.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RNG.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
@@ -96,29 +102,102 @@ def _alike(pairs: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
     return both.select("u", "v", "sig_u", "sig_v").mapInArrow(run, "u long, v long")
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, threshold: float) -> DataFrame:
-    """The pairs whose full sets have |A & B| >= threshold * |A | B|.
+def _candidate_sets(docs: DataFrame, text_col: str, k: int) -> DataFrame:
+    """(rid, n, values) of rows (rid, text); values: the sorted set as bytes."""
 
-    ``u`` (the pivot, held by many pairs) is joined last, so a task sees a
-    pivot's rows together and computes its set once."""
+    def run(batches):
+        for batch in batches:
+            for part in text_slices(batch, "text"):
+                sets = shingle_sets(*text_bytes(part.column(1)), k)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())],
+                    names=["rid", "n", "values"])
+
+    return docs.select("rid", F.col(text_col).alias("text")).mapInArrow(run, "rid long, n long, values binary")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The pairs whose full sets have |A & B| >= threshold * |A | B|."""
     percent = round(100 * threshold)
 
     def run(batches):
-        known, of = None, None
         for batch in batches:
-            for part in text_slices(batch, "text_v", 1 << 20):
-                keep = []
-                sets = shingle_sets(*text_bytes(part.column(3)), k)
-                for u, cell, mine in zip(part.column(0).to_pylist(), part.column(2), sets):
-                    if u != known:
-                        known, of = u, shingle_sets(*text_bytes(pa.array([cell.as_py()], pa.string())), k)[0]
-                    common = len(np.intersect1d(of, mine, assume_unique=True))
-                    keep.append(100 * common >= percent * (len(of) + len(mine) - common))
-                yield part.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+            keep = []
+            for a, b in zip(batch.column(2), batch.column(3)):
+                a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
+                at = np.minimum(np.searchsorted(a, b), len(a) - 1)
+                common = int((a[at] == b).sum())
+                keep.append(100 * common >= percent * (len(a) + len(b) - common))
+            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+    both = (pairs.join(sets.select(F.col("rid").alias("v"), F.col("values").alias("values_v")), "v")
+            .join(sets.select(F.col("rid").alias("u"), F.col("values").alias("values_u")), "u"))
+    return both.select("u", "v", "values_u", "values_v").mapInArrow(run, "u long, v long")
+
+
+def _incidence(cells: list[np.ndarray], vocabulary: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(cells), len(vocabulary)), np.float32)
+    for i, x in enumerate(cells):
+        at = np.minimum(np.searchsorted(vocabulary, x), len(vocabulary) - 1)
+        out[i, at[vocabulary[at] == x]] = 1
+    return out
 
-    both = (pairs.join(texts.select(F.col("rid").alias("v"), F.col("text").alias("text_v")), "v")
-            .join(texts.select(F.col("rid").alias("u"), F.col("text").alias("text_u")), "u"))
-    return both.select("u", "v", "text_u", "text_v").mapInArrow(run, "u long, v long")
+
+def _meet(percent: int):
+    """Links between two blocks of sets (or within one), by products of their
+    incidence matrices, some columns at a time."""
+
+    def run(table: pa.Table) -> pa.Table:
+        block = np.asarray(table["block"])
+        rid, comp, n = (np.asarray(table[c]) for c in ("rid", "comp", "n"))
+        cells = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["values"].combine_chunks()]
+        left = np.flatnonzero(block == block.min())
+        right = np.flatnonzero(block == block.max())
+        a, b = [cells[i] for i in left], [cells[i] for i in right]
+        vocabulary = np.intersect1d(np.concatenate(a), np.concatenate(b))
+        common = np.zeros((len(a), len(b)), np.float32)
+        step = max(256, (4 << 20) // (len(a) + len(b)))
+        for at in range(0, len(vocabulary), step):
+            part = vocabulary[at: at + step]
+            common += _incidence(a, part) @ _incidence(b, part).T
+        common = common.astype(np.int64)
+        union = n[left][:, None] + n[right][None, :] - common
+        i, j = np.nonzero((100 * common >= percent * union) & (comp[left][:, None] != comp[right][None, :]))
+        u, v = rid[left][i], rid[right][j]
+        return pa.table({"u": pa.array(np.minimum(u, v), pa.int64()), "v": pa.array(np.maximum(u, v), pa.int64())})
+
+    return run
+
+
+def _settled(members: DataFrame, comps: DataFrame, sets: DataFrame, threshold: float) -> DataFrame | None:
+    """The links that join different components within buckets; None if no
+    bucket of more than two members holds different components."""
+    now = members.where("m > 2").join(comps, members.rid == comps.node, "left").select(
+        "key", "rid", "center", F.coalesce("root", "rid").alias("comp"))
+    unsettled = (now.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("key"))
+    now = materialise(now.join(unsettled, "key", "left_semi").select("center", "rid", "comp").distinct(), "open")
+    if now.isEmpty():
+        return None
+    now = now.join(sets, "rid")
+    sizes = now.groupBy("center", "comp").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"))
+    main = sizes.groupBy("center").agg(F.max_by("comp", F.struct("members", "comp")).alias("main"))
+    sides = (sizes.join(main, "center").groupBy("center", (F.col("comp") == F.col("main")).alias("in_main"), "main")
+             .agg(F.sum("members").alias("members"), F.sum("shingles").alias("shingles")))
+    deal = lambda side: F.max(F.when(side, F.greatest(
+        F.ceil(F.col("members") / BLOCK_ROWS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)))).alias
+    blocks = materialise(sides.groupBy("center", "main").agg(deal(F.col("in_main"))("n_main"), deal(~F.col("in_main"))("n_rest"))
+                         .na.fill(0, ["n_main", "n_rest"]), "blocks")
+    dealt = now.join(blocks, "center")
+    # Rest blocks are numbered 0 .. n_rest-1, those of the main component follow.
+    draw = F.xxhash64("rid", "center")
+    rest = F.col("comp") != F.col("main")
+    block = F.when(rest, F.pmod(draw, F.col("n_rest"))).otherwise(F.col("n_rest") + F.pmod(draw, F.greatest(F.col("n_main"), F.lit(1))))
+    dealt = dealt.withColumn("block", block)
+    others = F.when(rest, F.sequence(F.lit(0).cast("long"), F.col("n_rest") + F.col("n_main") - 1)).otherwise(
+        F.sequence(F.lit(0).cast("long"), F.col("n_rest") - 1))
+    dealt = dealt.where("n_rest > 0").select("center", "rid", "comp", "n", "values", "block", F.explode(others).alias("other"))
+    tasks = dealt.groupBy("center", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    return tasks.applyInArrow(_meet(round(100 * threshold)), "u long, v long")
 
 
 def _links(docs: DataFrame, sets: DataFrame, reps: DataFrame, text_col: str, k: int, threshold: float) -> DataFrame:
@@ -127,40 +206,22 @@ def _links(docs: DataFrame, sets: DataFrame, reps: DataFrame, text_col: str, k:
     keys = F.array(*(F.xxhash64(F.substring("sig", 1 + size * i, size), F.lit(i)) for i in range(BANDS)))
     sigs = materialise(sets.join(reps, sets.rid == reps.rep, "left_semi").select("rid", "sig"), "signatures")
     rows = sigs.select("rid", F.explode(keys).alias("key"))
-    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("rid").alias("lo")).where("m > 1")
+    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     members = materialise(rows.join(shared, "key"), "buckets")
-    in_pairs = members.select("rid").distinct()
-    sigs = materialise(sigs.join(in_pairs, "rid", "left_semi"), "signatures")
-    texts = materialise(docs.join(in_pairs, "rid", "left_semi").select("rid", F.col(text_col).alias("text")), "texts")
+    degrees = materialise(members.groupBy("rid").agg(F.sum("m").alias("degree")), "degrees")
+    sigs = materialise(sigs.join(degrees, "rid", "left_semi"), "signatures")
+    full = materialise(_candidate_sets(docs.join(degrees, "rid", "left_semi"), text_col, k), "candidates")
+
+    best = F.max(F.struct("degree", (-F.col("rid")).alias("r")))
+    center = members.join(degrees, "rid").groupBy("key").agg((-best["r"]).alias("center"))
+    members = materialise(members.join(center, "key"), "members")
+    pairs = members.where("rid <> center").select(F.least("center", "rid").alias("u"), F.greatest("center", "rid").alias("v")).distinct()
     least = threshold - 5 * math.sqrt(threshold * (1 - threshold) / len(_A))
-
-    pairs = members.where("rid <> lo").select(F.col("lo").alias("u"), F.col("rid").alias("v")).distinct()
-    tested, links, pivots = None, None, 1
-    while True:
-        if tested is not None:
-            pairs = pairs.join(tested, ["u", "v"], "left_anti")
-        pairs = materialise(pairs, "pairs")
-        tested = pairs if tested is None else tested.union(pairs)
-        near = materialise(_alike(pairs, sigs, least), "alike")
-        found = materialise(_confirmed(near, texts, k, threshold), "links")
-        links = found if links is None else links.union(found)
-        comps = components(links)
-        # Buckets that still hold different components, and have pairs untested.
-        now = members.join(comps, members.rid == comps.node, "left").select(
-            "key", "rid", "m", "lo", F.coalesce("root", "rid").alias("comp"))
-        open_keys = (now.where(F.col("m") > pivots + 1).groupBy("key")
-                     .agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("key"))
-        now = materialise(now.join(open_keys, "key", "left_semi"), "open")
-        if now.isEmpty():
-            return comps
-        pivots *= 8
-        chosen = (F.col("rid") == F.col("lo")) | (F.pmod(F.xxhash64("key", "rid"), F.col("m")) < pivots)
-        some = now.where(chosen).select("key", F.col("rid").alias("p"), F.col("comp").alias("p_comp"))
-        pairs = (now.join(some, "key").where("comp <> p_comp")
-                 .select(F.least("p", "rid").alias("u"), F.greatest("p", "rid").alias("v")).distinct())
-        if pivots >= now.agg(F.max("m")).first()[0]:
-            # Every member of every open bucket was a pivot: nothing is left after this round.
-            members = members.where("false")
+    near = materialise(_alike(pairs, sigs, least), "alike")
+    links = materialise(_confirmed(near, full, threshold), "links")
+    comps = components(links)
+    more = _settled(members, comps, full, threshold)
+    return comps if more is None else components(links.union(materialise(more, "links")))
 
 
 def near_duplicates(
