@@ -34,7 +34,7 @@ from gazetta.llm.util import ranges, read_table, ship, text_bytes, text_slices
 
 LONG = 48
 #: Words and tokens that one query of a worker's database handles.
-BLOCK_BYTES, BLOCK_TOKENS = 400_000, 1_000_000
+BLOCK_BYTES, BLOCK_TOKENS = 250_000, 500_000
 
 _LAST = """SELECT w, id FROM (SELECT step.*, last FROM step JOIN (SELECT w, max(round) AS last FROM step GROUP BY w) USING (w))
 WHERE round = last ORDER BY w, pos"""
@@ -88,12 +88,14 @@ class _Bpe:
         pairs = [(a, b, r) for t, r in self.ranks.items() for i in range(1, len(t))
                  if (a := self.ranks.get(t[:i])) is not None and (b := self.ranks.get(t[i:])) is not None]
         self.byte = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
-        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
+        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "200MB", "temp_directory": ""})
         a, b, r = (pa.array(x, pa.int32()) for x in zip(*pairs)) if pairs else (pa.array([], pa.int32()),) * 3
         self._table("merges", {"a": a, "b": b, "rank": r})
         # Bytes as Latin-1 characters: text functions then work byte by byte.
         self._table("vocab", {"id": pa.array(list(self.ranks.values()), pa.int32()),
                               "token": pa.array([t.decode("latin-1") for t in self.ranks], pa.string())})
+        self.known = np.zeros(max(self.ranks.values()) + 1, bool)
+        self.known[list(self.ranks.values())] = True
         self.texts = TextIds(by_match(self._matches))
 
     def _table(self, name: str, columns: dict):
@@ -105,9 +107,9 @@ class _Bpe:
         size = np.array([len(w) for w in words])
         first = np.cumsum(size) - size
         raw = np.frombuffer(b"".join(words), np.uint8)
-        self._table("start", {"w": pa.array(np.repeat(np.arange(len(words)), size), pa.int32()),
+        self.con.register("start", pa.table({"w": pa.array(np.repeat(np.arange(len(words)), size), pa.int32()),
                               "pos": pa.array(np.arange(len(raw)) - np.repeat(first, size), pa.int32()),
-                              "id": pa.array(self.byte[raw], pa.int32())})
+                              "id": pa.array(self.byte[raw], pa.int32())}))
         out = self.con.sql(sql).fetchnumpy()
         return out["id"].astype(np.int32), np.bincount(out["w"], minlength=len(words))
 
@@ -132,11 +134,10 @@ class _Bpe:
         return ids[ranges(start[back], size[back])], size[back]
 
     def decode(self, ids: np.ndarray, size: np.ndarray) -> list[bytes]:
-        doc = np.repeat(np.arange(len(size)), size)
-        self._table("tokens", {"doc": pa.array(doc, pa.int32()), "pos": pa.array(np.arange(len(ids)), pa.int64()),
-                               "id": pa.array(ids, pa.int32())})
-        if self.con.sql("SELECT 1 FROM tokens ANTI JOIN vocab ON vocab.id = tokens.id LIMIT 1").fetchall():
+        if len(ids) and not (0 <= ids.min() and ids.max() < len(self.known) and self.known[ids].all()):
             raise ValueError("token id outside the vocabulary")
+        self.con.register("tokens", pa.table({"doc": pa.array(np.repeat(np.arange(len(size)), size), pa.int32()),
+                                              "pos": pa.array(np.arange(len(ids)), pa.int32()), "id": pa.array(ids, pa.int32())}))
         out = [b""] * len(size)
         for d, t in self.con.sql(DECODE).fetchall():
             out[d] = t.encode("latin-1")

@@ -2,7 +2,7 @@
 
 Byte-level tokenizers split a text by a pattern and encode each match alone. A
 match never reaches over the start of a space that a visible character
-follows, so texts are cut there first, and the ids of every distinct cut, and
+follows (nor over some other places), so texts are cut there first, and the ids of every distinct cut, and
 of every distinct match in it, are worked out once and kept in the worker.
 """
 
@@ -24,6 +24,14 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 _VISIBLE = np.zeros(256, bool)
 _VISIBLE[0x21:0x7F] = True
 _VISIBLE[0xC3:0xCA] = True
+#: Between an ASCII letter and ASCII punctuation, too, and between punctuation
+#: other than an apostrophe (which may begin 's, 't, ...) and a letter.
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_MARK = _VISIBLE & ~_LETTER
+_MARK[[*range(48, 58), *range(128, 256)]] = False
+_BEFORE_LETTER = _MARK.copy()
+_BEFORE_LETTER[ord("'")] = False
 _MATCH = regex.compile(PATTERN)
 
 
@@ -38,9 +46,11 @@ def cuts(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(raw)
     mark = np.zeros(n + 1, bool)
     if n:
-        mark[: n - 1] = (raw[:-1] == 32) & _VISIBLE[raw[1:]]
+        letter, a, b = _LETTER[raw], raw[:-1], raw[1:]
+        mark[: n - 1] = (a == 32) & _VISIBLE[b]
         inner = offsets[(offsets > 0) & (offsets < n)]
         mark[inner - 1] = False  # its visible character is in the next text
+        mark[1:n] |= (letter[:-1] & _MARK[b]) | (_BEFORE_LETTER[a] & letter[1:])
         mark[offsets[:-1][np.diff(offsets) > 0]] = True
     start = np.flatnonzero(mark)
     return start, np.diff(np.searchsorted(start, offsets))
@@ -90,18 +100,17 @@ class Memory:
         return np.fromiter(map(self.code.__getitem__, keys), np.int64, len(keys))
 
 
-def by_match(encode_matches: Callable, most: int = 600_000) -> Callable:
-    """An ``encode`` for ``TextIds`` that splits cuts by the pattern and
-    remembers the ids of matches."""
-    memory = Memory(encode_matches, most)
+def by_match(encode_matches: Callable) -> Callable:
+    """An ``encode`` for ``TextIds`` that splits cuts by the pattern."""
 
     def encode(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [_MATCH.findall(c) for c in new]
         flat = [m for f in found for m in f]
-        keys = list(dict.fromkeys(flat))
-        memory.of_new(keys, keys.__getitem__)
-        ids, size = memory.pool.get(np.fromiter(map(memory.code.__getitem__, flat), np.int64, len(flat)))
-        return ids, per_group(size, np.fromiter(map(len, found), np.int64, len(found)))
+        code = {m: i for i, m in enumerate(dict.fromkeys(flat))}
+        ids, size = encode_matches(list(code))
+        at = np.fromiter(map(code.__getitem__, flat), np.int64, len(flat))
+        start = np.cumsum(size) - size
+        return ids[ranges(start[at], size[at])], per_group(size[at], np.fromiter(map(len, found), np.int64, len(found)))
 
     return encode
 
@@ -116,7 +125,7 @@ def per_group(sizes: np.ndarray, groups: np.ndarray) -> np.ndarray:
 class TextIds:
     """Ids of texts; ``encode`` gives (all ids, ids per cut) of new cuts."""
 
-    def __init__(self, encode: Callable, most: int = 600_000):
+    def __init__(self, encode: Callable, most: int = 500_000):
         self.memory = Memory(encode, most)
 
     def of(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
