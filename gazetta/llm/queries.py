@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from gazetta.llm import byte_bpe, decontaminate, minhash_dedup, quality_rules, substring_dedup, token_files, warc
+from gazetta.llm import byte_bpe, decontaminate, minhash_dedup, pu_quality, quality_rules, substring_dedup, token_files, warc
 
 QUERIES = {
+    "op1_pu_quality": pu_quality.op1_pu_quality,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op3_warc": warc.op3_warc,
     "op8_token_files": token_files.op8_token_files,
