@@ -7,12 +7,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gazetta.llm import quality_rules
+from gazetta.llm import byte_bpe, decontaminate, minhash_dedup, quality_rules, substring_dedup
 from gazetta.llm.util import read_table, scratch_path
 
 #: (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame.
 STAGES = [
     ("quality_rules", quality_rules.stage),
+    ("minhash_dedup", minhash_dedup.stage),
+    ("substring_dedup", substring_dedup.stage),
+    ("decontaminate", decontaminate.stage),
+    ("byte_bpe", byte_bpe.stage),
 ]
 
 #: Not expressible in SQL: the stages from near-duplicate detection on are
