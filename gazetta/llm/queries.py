@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from gazetta.llm import byte_bpe, context_mixing, decontaminate, minhash_dedup, pu_quality, quality_rules, substring_dedup, token_files, warc
+from gazetta.llm import byte_bpe, context_mixing, decontaminate, minhash_dedup, pu_quality, quality_rules, run_index, substring_dedup, token_files, warc
 
 QUERIES = {
+    "op6_run_index": run_index.op6_run_index,
     "op2_context_mixing": context_mixing.op2_context_mixing,
     "op1_pu_quality": pu_quality.op1_pu_quality,
     "op5_decontaminate": decontaminate.op5_decontaminate,
