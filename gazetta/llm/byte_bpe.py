@@ -34,7 +34,7 @@ from gazetta.llm.util import ranges, read_table, ship, text_bytes, text_slices
 
 LONG = 48
 #: Words and tokens that one query of a worker's database handles.
-BLOCK_BYTES, BLOCK_TOKENS = 250_000, 500_000
+BLOCK_BYTES, BLOCK_TOKENS = 250_000, 300_000
 
 _LAST = """SELECT w, id FROM (SELECT step.*, last FROM step JOIN (SELECT w, max(round) AS last FROM step GROUP BY w) USING (w))
 WHERE round = last ORDER BY w, pos"""
@@ -88,7 +88,7 @@ class _Bpe:
         pairs = [(a, b, r) for t, r in self.ranks.items() for i in range(1, len(t))
                  if (a := self.ranks.get(t[:i])) is not None and (b := self.ranks.get(t[i:])) is not None]
         self.byte = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
-        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "200MB", "temp_directory": ""})
+        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "150MB", "temp_directory": ""})
         a, b, r = (pa.array(x, pa.int32()) for x in zip(*pairs)) if pairs else (pa.array([], pa.int32()),) * 3
         self._table("merges", {"a": a, "b": b, "rank": r})
         # Bytes as Latin-1 characters: text functions then work byte by byte.
@@ -134,13 +134,19 @@ class _Bpe:
         return ids[ranges(start[back], size[back])], size[back]
 
     def decode(self, ids: np.ndarray, size: np.ndarray) -> list[bytes]:
+        """The bytes of each text's tokens, ``BLOCK_TOKENS`` or one text at a time."""
         if len(ids) and not (0 <= ids.min() and ids.max() < len(self.known) and self.known[ids].all()):
             raise ValueError("token id outside the vocabulary")
-        self.con.register("tokens", pa.table({"doc": pa.array(np.repeat(np.arange(len(size)), size), pa.int32()),
-                                              "pos": pa.array(np.arange(len(ids)), pa.int32()), "id": pa.array(ids, pa.int32())}))
-        out = [b""] * len(size)
-        for d, t in self.con.sql(DECODE).fetchall():
-            out[d] = t.encode("latin-1")
+        ends, out, lo = np.cumsum(size), [b""] * len(size), 0
+        while lo < len(size):
+            base = int(ends[lo - 1]) if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(ends, base + BLOCK_TOKENS, side="right")))
+            n = int(ends[hi - 1]) - base
+            self.con.register("tokens", pa.table({"doc": pa.array(np.repeat(np.arange(lo, hi), size[lo:hi]), pa.int32()),
+                                                  "pos": pa.array(np.arange(n), pa.int32()), "id": pa.array(ids[base: base + n], pa.int32())}))
+            for d, t in self.con.sql(DECODE).fetchall():
+                out[d] = t.encode("latin-1")
+            lo = hi
         return out
 
 
@@ -157,20 +163,25 @@ def _vocabulary(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(f.read())
 
 
-def encode(df: DataFrame, path: str, text_col: str = "text", out: str = "ids") -> DataFrame:
-    """``df`` with ``text_col`` replaced by its token ids, column ``out`` (array<int>)."""
+def encode(df: DataFrame, path: str, text_col: str = "text", out: str = "ids", decoded: str | None = None) -> DataFrame:
+    """``df`` with ``text_col`` replaced by its token ids, column ``out``
+    (array<int>); with ``decoded``, also a binary column of the bytes that these
+    ids decode to (in the same worker, which then holds one database)."""
     data = _vocabulary(df.sparkSession, path)
     others = [c for c in df.columns if c != text_col]
-    schema = T.StructType([df.schema[c] for c in others] + [T.StructField(out, T.ArrayType(T.IntegerType()))])
+    schema = T.StructType([df.schema[c] for c in others] + [T.StructField(out, T.ArrayType(T.IntegerType()))]
+                          + ([T.StructField(decoded, T.BinaryType())] if decoded else []))
 
     def run(batches):
         for batch in batches:
             for part in text_slices(batch, text_col):
-                ids, size = _bpe(data.value).texts.of(*text_bytes(part.column(len(others))))
+                bpe = _bpe(data.value)
+                ids, size = bpe.texts.of(*text_bytes(part.column(len(others))))
                 offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(i) for i in range(len(others))] + [pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))],
-                    names=[*others, out])
+                columns = [*(part.column(i) for i in range(len(others))), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))]
+                if decoded:
+                    columns.append(pa.array(bpe.decode(ids, size), pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema.fields])
 
     return df.select(*others, text_col).mapInArrow(run, schema)
 
@@ -183,16 +194,9 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded")
 
     def run(batches):
         for batch in batches:
-            ends = np.cumsum(np.asarray(pa.compute.fill_null(pa.compute.list_value_length(batch.column(at)), 0)))
-            lo = 0
-            while lo < batch.num_rows:
-                base = ends[lo - 1] if lo else 0
-                hi = max(lo + 1, int(np.searchsorted(ends, base + BLOCK_TOKENS, side="right")))
-                part = batch.slice(lo, hi - lo)
-                size = np.diff(np.concatenate([[base], ends[lo:hi]]))
-                texts = _bpe(data.value).decode(np.asarray(part.column(at).flatten()), size)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], names=[*batch.schema.names, out])
-                lo = hi
+            size = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(batch.column(at)), 0)).astype(np.int64)
+            texts = _bpe(data.value).decode(np.asarray(batch.column(at).flatten()), size)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], names=[*batch.schema.names, out])
 
     return df.mapInArrow(run, schema)
 
@@ -210,7 +214,7 @@ def _sha_of_ids(c: str) -> Column:
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = production_path()
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = decode(encode(docs, path), path)
+    out = encode(docs, path, decoded="decoded")
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), _sha_of_ids("ids").alias("ids_sha256"),
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
@@ -220,7 +224,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A document whose tokens do not decode to its text raises."""
     path = production_path()
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("sha"))
-    out = decode(encode(rows, path), path)
+    out = encode(rows, path, decoded="decoded")
     same = F.when(F.sha2("decoded", 256) == F.col("sha"), F.size("ids").cast("long")).otherwise(
         F.raise_error(F.lit("tokens do not decode to the text")).cast("long"))
     return out.select("doc_id", same.alias("n_tokens"), "ids")
