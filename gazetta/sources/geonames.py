@@ -1,11 +1,13 @@
 """Readers for the GeoNames tab-separated dumps, and the table sink.
 
-Strictness: the first malformed row must abort the load. Spark's
-``mode=FAILFAST`` only fails on columns it actually parses, and column
-pruning skips the others, so every file is first *landed*: parsed at full
-width and written as Parquet (which forces every column through the parser),
-then read back. The landed copy also cuts the lineage, so later stages never
-re-parse text after a lost executor.
+Strictness: the first malformed row must abort the load. Spark's CSV source
+drops lines of only blanks or tabs before its ``FAILFAST`` mode sees them, so
+lines are read as text (only empty lines are no records) and parsed one by one
+with ``from_csv``. ``FAILFAST`` only fails on columns that are parsed, and
+column pruning skips the others, so every file is first *landed*: parsed at
+full width and written as Parquet (which forces every column through the
+parser), then read back. The landed copy also cuts the lineage, so later stages
+never re-parse text after a lost executor.
 """
 
 from __future__ import annotations
@@ -38,27 +40,71 @@ def read_tsv(
     multi_line: bool = False,
     comment: str | None = None,
 ) -> DataFrame:
-    """Lazy, strict (FAILFAST) tab-separated reader with an explicit schema.
+    """Lazy, strict (FAILFAST) tab-separated reader with an explicit schema
+    (or, with ``schema=None`` and a header, text columns named by the header).
 
-    ``multi_line=True`` lets a quoted field span lines, at the price of one
-    task per file (not splittable); keep it off for the big files.
+    Every non-empty line is a record. ``multi_line=True`` instead lets a quoted
+    field span lines, at the price of one task per file (not splittable), and
+    of lines of only blanks or tabs, which the CSV source then skips; keep it
+    off for the big files.
     """
-    r = (
-        spark.read.option("sep", "\t")
-        .option("header", str(header).lower())
-        .option("mode", "FAILFAST")
-        .option("multiLine", str(multi_line).lower())
-        .option("enforceSchema", "true")
-    )
-    if quoting == QUOTE_NONE:
-        r = r.option("quote", "\u0000")
-    else:
-        r = r.option("quote", '"').option("escape", '"')
+    options = {"sep": "\t", "mode": "FAILFAST", "quote": "\u0000" if quoting == QUOTE_NONE else '"'}
+    if quoting != QUOTE_NONE:
+        options["escape"] = '"'
+    if multi_line:
+        r = spark.read.options(**options, header=str(header).lower(), multiLine="true", enforceSchema="true")
+        if comment:
+            r = r.option("comment", comment)
+        return _checked((r.schema(_text_for_doubles(schema)) if schema is not None else r).csv(path), schema)
+    lines = spark.read.text(path).where(F.col("value") != "")
     if comment:
-        r = r.option("comment", comment)
-    if schema is not None:
-        r = r.schema(schema)
-    return r.csv(path)
+        lines = lines.where(~F.startswith("value", F.lit(comment)))
+    if header:
+        # One header line a file, the same in all of them.
+        first = lines.first()
+        if first is None:
+            raise KeyViolation(f"{path}: no header")
+        lines = lines.where(F.col("value") != F.lit(first["value"]))
+        if schema is None:
+            names = [x.strip('"') if quoting != QUOTE_NONE else x for x in first["value"].split("\t")]
+            schema = T.StructType([T.StructField(x, T.StringType()) for x in names])
+    parsed = _text_for_doubles(schema)
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parsed.fields)
+    number = any(not isinstance(f.dataType, T.StringType) for f in schema.fields)
+    # A line without any character but blanks and tabs parses to no tokens at all.
+    blank = F.length(F.btrim("value", F.lit(" \t"))) == 0
+    tabs = F.length("value") - F.length(F.replace("value", F.lit("\t"), F.lit("")))
+    whole = (tabs == len(schema.fields) - 1) & F.lit(not number)
+    value = F.when(blank & ~whole, F.raise_error(F.concat(F.lit(f"malformed line in {path}: "), "value")).cast("string")).otherwise(F.col("value"))
+    # All fields empty: a row of texts (blanks stay as they are).
+    row = F.when(blank & whole, F.struct(*(
+        F.nullif(F.get(F.split("value", "\t"), F.lit(i)), F.lit("")).alias(f.name) for i, f in enumerate(parsed.fields))).cast(parsed)
+    ).otherwise(F.from_csv(value, ddl, options)) if not number else F.from_csv(value, ddl, options)
+    return _checked(lines.select(row.alias("r")).select("r.*"), schema)
+
+
+# Doubles are parsed here: Java's parser would also take "1.0d" or "0x1p3".
+_DOUBLE = r"^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?|[nN][aA][nN])$"
+
+
+def _text_for_doubles(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.DoubleType) else f.dataType, True) for f in schema.fields])
+
+
+def _checked(df: DataFrame, schema: T.StructType | None) -> DataFrame:
+    """Text columns that the schema calls doubles, as doubles or an error."""
+    if schema is None:
+        return df
+    doubles = {f.name for f in schema.fields if isinstance(f.dataType, T.DoubleType)}
+
+    def column(name: str):
+        c = F.col(f"`{name}`")
+        if name not in doubles:
+            return c
+        bad = F.raise_error(F.concat(F.lit(f"not a number in {name}: "), c)).cast("double")
+        return F.when(c.isNull() | F.rlike(c, F.lit(_DOUBLE)), c.cast("double")).otherwise(bad).alias(name)
+
+    return df.select(*(column(c) for c in df.columns))
 
 
 def land(df: DataFrame, path: str, kind: str) -> DataFrame:
@@ -86,30 +132,32 @@ def land(df: DataFrame, path: str, kind: str) -> DataFrame:
                            for c in landed.columns])
 
 
-def read_lang_codes(spark: SparkSession, path: str, quoting: str = QUOTE_CSV) -> DataFrame:
+def read_lang_codes(spark: SparkSession, path: str, quoting: str = QUOTE_CSV, multi_line: bool = False) -> DataFrame:
     """Language codes file: header row, columns bound by header *name*."""
-    raw = read_tsv(spark, path, None, header=True, quoting=quoting)
+    raw = read_tsv(spark, path, None, header=True, quoting=quoting, multi_line=multi_line)
     missing = [h for h in schemas.LANG_CODE_HEADERS if h not in raw.columns]
     if missing:
         raise KeyViolation(f"{path}: missing columns {missing}")
     return raw.select(*[F.col(f"`{h}`").alias(n) for h, n in schemas.LANG_CODE_HEADERS.items()])
 
 
-def read_alt_names(spark: SparkSession, path: str, quoting: str = QUOTE_CSV) -> DataFrame:
-    return read_tsv(spark, path, schemas.ALT_NAMES, quoting=quoting)
+def read_alt_names(spark: SparkSession, path: str, quoting: str = QUOTE_CSV, multi_line: bool = False) -> DataFrame:
+    return read_tsv(spark, path, schemas.ALT_NAMES, quoting=quoting, multi_line=multi_line)
 
 
-def read_admins(spark: SparkSession, path: str, quoting: str = QUOTE_CSV) -> DataFrame:
-    return read_tsv(spark, path, schemas.ADMINS, quoting=quoting)
+def read_admins(spark: SparkSession, path: str, quoting: str = QUOTE_CSV, multi_line: bool = False) -> DataFrame:
+    return read_tsv(spark, path, schemas.ADMINS, quoting=quoting, multi_line=multi_line)
 
 
-def read_countries(spark: SparkSession, path: str, quoting: str = QUOTE_CSV, comment: str | None = None) -> DataFrame:
-    return read_tsv(spark, path, schemas.COUNTRIES, quoting=quoting, comment=comment)
+def read_countries(
+    spark: SparkSession, path: str, quoting: str = QUOTE_CSV, multi_line: bool = False, comment: str | None = None,
+) -> DataFrame:
+    return read_tsv(spark, path, schemas.COUNTRIES, quoting=quoting, multi_line=multi_line, comment=comment)
 
 
-def read_places(spark: SparkSession, path: str, quoting: str = QUOTE_CSV) -> DataFrame:
+def read_places(spark: SparkSession, path: str, quoting: str = QUOTE_CSV, multi_line: bool = False) -> DataFrame:
     """Cities file and non-country features file share this 19-column layout."""
-    return read_tsv(spark, path, schemas.PLACES, quoting=quoting)
+    return read_tsv(spark, path, schemas.PLACES, quoting=quoting, multi_line=multi_line)
 
 
 def write_table(df: DataFrame, out_dir: str, schema: str, table: str) -> DataFrame:

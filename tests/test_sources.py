@@ -27,6 +27,10 @@ def test_good_places_file(spark, scratch):
 
 
 @pytest.mark.parametrize("mutate", [
+    lambda r: ("   ",),                              # a line of blanks
+    lambda r: ("",) * len(r),                        # a line of tabs, as many as fields need
+    lambda r: ("",) * 3,                             # a line of a few tabs
+    lambda r: r[:4] + ("1.0d",) + r[5:],             # Java's spelling of a double
     lambda r: r[:14] + ("many",) + r[15:],          # non-number population
     lambda r: r[:10],                                # too few columns
     lambda r: r + ("extra",),                        # too many columns
@@ -81,3 +85,35 @@ def test_empty_required_text_is_empty_string(spark, scratch):
     codes = spark.createDataFrame([("en", "English", "639-1")], "code string, name string, code_type string")
     got = sorted(tuple(r) for r in aggregate_alt_names(raw, codes).collect())
     assert got == [(7, "", "English"), (7, "Rome", None)]
+
+
+@pytest.mark.parametrize("bad", ["   ", "\t" * 9, "\t\t", " \t "])
+def test_alt_names_blank_lines_abort(spark, scratch, bad):
+    row = tsv((1, 2, "en", "X", "", "", "", "", "", ""))
+    p = write(os.path.join(scratch, "a.txt"), [row, bad, row])
+    with pytest.raises(Exception):
+        land(read_alt_names(spark, p), os.path.join(scratch, "landed"), "alt_names").collect()
+
+
+def test_empty_lines_are_no_records(spark, scratch):
+    row = tsv((1, 2, "en", "X", "", "", "", "", "", ""))
+    p = write(os.path.join(scratch, "a.txt"), [row, "", row])
+    assert read_alt_names(spark, p).count() == 2
+
+
+def test_language_file_blank_lines(spark, scratch):
+    head = "ISO 639-3\tISO 639-2\tISO 639-1\tLanguage Name"
+    p = write(os.path.join(scratch, "l.txt"), [head, "\t\t\t", "eng\teng\ten\tEnglish"])
+    rows = {tuple(r) for r in land(read_lang_codes(spark, p), os.path.join(scratch, "landed"), "lang_codes").collect()}
+    assert len(rows) == 2 and any(not any(r) for r in rows)
+    for i, bad in enumerate(("  ", "\t\t", "\t" * 4)):
+        q = write(os.path.join(scratch, f"b{i}.txt"), [head, bad])
+        with pytest.raises(Exception):
+            land(read_lang_codes(spark, q), os.path.join(scratch, f"landed{i}"), "lang_codes").collect()
+
+
+def test_quoted_line_break(spark, scratch):
+    p = write(os.path.join(scratch, "a.txt"), [tsv((1, 2, "en", '"X\nY"', "", "", "", "", "", ""))])
+    assert [r["alternate_name"] for r in read_alt_names(spark, p, multi_line=True).collect()] == ["X\nY"]
+    with pytest.raises(Exception):
+        land(read_alt_names(spark, p), os.path.join(scratch, "landed"), "alt_names").collect()
