@@ -14,40 +14,53 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Lookups at or below this many rows are broadcast; larger ones are joined by
-# shuffle (sort-merge, or whatever AQE re-plans at run time).
+# A side within both bounds is broadcast; a larger one is joined by shuffle
+# (sort-merge, or whatever AQE re-plans at run time).
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 _MATCHED = "__lookup_matched"
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after checking the side really is small.
+def _size(df: DataFrame) -> list[Column]:
+    """Row and (estimated, uncompressed) byte totals of ``df``, as aggregates."""
+    width = F.lit(16)
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        text = isinstance(f.dataType, (T.StringType, T.BinaryType))
+        width = width + (F.coalesce(F.octet_length(c), F.lit(0)) + 16 if text else F.lit(f.dataType.jsonValue() in ("integer", "float") and 8 or 16))
+    return [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width.cast("long")), F.lit(0)).alias("bytes")]
 
-    The check is a ``limit(max_rows + 1).count()`` job, which stops reading
-    as soon as the bound is exceeded; beyond the bound the frame is returned
-    unhinted so the planner shuffles it instead.
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only after checking that the side really is small.
+
+    The check is one aggregate of row and byte totals (partial sums in the map
+    tasks, one row each to the last); beyond a bound the frame is returned
+    unhinted, so the planner shuffles it instead.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    size = df.agg(*_size(df)).first()
+    return F.broadcast(df) if size["rows"] <= max_rows and size["bytes"] <= max_bytes else df
 
 
-def broadcast_if_small_result(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small_result(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """For a *derived* side (e.g. the statistics of duplicated groups).
 
     Its size is only known once computed, and AQE cannot turn a join into a
     broadcast when an aggregate sits above the shuffle it measured. So the
     side is computed once and written to the checkpoint folder -- its rows
-    are counted by an ``Observation`` during that write, no extra job -- and
-    broadcast when small; then the other, large side of the join is never
-    shuffled. Beyond the bound it is joined by shuffle as usual.
+    and bytes are totalled by an ``Observation`` during that write, no extra
+    job -- and broadcast when small; then the other, large side of the join is
+    never shuffled. Beyond a bound it is joined by shuffle as usual.
     """
     from gazetta.operators.keys import materialize
 
     obs = Observation()
-    stored = materialize(df.observe(obs, F.count(F.lit(1)).alias("rows")))
-    return F.broadcast(stored) if obs.get["rows"] <= max_rows else stored
+    stored = materialize(df.observe(obs, *_size(df)))
+    size = obs.get
+    return F.broadcast(stored) if size["rows"] <= max_rows and size["bytes"] <= max_bytes else stored
 
 
 def unique_by_key(lookup: DataFrame, keys: Sequence[str], order_by: str | None, payload: Sequence[str]) -> DataFrame:

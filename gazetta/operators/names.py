@@ -12,6 +12,7 @@ from gazetta.functions.text import (
     clean_name,
     is_latin_name,
     language_or_none,
+    not_pseudo_language,
 )
 from gazetta.operators.lookup import broadcast_if_bounded, broadcast_if_small_result
 
@@ -32,7 +33,7 @@ def filter_alternate_names(
     Both tests look at the raw values: the language before it defaults to
     ``'none'`` (so a missing language is kept) and the name before clean-up.
     """
-    keep = ~language_or_none(language_col).isin(list(excluded_languages))
+    keep = not_pseudo_language(language_col, excluded_languages)
     if latin_only:
         keep = keep & is_latin_name(name_col)
     return raw.where(keep)

@@ -21,6 +21,7 @@ import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +44,7 @@ from gazetta.plans.tables import (
     stage_lang_codes,
     with_ids,
 )
+from gazetta.session import delete_path, list_names
 from gazetta.sources.geonames import (
     QUOTE_CSV,
     land,
@@ -74,7 +76,10 @@ TABLES = (
 )
 # Layout of a published output folder.
 RUNS = "runs"
-CURRENT = "current"
+PUBLISHED = "published"
+# Alternates of known countries and cities only: a table of its own, never
+# geo.alt_names.
+USED_ALT_NAMES = "geo.used_alt_names"
 
 # Place ids (countries + cities) broadcast for the alternate-name reduction.
 SEMI_JOIN_BROADCAST_ROWS = 5_000_000
@@ -89,21 +94,29 @@ def build_gazetteer(
     keep_all_alt_names: bool = True,
     files: dict[str, str] | None = None,
     publish: bool = True,
+    multi_line: bool = False,
+    keep_runs: int | None = None,
 ) -> dict[str, DataFrame]:
     """Build every table; return them (re-read from where they were written) by name.
 
     With ``publish`` (the default) a run writes into its own folder
-    ``<out_dir>/runs/<run id>/`` and, only once every table is written, points
-    ``<out_dir>/current`` at it: readers (``load_gazetteer``) see the previous
-    complete gazetteer until then, and a failed run publishes nothing. With
-    ``publish=False`` the tables are rebuilt in place under ``out_dir``.
+    ``<out_dir>/runs/<run id>/`` and, only once every table is written, adds the
+    entry ``<out_dir>/published/<run id>``, which is never changed again: readers
+    (``load_gazetteer``) take the newest complete entry, so they see the
+    previous gazetteer until then, and a failed run publishes nothing.
+    ``keep_runs`` then deletes all but that many of the newest runs. With
+    ``publish=False`` the tables are rebuilt in place under ``out_dir``. The
+    landed copies of the input files go when the tables are written.
 
     ``include_nonlatin`` keeps alternate names that fail the 'Latin' test.
     ``keep_all_alt_names=False`` first semi-joins the alternates with the
     ids of countries and cities -- the only ones ever used -- so the big
-    aggregation only sees rows that matter (geo.alt_names is then partial).
+    aggregation only sees rows that matter; the result is the table
+    ``geo.used_alt_names`` then, and there is no ``geo.alt_names``.
+    ``multi_line`` accepts quoted line breaks (one task per input file).
     """
-    run_id = time.strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
+    now = time.time_ns()
+    run_id = time.strftime("%Y%m%dT%H%M%S", time.gmtime(now // 10**9)) + f".{now % 10**9:09d}-" + uuid.uuid4().hex[:8]
     root = os.path.join(out_dir, RUNS, run_id) if publish else out_dir
     f = {**FILES, **(files or {})}
     src = lambda k: os.path.join(data_dir, f[k])
@@ -114,16 +127,17 @@ def build_gazetteer(
     # submitted together: the small files' jobs fill the slots that the big
     # alternate-name file leaves free instead of queueing behind it.
     readers = {
-        "lang_codes": (lambda: read_lang_codes(spark, src("lang_codes"), quoting), "lang_codes"),
-        "alt_names": (lambda: read_alt_names(spark, src("alt_names"), quoting), "alt_names"),
-        "admin1": (lambda: read_admins(spark, src("admin1"), quoting), "admins"),
-        "admin2": (lambda: read_admins(spark, src("admin2"), quoting), "admins"),
-        "countries": (lambda: read_countries(spark, src("countries"), quoting), "countries"),
-        "cities": (lambda: read_places(spark, src("cities"), quoting), "places"),
-        "regions": (lambda: read_places(spark, src("regions"), quoting), "places"),
+        "lang_codes": (lambda: read_lang_codes(spark, src("lang_codes"), quoting, multi_line), "lang_codes"),
+        "alt_names": (lambda: read_alt_names(spark, src("alt_names"), quoting, multi_line), "alt_names"),
+        "admin1": (lambda: read_admins(spark, src("admin1"), quoting, multi_line), "admins"),
+        "admin2": (lambda: read_admins(spark, src("admin2"), quoting, multi_line), "admins"),
+        "countries": (lambda: read_countries(spark, src("countries"), quoting, multi_line), "countries"),
+        "cities": (lambda: read_places(spark, src("cities"), quoting, multi_line), "places"),
+        "regions": (lambda: read_places(spark, src("regions"), quoting, multi_line), "places"),
     }
     with ThreadPoolExecutor(max_workers=len(readers)) as pool:
-        futures = {k: pool.submit(lambda k=k, r=r: land(r[0](), landed(k), r[1])) for k, r in readers.items()}
+        # The threads keep the caller's job group and local properties.
+        futures = {k: pool.submit(inheritable_thread_target(lambda k=k, r=r: land(r[0](), landed(k), r[1]))) for k, r in readers.items()}
         raw = {k: f.result() for k, f in futures.items()}
     raw_countries, raw_cities = raw["countries"], raw["cities"]
 
@@ -142,7 +156,8 @@ def build_gazetteer(
             raw_alt = raw_alt.join(used, raw_alt["geoname_id"] == used["__id"], "left_semi")
         alt = aggregate_alt_names(raw_alt, out["src.lang_codes"], latin_only=not include_nonlatin)
         alt = alt.select(F.col("id").cast("int").alias("id"), "alt_name", "langs")
-        out["geo.alt_names"] = write_table(alt, root, "geo", "alt_names")
+        name = "geo.alt_names" if keep_all_alt_names else USED_ALT_NAMES
+        out[name] = write_table(alt, root, *name.split("."))
 
     def places() -> None:
         # 3. admin areas
@@ -167,24 +182,44 @@ def build_gazetteer(
     # The alternate names and the places do not depend on each other: run both
     # chains at once; the names tables below need both.
     with ThreadPoolExecutor(max_workers=2) as pool:
-        for fut in [pool.submit(languages_and_alternates), pool.submit(places)]:
+        for fut in [pool.submit(inheritable_thread_target(languages_and_alternates)), pool.submit(inheritable_thread_target(places))]:
             fut.result()
 
+    alt_names = out["geo.alt_names" if keep_all_alt_names else USED_ALT_NAMES]
     # names of countries (all countries, retired ones dropped afterwards) and cities
-    names = build_country_names(curate_countries(out["geo.countries"]), out["geo.alt_names"])
+    names = build_country_names(curate_countries(out["geo.countries"]), alt_names)
     names = with_ids(drop_obsolete_countries(names), ["country_id", "alt_name"], COUNTRY_NAMES_FIRST_ID)
     out["src.country_names"] = write_table(names, root, "src", "country_names")
-    city_names = with_ids(build_city_names(out["src.cities"], out["geo.alt_names"]), ["city_id", "alt_name"],
+    city_names = with_ids(build_city_names(out["src.cities"], alt_names), ["city_id", "alt_name"],
                           CITY_NAMES_FIRST_ID)
     out["src.city_names"] = write_table(city_names, root, "src", "city_names")
+    delete_path(spark, os.path.join(root, "_landed"))
     if publish:
-        spark.createDataFrame([(run_id,)], "run string").coalesce(1).write.mode("overwrite").text(
-            os.path.join(out_dir, CURRENT))
+        publish_run(spark, out_dir, run_id, list(out), keep_runs)
     return out
 
 
+def publish_run(spark: SparkSession, out_dir: str, run_id: str, tables: list[str], keep_runs: int | None = None) -> None:
+    """Add the entry of a finished run (it is complete when Spark's writer has
+    committed it), then drop runs beyond ``keep_runs``, entries first."""
+    spark.createDataFrame([(t,) for t in tables], "value string").coalesce(1).write.text(os.path.join(out_dir, PUBLISHED, run_id))
+    if keep_runs is not None:
+        for old in published_runs(spark, out_dir)[:-max(1, keep_runs)]:
+            delete_path(spark, os.path.join(out_dir, PUBLISHED, old))
+            delete_path(spark, os.path.join(out_dir, RUNS, old))
+
+
+def published_runs(spark: SparkSession, out_dir: str) -> list[str]:
+    """Ids of the complete runs, oldest first."""
+    folder = os.path.join(out_dir, PUBLISHED)
+    return [x for x in list_names(spark, folder) if "_SUCCESS" in list_names(spark, os.path.join(folder, x))]
+
+
 def load_gazetteer(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
     """The tables of the last published run, by name (``'src.city_names'`` ...)."""
-    run_id = spark.read.text(os.path.join(out_dir, CURRENT)).first()[0]
-    root = os.path.join(out_dir, RUNS, run_id)
-    return {t: spark.read.parquet(os.path.join(root, *t.split("."))) for t in TABLES}
+    runs = published_runs(spark, out_dir)
+    if not runs:
+        raise FileNotFoundError(f"no published run in {out_dir}")
+    tables = [r["value"] for r in spark.read.text(os.path.join(out_dir, PUBLISHED, runs[-1])).collect()]  # a dozen names
+    root = os.path.join(out_dir, RUNS, runs[-1])
+    return {t: spark.read.parquet(os.path.join(root, *t.split("."))) for t in tables}

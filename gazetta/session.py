@@ -54,8 +54,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
         current = tempfile.mkdtemp(prefix="gazetta-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    try:
-        spark.sparkContext.setCheckpointDir(current)
-    except Exception:  # no SparkContext handle (e.g. a remote session): the conf is enough
-        pass
+    # Once an application: every further call would start another sub-folder,
+    # and the cleaner would look for old checkpoints in the newest only.
+    context = spark.sparkContext
+    if not (context.getCheckpointDir() or "").startswith(_uri(current)):
+        context.setCheckpointDir(current)
     return current
+
+
+def _uri(path: str) -> str:
+    """The path as Spark reports it."""
+    return path if ":" in path.split("/")[0] else "file:" + path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder in whatever store the path names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none if it does not exist."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(x.getPath().getName() for x in store.listStatus(folder)) if store.exists(folder) else []

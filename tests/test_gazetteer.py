@@ -90,9 +90,11 @@ def test_regions(built):
     assert got == [(901, "RGN", "Scandinavia", "DK,NO,SE"), (902, "CONT", "Europe", None)]
 
 
-def test_tables_written(built, tmp_path):
-    for name, df in built["latin"].items():
-        assert df.count() >= 0, name
+def test_tables_written(built):
+    from gazetta.plans.gazetteer import TABLES
+
+    assert set(built["latin"]) == set(TABLES)
+    assert all(df.count() > 0 for df in built["latin"].values())
 
 
 def test_cli_publishes_and_loads(spark, tmp_path):
@@ -109,3 +111,43 @@ def test_cli_publishes_and_loads(spark, tmp_path):
     second = load_gazetteer(spark, out)
     assert second["src.city_names"].count() == 14
     assert len(os.listdir(os.path.join(out, "runs"))) == 2
+    assert load_gazetteer(spark, out)["geo.alt_names"].count() > first["geo.alt_names"].count()
+    assert not [d for d, _, _ in os.walk(out) if d.endswith("_landed")]
+    # retention: a third run keeps itself and the newest other
+    assert main(["--data", data, "--out", out, "--keep-runs", "2"]) == 0
+    assert len(os.listdir(os.path.join(out, "runs"))) == 2
+
+
+def test_failure_before_publishing_keeps_the_last_run(spark, tmp_path, monkeypatch):
+    from gazetta.plans import gazetteer
+
+    data = write_dump(str(tmp_path / "data"))
+    out = str(tmp_path / "out")
+    gazetteer.build_gazetteer(spark, data, out)
+    monkeypatch.setattr(gazetteer, "publish_run", lambda *a, **b: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        gazetteer.build_gazetteer(spark, data, out, include_nonlatin=True)
+    assert gazetteer.load_gazetteer(spark, out)["src.city_names"].count() == 11
+
+
+def test_reduced_alternates_have_their_own_name(spark, tmp_path):
+    from gazetta.plans.gazetteer import build_gazetteer, load_gazetteer
+
+    data = write_dump(str(tmp_path / "data"))
+    built = build_gazetteer(spark, data, str(tmp_path / "out"), keep_all_alt_names=False)
+    assert "geo.alt_names" not in built and "geo.used_alt_names" in load_gazetteer(spark, str(tmp_path / "out"))
+
+
+def test_build_keeps_the_job_group(spark, tmp_path):
+    from gazetta.plans.gazetteer import build_gazetteer
+
+    data = write_dump(str(tmp_path / "data"))
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    spark.sparkContext.setJobGroup("gazetteer-build", "the whole build")
+    try:
+        build_gazetteer(spark, data, str(tmp_path / "out"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert tracker.getJobIdsForGroup("gazetteer-build")
+    assert set(tracker.getJobIdsForGroup(None)) <= before
