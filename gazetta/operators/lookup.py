@@ -34,6 +34,11 @@ def _size(df: DataFrame) -> list[Column]:
     return [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width.cast("long")), F.lit(0)).alias("bytes")]
 
 
+def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    size = df.agg(*_size(df)).first()
+    return size["rows"] <= max_rows and size["bytes"] <= max_bytes
+
+
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Hint a broadcast only after checking that the side really is small.
 
@@ -41,8 +46,7 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     tasks, one row each to the last); beyond a bound the frame is returned
     unhinted, so the planner shuffles it instead.
     """
-    size = df.agg(*_size(df)).first()
-    return F.broadcast(df) if size["rows"] <= max_rows and size["bytes"] <= max_bytes else df
+    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
 
 
 def broadcast_if_small_result(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:

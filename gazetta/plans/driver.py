@@ -29,7 +29,7 @@ from gazetta.operators.dedup import (
     drop_smaller_duplicates,
 )
 from gazetta.operators.keys import assign_dense_ids, materialize
-from gazetta.operators.lookup import broadcast_if_bounded, broadcast_if_small_result, enrich_by_lookup
+from gazetta.operators.lookup import broadcast_if_bounded, broadcast_if_small_result, enrich_by_lookup, is_small
 from gazetta.operators.names import (
     add_missing_defaults_by_entity,
     add_missing_defaults_by_name,
@@ -78,7 +78,7 @@ def _dim(spark: SparkSession, d: str, name: str) -> DataFrame:
     key = (spark.conf.get("spark.app.id", ""), f"{d}/{name}")
     table = _t(spark, d, name)
     if key not in _DIM_SMALL:
-        _DIM_SMALL[key] = table.limit(DIM_MAX_ROWS + 1).count() <= DIM_MAX_ROWS
+        _DIM_SMALL[key] = is_small(table, DIM_MAX_ROWS)
     return F.broadcast(table) if _DIM_SMALL[key] else table
 
 
@@ -113,25 +113,12 @@ SQL_PSEUDO = _sql_str_list(PSEUDO_LANGUAGES)
 # that document in the document's language ('es' documents carry no language).
 # ---------------------------------------------------------------------------
 
-def _documents(spark: SparkSession, d: str) -> DataFrame:
-    """Documents spread evenly over the cluster's task slots.
-
-    A document is one row that explodes into hundreds or thousands of names,
-    and the table comes in few row groups (a row group is never split), so
-    without this one task would generate and clean every name. Spreading the
-    (few, wide) document rows round-robin before the explode is a shuffle of
-    the raw text only; the names themselves are shuffled later by key.
-    """
-    docs = _t(spark, d, "documents")
-    return docs.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
-
-
 def doc_line_alternates(spark: SparkSession, d: str) -> DataFrame:
     """Every line of every document as a name of that document.
 
-    The lines are spread round-robin after the explode (filters on them are
-    pushed below the redistribution), so even one huge document's lines are
-    cleaned and counted by many tasks.
+    The lines are rebalanced after the explode (filters on them are pushed
+    below it), so even one huge document's lines are cleaned and counted by
+    many tasks; AQE sizes and splits the partitions.
     """
     docs = _t(spark, d, "documents")
     lines = docs.select(
@@ -139,7 +126,7 @@ def doc_line_alternates(spark: SparkSession, d: str) -> DataFrame:
         F.nullif(F.col("lang"), F.lit("es")).alias("iso_language"),
         F.explode(F.split(F.col("text"), "\n")).alias("alternate_name"),
     )
-    return lines.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return lines.hint("rebalance")
 
 
 SQL_DOC_LINES = """raw AS (
@@ -170,6 +157,30 @@ def q_alt_names_all_scripts(spark: SparkSession, d: str) -> DataFrame:
     return aggregate_alt_names(doc_line_alternates(spark, d), _languages(spark), latin_only=False)
 
 
+# Sources whose lines are links, codes and the like, not names in a language.
+PSEUDO_BY_SOURCE = {"src1": "link", "src2": "iata", "src5": "post", "src13": "abbr"}
+
+
+def q_alt_names_real_languages(spark: SparkSession, d: str) -> DataFrame:
+    language = F.col("lang")
+    for source, code in PSEUDO_BY_SOURCE.items():
+        language = F.when(F.col("source") == source, F.lit(code)).otherwise(language)
+    lines = _t(spark, d, "documents").select(
+        F.col("doc_id").alias("geoname_id"), language.alias("iso_language"),
+        F.explode(F.split("text", "\n")).alias("alternate_name")).hint("rebalance")
+    return aggregate_alt_names(lines, _languages(spark), latin_only=False)
+
+
+SQL_REAL_LANGUAGES = f"""WITH lines AS (
+  SELECT doc_id, CASE source {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in PSEUDO_BY_SOURCE.items())} ELSE lang END AS language,
+         unnest(string_split(text, chr(10))) AS line
+  FROM documents),
+{SQL_LANGUAGES}
+SELECT doc_id AS id, {_sql_clean('line')} AS alt_name, string_agg(codes.name, ', ' ORDER BY codes.name) AS langs
+FROM lines LEFT JOIN codes ON codes.code = language
+WHERE language IS NULL OR language NOT IN ({SQL_PSEUDO})
+GROUP BY 1, 2"""
+
 WORD_CHARS = (" ", "\t", "\n", "\r")
 WORD_BREAK = "[ \t\n\r]+"
 
@@ -184,36 +195,24 @@ def doc_words(spark: SparkSession, d: str, language) -> DataFrame:
     """``(geoname_id, iso_language, alternate_name)`` for every word of every document.
 
     Same tokens as splitting each whole text on runs of white space, but
-    computed per line after the lines are spread round-robin, so even one
-    huge document is split by many tasks. Splitting lines yields the same
-    non-empty words; the empty tokens of a whole-text split (one for an empty
-    text, else one for leading and one for trailing white space) are added
-    from the documents themselves.
+    computed per line after the lines are rebalanced, so even one huge document
+    is split by many tasks. Splitting lines yields the same non-empty words; the
+    empty tokens of a whole-text split (one for an empty text, else one for
+    leading and one for trailing white space) travel as further elements of the
+    array of lines, told apart by a mark that no line can hold.
     """
-    docs = _t(spark, d, "documents").select(
-        F.col("doc_id").alias("geoname_id"),
-        language.alias("iso_language"),
-        "text",
-    )
-    lines = docs.select(
-        "geoname_id", "iso_language", F.explode(F.split(F.col("text"), "\n")).alias("line")
-    ).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
-    words = lines.select(
-        "geoname_id", "iso_language", F.explode(F.split(F.col("line"), WORD_BREAK)).alias("alternate_name")
-    ).where(F.col("alternate_name") != "")
     text = F.col("text")
-    starts = F.lit(False)
-    ends = F.lit(False)
+    starts = ends = F.lit(False)
     for ch in WORD_CHARS:
         starts = starts | F.startswith(text, F.lit(ch))
         ends = ends | F.endswith(text, F.lit(ch))
-    n_empty = F.when(text == "", F.lit(1)).otherwise(
-        F.when(starts, 1).otherwise(0) + F.when(ends, 1).otherwise(0)
-    )
-    empties = docs.select(
-        "geoname_id", "iso_language", F.explode(F.array_repeat(F.lit(""), n_empty)).alias("alternate_name")
-    )
-    return words.unionByName(empties)
+    n_empty = F.when(text == "", F.lit(1)).otherwise(F.when(starts, 1).otherwise(0) + F.when(ends, 1).otherwise(0))
+    lines = F.concat(F.split(text, "\n"), F.array_repeat(F.lit("\n"), n_empty))
+    rows = _t(spark, d, "documents").select(
+        F.col("doc_id").alias("geoname_id"), language.alias("iso_language"), F.explode(lines).alias("line")).hint("rebalance")
+    line = F.col("line")
+    words = F.when(line == "\n", F.array(F.lit(""))).otherwise(F.filter(F.split(line, WORD_BREAK), lambda w: w != ""))
+    return rows.select("geoname_id", "iso_language", F.explode(words).alias("alternate_name"))
 
 
 SQL_DOC_WORDS = r"""raw AS (
@@ -287,30 +286,37 @@ SQL_PART_PLACES = """city AS (
   FROM part)"""
 
 PLACE_KEYS = ["name", "area", "country"]
-_SQL_VALID = "name IS NOT NULL AND area IS NOT NULL AND country IS NOT NULL"
+CITY_KEYS = ["name", "disamb_name", "country_name"]
 
 
 def q_drop_smaller_dups(spark: SparkSession, d: str) -> DataFrame:
     return drop_smaller_duplicates(part_places(spark, d), PLACE_KEYS, "pop")
 
 
-SQL_DROP_SMALLER = f"""WITH {SQL_PART_PLACES},
-dups AS (SELECT name, area, country, max(pop) AS maxpop FROM city WHERE {_SQL_VALID}
-         GROUP BY name, area, country HAVING count(id) > 1),
-losers AS (SELECT c.id FROM city c JOIN dups d
-           ON c.name = d.name AND c.area = d.area AND c.country = d.country
-           WHERE c.pop IS NULL OR d.maxpop IS NULL OR c.pop <> d.maxpop)
-SELECT * FROM city WHERE id NOT IN (SELECT id FROM losers)"""
+def sql_largest(keys: list[str]) -> str:
+    """Condition: no rival by ``keys``, or a measure that no rival exceeds."""
+    k = ", ".join(keys)
+    return (f"({' OR '.join(x + ' IS NULL' for x in keys)}) "
+            f"OR count(*) OVER (PARTITION BY {k}) = 1 OR coalesce(pop = max(pop) OVER (PARTITION BY {k}), false)")
+
+
+def sql_not_first(keys: list[str]) -> str:
+    """Condition: no rival by ``keys``, or not the smallest id among them."""
+    k = ", ".join(keys)
+    return (f"({' OR '.join(x + ' IS NULL' for x in keys)}) OR count(*) OVER (PARTITION BY {k}) = 1 "
+            f"OR row_number() OVER (PARTITION BY {k} ORDER BY id) > 1")
+
+
+SQL_DROP_SMALLER = f"""WITH {SQL_PART_PLACES}
+SELECT * FROM city QUALIFY {sql_largest(PLACE_KEYS)}"""
 
 
 def q_drop_min_id_dups(spark: SparkSession, d: str) -> DataFrame:
     return drop_min_id_duplicates(part_places(spark, d), PLACE_KEYS, "id")
 
 
-SQL_DROP_MIN_ID = f"""WITH {SQL_PART_PLACES},
-dups AS (SELECT min(id) AS minid FROM city WHERE {_SQL_VALID}
-         GROUP BY name, area, country HAVING count(id) > 1)
-SELECT * FROM city WHERE id NOT IN (SELECT minid FROM dups)"""
+SQL_DROP_MIN_ID = f"""WITH {SQL_PART_PLACES}
+SELECT * FROM city QUALIFY {sql_not_first(PLACE_KEYS)}"""
 
 
 def q_dedupe_places(spark: SparkSession, d: str) -> DataFrame:
@@ -318,15 +324,8 @@ def q_dedupe_places(spark: SparkSession, d: str) -> DataFrame:
 
 
 SQL_DEDUPE = f"""WITH {SQL_PART_PLACES},
-dups AS (SELECT name, area, country, max(pop) AS maxpop FROM city WHERE {_SQL_VALID}
-         GROUP BY name, area, country HAVING count(id) > 1),
-losers AS (SELECT c.id FROM city c JOIN dups d
-           ON c.name = d.name AND c.area = d.area AND c.country = d.country
-           WHERE c.pop IS NULL OR d.maxpop IS NULL OR c.pop <> d.maxpop),
-pass1 AS (SELECT * FROM city WHERE id NOT IN (SELECT id FROM losers)),
-dups2 AS (SELECT min(id) AS minid FROM pass1 WHERE {_SQL_VALID}
-          GROUP BY name, area, country HAVING count(id) > 1)
-SELECT * FROM pass1 WHERE id NOT IN (SELECT minid FROM dups2)"""
+largest AS (SELECT * FROM city QUALIFY {sql_largest(PLACE_KEYS)})
+SELECT * FROM largest QUALIFY {sql_not_first(PLACE_KEYS)}"""
 
 
 # ---------------------------------------------------------------------------
@@ -419,15 +418,16 @@ def q_lang_codes(spark: SparkSession, d: str) -> DataFrame:
     return build_lang_codes(stage_lang_codes(doc_lang_rows(spark, d)))
 
 
-SQL_LANG_CODES = f"""WITH raw AS (
+SQL_LANG_CODES = """WITH raw AS (
   SELECT CASE WHEN lang = 'es' THEN '' ELSE source END AS c3, lang AS c2,
-         CASE WHEN n_chars < 1000 THEN '' ELSE lang END AS c1, {_sql_clean('source')} AS name
+         CASE WHEN n_chars < 1000 THEN '' ELSE lang END AS c1, """ + _sql_clean('source') + """ AS name
   FROM documents)
-SELECT c2 AS code, name, '639-2' AS code_type FROM raw WHERE c3 = '' AND c2 NOT IN ('frr', 'srn', 'syc', 'rup')
-UNION
-SELECT c3 AS code, name, '639-3' AS code_type FROM raw WHERE c3 <> ''
-UNION
-SELECT c1 AS code, name, '639-1' AS code_type FROM raw WHERE c1 <> ''"""
+SELECT DISTINCT e.code, name, e.code_type
+FROM raw, LATERAL (SELECT unnest([
+  {'code': c3, 'code_type': '639-3', 'use': c3 <> ''},
+  {'code': c2, 'code_type': '639-2', 'use': c3 = '' AND c2 NOT IN ('frr', 'srn', 'syc', 'rup')},
+  {'code': c1, 'code_type': '639-1', 'use': c1 <> ''}], recursive := true)) AS e
+WHERE e.use"""
 
 
 # ---------------------------------------------------------------------------
@@ -522,13 +522,12 @@ def q_missing_default_country(spark: SparkSession, d: str) -> DataFrame:
     return add_missing_defaults_by_name(names, ents, "place_id", "place_name", "place_id", "place_name")
 
 
-SQL_MISSING_COUNTRY = f"""WITH {SQL_ORDER_NAMES}
+SQL_MISSING_COUNTRY = f"""WITH {SQL_ORDER_NAMES},
+own AS (SELECT place_name, bool_or(place_name = alt_name) AS named FROM names GROUP BY place_name)
 SELECT place_id, place_name, alt_name, langlist FROM names
 UNION ALL
-SELECT c.c_custkey, c.c_name, c.c_name, ''
-FROM customer c LEFT JOIN (SELECT place_name FROM names WHERE place_name = alt_name) m
-  ON c.c_name = m.place_name
-WHERE m.place_name IS NULL"""
+SELECT c_custkey, c_name, c_name, '' FROM customer
+WHERE c_name NOT IN (SELECT place_name FROM own WHERE named AND place_name IS NOT NULL)"""
 
 
 def q_missing_default_city(spark: SparkSession, d: str) -> DataFrame:
@@ -540,9 +539,8 @@ def q_missing_default_city(spark: SparkSession, d: str) -> DataFrame:
 SQL_MISSING_CITY = f"""WITH {SQL_ORDER_NAMES}
 SELECT * FROM names
 UNION ALL
-SELECT DISTINCT n.place_id, n.place_name, n.area_name, n.place_name, CAST(NULL AS VARCHAR)
-FROM names n LEFT JOIN (SELECT place_id FROM names WHERE place_name = alt_name) m ON n.place_id = m.place_id
-WHERE m.place_id IS NULL"""
+SELECT place_id, place_name, area_name, place_name, CAST(NULL AS VARCHAR)
+FROM names GROUP BY ALL HAVING NOT coalesce(bool_or(place_name = alt_name), false)"""
 
 
 def q_attach_alternates(spark: SparkSession, d: str) -> DataFrame:
@@ -704,18 +702,16 @@ SQL_CITY_NAMES = f"""WITH alts AS ({_sql_alt_names(False, SQL_PART_ALTERNATES)})
 cities AS (SELECT CAST(p_partkey AS INTEGER) AS city_id, p_name AS city_name, CAST(NULL AS INTEGER) AS disamb_id,
                   p_type AS disamb_name, CAST(NULL AS INTEGER) AS country_id, p_brand AS country_name FROM part),
 attached AS (SELECT c.*, a.alt_name, a.langs AS langlist FROM cities c JOIN alts a ON c.city_id = a.id),
-matched AS (SELECT city_id FROM attached WHERE city_name = alt_name),
-completed AS (
-  SELECT * FROM attached
-  UNION ALL
-  SELECT DISTINCT n.city_id, n.city_name, n.disamb_id, n.disamb_name, n.country_id, n.country_name,
-         n.city_name, CAST(NULL AS VARCHAR)
-  FROM attached n LEFT JOIN matched m ON n.city_id = m.city_id WHERE m.city_id IS NULL),
-dup AS (SELECT country_name, alt_name FROM completed GROUP BY country_name, alt_name HAVING count(*) > 1),
-kept AS (SELECT n.* FROM completed n WHERE NOT EXISTS (
-  SELECT 1 FROM dup d WHERE d.country_name = n.country_name AND d.alt_name = n.alt_name
-                        AND d.alt_name <> n.city_name))
-SELECT CAST(row_number() OVER (ORDER BY city_id, alt_name) + 1000000 AS INTEGER) AS id, * FROM kept"""
+own AS (SELECT *, bool_or(city_name = alt_name) OVER (PARTITION BY city_id) AS named,
+               row_number() OVER (PARTITION BY city_id ORDER BY alt_name) AS nth FROM attached),
+whole AS (
+  SELECT city_id, city_name, disamb_id, disamb_name, country_id, country_name,
+         unnest(CASE WHEN nth = 1 AND NOT coalesce(named, false) THEN [{{'a': alt_name, 'l': langlist}}, {{'a': city_name, 'l': NULL}}]
+                     ELSE [{{'a': alt_name, 'l': langlist}}] END) AS n FROM own),
+kept AS (
+  SELECT * EXCLUDE (n), n.a AS alt_name, n.l AS langlist FROM whole
+  QUALIFY country_name IS NULL OR n.a IS NULL OR coalesce(n.a = city_name, true) OR count(*) OVER (PARTITION BY country_name, n.a) = 1)
+SELECT CAST(1000000 + row_number() OVER (ORDER BY city_id, alt_name) AS INTEGER) AS id, * FROM kept"""
 
 # ---------------------------------------------------------------------------
 # City curation end to end: customers are raw cities named by their market
@@ -834,17 +830,8 @@ city AS (
     CASE WHEN country_code IN ('HK', 'MO') THEN 'China' ELSE country_name END AS country_name,
     lat, lng, pop
   FROM step2),
-dups AS (SELECT name, disamb_name, country_name, max(pop) AS maxpop FROM city
-         WHERE name IS NOT NULL AND disamb_name IS NOT NULL AND country_name IS NOT NULL
-         GROUP BY name, disamb_name, country_name HAVING count(id) > 1),
-losers AS (SELECT c.id FROM city c JOIN dups d
-           ON c.name = d.name AND c.disamb_name = d.disamb_name AND c.country_name = d.country_name
-           WHERE c.pop IS NULL OR d.maxpop IS NULL OR c.pop <> d.maxpop),
-pass1 AS (SELECT * FROM city WHERE id NOT IN (SELECT id FROM losers)),
-dups2 AS (SELECT min(id) AS minid FROM pass1
-          WHERE name IS NOT NULL AND disamb_name IS NOT NULL AND country_name IS NOT NULL
-          GROUP BY name, disamb_name, country_name HAVING count(id) > 1)
-SELECT * FROM pass1 WHERE id NOT IN (SELECT minid FROM dups2)"""
+""" + f"""largest AS (SELECT * FROM city QUALIFY {sql_largest(CITY_KEYS)})
+SELECT * FROM largest QUALIFY {sql_not_first(CITY_KEYS)}"""
 
 
 # ---------------------------------------------------------------------------
@@ -863,16 +850,14 @@ def q_country_names(spark: SparkSession, d: str) -> DataFrame:
 
 SQL_COUNTRY_NAMES = f"""WITH alts AS ({_sql_alt_names(True)}),
 countries AS (SELECT CAST(c_custkey AS INTEGER) AS country_id, c_name AS country_name FROM customer),
-attached AS (SELECT c.country_id, c.country_name, a.alt_name, a.langs AS langlist
-             FROM countries c JOIN alts a ON c.country_id = a.id),
-completed AS (
-  SELECT * FROM attached
+spelled AS (SELECT country_name, bool_or(alt_name = country_name) AS named
+            FROM countries JOIN alts ON id = country_id GROUP BY country_name),
+rows AS (
+  SELECT country_id, country_name, alt_name, langs AS langlist FROM alts JOIN countries ON country_id = id
   UNION ALL
-  SELECT c.country_id, c.country_name, c.country_name, ''
-  FROM countries c LEFT JOIN (SELECT country_name FROM attached WHERE country_name = alt_name) m
-    ON c.country_name = m.country_name
-  WHERE m.country_name IS NULL)
-SELECT CAST(row_number() OVER (ORDER BY country_id, alt_name) + 10000 AS INTEGER) AS id, * FROM completed"""
+  SELECT country_id, country_name, country_name, '' FROM countries LEFT JOIN spelled USING (country_name)
+  WHERE named IS DISTINCT FROM true)
+SELECT CAST(10000 + row_number() OVER (ORDER BY country_id, alt_name) AS INTEGER) AS id, * FROM rows"""
 
 FLAGSHIP = "city_names"
 
@@ -881,6 +866,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "alt_names_all_scripts": q_alt_names_all_scripts,
     "alt_names_words": q_alt_names_words,
     "latin_only": q_latin_only,
+    "alt_names_real_languages": q_alt_names_real_languages,
     "exclude_codes": q_exclude_codes,
     "clean_names": q_clean_names,
     "drop_smaller_dups": q_drop_smaller_dups,
@@ -909,6 +895,7 @@ ORACLE: dict[str, str] = {
     "alt_names_all_scripts": _sql_alt_names(False),
     "alt_names_words": _sql_alt_names(False, SQL_DOC_WORDS),
     "latin_only": SQL_LATIN_ONLY,
+    "alt_names_real_languages": SQL_REAL_LANGUAGES,
     "exclude_codes": SQL_EXCLUDE_CODES,
     "clean_names": SQL_CLEAN_NAMES,
     "drop_smaller_dups": SQL_DROP_SMALLER,

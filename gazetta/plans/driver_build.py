@@ -4,10 +4,9 @@ Spark derives GeoNames-format dump files from the driver tables
 (``gazetta.plans.dump``), the gazetteer is built from them exactly as from a
 real dump (strict landing, every step, published run), and each published
 table is one query result. One build serves all of them per session and
-input folder. The SQL below recomputes the same tables straight from the
-driver tables, step by step the way the source system's SQL does: group and
-join back for duplicates, anti-joins for missing defaults, ``row_number``
-for ids.
+input folder. The SQL below states the same tables over the driver tables by
+windows: rivals and defaults are counted over partitions of one scan, and
+``QUALIFY`` keeps rows, unlike the aggregations and joins of the Spark build.
 """
 
 from __future__ import annotations
@@ -19,8 +18,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gazetta.plans.driver import SQL_LANGUAGES, SQL_PSEUDO, _sql_clean
-from gazetta.plans.dump import CITY_ID_OFFSET, REGION_ID_OFFSET, write_dump
+from gazetta.plans.driver import CITY_KEYS, SQL_LANGUAGES, SQL_PSEUDO, _sql_clean, sql_largest, sql_not_first
+from gazetta.plans.dump import CITY_ID_OFFSET, REGION_ID_OFFSET, SQL_LANGUAGE_OF_SOURCE, write_dump
 from gazetta.plans.gazetteer import build_gazetteer, load_gazetteer
 from gazetta.session import checkpoint_dir
 
@@ -57,7 +56,7 @@ lang639 AS (
   SELECT DISTINCT d.lang AS code, {_sql_clean('COALESCE(c.name, upper(d.lang))')} AS name
   FROM documents d LEFT JOIN codes c ON d.lang = c.code),
 words AS (
-  SELECT doc_id AS geoname_id, lang AS iso_language,
+  SELECT doc_id AS geoname_id, {SQL_LANGUAGE_OF_SOURCE} AS iso_language,
          UNNEST(regexp_split_to_array(text, '[ \\t\\n\\r]+')) AS alternate_name
   FROM documents),
 kept AS (
@@ -123,35 +122,22 @@ city AS (
     CASE WHEN country_code IN ('HK', 'MO') THEN 'China' ELSE country_name END AS country_name,
     lat, lng, pop
   FROM step2),
-dups AS (SELECT name, disamb_name, country_name, max(pop) AS maxpop FROM city
-         WHERE name IS NOT NULL AND disamb_name IS NOT NULL AND country_name IS NOT NULL
-         GROUP BY name, disamb_name, country_name HAVING count(id) > 1),
-losers AS (SELECT c.id FROM city c JOIN dups d
-           ON c.name = d.name AND c.disamb_name = d.disamb_name AND c.country_name = d.country_name
-           WHERE c.pop IS NULL OR d.maxpop IS NULL OR c.pop <> d.maxpop),
-pass1 AS (SELECT * FROM city WHERE id NOT IN (SELECT id FROM losers)),
-dups2 AS (SELECT min(id) AS minid FROM pass1
-          WHERE name IS NOT NULL AND disamb_name IS NOT NULL AND country_name IS NOT NULL
-          GROUP BY name, disamb_name, country_name HAVING count(id) > 1),
-cities AS (SELECT * FROM pass1 WHERE id NOT IN (SELECT minid FROM dups2))"""
+largest AS (SELECT * FROM city QUALIFY {sql_largest(CITY_KEYS)}),
+cities AS (SELECT * FROM largest QUALIFY {sql_not_first(CITY_KEYS)})"""
 
 SQL_CITY_NAMES = SQL_PREFIX + """,
-attached AS (
+named AS (
   SELECT c.id AS city_id, c.name AS city_name, c.disamb_id, c.disamb_name, c.country_id, c.country_name,
-         a.alt_name, a.langs AS langlist
-  FROM cities c JOIN alts a ON c.id = a.id),
-matched AS (SELECT city_id FROM attached WHERE city_name = alt_name),
-completed AS (
-  SELECT * FROM attached
-  UNION ALL
-  SELECT DISTINCT n.city_id, n.city_name, n.disamb_id, n.disamb_name, n.country_id, n.country_name,
-         n.city_name, CAST(NULL AS VARCHAR)
-  FROM attached n LEFT JOIN matched m ON n.city_id = m.city_id WHERE m.city_id IS NULL),
-dup AS (SELECT country_name, alt_name FROM completed GROUP BY country_name, alt_name HAVING count(*) > 1),
-final AS (SELECT n.* FROM completed n WHERE NOT EXISTS (
-  SELECT 1 FROM dup d WHERE d.country_name = n.country_name AND d.alt_name = n.alt_name
-                        AND d.alt_name <> n.city_name))
-SELECT CAST(row_number() OVER (ORDER BY city_id, alt_name) + 1000000 AS INTEGER) AS id, * FROM final"""
+         list({'a': a.alt_name, 'l': a.langs}) AS alternates, coalesce(bool_or(a.alt_name = c.name), false) AS own
+  FROM alts a JOIN cities c ON c.id = a.id GROUP BY ALL),
+whole AS (
+  SELECT * EXCLUDE (alternates, own),
+         unnest(CASE WHEN own THEN alternates ELSE list_append(alternates, {'a': city_name, 'l': NULL}) END) AS n
+  FROM named),
+settled AS (
+  SELECT * EXCLUDE (n), n.a AS alt_name, n.l AS langlist FROM whole
+  QUALIFY country_name IS NULL OR coalesce(n.a = city_name, true) OR count(*) OVER (PARTITION BY country_name, n.a) = 1)
+SELECT CAST(1000000 + row_number() OVER (ORDER BY city_id, alt_name) AS INTEGER) AS id, * FROM settled"""
 
 SQL_CITIES = SQL_PREFIX + """
 SELECT id, name, disamb_type, disamb_id, disamb_code, disamb_name, country_id, country_code, country_name,
@@ -163,18 +149,15 @@ SQL_COUNTRIES = SQL_PREFIX + """
 SELECT id, rank, iso_code, country_name, continent, tld, languages, capital FROM kept_countries"""
 
 SQL_COUNTRY_NAMES = SQL_PREFIX + f""",
-attached AS (
-  SELECT c.id AS country_id, c.country_name, a.alt_name, a.langs AS langlist
-  FROM countries_all c JOIN alts a ON c.id = a.id),
-completed AS (
-  SELECT * FROM attached
+spelled AS (SELECT c.country_name, bool_or(a.alt_name = c.country_name) AS named
+            FROM countries_all c JOIN alts a ON a.id = c.id GROUP BY c.country_name),
+rows AS (
+  SELECT c.id AS country_id, c.country_name, a.alt_name, a.langs AS langlist FROM alts a JOIN countries_all c ON c.id = a.id
   UNION ALL
-  SELECT c.id, c.country_name, c.country_name, ''
-  FROM countries_all c LEFT JOIN (SELECT country_name FROM attached WHERE country_name = alt_name) m
-    ON c.country_name = m.country_name
-  WHERE m.country_name IS NULL),
-final AS (SELECT * FROM completed WHERE country_name NOT IN {_OBSOLETE})
-SELECT CAST(row_number() OVER (ORDER BY country_id, alt_name) + 10000 AS INTEGER) AS id, * FROM final"""
+  SELECT id, country_name, country_name, '' FROM countries_all LEFT JOIN spelled USING (country_name)
+  WHERE named IS DISTINCT FROM true)
+SELECT CAST(10000 + row_number() OVER (ORDER BY country_id, alt_name) AS INTEGER) AS id, *
+FROM rows WHERE country_name NOT IN {_OBSOLETE}"""
 
 SQL_LANG_CODES = SQL_PREFIX + """
 SELECT code || code AS code, name, '639-3' AS code_type FROM lang639

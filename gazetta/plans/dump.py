@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazetta.plans import driver
@@ -21,6 +21,17 @@ from gazetta.plans.gazetteer import FILES
 
 CITY_ID_OFFSET = 25
 REGION_ID_OFFSET = 10_000_000
+# Sources whose words stand for links, airport codes and the like: their
+# language is no language, and the build drops them.
+PSEUDO_SOURCES = {"src3": "link", "src7": "iata", "src11": "wkdt"}
+SQL_LANGUAGE_OF_SOURCE = "CASE source " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in PSEUDO_SOURCES.items()) + " ELSE lang END"
+
+
+def language_of_source() -> Column:
+    out = F.col("lang")
+    for source, code in PSEUDO_SOURCES.items():
+        out = F.when(F.col("source") == source, F.lit(code)).otherwise(out)
+    return out
 
 
 def _write(df: DataFrame, path: str, header: bool = False) -> None:
@@ -34,9 +45,7 @@ def _blank(n: int) -> list:
 
 def write_dump(spark: SparkSession, sf_dir: str, out_dir: str) -> str:
     path = lambda k: os.path.join(out_dir, FILES[k])
-    docs = driver._documents(spark, sf_dir)
-
-    langs = docs.select("lang").distinct().join(driver._languages(spark), F.col("lang") == F.col("code"), "left")
+    langs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("lang").distinct().join(driver._languages(spark), F.col("lang") == F.col("code"), "left")
     _write(langs.select(
         F.concat(F.col("lang"), F.col("lang")).alias("ISO 639-3"), F.concat(F.col("lang"), F.col("lang")).alias("ISO 639-2"),
         F.col("lang").alias("ISO 639-1"), F.coalesce(F.col("name"), F.upper("lang")).alias("Language Name")),
@@ -44,7 +53,7 @@ def write_dump(spark: SparkSession, sf_dir: str, out_dir: str) -> str:
 
     # words split per line after the lines are spread (exactly the whole-text split);
     # ids only need to be unique, and the file is written once
-    words = driver.doc_words(spark, sf_dir, F.col("lang"))
+    words = driver.doc_words(spark, sf_dir, language_of_source())
     _write(words.select(
         F.monotonically_increasing_id().alias("alternate_name_id"), "geoname_id", "iso_language",
         "alternate_name", *_blank(6)), path("alt_names"))
@@ -56,8 +65,8 @@ def write_dump(spark: SparkSession, sf_dir: str, out_dir: str) -> str:
 
     c = driver.nation_countries(spark, sf_dir)
     rk_iso = F.concat(F.lit("C"), F.col("n_regionkey").cast("string"))
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", "n_regionkey")
-    c = c.join(F.broadcast(nation), c["geonameid"] == nation["n_nationkey"])
+    nation = driver._dim(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    c = c.join(nation, c["geonameid"] == nation["n_nationkey"])
     iso = F.when(F.col("n_regionkey") == 2, F.lit("HK")).when(F.col("n_regionkey") == 3, F.lit("GB")).otherwise(rk_iso)
     # the region-2 countries stand for the retired Hong Kong, removed by name
     name = F.when(F.col("n_regionkey") == 2, F.lit("Hong Kong")).otherwise(F.col("country"))
