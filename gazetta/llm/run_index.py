@@ -42,6 +42,8 @@ from gazetta.llm.context_mixing import _unzip, _zip
 from gazetta.llm.util import hash_ranges, materialise, mix, ranges, read_table, text_bytes
 
 LENGTH = 50
+#: Text bytes behind one bucket of segments: its task sorts their suffixes.
+INDEX_BYTES = 1 << 20
 _NULL_ID = np.iinfo(np.int64).max
 
 
@@ -101,6 +103,10 @@ class RunIndex:
         new[1:] = ~(whole[1:] & whole[:-1] & (a[1:] == a[:-1]) & (b[1:] == b[:-1]))
         self.threshold = np.flatnonzero(new)
         self.least = np.minimum.reduceat(document[string[order]], self.threshold) if n else np.zeros(0, np.int64)
+        # Rank directories of the run heads and of the thresholds.
+        self.run_of = np.repeat(np.arange(len(head), dtype=np.int32), run_size)
+        self.block_of = (np.cumsum(new) - 1).astype(np.int32)
+        self.jump = self.run_target - self.run_start
 
     @staticmethod
     def _ranks(key: np.ndarray) -> np.ndarray:
@@ -112,8 +118,7 @@ class RunIndex:
 
     def step(self, row: np.ndarray) -> np.ndarray:
         """Row of the suffix one symbol longer, for each row."""
-        run = np.searchsorted(self.run_start, row, side="right") - 1
-        return self.run_target[run] + row - self.run_start[run]
+        return self.jump[self.run_of[row]] + row
 
     def stream(self):
         """Backwards through all strings at once: (strings, place, the smallest
@@ -125,22 +130,25 @@ class RunIndex:
             row, strings, place = self.step(row[more]), strings[more], place[more] - 1
             whole = self.size[strings] - place >= self.length
             if whole.any():
-                block = np.searchsorted(self.threshold, row[whole], side="right") - 1
-                yield strings[whole], place[whole], self.least[block]
+                yield strings[whole], place[whole], self.least[self.block_of[row[whole]]]
 
 
 # -- segments ---------------------------------------------------------------------
 
 def gram_hashes(raw: np.ndarray, k: int) -> np.ndarray:
-    """Hash of the ``k`` >= 8 bytes from each place (the last places: 0)."""
+    """Hash of the ``k`` >= 8 bytes from each place that has so many."""
     n = len(raw) - k + 1
     if n <= 0:
-        return np.zeros(len(raw), np.uint64)
+        return np.zeros(0, np.uint64)
     lanes = np.ndarray((len(raw) - 7,), "<u8", np.ascontiguousarray(raw).data, strides=(1,))
     h = np.zeros(n, np.uint64)
     for at in [*range(0, k - 8, 8), k - 8]:
-        h = mix((h ^ lanes[at: at + n]) * np.uint64(0x9FB21C651E98DF25) + np.uint64(k))
-    return np.concatenate([h, np.zeros(k - 1, np.uint64)])
+        h += lanes[at: at + n]
+        h *= np.uint64(0x9FB21C651E98DF25)
+        h ^= h >> np.uint64(29)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(32)
+    return h
 
 
 class Segments:
@@ -150,27 +158,30 @@ class Segments:
     def __init__(self, raw: np.ndarray, offsets: np.ndarray, length: int):
         k = max(16, length - 34)
         wide = length - k + 1
-        n = len(raw)
-        doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-        left = offsets[1:][doc] - np.arange(n) if n else np.zeros(0, np.int64)
+        ends, sizes = offsets[1:], np.diff(offsets)
         gram = gram_hashes(raw, k)
         # Hash above, place below: the leftmost of equal minima.
-        least = np.where(left >= k, (gram & np.uint64(0xFFFFFFFF00000000)) | np.arange(n).astype(np.uint64), np.uint64(0xFFFFFFFFFFFFFFFF))
+        least = gram & np.uint64(0xFFFFFFFF00000000)
+        least |= np.arange(len(least), dtype=np.uint64)
         size = 1
         while size * 2 <= wide:
-            least = np.minimum(least, np.concatenate([least[size:], least[-1:].repeat(size)]) if n >= size else least)
+            least = np.minimum(least[:-size], least[size:]) if len(least) > size else least[:0]
             size *= 2
-        rest = wide - size
-        if rest and n > rest:
-            least = np.minimum(least, np.concatenate([least[rest:], least[-1:].repeat(rest)]))
-        starts = np.flatnonzero(left >= length)
-        place = (least[starts] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        new = np.ones(len(starts), bool)
-        new[1:] = (place[1:] != place[:-1]) | (starts[1:] != starts[:-1] + 1)
-        head = np.flatnonzero(new)
-        self.gram, self.start = gram[place[head]], starts[head]
-        self.windows = np.diff(np.concatenate([head, [len(starts)]]))
-        self.doc = doc[self.start] if n else np.zeros(0, np.int64)
+        if wide > size:
+            least = np.minimum(least[: size - wide], least[wide - size:]) if len(least) > wide - size else least[:0]
+        # Strings that reach over the end of their text do not count.
+        whole = np.ones(len(least) + 1, bool)
+        whole[-1] = False
+        short = np.minimum(sizes, length - 1)
+        over = ranges(ends - short, short)
+        whole[over[over < len(whole)]] = False
+        place = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        change = np.ones(len(least) + 1, bool)
+        change[1:-1] = (place[1:] != place[:-1]) | ~whole[: len(least) - 1] if len(least) else change[1:-1]
+        head = np.flatnonzero(whole & change)
+        last = np.flatnonzero(whole[:-1] & (change[1:] | ~whole[1:]))
+        self.gram, self.start, self.windows = gram[place[head]], head, last - head + 1
+        self.doc = np.searchsorted(offsets, head, side="right") - 1
 
     def only(self, keep: np.ndarray) -> "Segments":
         self.gram, self.start, self.windows, self.doc = self.gram[keep], self.start[keep], self.windows[keep], self.doc[keep]
@@ -273,7 +284,8 @@ def remove_matches(
     buckets = bucket_count(chunks)
     anchors = each_chunk(chunks, lambda c, t: _anchors(c, t, id_col, text_col, length, buckets), HASHES)
     found = materialise(recurring(anchors), "minimizers")
-    sent = each_chunk_with(chunks, found, lambda c, t, f: _send(c, t, f, id_col, text_col, length, buckets), SEGMENTS)
+    indexes = max(8, -(-(chunks.agg(F.sum("bytes")).first()[0] or 0) // INDEX_BYTES))
+    sent = each_chunk_with(chunks, found, lambda c, t, f: _send(c, t, f, id_col, text_col, length, indexes), SEGMENTS)
     marks = sent.groupBy("bucket").applyInArrow(_mark(length), MARKS)
 
     n_bytes, n_removed, removed = names
@@ -283,7 +295,7 @@ def remove_matches(
     arrow = to_arrow_schema(schema)
 
     def cut(chunk, table, right):
-        c = _Chosen(table, blob(right["found"]), id_col, text_col, length, buckets)
+        c = _Chosen(table, blob(right["found"]), id_col, text_col, length, indexes)
         mark = np.zeros(len(c.first), np.uint64)
         for b, data in zip(right["bucket"].to_pylist(), right["marks"].to_pylist()):
             if data:
