@@ -34,11 +34,14 @@ def _size(df: DataFrame) -> list[Column]:
     return [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width.cast("long")), F.lit(0)).alias("bytes")]
 
 
-def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    size = df.agg(*_size(df)).first()
+def _fits(size: dict, max_rows: int, max_bytes: int) -> bool:
     return size["rows"] <= max_rows and size["bytes"] <= max_bytes
 
 
+def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    return _fits(df.agg(*_size(df)).first().asDict(), max_rows, max_bytes)
+
+
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Hint a broadcast only after checking that the side really is small.
 
@@ -63,8 +66,7 @@ def broadcast_if_small_result(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_R
 
     obs = Observation()
     stored = materialize(df.observe(obs, *_size(df)))
-    size = obs.get
-    return F.broadcast(stored) if size["rows"] <= max_rows and size["bytes"] <= max_bytes else stored
+    return F.broadcast(stored) if _fits(obs.get, max_rows, max_bytes) else stored
 
 
 def unique_by_key(lookup: DataFrame, keys: Sequence[str], order_by: str | None, payload: Sequence[str]) -> DataFrame:

@@ -37,6 +37,7 @@ from gazetta.operators.names import (
     attach_alternates,
 )
 from gazetta.operators.sets import drop_values, reassign, select_features
+from gazetta.operators.resolve import explode_region_members, resolve_places
 from gazetta.plans.tables import (
     ORPHAN_OWNER,
     ORPHAN_SUFFIXES,
@@ -859,6 +860,31 @@ rows AS (
   WHERE named IS DISTINCT FROM true)
 SELECT CAST(10000 + row_number() OVER (ORDER BY country_id, alt_name) AS INTEGER) AS id, * FROM rows"""
 
+# ---------------------------------------------------------------------------
+# Consumers: customers' names looked up among the names given in orders, and
+# the nations of each region from a comma list.
+# ---------------------------------------------------------------------------
+
+def q_resolve_places(spark: SparkSession, d: str) -> DataFrame:
+    customers = _t(spark, d, "customer").select("c_custkey", "c_name")
+    return resolve_places(customers, "c_name", order_names(spark, d), "place_id")
+
+
+SQL_RESOLVE = f"""WITH {SQL_ORDER_NAMES},
+given AS (SELECT {_sql_clean('alt_name')} AS spelling, list(DISTINCT place_id) AS places FROM names GROUP BY 1)
+SELECT c_custkey, c_name, unnest(coalesce(places, [NULL])) AS candidate, coalesce(len(places), 0)::BIGINT AS candidates
+FROM customer LEFT JOIN given ON spelling = {_sql_clean('c_name')}"""
+
+
+def q_region_members(spark: SparkSession, d: str) -> DataFrame:
+    nations = _t(spark, d, "nation")
+    regions = nations.groupBy(F.col("n_regionkey").alias("region_id")).agg(F.array_join(F.sort_array(F.collect_list("n_name")), ",").alias("members"))
+    countries = nations.select(F.col("n_nationkey").alias("country_id"), F.col("n_name").alias("iso_code"))
+    return explode_region_members(regions, countries)
+
+
+SQL_REGION_MEMBERS = "SELECT n_regionkey AS region_id, n_name AS member, n_nationkey AS country_id FROM nation"
+
 FLAGSHIP = "city_names"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -867,6 +893,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "alt_names_words": q_alt_names_words,
     "latin_only": q_latin_only,
     "alt_names_real_languages": q_alt_names_real_languages,
+    "resolve_places": q_resolve_places,
+    "region_members": q_region_members,
     "exclude_codes": q_exclude_codes,
     "clean_names": q_clean_names,
     "drop_smaller_dups": q_drop_smaller_dups,
@@ -896,6 +924,8 @@ ORACLE: dict[str, str] = {
     "alt_names_words": _sql_alt_names(False, SQL_DOC_WORDS),
     "latin_only": SQL_LATIN_ONLY,
     "alt_names_real_languages": SQL_REAL_LANGUAGES,
+    "resolve_places": SQL_RESOLVE,
+    "region_members": SQL_REGION_MEMBERS,
     "exclude_codes": SQL_EXCLUDE_CODES,
     "clean_names": SQL_CLEAN_NAMES,
     "drop_smaller_dups": SQL_DROP_SMALLER,

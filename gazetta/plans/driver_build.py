@@ -184,7 +184,27 @@ SELECT id, name, disamb_type, CAST(NULL AS INTEGER) AS disamb_id, disamb_code, C
        CAST(NULL AS INTEGER) AS country_id, country_code, CAST(NULL AS VARCHAR) AS country_name, lat, lng, pop
 FROM staged"""
 
+SQL_STEP_COUNTS = SQL_PREFIX + """,
+city_alts AS (SELECT c.id, c.name, c.country_name, a.alt_name FROM alts a JOIN cities c ON c.id = a.id),
+lacking AS (SELECT id, name, country_name FROM city_alts GROUP BY ALL HAVING NOT coalesce(bool_or(alt_name = name), false)),
+city_rows AS (SELECT name, country_name, alt_name FROM city_alts UNION ALL SELECT name, country_name, name FROM lacking),
+rivals AS (SELECT *, count(*) OVER (PARTITION BY country_name, alt_name) AS n FROM city_rows),
+spelled AS (SELECT country_name, bool_or(a.alt_name = country_name) AS named FROM countries_all c JOIN alts a ON a.id = c.id GROUP BY country_name)
+SELECT step, CAST(rows AS BIGINT) AS rows FROM (VALUES
+  ('cities matched to admin 1', (SELECT count(*) FROM city WHERE disamb_type = 'admin1' AND disamb_id IS NOT NULL)),
+  ('cities matched to admin 2', (SELECT count(*) FROM city WHERE disamb_type = 'admin2' AND disamb_id IS NOT NULL)),
+  ('cities deleted: smaller duplicates', (SELECT count(*) FROM city) - (SELECT count(*) FROM largest)),
+  ('cities deleted: smallest id of duplicates', (SELECT count(*) FROM largest) - (SELECT count(*) FROM cities)),
+  ('country names created', (SELECT count(*) FROM alts WHERE id IN (SELECT id FROM countries_all))),
+  ('country names: defaults added', (SELECT count(*) FROM countries_all LEFT JOIN spelled USING (country_name) WHERE named IS DISTINCT FROM true)),
+  ('city names created', (SELECT count(*) FROM city_alts)),
+  ('city names: defaults added', (SELECT count(*) FROM lacking)),
+  ('city names deleted: ambiguous', (SELECT count(*) FROM rivals WHERE n > 1 AND country_name IS NOT NULL AND alt_name <> name)),
+  ('language codes', (SELECT count(*) FROM (SELECT DISTINCT code || code, name FROM lang639)) + (SELECT count(*) FROM lang639))
+) AS t(step, rows)"""
+
 _TABLES = {
+    "gazetteer_step_counts": ("src.step_counts", SQL_STEP_COUNTS),
     "gazetteer_city_names": ("src.city_names", SQL_CITY_NAMES),
     "gazetteer_cities": ("src.cities", SQL_CITIES),
     "gazetteer_alt_names": ("geo.alt_names", SQL_ALT_NAMES),

@@ -16,6 +16,7 @@ and the places chain run concurrently; the two names tables come last.
 
 from __future__ import annotations
 
+import logging
 import os
 import time
 import uuid
@@ -25,20 +26,22 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazetta.operators.keys import assert_unique
+from gazetta.operators.dedup import dedupe_places, drop_ambiguous_alternates, drop_smaller_duplicates
+from gazetta.operators.keys import assert_unique, materialize
 from gazetta.operators.lookup import broadcast_if_bounded
 from gazetta.operators.names import aggregate_alt_names
 from gazetta.plans.tables import (
     CITY_NAMES_FIRST_ID,
     COUNTRY_NAMES_FIRST_ID,
     build_admins,
-    build_city_names,
+    CITY_DUP_KEYS,
     build_countries,
     build_country_names,
     build_lang_codes,
-    curate_cities,
+    complete_city_names,
     curate_countries,
     drop_obsolete_countries,
+    match_cities,
     select_regions,
     stage_cities,
     stage_lang_codes,
@@ -69,10 +72,13 @@ FILES = {
 }
 # -----------------------------------------------------------------------------
 
+log = logging.getLogger("gazetta")
+
 # Every table a run writes, as <schema>.<table>.
 TABLES = (
     "geo.lang_codes", "src.lang_codes", "geo.alt_names", "geo.adm1s", "geo.adm2s", "geo.countries",
     "src.countries", "src.country_names", "geo.cities", "src.cities", "src.city_names", "src.regions",
+    "src.step_counts",
 )
 # Layout of a published output folder.
 RUNS = "runs"
@@ -122,6 +128,7 @@ def build_gazetteer(
     src = lambda k: os.path.join(data_dir, f[k])
     landed = lambda k: os.path.join(root, "_landed", k)
     out: dict[str, DataFrame] = {}
+    steps: dict[str, int] = {}
 
     # Land the seven files first. They are independent, so their jobs are
     # submitted together: the small files' jobs fill the slots that the big
@@ -174,8 +181,16 @@ def build_gazetteer(
         admins = out["geo.adm1s"].select(F.lit("admin1").alias("level"), "id", "code", "name").unionByName(
             out["geo.adm2s"].select(F.lit("admin2").alias("level"), "id", "code", "name")
         )
-        cities = curate_cities(out["geo.cities"], out["src.countries"], admins)
-        out["src.cities"] = write_table(cities, root, "src", "cities")
+        matched = materialize(match_cities(out["geo.cities"], out["src.countries"], admins))
+        keys = list(CITY_DUP_KEYS)
+        out["src.cities"] = write_table(dedupe_places(matched, keys, measure="pop", id_col="id"), root, "src", "cities")
+        tied = matched.where("disamb_id IS NOT NULL").groupBy("disamb_type").count()
+        by_type = {r["disamb_type"]: r["count"] for r in tied.collect()}  # two levels
+        larger = drop_smaller_duplicates(matched, keys, "pop").count()
+        steps.update({
+            "cities matched to admin 1": by_type.get("admin1", 0), "cities matched to admin 2": by_type.get("admin2", 0),
+            "cities deleted: smaller duplicates": matched.count() - larger,
+            "cities deleted: smallest id of duplicates": larger - out["src.cities"].count()})
         # 6. regions
         out["src.regions"] = write_table(select_regions(raw["regions"]), root, "src", "regions")
 
@@ -187,12 +202,25 @@ def build_gazetteer(
 
     alt_names = out["geo.alt_names" if keep_all_alt_names else USED_ALT_NAMES]
     # names of countries (all countries, retired ones dropped afterwards) and cities
-    names = build_country_names(curate_countries(out["geo.countries"]), alt_names)
+    places_of = lambda kind: out[kind].select("id")
+    attached = lambda kind: alt_names.join(places_of(kind), "id", "left_semi").count()
+    names = materialize(build_country_names(curate_countries(out["geo.countries"]), alt_names))
+    steps["country names created"] = attached("geo.countries")
+    steps["country names: defaults added"] = names.count() - steps["country names created"]
     names = with_ids(drop_obsolete_countries(names), ["country_id", "alt_name"], COUNTRY_NAMES_FIRST_ID)
     out["src.country_names"] = write_table(names, root, "src", "country_names")
-    city_names = with_ids(build_city_names(out["src.cities"], alt_names), ["city_id", "alt_name"],
-                          CITY_NAMES_FIRST_ID)
-    out["src.city_names"] = write_table(city_names, root, "src", "city_names")
+    names = materialize(complete_city_names(out["src.cities"], alt_names))
+    clear = drop_ambiguous_alternates(names, "country_name", "alt_name", "city_name")
+    out["src.city_names"] = write_table(with_ids(clear, ["city_id", "alt_name"], CITY_NAMES_FIRST_ID), root, "src", "city_names")
+    completed = names.count()
+    steps["city names created"] = attached("src.cities")
+    steps["city names: defaults added"] = completed - steps["city names created"]
+    steps["city names deleted: ambiguous"] = completed - out["src.city_names"].count()
+    steps["language codes"] = out["src.lang_codes"].count()
+    for step, rows in steps.items():
+        log.info("%s: %d", step, rows)
+    counts = spark.createDataFrame(list(steps.items()), "step string, rows long").coalesce(1)
+    out["src.step_counts"] = write_table(counts, root, "src", "step_counts")
     delete_path(spark, os.path.join(root, "_landed"))
     if publish:
         publish_run(spark, out_dir, run_id, list(out), keep_runs)

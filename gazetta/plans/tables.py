@@ -126,7 +126,12 @@ def stage_cities(raw: DataFrame) -> DataFrame:
 
 
 def curate_cities(staged: DataFrame, countries: DataFrame, admins: DataFrame) -> DataFrame:
-    """Tie cities to their country and area, re-home orphans, remove duplicates.
+    """Tie cities to their country and area, re-home orphans, remove duplicates."""
+    return dedupe_places(match_cities(staged, countries, admins), list(CITY_DUP_KEYS), measure="pop", id_col="id")
+
+
+def match_cities(staged: DataFrame, countries: DataFrame, admins: DataFrame) -> DataFrame:
+    """Cities tied to their country and area, orphans re-homed, duplicates still in.
 
     ``countries`` is the curated table (retired countries already removed);
     ``admins`` holds both levels as ``(level, id, code, name)``.
@@ -150,17 +155,22 @@ def curate_cities(staged: DataFrame, countries: DataFrame, admins: DataFrame) ->
         assignments={"disamb_id": "id", "disamb_name": "name"},
         order_by="id",
     )
-    cities = reassign(cities, "country_code", ORPHAN_SUFFIXES, "disamb_name", ORPHAN_OWNER)
-    return dedupe_places(cities, list(CITY_DUP_KEYS), measure="pop", id_col="id")
+    return reassign(cities, "country_code", ORPHAN_SUFFIXES, "disamb_name", ORPHAN_OWNER)
 
 
-def build_city_names(cities: DataFrame, alt_names: DataFrame, materialize_names: bool = True) -> DataFrame:
+def build_city_names(cities: DataFrame, alt_names: DataFrame) -> DataFrame:
     """``(city_id, city_name, disamb_id, disamb_name, country_id, country_name, alt_name, langlist)``.
 
     Alternates of each city; the city's own name added (NULL language list)
     where a city with alternates lacks it; then, where an alternate occurs
     more than once in a country, only rows where it is the city's own name.
     """
+    # read twice (group counts and the rows themselves)
+    return drop_ambiguous_alternates(materialize(complete_city_names(cities, alt_names)), "country_name", "alt_name", "city_name")
+
+
+def complete_city_names(cities: DataFrame, alt_names: DataFrame) -> DataFrame:
+    """The names of ``build_city_names`` with ambiguous alternates still in."""
     ents = cities.select(
         F.col("id").alias("city_id"),
         F.col("name").alias("city_name"),
@@ -170,10 +180,7 @@ def build_city_names(cities: DataFrame, alt_names: DataFrame, materialize_names:
         "country_name",
     )
     names = attach_alternates(ents, alt_names, entity_id="city_id")
-    names = add_missing_defaults_by_entity(names, list(ents.columns), default_col="city_name")
-    if materialize_names:  # read twice below (group counts and the rows themselves)
-        names = materialize(names)
-    return drop_ambiguous_alternates(names, "country_name", "alt_name", "city_name")
+    return add_missing_defaults_by_entity(names, list(ents.columns), default_col="city_name")
 
 
 def with_ids(names: DataFrame, order_by: Sequence[str], first_id: int) -> DataFrame:

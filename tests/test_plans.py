@@ -2,9 +2,8 @@
 
 import pytest
 
-import __spark_entry__ as entry
 from gazetta.operators.dedup import dedupe_places
-from gazetta.plans import driver
+from gazetta.plans import driver, driver_build
 
 SF = "/root/testdata/sf0.001"
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
@@ -15,9 +14,12 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+QUERIES = {**driver.QUERIES, **driver_build.QUERIES}
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_in_any_query(spark, name):
-    p = plan(entry.queries()[name](spark, SF))
+    p = plan(QUERIES[name](spark, SF))
     assert not any(n in p for n in PYTHON_NODES), p
 
 
