@@ -226,7 +226,7 @@ class _Chosen:
         self.cut = np.searchsorted(bucket[by], np.arange(buckets + 1))
 
 
-SEGMENTS = "bucket int, chunk long, windows binary, id binary, raw binary"
+SEGMENTS = "bucket int, chunk long, gram binary, windows binary, id binary, raw binary"
 MARKS = "chunk long, bucket int, marks binary"
 
 
@@ -237,9 +237,10 @@ def _send(chunk, table, found, id_col, text_col, length, buckets) -> pa.Table:
         i = c.first[c.cut[b]: c.cut[b + 1]]
         if len(i):
             windows = c.all.windows[i]
-            out.append((b, chunk, _zip(windows.astype(np.int32)), _zip(c.id[i]), _zip(c.raw[ranges(c.all.start[i], windows + length - 1)])))
-    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-    return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(list(zip(*out)) or [()] * 5, kinds)], names=[x.split()[0] for x in SEGMENTS.split(", ")])
+            gram = (c.all.gram[i] >> np.uint64(32)).astype(np.uint32)
+            out.append((b, chunk, _zip(gram), _zip(windows.astype(np.int32)), _zip(c.id[i]), _zip(c.raw[ranges(c.all.start[i], windows + length - 1)])))
+    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(list(zip(*out)) or [()] * 6, kinds)], names=[x.split()[0] for x in SEGMENTS.split(", ")])
 
 
 def _mark(length: int):
@@ -255,16 +256,24 @@ def _mark(length: int):
         key, first, where = np.unique(hash_ranges(raw, start, size), return_index=True, return_inverse=True)
         least = np.full(len(key), _NULL_ID)
         np.minimum.at(least, where, ids)
-        index = RunIndex(raw[ranges(start[first], size[first])], size[first], least, length)
+        # A minimizer with one version only: all its strings are in the smallest document.
+        gram = np.concatenate([_unzip(r["gram"], np.uint32) for r in rows])[first]
+        _, group, versions = np.unique(gram, return_inverse=True, return_counts=True)
+        several = versions[group] > 1
         # Bit p of a segment's mark: its string at place p is in a smaller document.
-        marks = np.zeros(len(ids), np.uint64)
-        members = np.argsort(where, kind="stable")
-        count = np.bincount(where, minlength=len(key))
-        at = np.cumsum(count) - count
-        for strings, place, smallest in index.stream():
-            i = members[ranges(at[strings], count[strings])]
-            lower = np.repeat(smallest, count[strings]) < ids[i]
-            marks[i[lower]] |= np.uint64(1) << np.repeat(place, count[strings])[lower].astype(np.uint64)
+        marks = np.where(~several[where] & (ids > least[where]), np.uint64(0xFFFFFFFFFFFFFFFF), np.uint64(0))
+        some = np.flatnonzero(several)
+        if len(some):
+            chosen = first[some]
+            index = RunIndex(raw[ranges(start[chosen], size[chosen])], size[chosen], least[some], length)
+            members = np.argsort(where, kind="stable")
+            count = np.bincount(where, minlength=len(key))
+            at = (np.cumsum(count) - count)[some]
+            count = count[some]
+            for strings, place, smallest in index.stream():
+                i = members[ranges(at[strings], count[strings])]
+                lower = np.repeat(smallest, count[strings]) < ids[i]
+                marks[i[lower]] |= np.uint64(1) << np.repeat(place, count[strings])[lower].astype(np.uint64)
         ends = np.cumsum(per_row)
         return pa.table({"chunk": table["chunk"], "bucket": table["bucket"],
                          "marks": pa.array([_zip(marks[e - n: e]) for e, n in zip(ends, per_row)], pa.binary())})

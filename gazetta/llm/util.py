@@ -14,7 +14,7 @@ import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazetta.session import checkpoint_dir
+from gazetta.session import checkpoint_dir, delete_path
 
 #: The six separators of the word pattern ``[^\x20\x09-\x0D]+``.
 SPACES = " \t\n\x0b\f\r"
@@ -45,9 +45,23 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+_written: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder under the cluster's shared ``spark.checkpoint.dir``."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the folders that this application's operators wrote; their lazy
+    results can't be read any more. Returns how many."""
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        delete_path(spark, path)
+    return len(paths)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
