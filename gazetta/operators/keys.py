@@ -78,10 +78,11 @@ def assign_dense_ids(
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(k) for k in order_by]
+    # Without a number, AQE sizes the ranges by the data.
+    ranges = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
     ranged = (
-        df.repartitionByRange(n, *keys)
+        ranges
         .sortWithinPartitions(*keys)
         .withColumn("__pid", F.spark_partition_id())
         .withColumn("__local", F.monotonically_increasing_id() - F.shiftleft(F.col("__pid").cast("long"), 33))

@@ -21,15 +21,15 @@ from pyspark.sql import DataFrame, SparkSession
 from gazetta.plans.driver import CITY_KEYS, SQL_LANGUAGES, SQL_PSEUDO, _sql_clean, sql_largest, sql_not_first
 from gazetta.plans.dump import CITY_ID_OFFSET, REGION_ID_OFFSET, SQL_LANGUAGE_OF_SOURCE, write_dump
 from gazetta.plans.gazetteer import build_gazetteer, load_gazetteer
-from gazetta.session import checkpoint_dir
+from gazetta.session import checkpoint_dir, modified
 
-_BUILDS: dict[tuple[str, str], str] = {}
+_BUILDS: dict[tuple, str] = {}
 _LOCK = threading.Lock()
 
 
 def _published(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    """Tables of the build over ``d``; built once per session and folder."""
-    key = (spark.conf.get("spark.app.id", ""), d)
+    """Tables of the build over ``d``; built once per session and state of the folder."""
+    key = (spark.conf.get("spark.app.id", ""), d, *(modified(spark, f"{d}/{t}.parquet") for t in ("documents", "customer", "nation", "region", "events")))
     with _LOCK:
         if key not in _BUILDS:
             # scratch space in the shared checkpoint folder

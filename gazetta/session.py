@@ -78,3 +78,9 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     return sorted(x.getPath().getName() for x in store.listStatus(folder)) if store.exists(folder) else []
+
+
+def modified(spark: SparkSession, path: str) -> int:
+    """When a file or folder was last changed."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(target).getModificationTime()
