@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazetta.llm.components import components
-from gazetta.llm.util import Words, fresh, lower_ascii, materialise, mix, read_table, text_bytes, text_slices, window_hashes
+from gazetta.llm.util import Words, few, fresh, lower_ascii, materialise, mix, read_table, text_bytes, text_slices, window_hashes
 
 BANDS, ROWS = 32, 5
 #: Members and shingles of a block of sets (a task holds two blocks).
@@ -204,13 +204,14 @@ def _links(docs: DataFrame, sets: DataFrame, reps: DataFrame, text_col: str, k:
     """(node, root) of the components among representatives."""
     size = 4 * ROWS
     keys = F.array(*(F.xxhash64(F.substring("sig", 1 + size * i, size), F.lit(i)) for i in range(BANDS)))
-    sigs = materialise(sets.join(reps, sets.rid == reps.rep, "left_semi").select("rid", "sig"), "signatures")
+    sigs = materialise(sets.join(few(reps, "representatives"), F.col("rid") == F.col("rep"), "left_semi").select("rid", "sig"), "signatures")
     rows = sigs.select("rid", F.explode(keys).alias("key"))
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     members = materialise(rows.join(shared, "key"), "buckets")
     degrees = materialise(members.groupBy("rid").agg(F.sum("m").alias("degree")), "degrees")
-    sigs = materialise(sigs.join(degrees, "rid", "left_semi"), "signatures")
-    full = materialise(_candidate_sets(docs.join(degrees, "rid", "left_semi"), text_col, k), "candidates")
+    chosen = few(degrees.select("rid"), "members")
+    sigs = materialise(sigs.join(chosen, "rid", "left_semi"), "signatures")
+    full = materialise(_candidate_sets(docs.join(chosen, "rid", "left_semi"), text_col, k), "candidates")
 
     best = F.max(F.struct("degree", (-F.col("rid")).alias("r")))
     center = members.join(degrees, "rid").groupBy("key").agg((-best["r"]).alias("center"))
@@ -249,8 +250,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     if rid != "rid":  # a clashing column of the input goes by another name meanwhile
         docs = docs.withColumnRenamed(next(c for c in columns if c.lower() == "rid"), rid)
     all_rows, found = near_duplicates(docs, id_col, text_col, shingle, threshold)
-    first = found.groupBy("root").agg(F.min_by("rid", F.struct(F.col("id").isNull(), "id", "rid")).alias("rid")).select("rid")
-    kept = all_rows.join(first, "rid", "left_semi").drop("rid")
+    best = F.min_by("rid", F.struct(F.col("id").isNull(), "id", "rid")).alias("best")
+    first = found.groupBy("root").agg(best, F.count(F.lit(1)).alias("n")).where("n > 1").select("root", "best")
+    gone = found.join(first, "root").where("rid <> best").select("rid")
+    kept = all_rows.join(few(gone, "gone"), "rid", "left_anti").drop("rid")
     return kept.toDF(*(c if c != rid else next(x for x in columns if x.lower() == "rid") for c in kept.columns)) if rid != "rid" else kept
 
 

@@ -55,12 +55,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def clear_scratch(spark: SparkSession) -> int:
-    """Delete the folders that this application's operators wrote; their lazy
-    results can't be read any more. Returns how many."""
-    paths = _written.pop(spark.sparkContext.applicationId, [])
+def written(spark: SparkSession) -> list[str]:
+    """The folders that this application's operators wrote so far."""
+    return list(_written.get(spark.sparkContext.applicationId, []))
+
+
+def clear_scratch(spark: SparkSession, paths: list[str] | None = None) -> int:
+    """Delete folders that operators wrote (by default all of this application);
+    lazy results over them can't be read any more. Returns how many."""
+    mine = _written.get(spark.sparkContext.applicationId, [])
+    paths = list(mine) if paths is None else [p for p in paths if p in mine]
     for path in paths:
         delete_path(spark, path)
+        mine.remove(path)
     return len(paths)
 
 
@@ -73,6 +80,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of ids (some 50 bytes each in a hash table) that may be broadcast.
+BROADCAST_IDS = 1_000_000
+
+
+def few(ids: DataFrame, name: str) -> DataFrame:
+    """A one-column table of ids, written; to be broadcast if it has at most
+    ``BROADCAST_IDS`` rows, so that the other side of its join stays in place.
+    Beyond, the planner shuffles both sides."""
+    ids = materialise(ids, name)
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
