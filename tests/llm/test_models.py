@@ -6,7 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
-from conftest import lower, words
+from cases import lower, words
 from pyspark.sql import functions as F
 
 from gazetta.llm import context_mixing, pu_quality, quality_rules

@@ -3,7 +3,7 @@
 import hashlib
 from collections import Counter
 
-from conftest import lower, words
+from cases import lower, words
 from pyspark.sql import functions as F
 
 from gazetta.llm.components import components
