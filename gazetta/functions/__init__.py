@@ -1,19 +0,0 @@
-"""Column-level functions (projections and predicates), all JVM-side."""
-
-from gazetta.functions.text import (  # noqa: F401
-    PSEUDO_LANGUAGES,
-    WHITE_SPACE,
-    clean_name,
-    curly_apostrophe,
-    is_latin_name,
-    language_or_none,
-    not_pseudo_language,
-    empty_if_null,
-    suffix_name,
-    trim_white_space,
-)
-from gazetta.functions.codes import (  # noqa: F401
-    disambiguation,
-    none_to_null,
-    rank_by_threshold,
-)

@@ -29,7 +29,7 @@ from gazetta.operators.dedup import (
     drop_smaller_duplicates,
 )
 from gazetta.operators.keys import assign_dense_ids, materialize
-from gazetta.operators.lookup import broadcast_if_bounded, broadcast_if_small_result, enrich_by_lookup, is_small
+from gazetta.operators.lookup import broadcast_if_small_result, enrich_by_lookup, is_small
 from gazetta.operators.names import (
     add_missing_defaults_by_entity,
     add_missing_defaults_by_name,

@@ -2,7 +2,6 @@
 
 import pytest
 
-from gazetta.operators.dedup import dedupe_places
 from gazetta.plans import driver, driver_build
 
 SF = "/root/testdata/sf0.001"
