@@ -37,9 +37,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from gazetta.llm.chunks import FOUND, HASHES, blob, bucket_count, bucketed, each_chunk, each_chunk_with, recurring, to_chunks
+from gazetta.llm.chunks import HASHES, blob, bucket_count, bucketed, each_chunk, each_chunk_with, recurring, to_chunks
 from gazetta.llm.context_mixing import _unzip, _zip
-from gazetta.llm.util import hash_ranges, materialise, mix, ranges, read_table, text_bytes
+from gazetta.llm.util import hash_ranges, materialise, ranges, read_table, text_bytes
 
 LENGTH = 50
 #: Text bytes behind one bucket of segments: its task sorts their suffixes.
@@ -85,13 +85,11 @@ class RunIndex:
         head = np.flatnonzero(np.concatenate([[True], before[1:] != before[:-1]]))
         self.run_start, self.run_symbol = head, before[head]
         run_size = np.diff(np.concatenate([head, [n]]))
-        smaller = np.concatenate([[0], np.cumsum(np.bincount(before, minlength=257))])[:257]
         by_symbol = np.argsort(self.run_symbol, kind="stable")
         sizes = run_size[by_symbol]
         ahead = np.cumsum(sizes) - sizes  # rows of runs of smaller symbols, and of earlier runs of the same
         self.run_target = np.empty(len(head), np.int64)
         self.run_target[by_symbol] = ahead
-        assert len(smaller) == 257
         #: Suffix-array samples at run ends: (string, place in it).
         last = order[head + run_size - 1]
         self.sample_string, self.sample_place = string[last], last - first[string[last]]
@@ -347,6 +345,3 @@ def op6_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     out = remove_matches(docs)
     return out.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), F.sha2("text", 256).alias("kept_sha256"))
-
-
-__all__ = ["FOUND", "LENGTH", "RunIndex", "Segments", "op6_run_index", "remove_matches"]
