@@ -94,7 +94,7 @@ def write_tokens(
     def run(batches):
         part_id, before = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for part in text_slices(batch, text_col):
+            for part in text_slices(batch, text_col, 2 << 20):
                 ids, size = _tokenizer(data.value).of(*text_bytes(part.column(len(others))))
                 ends = np.cumsum(size)
                 ids = np.insert(ids, ends, end_id)  # one end id after each text's ids
