@@ -29,8 +29,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gazetta.llm.pieces import TextIds, by_match, worker_memory
-from gazetta.llm.util import ranges, read_table, ship, text_bytes, text_slices
+from gazetta.llm.pieces import TextIds, by_match
+from gazetta.llm.util import ranges, read_table, ship, text_bytes, text_slices, worker_memory
 
 LONG = 48
 #: Words and tokens that one query of a worker's database handles.

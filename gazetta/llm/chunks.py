@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gazetta.llm.util import BATCH_BYTES, materialise, text_slices
+from gazetta.llm.util import BATCH_BYTES, forget, materialise, text_slices
 
 #: Text bytes behind one bucket of the exchange (its task holds their hashes).
 BUCKET_BYTES = 32 << 20
@@ -43,6 +43,7 @@ def to_chunks(df: DataFrame, text_col: str, name: str) -> DataFrame:
     """(chunk, bytes, data): written once, so chunk ids are stable."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         n = TaskContext.get().partitionId() << 32
         for batch in batches:
             for part in text_slices(batch, text_col):

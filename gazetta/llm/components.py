@@ -7,16 +7,19 @@ Each step is written to the shared folder; the driver sees two numbers a step.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gazetta.llm.util import materialise
 
 
-def _mark(edges: DataFrame) -> tuple:
-    """Row count and an order-free checksum."""
+def _written(edges: DataFrame, name: str) -> tuple[DataFrame, tuple]:
+    """The edges, written, with their number and an order-free checksum (summed
+    up while they are written)."""
+    seen = Observation()
     low = F.xxhash64("u", "v").bitwiseAND(F.lit((1 << 32) - 1))
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(low)).first())
+    edges = materialise(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(low).alias("sum")), name)
+    return edges, (seen.get["n"], seen.get["sum"])
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -37,11 +40,9 @@ def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (u, v) that is not its own root;
     the root is the smallest node of the component. Self links and repeated
     links are ignored; no links give an empty result."""
-    edges = materialise(links.where("u <> v").select("u", "v").distinct(), "links")
-    before = _mark(edges)
+    edges, before = _written(links.where("u <> v").select("u", "v").distinct(), "links")
     while before[0]:
-        edges = materialise(_small_star(_large_star(edges)), "stars")
-        after = _mark(edges)
+        edges, after = _written(_small_star(_large_star(edges)), "stars")
         if after == before:
             break
         before = after

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from gazetta.llm.util import Words, fresh, lower_ascii, mix, ranges, read_table, ship, text_bytes, text_slices, window_hashes
+from gazetta.llm.util import Words, forget, fresh, lower_ascii, mix, ranges, read_table, ship, text_bytes, text_slices, window_hashes
 
 NGRAM = 3
 SEED_SHARE = 0.75
@@ -191,6 +191,7 @@ def _counts(docs: DataFrame, text_col: str, items, n: int) -> dict[int, int]:
     """Documents that hold each n-gram of a block of items (bounded by the block)."""
 
     def run(batches):
+        forget()
         total = np.zeros(len(items.value.keys), np.int64)
         for batch in batches:
             for part in text_slices(batch, "text"):

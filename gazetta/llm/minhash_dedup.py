@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazetta.llm.components import components
-from gazetta.llm.util import Words, few, fresh, lower_ascii, materialise, mix, read_table, text_bytes, text_slices, window_hashes
+from gazetta.llm.util import Words, few, forget, fresh, lower_ascii, materialise, mix, read_table, text_bytes, text_slices, window_hashes
 
 BANDS, ROWS = 32, 5
 #: Members and shingles of a block of sets (a task holds two blocks).
@@ -72,6 +72,7 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
+        forget()
         for batch in batches:
             for part in text_slices(batch, "text"):
                 n, f1, f2, sig = [], [], [], []
@@ -222,7 +223,10 @@ def _links(docs: DataFrame, sets: DataFrame, reps: DataFrame, text_col: str, k:
     links = materialise(_confirmed(near, full, threshold), "links")
     comps = components(links)
     more = _settled(members, comps, full, threshold)
-    return comps if more is None else components(links.union(materialise(more, "links")))
+    if more is None:
+        return comps
+    # The stars stand for the links that made them.
+    return components(comps.select(F.col("node").alias("u"), F.col("root").alias("v")).union(materialise(more, "links")))
 
 
 def near_duplicates(

@@ -8,9 +8,7 @@ of every distinct match in it, are worked out once and kept in the worker.
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Callable
-from types import SimpleNamespace
 
 import numpy as np
 import regex
@@ -35,12 +33,6 @@ _BEFORE_LETTER[ord("'")] = False
 _MATCH = regex.compile(PATTERN)
 
 
-def worker_memory(key) -> SimpleNamespace:
-    """Things that a Python worker keeps from task to task, by key."""
-    kept = sys.modules.setdefault("_gazetta_worker_memory", SimpleNamespace(by_key={}))
-    return kept.by_key.setdefault(key, SimpleNamespace())
-
-
 def cuts(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(start of each cut, cuts per text)."""
     n = len(raw)

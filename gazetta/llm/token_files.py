@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gazetta.llm.pieces import TextIds, worker_memory
-from gazetta.llm.util import ranges, read_table, scratch_path, ship, text_bytes, text_slices
+from gazetta.llm.pieces import TextIds
+from gazetta.llm.util import ranges, read_table, scratch_path, ship, text_bytes, text_slices, worker_memory
 
 END_ID = 2
 #: Files of an index that is broadcast (one row of two numbers each).

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 import os
+import sys
 import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterator
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -110,6 +113,25 @@ def input_bytes(df: DataFrame, text_col: str) -> int:
     return df.agg(F.sum(F.octet_length(F.col(text_col))).alias("b")).first()["b"] or 0
 
 
+# -- Python workers ---------------------------------------------------------
+
+def _kept() -> dict:
+    return sys.modules.setdefault("_gazetta_worker_memory", SimpleNamespace(by_key={})).by_key
+
+
+def worker_memory(key) -> SimpleNamespace:
+    """Things that a Python worker keeps from task to task, by key."""
+    return _kept().setdefault(key, SimpleNamespace())
+
+
+def forget() -> None:
+    """Drop what operators before kept in this worker (Spark uses workers again
+    and again). Called where an operator begins to read its table."""
+    if _kept():
+        _kept().clear()
+        gc.collect()
+
+
 # -- text batches -----------------------------------------------------------
 
 def text_slices(batch: pa.RecordBatch, text: str, max_bytes: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
