@@ -138,3 +138,39 @@ def test_scores(docs, corpus, empty):
     assert context_mixing.score_texts(empty, learn).count() == 0
     untrained = {r["id"]: r for r in context_mixing.score_texts(docs, F.lit(False)).collect()}
     assert math.isclose(untrained[4]["score"], -8 * 4 * math.log10(2), rel_tol=1e-6)
+
+
+def test_context_counts_are_exact(spark):
+    """Every bit's counts, against a dictionary: no context shares another's, however many there are."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join("".join(rng.choice(list("abcdefghij"), rng.integers(1, 9))) for _ in range(500)) for _ in range(40)]
+    df = spark.createDataFrame([(i, t, i % 4 > 0) for i, t in enumerate(texts)], "id long, text string, learned boolean").repartition(3)
+    chunks = context_mixing.to_chunks(df, "text", "texts")
+    units = context_mixing.each_chunk(chunks, lambda _, t: context_mixing._chunk_units(t, "text", "learned", 8).to_batches(), context_mixing.UNITS)
+    units = units.groupBy("bucket").applyInArrow(context_mixing._merge_units, context_mixing.UNITS)
+    buckets = [context_mixing._counted(r) for r in context_mixing._count_contexts(context_mixing.materialise(units, "units"), 8).collect()]
+
+    def bits(u, i, at):
+        """(key of the bit, bit) for each predictor and bit of a byte."""
+        start, state = at - u.size[:i].sum(), int(u.state[i])
+        unit = u.raw[u.size[:i].sum():][: u.size[i]].tobytes()
+        for k in range(1, 6):
+            seen = (k, unit[max(0, start - k): start], state if start < k else None) if k < 5 else (k, unit[:start], state)
+            byte = f"{unit[start]:08b}"
+            for j in range(8):
+                yield (seen, byte[:j]), int(byte[j])
+
+    want = Counter()
+    for u, _ in buckets:
+        for i, at in ((i, at) for i in range(len(u.size)) for at in range(u.size[:i].sum(), u.size[: i + 1].sum())):
+            if u.count[i]:
+                want.update({x: int(u.count[i]) for x in bits(u, i, at)})
+    unseen = 0
+    for u, counts in buckets:
+        for i in range(0, len(u.size), 7):
+            for at in range(u.size[:i].sum(), u.size[: i + 1].sum()):
+                got = np.concatenate([counts[w[at] * 8: w[at] * 8 + 8] for w in u.where])
+                for n, (key, _) in zip(got.tolist(), bits(u, i, at)):
+                    assert (n & 0xFFFF, n >> 16) == (want[key, 0], want[key, 1])
+                    unseen += n == 0
+    assert unseen
