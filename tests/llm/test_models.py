@@ -174,3 +174,16 @@ def test_context_counts_are_exact(spark):
                     assert (n & 0xFFFF, n >> 16) == (want[key, 0], want[key, 1])
                     unseen += n == 0
     assert unseen
+
+
+def test_counts_beyond_31_bits():
+    """A unit seen more than 2^31 times keeps its counts."""
+    import pyarrow as pa
+
+    seen = (1 << 33) + 5
+    row = context_mixing._pack_units(0, np.frombuffer(b"  x ", np.uint8), np.array([1, 1, 2]), np.array([5, 6, 0]), np.array([seen, seen, 1]))
+    asked = pa.Table.from_batches(context_mixing._ask(1)(context_mixing._unit_rows([row]).to_batches()))
+    counts = context_mixing._unzip(context_mixing._answer(asked)["slots"][0].as_py(), np.uint32)
+    assert ((counts & 0xFFFF) + (counts >> 16) > 0).all()
+    once = context_mixing.bit_counts(np.array([32, 32 + 256], np.uint64), np.array([seen, 1]))
+    assert (np.maximum(once[0] & 0xFFFF, once[0] >> 16) > 1 << 14).all() and (np.maximum(once[1] & 0xFFFF, once[1] >> 16) == 1).all()
