@@ -187,3 +187,14 @@ def test_counts_beyond_31_bits():
     assert ((counts & 0xFFFF) + (counts >> 16) > 0).all()
     once = context_mixing.bit_counts(np.array([32, 32 + 256], np.uint64), np.array([seen, 1]))
     assert (np.maximum(once[0] & 0xFFFF, once[0] >> 16) > 1 << 14).all() and (np.maximum(once[1] & 0xFFFF, once[1] >> 16) == 1).all()
+
+
+def test_map_counts_all_units():
+    """Of small and large buckets alike, every training bit enters the map."""
+    rng = np.random.default_rng(4)
+    for n in (300, 150_000):  # the larger: more than 64 blocks
+        size = rng.integers(1, 15, n)
+        bucket = context_mixing.Bucket(rng.integers(97, 123, size.sum()).astype(np.uint8), size, np.zeros(n, np.int64), rng.integers(0, 4, n))
+        pairs, total = bucket.pairs, bucket.occurrences()
+        seen, ones = context_mixing.Mixer().of(context_mixing.bit_counts(pairs, total).ravel()).count_map(bucket)
+        assert seen.sum() == 8 * (size * bucket.count).sum() and 0 < ones.sum() < seen.sum()
