@@ -4,7 +4,9 @@ Encoding: rows (word, position, token) of the words that a partition holds join
 the merge table; each round of one recursive query contracts each word's
 leftmost pair of minimum rank, until no word has a pair in the table. Words of
 more than ``LONG`` bytes contract all (non-overlapping) occurrences of that
-pair in a round, which gives the same tokens in fewer rounds. A word that is a
+pair in a round, which gives the same tokens in fewer rounds, and their rounds
+change one table in place, so a word of any length takes memory by its length
+(beyond the limit, DuckDB spills to the worker's temp folder). A word that is a
 token itself is that token. Each distinct word of a partition is encoded once.
 Decoding: token rows join the vocabulary, and an ordered aggregate strings the
 bytes together.
@@ -21,6 +23,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import os
+import tempfile
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -52,25 +57,22 @@ WITH RECURSIVE step(w, pos, id, round) AS (
 )
 {_LAST}
 """
-_NEXT = """(SELECT *, lead(id) OVER (PARTITION BY w ORDER BY pos) AS nxt FROM step)"""
-# A run of overlapping occurrences (aaaa) contracts at its 1st, 3rd, ... place.
-ENCODE_LONG = f"""
-WITH RECURSIVE step(w, pos, id, round) AS (
-  SELECT w, pos, id, 0 FROM start
-  UNION ALL
-  SELECT w, n::INTEGER, CASE WHEN here THEN best ELSE id END, round + 1
-  FROM (SELECT *, coalesce(lag(here) OVER (PARTITION BY w ORDER BY n), false) AS gone
-        FROM (SELECT *, hit AND (row_number() OVER (PARTITION BY w, hit, island ORDER BY n)) % 2 = 1 AS here
-              FROM (SELECT *, n - row_number() OVER (PARTITION BY w, hit ORDER BY n) AS island
-                    FROM (SELECT *, rank IS NOT DISTINCT FROM best AS hit
-                          FROM (SELECT s.*, m.rank, row_number() OVER (PARTITION BY s.w ORDER BY s.pos) AS n,
-                                       min(m.rank) OVER (PARTITION BY s.w) AS best
-                                FROM {_NEXT} AS s LEFT JOIN merges AS m ON m.a = s.id AND m.b = s.nxt)
-                          WHERE best IS NOT NULL))))
-  WHERE NOT gone
+# Long words, a round at a time in one table of their present tokens (``pos`` and
+# ``nxt`` count over all words; ``rank``: that of the pair with the next token).
+START_LONG = """CREATE OR REPLACE TABLE step AS SELECT s.w, s.pos, s.id, s.nxt, m.rank
+FROM (SELECT w, pos, id, lead(pos) OVER (PARTITION BY w ORDER BY pos) AS nxt, lead(id) OVER (PARTITION BY w ORDER BY pos) AS after FROM start) AS s
+LEFT JOIN merges AS m ON m.a = s.id AND m.b = s.after"""
+#: Occurrences of each word's pair of minimum rank, and the token after each.
+LEAST_LONG = """SELECT h.pos, h.nxt AS gone, n.nxt AS after, h.rank AS merged
+FROM (SELECT s.* FROM step AS s JOIN (SELECT w, min(rank) AS rank FROM step GROUP BY w) AS best ON best.w = s.w AND best.rank = s.rank) AS h
+JOIN step AS n ON n.pos = h.nxt ORDER BY h.pos"""
+ROUND_LONG = (
+    "UPDATE step SET id = k.merged, nxt = k.after FROM kept AS k WHERE step.pos = k.pos",
+    "DELETE FROM step WHERE pos IN (SELECT gone FROM kept)",
+    """UPDATE step SET rank = x.rank FROM (
+    SELECT s.pos, m.rank FROM (SELECT * FROM step WHERE pos IN (SELECT pos FROM kept) OR nxt IN (SELECT pos FROM kept)) AS s
+    LEFT JOIN step AS n ON n.pos = s.nxt LEFT JOIN merges AS m ON m.a = s.id AND m.b = n.id) AS x WHERE step.pos = x.pos""",
 )
-{_LAST}
-"""
 DECODE = "SELECT doc, string_agg(token, '' ORDER BY pos) AS text FROM tokens JOIN vocab ON vocab.id = tokens.id GROUP BY doc ORDER BY doc"
 
 
@@ -88,7 +90,8 @@ class _Bpe:
         pairs = [(a, b, r) for t, r in self.ranks.items() for i in range(1, len(t))
                  if (a := self.ranks.get(t[:i])) is not None and (b := self.ranks.get(t[i:])) is not None]
         self.byte = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
-        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "150MB", "temp_directory": ""})
+        self.con = duckdb.connect(":memory:", config={
+            "threads": 1, "memory_limit": "150MB", "temp_directory": os.path.join(tempfile.gettempdir(), f"gazetta-duckdb-{uuid.uuid4().hex}")})
         a, b, r = (pa.array(x, pa.int32()) for x in zip(*pairs)) if pairs else (pa.array([], pa.int32()),) * 3
         self._table("merges", {"a": a, "b": b, "rank": r})
         # Bytes as Latin-1 characters: text functions then work byte by byte.
@@ -103,28 +106,47 @@ class _Bpe:
         self.con.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM given")
         self.con.unregister("given")
 
-    def _contract(self, words: list[bytes], sql: str) -> tuple[np.ndarray, np.ndarray]:
+    def _contract(self, words: list[bytes], long: bool) -> tuple[np.ndarray, np.ndarray]:
         size = np.array([len(w) for w in words])
         first = np.cumsum(size) - size
         raw = np.frombuffer(b"".join(words), np.uint8)
         self.con.register("start", pa.table({"w": pa.array(np.repeat(np.arange(len(words)), size), pa.int32()),
-                              "pos": pa.array(np.arange(len(raw)) - np.repeat(first, size), pa.int32()),
+                              "pos": pa.array(np.arange(len(raw)) - (0 if long else np.repeat(first, size)), pa.int32()),
                               "id": pa.array(self.byte[raw], pa.int32())}))
-        out = self.con.sql(sql).fetchnumpy()
+        out = self._rounds() if long else self.con.sql(ENCODE).fetchnumpy()
         return out["id"].astype(np.int32), np.bincount(out["w"], minlength=len(words))
 
+    def _rounds(self) -> dict:
+        """Contracts the long words in ``start``; only the latest round is held."""
+        self.con.execute(START_LONG)
+        while True:
+            hits = self.con.sql(LEAST_LONG).to_arrow_table()
+            if not hits.num_rows:
+                break
+            # A run of overlapping occurrences (aaaa) contracts at its 1st, 3rd, ... place.
+            pos, gone, at = np.asarray(hits["pos"]), np.asarray(hits["gone"]), np.arange(hits.num_rows)
+            head = np.concatenate([[True], pos[1:] != gone[:-1]])
+            self.con.register("kept", hits.filter(pa.array((at - np.maximum.accumulate(np.where(head, at, 0))) % 2 == 0)))
+            self.con.begin()
+            for sql in ROUND_LONG:
+                self.con.execute(sql)
+            self.con.commit()
+        out = self.con.execute("SELECT w, id FROM step ORDER BY pos").fetchnumpy()
+        self.con.execute("DROP TABLE step")
+        return out
+
     def _matches(self, matches: list[str]) -> tuple[np.ndarray, np.ndarray]:
         words = [m.encode() for m in matches]
         whole = np.array([self.ranks.get(w, -1) for w in words], np.int32)
         order = [np.flatnonzero(whole >= 0)]
         parts, sizes = [whole[order[0]]], [np.ones(len(order[0]), np.int64)]
         length = np.array([len(w) for w in words])
-        for sql, some in ((ENCODE, length <= LONG), (ENCODE_LONG, length > LONG)):
+        for long, some in ((False, length <= LONG), (True, length > LONG)):
             at = np.flatnonzero(some & (whole < 0))
             block = np.cumsum(length[at]) // BLOCK_BYTES
             for i in np.unique(block):
                 here = at[block == i]
-                ids, size = self._contract([words[j] for j in here.tolist()], sql)
+                ids, size = self._contract([words[j] for j in here.tolist()], long)
                 order.append(here)
                 parts.append(ids)
                 sizes.append(size)

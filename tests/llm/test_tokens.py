@@ -39,6 +39,18 @@ def test_encode_and_decode(hard):
     assert {r["doc_id"]: bytes(r["decoded"]) for r in back.collect()} == {i: (t or "").encode() for i, t in rows}
 
 
+def test_encode_a_long_run_of_mixed_letters():
+    """A match of 100,000 bytes, among others, stays within the database's memory."""
+    with open(BPE, "rb") as f:
+        data = f.read()
+    rng = np.random.default_rng(8)
+    run = lambda n, letters: "".join(rng.choice(list(letters), n))
+    words = [run(100_000, "acgt"), run(20_000, "abcdefghijklmnopqrstuvwxyz"), "x" * 500, run(60, "ab")]
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_bpe.read_ranks(data), special_tokens={})
+    ids, size = byte_bpe._Bpe(data)._matches(words)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(size)[:-1])] == [library.encode_ordinary(w) for w in words]
+
+
 def test_decode_rejects_unknown_ids(spark):
     with pytest.raises(Exception, match="outside the vocabulary"):
         byte_bpe.decode(spark.createDataFrame([([1, 10**6],)], "ids array<int>"), BPE).collect()
