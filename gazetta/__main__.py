@@ -29,7 +29,7 @@ def main(argv: list[str] | None = None) -> int:
                    help="csv: '\"' quotes fields (default); none: quotes are data")
     p.add_argument("--reduce-alternates", action="store_true",
                    help="aggregate only alternates of known countries and cities (table geo.used_alt_names in place of geo.alt_names)")
-    p.add_argument("--multi-line", action="store_true", help="accept quoted line breaks in the input (one task per file)")
+    p.add_argument("--multi-line", action="store_true", help="accept quoted line breaks in the input")
     p.add_argument("--keep-runs", type=int, help="delete all but so many of the newest published runs")
     p.add_argument("--in-place", action="store_true",
                    help="rebuild the tables in place instead of publishing a new run")

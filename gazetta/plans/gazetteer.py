@@ -50,6 +50,7 @@ from gazetta.plans.tables import (
 from gazetta.session import delete_path, list_names
 from gazetta.sources.geonames import (
     QUOTE_CSV,
+    first_malformed,
     land,
     read_admins,
     read_alt_names,
@@ -119,7 +120,8 @@ def build_gazetteer(
     ids of countries and cities -- the only ones ever used -- so the big
     aggregation only sees rows that matter; the result is the table
     ``geo.used_alt_names`` then, and there is no ``geo.alt_names``.
-    ``multi_line`` accepts quoted line breaks (one task per input file).
+    ``multi_line`` accepts quoted line breaks. A bad record stops the build with
+    an error that names its file and line.
     """
     now = time.time_ns()
     run_id = time.strftime("%Y%m%dT%H%M%S", time.gmtime(now // 10**9)) + f".{now % 10**9:09d}-" + uuid.uuid4().hex[:8]
@@ -144,7 +146,8 @@ def build_gazetteer(
     }
     with ThreadPoolExecutor(max_workers=len(readers)) as pool:
         # The threads keep the caller's job group and local properties.
-        futures = {k: pool.submit(inheritable_thread_target(lambda k=k, r=r: land(r[0](), landed(k), r[1]))) for k, r in readers.items()}
+        place = lambda k, kind: lambda: first_malformed(spark, src(k), kind, quoting, multi_line)
+        futures = {k: pool.submit(inheritable_thread_target(lambda k=k, r=r: land(r[0](), landed(k), r[1], place(k, r[1])))) for k, r in readers.items()}
         raw = {k: f.result() for k, f in futures.items()}
     raw_countries, raw_cities = raw["countries"], raw["cities"]
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "gazetta") -> SparkSession:
@@ -62,6 +63,37 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+_stored: dict[str, list[str]] = {}
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read
+    that copy: several passes see the same rows, read only the columns they
+    need, and nothing is recomputed after a lost executor. The copy stays until
+    ``clear_stored``."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stored-{name}-{uuid.uuid4().hex}"
+    _stored.setdefault(spark.sparkContext.applicationId, []).append(path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def stored_paths(spark: SparkSession) -> list[str]:
+    """The folders that ``stored`` wrote in this application."""
+    return list(_stored.get(spark.sparkContext.applicationId, []))
+
+
+def clear_stored(spark: SparkSession, keep: list[str] | None = None) -> int:
+    """Delete the folders that ``stored`` wrote in this application, but for
+    those in ``keep``; frames over them can't be read any more. Returns how many."""
+    mine = _stored.get(spark.sparkContext.applicationId, [])
+    gone = [p for p in mine if p not in (keep or [])]
+    for path in gone:
+        delete_path(spark, path)
+        mine.remove(path)
+    return len(gone)
+
+
 def _uri(path: str) -> str:
     """The path as Spark reports it."""
     return path if ":" in path.split("/")[0] else "file:" + path

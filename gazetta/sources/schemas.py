@@ -40,6 +40,9 @@ PLACES = _schema(
     ("population", L), ("elevation", L), ("dem", L), ("timezone", S), ("mod_date", S),
 )
 
+# Schema of each kind of file (None: text columns named by the header).
+BY_KIND = {"lang_codes": None, "alt_names": ALT_NAMES, "admins": ADMINS, "countries": COUNTRIES, "places": PLACES}
+
 REQUIRED = {
     "alt_names": ["alternate_name_id", "geoname_id"],
     "admins": ["geonameid"],

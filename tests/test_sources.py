@@ -1,12 +1,15 @@
 """Strict reading of the dump files (first bad row aborts the load)."""
 
 import os
+import random
 
 import pytest
 
 from fixture_dump import place_row
 from gazetta.operators.keys import KeyViolation
-from gazetta.sources.geonames import QUOTE_NONE, land, read_alt_names, read_lang_codes, read_places
+from gazetta.sources.geonames import QUOTE_NONE, first_malformed, land, read_alt_names, read_lang_codes, read_places
+from gazetta.sources.records import numbered_lines, records
+from gazetta.sources.schemas import ALT_NAMES
 
 
 def write(path, lines):
@@ -117,3 +120,121 @@ def test_quoted_line_break(spark, scratch):
     assert [r["alternate_name"] for r in read_alt_names(spark, p, multi_line=True).collect()] == ["X\nY"]
     with pytest.raises(Exception):
         land(read_alt_names(spark, p), os.path.join(scratch, "landed"), "alt_names").collect()
+
+
+@pytest.fixture()
+def cut_finely(spark, monkeypatch):
+    """Files are numbered by small byte ranges, so that a small file has many;
+    what is stored is read as usual."""
+    from gazetta.sources import geonames
+
+    def finely(*args):
+        small = {"spark.sql.files.maxPartitionBytes": "150b", "spark.sql.files.openCostInBytes": "1b"}
+        old = {k: spark.conf.get(k) for k in small}
+        try:
+            for k, v in small.items():
+                spark.conf.set(k, v)
+            return numbered_lines(*args)
+        finally:
+            for k, v in old.items():
+                spark.conf.set(k, v)
+
+    monkeypatch.setattr(geonames, "numbered_lines", finely)
+    return finely
+
+
+def csv_records(text):
+    """Records of a text by the quoting rules, one character at a time."""
+    out, record, state, i = [], "", "start", 0
+    while i < len(text):
+        c = text[i]
+        if state == "quoted":
+            if text[i: i + 2] == '""':
+                record, i = record + '""', i + 2
+                continue
+            state = "plain" if c == '"' else state
+            record += c
+        elif c == "\n":
+            out.append(record)
+            record, state = "", "start"
+        else:
+            state = "quoted" if c == '"' and state == "start" else "start" if c == "\t" else "plain"
+            record += c
+        i += 1
+    return [r[:-1] if r.endswith("\r") else r for r in out + [record][: bool(record)]]
+
+
+def test_records_over_ranges(spark, scratch, cut_finely):
+    rng, expected, ranges = random.Random(3), {}, 0
+    for n in range(12):
+        p = rng.choice([0.02, 0.1, 0.3])
+        text = "".join(rng.choice(["a", "bc", "\t", "\n", "\n", "dé", "\r\n"]) if rng.random() > p else rng.choice(['"', '""', '\t"', '"\t', '"\n', '\n"'])
+                       for _ in range(rng.choice([0, 5, 80, 400])))
+        with open(os.path.join(scratch, f"f{n:02}.txt"), "w", newline="", encoding="utf-8") as fh:
+            fh.write(text + "\n" if text else "")
+        expected[f"f{n:02}.txt"] = [r.rstrip("\r\n") for r in csv_records(text + "\n" if text else "")]
+    lines = cut_finely(spark, scratch)
+    got = {}
+    for r in records(lines).orderBy("file", "block", "at").collect():
+        got.setdefault(os.path.basename(r["file"]), []).append(r["value"].rstrip("\r\n"))
+    assert got == {k: v for k, v in expected.items() if v}
+    assert lines.select("file", "block").distinct().count() > 15  # many tasks
+    assert any("\n" in x for v in got.values() for x in v)
+
+
+def test_a_quote_that_never_closes(spark, scratch, cut_finely):
+    p = write(os.path.join(scratch, "a.txt"), ['1\t"x', *["line"] * 200])
+    with pytest.raises(Exception, match="never closes"):
+        records(cut_finely(spark, p), max_chars=300).collect()
+    with pytest.raises(Exception):
+        land(read_alt_names(spark, p, multi_line=True), os.path.join(scratch, "landed"), "alt_names")
+
+
+def test_multi_line_equals_one_task_read(spark, scratch, cut_finely):
+    rng = random.Random(4)
+    names = [rng.choice(['plain', '"two\nlines"', '"a ""b""\n\n c"', '"tab\there"', 'x"y', '""', '"\r\n"']) for _ in range(300)]
+    rows = [(k, k + 1, "en", n, "", 1, "", "", "", "") for k, n in enumerate(names)]
+    p = write(os.path.join(scratch, "a.txt"), [tsv(r) for r in rows])
+    one = spark.read.options(sep="\t", quote='"', escape='"', multiLine="true").schema(ALT_NAMES).csv(p)
+    many = read_alt_names(spark, p, multi_line=True)
+    key = lambda r: r["alternate_name_id"]
+    assert sorted(many.collect(), key=key) == sorted(one.collect(), key=key)
+
+
+def test_multi_line_keeps_the_line_rules(spark, scratch, cut_finely):
+    good = tsv((1, 2, "en", '"X\nY"', "", "", "", "", "", ""))
+    p = write(os.path.join(scratch, "a.txt"), [good, "", good])
+    assert read_alt_names(spark, p, multi_line=True).count() == 2
+    for i, bad in enumerate(["\t" * 9, good.replace("2", "two")]):
+        q = write(os.path.join(scratch, f"b{i}.txt"), [good, bad, good])
+        with pytest.raises(Exception):
+            land(read_alt_names(spark, q, multi_line=True), os.path.join(scratch, f"landed{i}"), "alt_names")
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_only_the_first_line_of_a_file_is_its_header(spark, scratch, multi_line):
+    head = "ISO 639-3\tISO 639-2\tISO 639-1\tLanguage Name"
+    row = "eng\teng\ten\tEnglish"
+    for n in range(2):
+        write(os.path.join(scratch, f"l{n}.txt"), [head, row, head, row])
+    rows = sorted(tuple(r) for r in read_lang_codes(spark, scratch, multi_line=multi_line).collect())
+    assert rows == sorted([tuple(row.split("\t")), tuple(head.split("\t")), tuple(row.split("\t"))] * 2)
+    write(os.path.join(scratch, "l2.txt"), ["Language Name\tISO 639-3", "x\ty"])
+    with pytest.raises(KeyViolation):
+        read_lang_codes(spark, scratch, multi_line=multi_line)
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_place_of_the_bad_record(spark, scratch, cut_finely, multi_line):
+    good = tsv((1, 2, "en", '"X\nY"' if multi_line else "X", "", "", "", "", "", ""))
+    lines = 2 if multi_line else 1
+    cases = [good + "\textra", tsv(("", 2, "en", "X", "", "", "", "", "", "")), good.replace("1", "one", 1), " ", tsv((1, 2, "en", "X", -1, "", "", "", "", ""))]
+    for n, bad in enumerate(cases[:2] if multi_line else cases):
+        folder = os.path.join(scratch, str(n))
+        os.makedirs(folder)
+        write(os.path.join(folder, "a.txt"), [good] * 30)
+        write(os.path.join(folder, "b.txt"), [*[good] * 40, "", bad, good, bad])
+        with pytest.raises(KeyViolation, match=f"b.txt, line {40 * lines + 2}: "):
+            land(read_alt_names(spark, folder, multi_line=multi_line), os.path.join(scratch, f"landed{n}"), "alt_names",
+                 lambda: first_malformed(spark, folder, "alt_names", multi_line=multi_line))
+    assert first_malformed(spark, os.path.join(folder, "a.txt"), "alt_names", multi_line=multi_line) is None
