@@ -18,9 +18,9 @@ never treated as duplicates -- the behaviour of the SQL original.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,7 +79,10 @@ def _is_int32(df: DataFrame, col: str) -> bool:
     return isinstance(df.schema[col].dataType, (T.IntegerType, T.ShortType, T.ByteType))
 
 
-def dedupe_places(df: DataFrame, keys: Sequence[str], measure: str, id_col: str) -> DataFrame:
+def dedupe_places(
+    df: DataFrame, keys: Sequence[str], measure: str, id_col: str,
+    counted: Observation | None = None, count: Mapping[str, Column] | None = None,
+) -> DataFrame:
     """``drop_smaller_duplicates`` followed by ``drop_min_id_duplicates``, fused.
 
     After the first pass a duplicated group keeps its rows at the maximum
@@ -93,6 +96,10 @@ def dedupe_places(df: DataFrame, keys: Sequence[str], measure: str, id_col: str)
     (measure, id) is packed into one long so the aggregate is a plain
     ``max`` over longs, which runs as a hash aggregate; wider types fall back
     to ``max`` over a struct (sort-based aggregate, same result).
+
+    ``counted`` gets how many rows each pass deletes (``smaller``, ``smallest_id``)
+    and, for each entry of ``count``, how many rows of ``df`` fulfil it: every row
+    is flagged before the filter, in the job that uses the result.
     """
     m, i = F.col(measure), F.col(id_col)
     if _is_int32(df, measure) and _is_int32(df, id_col):
@@ -115,7 +122,12 @@ def dedupe_places(df: DataFrame, keys: Sequence[str], measure: str, id_col: str)
     joined = _join_stats(df, stats, keys)
     at_max = F.coalesce(m == max_measure, F.lit(False))
     second_pass_victim = (hi_id != lo_id) & (i == lo_id)
-    keep = F.col(f"{_PREFIX}n").isNull() | (at_max & ~second_pass_victim)
+    alone = F.col(f"{_PREFIX}n").isNull()
+    keep = alone | (at_max & ~second_pass_victim)
+    if counted is not None:
+        joined = joined.observe(
+            counted, F.count_if(~alone & ~at_max).alias("smaller"), F.count_if(~alone & at_max & second_pass_victim).alias("smallest_id"),
+            *[F.count_if(c).alias(name) for name, c in (count or {}).items()])
     return joined.where(keep).select(*[df[c] for c in df.columns])
 
 

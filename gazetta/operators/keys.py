@@ -7,7 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gazetta.session import checkpoint_dir
+from gazetta.session import checkpoint_dir, stored
+
+
+def fresh(columns: Sequence[str], base: str) -> str:
+    """``base``, lengthened until no column has that name (case-blind)."""
+    taken = {c.lower() for c in columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
 
 
 class KeyViolation(ValueError):
@@ -65,35 +73,26 @@ def assign_dense_ids(
     numbering deterministic and so safe to recompute after a lost executor.
 
     Not a global ``row_number()`` window -- that sorts everything in one
-    task. Instead: range-partition on the key and sort within partitions;
-    number rows inside each partition (``monotonically_increasing_id`` minus
-    the partition's base); count rows per partition (one row per partition,
-    so bounded by the partition count) and turn the counts into offsets with
-    a running sum over that tiny table; broadcast the offsets back.
-
-    The range bounds come from sampling, and two plans that prune columns
-    differently sample differently; so the numbered rows are written once
-    with a reliable ``checkpoint()`` (into the shared ``spark.checkpoint.dir``)
-    and both the counts and the ids are read from that one copy.
+    task. Instead: range-partition on the key, sort within partitions and write
+    that once as Parquet (``stored``; range bounds come from sampling, so a
+    second pass over the plan could cut elsewhere). Files follow each other by
+    their number, so a row's id is the rows of the files before it plus its
+    index in its file. Both come from the files themselves: counts from the
+    footers, the index from the reader. The offsets (one row a file) are a
+    running sum over that tiny table, broadcast to the scan, so the rows are
+    neither cached nor copied with extra columns, and a query reads only the
+    columns it needs.
     """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
     keys = [F.col(k) for k in order_by]
     # Without a number, AQE sizes the ranges by the data.
     ranges = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
-    ranged = (
-        ranges
-        .sortWithinPartitions(*keys)
-        .withColumn("__pid", F.spark_partition_id())
-        .withColumn("__local", F.monotonically_increasing_id() - F.shiftleft(F.col("__pid").cast("long"), 33))
-        .checkpoint(eager=True)
-    )
-    counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"))
-    offsets = counts.select(
-        "__pid",
-        (F.sum("__cnt").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1))).alias("__off"),
-    ).fillna(0, subset=["__off"])
-    with_ids = ranged.join(F.broadcast(offsets), "__pid").withColumn(
-        id_col, (F.col("__off") + F.col("__local") + F.lit(start)).cast("long")
-    )
-    return with_ids.drop("__pid", "__local", "__off")
+    files = stored(ranges.sortWithinPartitions(*keys), "ranges")
+    name, first = (fresh(df.columns, x) for x in ("__file", "__first"))
+    number = lambda pattern: F.regexp_extract(name, pattern, 1).cast("long")
+    counts = files.select(F.col("_metadata.file_name").alias(name)).groupBy(name).agg(F.count(F.lit(1)).alias("n"))
+    in_order = Window.orderBy(number(r"^part-(\d+)"), number(r"-c(\d+)")).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(name, F.coalesce(F.sum("n").over(in_order), F.lit(0)).alias(first))
+    rows = files.select(*df.columns, F.col("_metadata.file_name").alias(name), F.col("_metadata.row_index").alias(fresh(df.columns, "__row")))
+    numbered = rows.join(F.broadcast(offsets), name)
+    ident = (F.col(first) + F.col(fresh(df.columns, "__row")) + F.lit(start)).cast("long").alias(id_col)
+    return numbered.select(*[ident if c == id_col else F.col(f"`{c}`") for c in df.columns], *([] if id_col in df.columns else [ident]))

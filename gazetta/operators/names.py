@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gazetta.functions.text import (
@@ -14,6 +14,7 @@ from gazetta.functions.text import (
     language_or_none,
     not_pseudo_language,
 )
+from gazetta.operators.keys import fresh
 from gazetta.operators.lookup import broadcast_if_bounded, broadcast_if_small_result
 
 # ISO 639-1 codes are two letters, so a table unique on them has at most
@@ -134,6 +135,7 @@ def add_missing_defaults_by_entity(
     default_col: str,
     alt_col: str = "alt_name",
     langlist_col: str = "langlist",
+    counted: Observation | None = None,
 ) -> DataFrame:
     """Append a default-name row for every entity lacking one among its names.
 
@@ -145,6 +147,7 @@ def add_missing_defaults_by_entity(
 
     One aggregation per entity with a boolean OR, partially aggregated
     map-side, replaces the self anti-join + distinct of a SQL formulation.
+    ``counted`` gets the rows ``created`` (there before) and ``added``.
     """
     has_default = F.max(F.coalesce(F.col(default_col) == F.col(alt_col), F.lit(False))).alias("__has")
     missing = (
@@ -153,7 +156,16 @@ def add_missing_defaults_by_entity(
         .where(~F.col("__has"))
         .select(*entity_cols, F.col(default_col).alias(alt_col), F.lit(None).cast("string").alias(langlist_col))
     )
-    return names.unionByName(missing.select(*names.columns))
+    return _completed(names, missing.select(*names.columns), counted)
+
+
+def _completed(names: DataFrame, added: DataFrame, counted: Observation | None) -> DataFrame:
+    """Both, their rows counted on the way if asked for."""
+    if counted is None:
+        return names.unionByName(added, allowMissingColumns=True)
+    flag = fresh(names.columns, "__added")
+    both = names.withColumn(flag, F.lit(False)).unionByName(added.withColumn(flag, F.lit(True)), allowMissingColumns=True)
+    return both.observe(counted, F.count_if(~F.col(flag)).alias("created"), F.count_if(F.col(flag)).alias("added")).drop(flag)
 
 
 def add_missing_defaults_by_name(
@@ -166,13 +178,15 @@ def add_missing_defaults_by_name(
     alt_col: str = "alt_name",
     langlist_col: str = "langlist",
     langlist_value: str | None = "",
+    counted: Observation | None = None,
 ) -> DataFrame:
     """Append a default-name row for every entity whose name is not an alternate.
 
     'Country mode': driven by the entity table, so an entity with no
     alternates at all gets its default too; matched on the entity *name*
     (``names.name_col = names.alt_col`` rows), and the appended row carries
-    ``langlist_value`` (``''`` in the reference behaviour).
+    ``langlist_value`` (``''`` in the reference behaviour). ``counted`` gets the
+    rows ``created`` (there before) and ``added``.
     """
     own = names.where(F.col(name_col) == F.col(alt_col)).select(F.col(name_col).alias("__own")).distinct()
     # at most one row per entity name: computed once, broadcast when small
@@ -184,4 +198,4 @@ def add_missing_defaults_by_name(
         F.col(entity_name).alias(alt_col),
         F.lit(langlist_value).cast("string").alias(langlist_col),
     )
-    return names.unionByName(added, allowMissingColumns=True)
+    return _completed(names, added, counted)

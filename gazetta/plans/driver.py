@@ -8,10 +8,12 @@ twin SQL statement for the DuckDB oracle with the same column names.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gazetta.functions.codes import disambiguation, none_to_null
 from gazetta.functions.text import (
@@ -52,6 +54,9 @@ from gazetta.plans.tables import (
     stage_lang_codes,
     with_ids,
 )
+from gazetta.session import checkpoint_dir
+from gazetta.sources.geonames import malformed_records, read_tsv
+from gazetta.sources.layout import find_names, write_clustered, write_name_index
 
 # --- fixed values for the driver queries ------------------------------------
 # Language lookup used to label alternate names in these queries.
@@ -390,14 +395,9 @@ def q_drop_ambiguous(spark: SparkSession, d: str) -> DataFrame:
     return drop_ambiguous_alternates(part_names(spark, d), "scope", "alt_name", "default_name")
 
 
-SQL_DROP_AMBIGUOUS = """WITH n AS (
-  SELECT p_partkey AS id, NULLIF(p_brand, 'Brand#1') AS scope, p_name AS alt_name, p_name AS default_name
-  FROM part
-  UNION ALL
-  SELECT p_partkey, NULLIF(p_brand, 'Brand#1'), p_type, p_name FROM part),
-d AS (SELECT scope, alt_name FROM n GROUP BY scope, alt_name HAVING count(*) > 1)
-SELECT n.* FROM n WHERE NOT EXISTS (
-  SELECT 1 FROM d WHERE d.scope = n.scope AND d.alt_name = n.alt_name AND d.alt_name <> n.default_name)"""
+SQL_DROP_AMBIGUOUS = """SELECT * FROM (
+  SELECT p_partkey AS id, NULLIF(p_brand, 'Brand#1') AS scope, unnest([p_name, p_type]) AS alt_name, p_name AS default_name FROM part)
+QUALIFY scope IS NULL OR alt_name IS NULL OR coalesce(alt_name = default_name, true) OR count(*) OVER (PARTITION BY scope, alt_name) = 1"""
 
 
 # ---------------------------------------------------------------------------
@@ -885,6 +885,81 @@ def q_region_members(spark: SparkSession, d: str) -> DataFrame:
 
 SQL_REGION_MEMBERS = "SELECT n_regionkey AS region_id, n_name AS member, n_nationkey AS country_id FROM nation"
 
+# ---------------------------------------------------------------------------
+# Files and layouts: document texts as quoted fields over many lines, bad
+# records in a file of orders, names by an index, alternates by their cluster.
+# ---------------------------------------------------------------------------
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def q_quoted_line_breaks(spark: SparkSession, d: str) -> DataFrame:
+    """Every document written as a record of a tab-separated file, its whole text
+    a quoted field over as many lines as it has, and read back by byte ranges."""
+    path = _scratch(spark, "quoted")
+    docs = _t(spark, d, "documents").select("doc_id", "lang", "source", "text")
+    docs.write.options(sep="\t", quote='"', escape='"', emptyValue="", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(path)
+    schema = T.StructType([docs.schema[c] for c in docs.columns])
+    read = read_tsv(spark, path, schema, multi_line=True)
+    lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    return read.select("doc_id", "lang", "source", "text", lines.cast("long").alias("lines"))
+
+
+SQL_QUOTED = """SELECT doc_id, NULLIF(lang, '') AS lang, NULLIF(source, '') AS source, NULLIF(text, '') AS text,
+       CAST(length(text) - length(replace(text, chr(10), '')) + 1 AS BIGINT) AS lines FROM documents
+"""
+
+
+def q_malformed_records(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as dump lines with a customer, a status code and a price; urgent
+    orders have a word for the price, finished ones a field too many, and orders
+    of middle priority no customer. Every bad record, with what is wrong."""
+    path = _scratch(spark, "malformed")
+    price = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("free")).otherwise(F.col("o_totalprice").cast("string"))
+    customer = F.when(F.col("o_orderpriority") != "3-MEDIUM", F.col("o_custkey").cast("string")).otherwise("")
+    extra = F.when(F.col("o_orderstatus") == "F", F.lit("\textra")).otherwise("")
+    lines = _t(spark, d, "orders").select(F.concat(F.concat_ws("\t", F.col("o_orderkey").cast("string"), customer, "o_orderstatus", price), extra).alias("value"))
+    lines.write.text(path)
+    schema = T.StructType.fromDDL("order_id long, customer_id long, status string, price double")
+    bad = malformed_records(spark, path, schema, required=["customer_id"])
+    return bad.select(F.split("record", "\t")[0].cast("long").alias("order_id"), "reason", (F.col("line") > 0).alias("placed"))
+
+
+SQL_MALFORMED = """SELECT o_orderkey AS order_id,
+  CASE WHEN o_orderstatus = 'F' THEN 'wrong number of fields, or not a number'
+       WHEN o_orderpriority = '1-URGENT' THEN 'not a number in price'
+       ELSE 'no customer_id' END AS reason, true AS placed
+FROM orders WHERE o_orderstatus = 'F' OR o_orderpriority IN ('1-URGENT', '3-MEDIUM')"""
+
+
+def q_find_names(spark: SparkSession, d: str) -> DataFrame:
+    """The names of parts and of their types, indexed; the name of the smallest
+    part of each brand looked up."""
+    part = _t(spark, d, "part")
+    names = part_names(spark, d).select("id", "alt_name")
+    index = write_name_index(names, _scratch(spark, "name-index"))
+    smallest = part.groupBy("p_brand").agg(F.min(F.struct("p_size", "p_partkey", "p_name")).alias("s")).select(F.concat(F.lit(" "), "s.p_name").alias("text"))
+    return find_names(index, smallest, "text")
+
+
+SQL_FIND_NAMES = f"""WITH smallest AS (SELECT ' ' || p_name AS text FROM part QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY p_size, p_partkey) = 1)
+SELECT id, alt_name FROM (SELECT p_partkey AS id, unnest([p_name, p_type]) AS alt_name FROM part)
+WHERE {_sql_clean('alt_name')} IN (SELECT {_sql_clean('text')} FROM smallest)"""
+
+
+def q_attach_clustered(spark: SparkSession, d: str) -> DataFrame:
+    """``attach_alternates`` over alternates stored by clusters of their id, the
+    documents too many to broadcast: only they are exchanged."""
+    alts = write_clustered(aggregate_alt_names(doc_line_alternates(spark, d), _languages(spark)), _scratch(spark, "clustered"),
+                           ["id"], 8, ["id", "alt_name"])
+    docs = _t(spark, d, "documents").select("doc_id", "source")
+    return attach_alternates(docs, alts, entity_id="doc_id", max_broadcast_rows=0)
+
+
+SQL_ATTACH_CLUSTERED = f"""WITH alts AS ({_sql_alt_names(True)})
+SELECT doc_id, source, alt_name, langs AS langlist FROM documents JOIN alts ON doc_id = id"""
+
 FLAGSHIP = "city_names"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -916,9 +991,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "city_names": q_city_names,
     "curate_cities": q_curate_cities,
     "country_names": q_country_names,
+    "quoted_line_breaks": q_quoted_line_breaks,
+    "malformed_records": q_malformed_records,
+    "find_names": q_find_names,
+    "attach_clustered": q_attach_clustered,
 }
 
 ORACLE: dict[str, str] = {
+    "quoted_line_breaks": SQL_QUOTED,
+    "malformed_records": SQL_MALFORMED,
+    "find_names": SQL_FIND_NAMES,
+    "attach_clustered": SQL_ATTACH_CLUSTERED,
     "alt_names": _sql_alt_names(True),
     "alt_names_all_scripts": _sql_alt_names(False),
     "alt_names_words": _sql_alt_names(False, SQL_DOC_WORDS),

@@ -20,14 +20,16 @@ import logging
 import os
 import time
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from gazetta.operators.dedup import dedupe_places, drop_ambiguous_alternates, drop_smaller_duplicates
-from gazetta.operators.keys import assert_unique, materialize
+from gazetta.operators.dedup import dedupe_places, drop_ambiguous_alternates
+from gazetta.operators.keys import assert_unique
 from gazetta.operators.lookup import broadcast_if_bounded
 from gazetta.operators.names import aggregate_alt_names
 from gazetta.plans.tables import (
@@ -47,7 +49,7 @@ from gazetta.plans.tables import (
     stage_lang_codes,
     with_ids,
 )
-from gazetta.session import delete_path, list_names
+from gazetta.session import delete_path, list_names, stored, stored_in
 from gazetta.sources.geonames import (
     QUOTE_CSV,
     first_malformed,
@@ -59,6 +61,7 @@ from gazetta.sources.geonames import (
     read_places,
     write_table,
 )
+from gazetta.sources.layout import in_order, is_clustered, read_clustered, write_clustered, write_name_index
 
 # --- fixed values -----------------------------------------------------------
 # File names of the dump, as published.
@@ -103,6 +106,8 @@ def build_gazetteer(
     publish: bool = True,
     multi_line: bool = False,
     keep_runs: int | None = None,
+    alternate_buckets: int | None = None,
+    index_names: bool = False,
 ) -> dict[str, DataFrame]:
     """Build every table; return them (re-read from where they were written) by name.
 
@@ -120,6 +125,10 @@ def build_gazetteer(
     ids of countries and cities -- the only ones ever used -- so the big
     aggregation only sees rows that matter; the result is the table
     ``geo.used_alt_names`` then, and there is no ``geo.alt_names``.
+    ``alternate_buckets`` clusters the alternates by id into so many buckets,
+    sorted by id and name: a later join on the id with a large table of places
+    leaves them where they are. ``index_names`` also writes the city names by
+    name (``src.city_names_by_name``), for lookups of few names.
     ``multi_line`` accepts quoted line breaks. A bad record stops the build with
     an error that names its file and line.
     """
@@ -129,104 +138,120 @@ def build_gazetteer(
     f = {**FILES, **(files or {})}
     src = lambda k: os.path.join(data_dir, f[k])
     landed = lambda k: os.path.join(root, "_landed", k)
+    with stored_in(os.path.join(root, "_landed")):  # goes with the landed files
+        out = _build(spark, src, root, landed, include_nonlatin, quoting, keep_all_alt_names, multi_line, alternate_buckets, index_names)
+    delete_path(spark, os.path.join(root, "_landed"))
+    if publish:
+        publish_run(spark, out_dir, run_id, list(out), keep_runs)
+    return out
+
+
+def _together(tasks: dict[str, Callable[[], object]]) -> dict[str, object]:
+    """Run independent jobs at the same time, with the caller's job group, local
+    properties and scratch folder; the first error of any is raised."""
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        futures = {k: pool.submit(copy_context().run, inheritable_thread_target(f)) for k, f in tasks.items()}
+        return {k: f.result() for k, f in futures.items()}
+
+
+def _build(
+    spark: SparkSession, src: Callable[[str], str], root: str, landed: Callable[[str], str],
+    include_nonlatin: bool, quoting: str, keep_all_alt_names: bool, multi_line: bool, alternate_buckets: int | None, index_names: bool,
+) -> dict[str, DataFrame]:
+    """Every table of a run, written under ``root``. Steps are counted on the
+    writes (``Observation``); no job only counts."""
     out: dict[str, DataFrame] = {}
-    steps: dict[str, int] = {}
+    rows: dict[str, int] = {}
+
+    def write(df: DataFrame, table: str, save: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
+        out[table] = write_table(df, root, *table.split("."), rows, save)
+        return out[table]
 
     # Land the seven files first. They are independent, so their jobs are
     # submitted together: the small files' jobs fill the slots that the big
     # alternate-name file leaves free instead of queueing behind it.
     readers = {
-        "lang_codes": (lambda: read_lang_codes(spark, src("lang_codes"), quoting, multi_line), "lang_codes"),
-        "alt_names": (lambda: read_alt_names(spark, src("alt_names"), quoting, multi_line), "alt_names"),
-        "admin1": (lambda: read_admins(spark, src("admin1"), quoting, multi_line), "admins"),
-        "admin2": (lambda: read_admins(spark, src("admin2"), quoting, multi_line), "admins"),
-        "countries": (lambda: read_countries(spark, src("countries"), quoting, multi_line), "countries"),
-        "cities": (lambda: read_places(spark, src("cities"), quoting, multi_line), "places"),
-        "regions": (lambda: read_places(spark, src("regions"), quoting, multi_line), "places"),
+        "lang_codes": (read_lang_codes, "lang_codes"), "admin1": (read_admins, "admins"), "admin2": (read_admins, "admins"),
+        "countries": (read_countries, "countries"), "cities": (read_places, "places"), "regions": (read_places, "places"),
+        "alt_names": (read_alt_names, "alt_names"),
     }
-    with ThreadPoolExecutor(max_workers=len(readers)) as pool:
-        # The threads keep the caller's job group and local properties.
-        place = lambda k, kind: lambda: first_malformed(spark, src(k), kind, quoting, multi_line)
-        futures = {k: pool.submit(inheritable_thread_target(lambda k=k, r=r: land(r[0](), landed(k), r[1], place(k, r[1])))) for k, r in readers.items()}
-        raw = {k: f.result() for k, f in futures.items()}
-    raw_countries, raw_cities = raw["countries"], raw["cities"]
+    place = lambda k, kind: lambda: first_malformed(spark, src(k), kind, quoting, multi_line)
+    raw = _together({
+        k: lambda k=k, read=read, kind=kind: land(read(spark, src(k), quoting, multi_line), landed(k), kind, place(k, kind))
+        for k, (read, kind) in readers.items()})
 
     def languages_and_alternates() -> None:
-        # 1. languages
-        out["geo.lang_codes"] = write_table(stage_lang_codes(raw["lang_codes"]), root, "geo", "lang_codes")
-        out["src.lang_codes"] = write_table(build_lang_codes(out["geo.lang_codes"]), root, "src", "lang_codes")
-        assert_unique(out["src.lang_codes"], ["code"], "src.lang_codes")
-        # 2. alternates
+        write(stage_lang_codes(raw["lang_codes"]), "geo.lang_codes")
+        write(in_order(build_lang_codes(out["geo.lang_codes"]), ["code", "code_type", "name"]), "src.lang_codes")
         raw_alt = raw["alt_names"]
         if not keep_all_alt_names:
-            used = raw_countries.select(F.col("geonameid").alias("__id")).unionByName(
-                raw_cities.select(F.col("geonameid").alias("__id"))
+            used = raw["countries"].select(F.col("geonameid").alias("__id")).unionByName(
+                raw["cities"].select(F.col("geonameid").alias("__id"))
             )
             used = broadcast_if_bounded(used, SEMI_JOIN_BROADCAST_ROWS)
             raw_alt = raw_alt.join(used, raw_alt["geoname_id"] == used["__id"], "left_semi")
         alt = aggregate_alt_names(raw_alt, out["src.lang_codes"], latin_only=not include_nonlatin)
         alt = alt.select(F.col("id").cast("int").alias("id"), "alt_name", "langs")
-        name = "geo.alt_names" if keep_all_alt_names else USED_ALT_NAMES
-        out[name] = write_table(alt, root, *name.split("."))
+        clustered = (lambda df, path: write_clustered(df, path, ["id"], alternate_buckets, ["id", "alt_name"])) if alternate_buckets else None
+        write(alt, "geo.alt_names" if keep_all_alt_names else USED_ALT_NAMES, clustered)
+
+    cities_counted = Observation()
 
     def places() -> None:
-        # 3. admin areas
-        out["geo.adm1s"] = write_table(build_admins(raw["admin1"]), root, "geo", "adm1s")
-        out["geo.adm2s"] = write_table(build_admins(raw["admin2"]), root, "geo", "adm2s")
-        # 4. countries
-        out["geo.countries"] = write_table(build_countries(raw_countries), root, "geo", "countries")
-        assert_unique(out["geo.countries"], ["id"], "geo.countries")
-        out["src.countries"] = write_table(
-            drop_obsolete_countries(curate_countries(out["geo.countries"])), root, "src", "countries")
-        # 5. cities
-        out["geo.cities"] = write_table(stage_cities(raw_cities), root, "geo", "cities")
-        assert_unique(out["geo.cities"], ["id"], "geo.cities")
+        _together({
+            "adm1s": lambda: write(build_admins(raw["admin1"]), "geo.adm1s"),
+            "adm2s": lambda: write(build_admins(raw["admin2"]), "geo.adm2s"),
+            "countries": lambda: write(in_order(drop_obsolete_countries(curate_countries(
+                write(build_countries(raw["countries"]), "geo.countries"))), ["country_name", "id"]), "src.countries"),
+            "cities": lambda: write(stage_cities(raw["cities"]), "geo.cities"),
+        })
         admins = out["geo.adm1s"].select(F.lit("admin1").alias("level"), "id", "code", "name").unionByName(
             out["geo.adm2s"].select(F.lit("admin2").alias("level"), "id", "code", "name")
         )
-        matched = materialize(match_cities(out["geo.cities"], out["src.countries"], admins))
-        keys = list(CITY_DUP_KEYS)
-        out["src.cities"] = write_table(dedupe_places(matched, keys, measure="pop", id_col="id"), root, "src", "cities")
-        tied = matched.where("disamb_id IS NOT NULL").groupBy("disamb_type").count()
-        by_type = {r["disamb_type"]: r["count"] for r in tied.collect()}  # two levels
-        larger = drop_smaller_duplicates(matched, keys, "pop").count()
-        steps.update({
-            "cities matched to admin 1": by_type.get("admin1", 0), "cities matched to admin 2": by_type.get("admin2", 0),
-            "cities deleted: smaller duplicates": matched.count() - larger,
-            "cities deleted: smallest id of duplicates": larger - out["src.cities"].count()})
-        # 6. regions
-        out["src.regions"] = write_table(select_regions(raw["regions"]), root, "src", "regions")
-
-    # The alternate names and the places do not depend on each other: run both
-    # chains at once; the names tables below need both.
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        for fut in [pool.submit(inheritable_thread_target(languages_and_alternates)), pool.submit(inheritable_thread_target(places))]:
-            fut.result()
+        matched = stored(match_cities(out["geo.cities"], out["src.countries"], admins), "cities")
+        tied = lambda level: (F.col("disamb_type") == level) & F.col("disamb_id").isNotNull()
+        curated = dedupe_places(matched, list(CITY_DUP_KEYS), "pop", "id", cities_counted,
+                                {"admin1": F.coalesce(tied("admin1"), F.lit(False)), "admin2": F.coalesce(tied("admin2"), F.lit(False))})
+        write(curated, "src.cities")
 
+    # The alternate names, the places and the regions do not depend on each
+    # other; the names tables need the first two.
+    _together({"alternates": languages_and_alternates, "places": places,
+               "regions": lambda: write(select_regions(raw["regions"]), "src.regions")})
     alt_names = out["geo.alt_names" if keep_all_alt_names else USED_ALT_NAMES]
-    # names of countries (all countries, retired ones dropped afterwards) and cities
-    places_of = lambda kind: out[kind].select("id")
-    attached = lambda kind: alt_names.join(places_of(kind), "id", "left_semi").count()
-    names = materialize(build_country_names(curate_countries(out["geo.countries"]), alt_names))
-    steps["country names created"] = attached("geo.countries")
-    steps["country names: defaults added"] = names.count() - steps["country names created"]
-    names = with_ids(drop_obsolete_countries(names), ["country_id", "alt_name"], COUNTRY_NAMES_FIRST_ID)
-    out["src.country_names"] = write_table(names, root, "src", "country_names")
-    names = materialize(complete_city_names(out["src.cities"], alt_names))
-    clear = drop_ambiguous_alternates(names, "country_name", "alt_name", "city_name")
-    out["src.city_names"] = write_table(with_ids(clear, ["city_id", "alt_name"], CITY_NAMES_FIRST_ID), root, "src", "city_names")
-    completed = names.count()
-    steps["city names created"] = attached("src.cities")
-    steps["city names: defaults added"] = completed - steps["city names created"]
-    steps["city names deleted: ambiguous"] = completed - out["src.city_names"].count()
-    steps["language codes"] = out["src.lang_codes"].count()
-    for step, rows in steps.items():
-        log.info("%s: %d", step, rows)
-    counts = spark.createDataFrame(list(steps.items()), "step string, rows long").coalesce(1)
-    out["src.step_counts"] = write_table(counts, root, "src", "step_counts")
-    delete_path(spark, os.path.join(root, "_landed"))
-    if publish:
-        publish_run(spark, out_dir, run_id, list(out), keep_runs)
+    countries_named, cities_named = Observation(), Observation()
+
+    def country_names() -> None:
+        # names of all countries; retired ones are dropped afterwards
+        names = stored(build_country_names(curate_countries(out["geo.countries"]), alt_names, countries_named), "country-names")
+        write(with_ids(drop_obsolete_countries(names), ["country_id", "alt_name"], COUNTRY_NAMES_FIRST_ID), "src.country_names")
+
+    def city_names() -> None:
+        names = stored(complete_city_names(out["src.cities"], alt_names, cities_named), "city-names")
+        clear = drop_ambiguous_alternates(names, "country_name", "alt_name", "city_name")
+        write(with_ids(clear, ["city_id", "alt_name"], CITY_NAMES_FIRST_ID), "src.city_names")
+        if index_names:
+            write(out["src.city_names"], "src.city_names_by_name", write_name_index)
+
+    _together({
+        "country names": country_names, "city names": city_names,
+        "languages": lambda: assert_unique(out["src.lang_codes"], ["code"], "src.lang_codes"),
+        "countries": lambda: assert_unique(out["geo.countries"], ["id"], "geo.countries"),
+        "cities": lambda: assert_unique(out["geo.cities"], ["id"], "geo.cities"),
+    })
+    city, named, c_named = cities_counted.get, cities_named.get, countries_named.get
+    steps = {
+        "cities matched to admin 1": city["admin1"], "cities matched to admin 2": city["admin2"],
+        "cities deleted: smaller duplicates": city["smaller"], "cities deleted: smallest id of duplicates": city["smallest_id"],
+        "country names created": c_named["created"], "country names: defaults added": c_named["added"],
+        "city names created": named["created"], "city names: defaults added": named["added"],
+        "city names deleted: ambiguous": named["created"] + named["added"] - rows["src.city_names"],
+        "language codes": rows["src.lang_codes"],
+    }
+    for step, n in steps.items():
+        log.info("%s: %d", step, n)
+    pairs = F.array(*[F.struct(F.lit(step).alias("step"), F.lit(n).cast("long").alias("rows")) for step, n in steps.items()])
+    write(spark.range(1).select(F.inline(pairs)), "src.step_counts")
     return out
 
 
@@ -253,4 +278,5 @@ def load_gazetteer(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
         raise FileNotFoundError(f"no published run in {out_dir}")
     tables = [r["value"] for r in spark.read.text(os.path.join(out_dir, PUBLISHED, runs[-1])).collect()]  # a dozen names
     root = os.path.join(out_dir, RUNS, runs[-1])
-    return {t: spark.read.parquet(os.path.join(root, *t.split("."))) for t in tables}
+    paths = {t: os.path.join(root, *t.split(".")) for t in tables}
+    return {t: read_clustered(spark, p) if is_clustered(spark, p) else spark.read.parquet(p) for t, p in paths.items()}

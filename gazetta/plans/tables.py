@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gazetta.functions.codes import disambiguation, none_to_null, rank_by_threshold
@@ -92,7 +92,7 @@ def curate_countries(staged: DataFrame) -> DataFrame:
     return staged.withColumn("languages", F.lit(None).cast("string"))
 
 
-def build_country_names(countries: DataFrame, alt_names: DataFrame) -> DataFrame:
+def build_country_names(countries: DataFrame, alt_names: DataFrame, counted: Observation | None = None) -> DataFrame:
     """``(country_id, country_name, alt_name, langlist)`` before ids are assigned.
 
     Alternates of each country, plus the country's own name (language list
@@ -102,7 +102,7 @@ def build_country_names(countries: DataFrame, alt_names: DataFrame) -> DataFrame
     ents = countries.select(F.col("id").alias("country_id"), "country_name")
     names = attach_alternates(ents, alt_names, entity_id="country_id")
     return add_missing_defaults_by_name(
-        names, ents, "country_id", "country_name", "country_id", "country_name"
+        names, ents, "country_id", "country_name", "country_id", "country_name", counted=counted
     )
 
 
@@ -169,7 +169,7 @@ def build_city_names(cities: DataFrame, alt_names: DataFrame) -> DataFrame:
     return drop_ambiguous_alternates(materialize(complete_city_names(cities, alt_names)), "country_name", "alt_name", "city_name")
 
 
-def complete_city_names(cities: DataFrame, alt_names: DataFrame) -> DataFrame:
+def complete_city_names(cities: DataFrame, alt_names: DataFrame, counted: Observation | None = None) -> DataFrame:
     """The names of ``build_city_names`` with ambiguous alternates still in."""
     ents = cities.select(
         F.col("id").alias("city_id"),
@@ -180,7 +180,7 @@ def complete_city_names(cities: DataFrame, alt_names: DataFrame) -> DataFrame:
         "country_name",
     )
     names = attach_alternates(ents, alt_names, entity_id="city_id")
-    return add_missing_defaults_by_entity(names, list(ents.columns), default_col="city_name")
+    return add_missing_defaults_by_entity(names, list(ents.columns), default_col="city_name", counted=counted)
 
 
 def with_ids(names: DataFrame, order_by: Sequence[str], first_id: int) -> DataFrame:

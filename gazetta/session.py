@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextvars
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,16 +67,30 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 _stored: dict[str, list[str]] = {}
+_folder: contextvars.ContextVar[str | None] = contextvars.ContextVar("stored_in", default=None)
+
+
+@contextmanager
+def stored_in(folder: str) -> Iterator[None]:
+    """Within, ``stored`` writes under ``folder`` (on shared storage), which is
+    the caller's to delete."""
+    token = _folder.set(folder)
+    try:
+        yield
+    finally:
+        _folder.reset(token)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and read
     that copy: several passes see the same rows, read only the columns they
     need, and nothing is recomputed after a lost executor. The copy stays until
-    ``clear_stored``."""
+    ``clear_stored`` (or, within ``stored_in``, until the caller deletes it)."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/stored-{name}-{uuid.uuid4().hex}"
-    _stored.setdefault(spark.sparkContext.applicationId, []).append(path)
+    folder = _folder.get()
+    path = f"{(folder or checkpoint_dir(spark)).rstrip('/')}/stored-{name}-{uuid.uuid4().hex}"
+    if folder is None:
+        _stored.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -243,15 +243,27 @@ def read_places(spark: SparkSession, path: str, quoting: str = QUOTE_CSV, multi_
     return read_tsv(spark, path, schemas.PLACES, quoting=quoting, multi_line=multi_line)
 
 
-def write_table(df: DataFrame, out_dir: str, schema: str, table: str) -> DataFrame:
+def write_table(
+    df: DataFrame, out_dir: str, schema: str, table: str, rows: dict[str, int] | None = None,
+    save: Callable[[DataFrame, str], DataFrame] | None = None,
+) -> DataFrame:
     """Full rebuild of ``<out_dir>/<schema>/<table>`` as Parquet; return it re-read.
 
     Re-reading the written table is what later steps consume, so a downstream
-    failure never recomputes the upstream plan.
+    failure never recomputes the upstream plan. ``rows`` gets the number of rows
+    under the table's name, counted during the write.
     """
     path = os.path.join(out_dir, schema, table)
     t0 = time.perf_counter()
     obs = Observation(f"{schema}.{table}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    log.info("%s.%s: %s rows in %.2fs", schema, table, obs.get.get("rows"), time.perf_counter() - t0)
-    return df.sparkSession.read.parquet(path)
+    watched = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    if save is None:
+        watched.write.mode("overwrite").parquet(path)
+        out = df.sparkSession.read.parquet(path)
+    else:
+        out = save(watched, path)
+    n = obs.get.get("rows")
+    if rows is not None:
+        rows[f"{schema}.{table}"] = n
+    log.info("%s.%s: %s rows in %.2fs", schema, table, n, time.perf_counter() - t0)
+    return out

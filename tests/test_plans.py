@@ -59,11 +59,20 @@ def test_dimension_joins_are_broadcast(spark):
         assert "SortMergeJoin" not in p and "BroadcastHashJoin" in p
 
 
-def test_dense_ids_avoid_a_global_sort_of_rows(spark):
+def test_dense_ids_come_from_the_files(spark):
     p = plan(driver.q_surrogate_ids(spark, SF))
-    # rows come from the checkpointed, range-partitioned copy and are not shuffled again;
-    # only partial counts (one row per partition) meet in a single partition
-    assert "Scan ExistingRDD" in p
+    # rows come from the range-partitioned copy, written once, and are not shuffled
+    # again; only counts (one row a file) meet in a single partition
+    assert "Scan ExistingRDD" not in p and "rangepartitioning" not in p and "SortMergeJoin" not in p
     assert p.count("Exchange SinglePartition") == 1
     assert p.count("Exchange hashpartitioning") == 1 and "partial_count" in p
-    assert "rangepartitioning" not in p
+
+
+def test_dense_ids_read_only_what_is_needed(spark):
+    from gazetta.operators.keys import assign_dense_ids
+
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    p = plan(assign_dense_ids(orders, ["o_orderkey"]).select("id", "o_custkey"))
+    schemas = [line.split("ReadSchema: ")[1] for line in p.splitlines() if "ReadSchema: " in line]
+    # the counts come from the footers alone; the row index is the reader's own
+    assert sorted(schemas) == ["struct<>", "struct<o_custkey:bigint,_tmp_metadata_row_index:bigint>"]
