@@ -8,6 +8,9 @@ references) or delta-encoded; row groups and pages have set sizes, and Spark's
 Parquet writer adds column and offset indexes, so that a reader of some rows or
 of the metadata columns skips the other pages.
 
+Ids are the library's with its defaults: a string of an added token in a text
+(``<|endoftext|>``) becomes that token.
+
 Defined results: null or empty text has the end id alone; rows of equal order
 value follow each other by text; null order values come first; an empty table
 gives no files and reads back as no rows; other columns are kept in the files.
@@ -16,7 +19,9 @@ gives no files and reads back as no rows; other columns are kept in the files.
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +31,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gazetta.llm.pieces import TextIds
-from gazetta.llm.util import ranges, read_table, scratch_path, ship, text_bytes, text_slices, worker_memory
+from gazetta.llm.pieces import _Pool, cuts, per_group
+from gazetta.llm.util import hash_ranges, ranges, read_table, scratch_path, ship, text_bytes, text_slices, worker_memory
 
 END_ID = 2
+#: Distinct cuts whose ids a worker keeps.
+MOST_CUTS = 1_500_000
 #: Files of an index that is broadcast (one row of two numbers each).
 BROADCAST_FILES = 1_000_000
 LAYOUT = {
@@ -38,7 +45,86 @@ LAYOUT = {
 }
 
 
-def _tokenizer(data: bytes) -> TextIds:
+class _Cuts:
+    """Ids of texts without added tokens. The ids of every cut seen so far are
+    kept in the worker, found by its hash in a sorted array (some 60 bytes a cut,
+    and all are forgotten beyond ``MOST_CUTS``)."""
+
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
+        self.encode = encode
+        self.forget()
+
+    def forget(self):
+        self.keys, self.codes, self.pool = np.zeros(0, np.uint64), np.zeros(0, np.int64), _Pool()
+
+    def of(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in order, ids per text)."""
+        start, per_text = cuts(raw, offsets)
+        size = np.diff(np.append(start, len(raw)))
+        keys, first, where = np.unique(hash_ranges(raw, start, size), return_index=True, return_inverse=True)
+        if len(self.keys) + len(keys) > MOST_CUTS:
+            self.forget()
+        at = np.searchsorted(self.keys, keys)
+        known = np.zeros(len(keys), bool)
+        if len(self.keys):
+            known = self.keys[np.minimum(at, len(self.keys) - 1)] == keys
+        new = np.flatnonzero(~known)
+        if len(new):
+            data, lo, n = raw.tobytes(), start[first[new]], size[first[new]]
+            ids, sizes = self.encode([data[a:b].decode() for a, b in zip(lo.tolist(), (lo + n).tolist())])
+            codes = self.pool.n + np.arange(len(new))
+            self.pool.add(ids, sizes)
+            self.keys, self.codes = np.insert(self.keys, at[new], keys[new]), np.insert(self.codes, at[new], codes)
+        ids, sizes = self.pool.get(self.codes[np.searchsorted(self.keys, keys)][where])
+        return ids, per_group(sizes, per_text)
+
+
+class _Texts:
+    """Ids of texts as the library gives them: added tokens are found first, what
+    lies between them is encoded alone."""
+
+    def __init__(self, plain: _Cuts, tokenizer):
+        self.plain, self.tokenizer = plain, tokenizer
+        added = tokenizer.get_added_tokens_decoder()
+        self.ids = {t.content.encode(): i for i, t in added.items()}
+        # An added token that takes white space or looks at its neighbours is left to the library.
+        self.simple = not any(t.lstrip or t.rstrip or t.single_word for t in added.values())
+        longest_first = sorted(self.ids, key=lambda c: (-len(c), c))
+        self.find = re.compile(b"|".join(map(re.escape, longest_first))) if self.ids else None
+
+    def of(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        data = raw.tobytes()
+        if self.find is None or not self.find.search(data):
+            return self.plain.of(raw, offsets)
+        hits = [(m.start(), m.end(), self.ids[m.group()]) for a, b in zip(offsets.tolist(), offsets[1:].tolist()) for m in self.find.finditer(data, a, b)]
+        if not self.simple:
+            texts = [data[a:b].decode() for a, b in zip(offsets.tolist(), offsets[1:].tolist())]
+            found = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            return np.concatenate([np.zeros(0, np.int32), *found]), np.array([len(x) for x in found], np.int64)
+        if not hits:
+            return self.plain.of(raw, offsets)
+        lo, hi, token = (np.array(x, np.int64) for x in zip(*hits))
+        # The text between hits, as texts of their own; a hit adds its one id behind the segment before it.
+        keep = np.ones(len(raw), bool)
+        keep[ranges(lo, hi - lo)] = False
+        gone = np.concatenate([[0], np.cumsum(~keep)])
+        owner = np.searchsorted(offsets, lo, side="right") - 1
+        bounds = np.sort(np.concatenate([offsets - gone[offsets], lo - gone[lo]]), kind="stable")
+        # Order of bounds at one place: a text's start stands before its hits, hits before the next text's start.
+        kind = np.concatenate([np.zeros(len(offsets), np.int64), np.ones(len(lo), np.int64)])
+        place = np.concatenate([np.arange(len(offsets)) * 2, owner * 2 + 1])
+        order = np.lexsort((np.concatenate([offsets, lo]), place))
+        is_hit = kind[order] == 1
+        ids, size = self.plain.of(raw[keep], bounds)
+        ends = np.cumsum(size)
+        # Segment k ends at bound k + 1; if that is a hit, its id comes there.
+        behind = is_hit[1:]
+        ids = np.insert(ids, ends[behind], token)
+        per_text = np.add.reduceat(np.append(size + behind, 0), np.flatnonzero(~is_hit))[:-1]
+        return ids, per_text
+
+
+def _tokenizer(data: bytes) -> _Texts:
     memory = worker_memory(("token_files", hashlib.sha1(data).digest()))
     if not hasattr(memory, "texts"):
         import os
@@ -47,19 +133,20 @@ def _tokenizer(data: bytes) -> TextIds:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(data.decode())
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # Cuts of texts without added tokens, many in a string, never make one.
+        tokenizer.encode_special_tokens = True
 
         # Ids whose token starts with a space.
         spaced = np.zeros(tokenizer.get_vocab_size(with_added_tokens=True), bool)
         spaced[[i for t, i in tokenizer.get_vocab(with_added_tokens=False).items() if t.startswith("Ġ")]] = True
 
-        def encode(cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        def encode(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
             """Cuts with a space at their start and nowhere else are encoded
             many in a string: the ids that start with a space part them again."""
-            plain = [i for i, c in enumerate(cuts) if c[0] == " " and c.find(" ", 1) < 0]
-            rest = sorted(set(range(len(cuts))).difference(plain))
+            alone = [c[0] != " " or c.find(" ", 1) > 0 for c in new]
+            plain, rest = [i for i, x in enumerate(alone) if not x], [i for i, x in enumerate(alone) if x]
             groups = [plain[a: a + 500] for a in range(0, len(plain), 500)] + [[i] for i in rest]
-            found = tokenizer.encode_batch_fast(["".join([cuts[i] for i in g]) for g in groups], add_special_tokens=False)
+            found = tokenizer.encode_batch_fast(["".join([new[i] for i in g]) for g in groups], add_special_tokens=False)
             order = np.array(plain + rest, np.int64)
             parts = [np.array(e.ids, np.int32) for e in found]
             size = []
@@ -73,7 +160,7 @@ def _tokenizer(data: bytes) -> TextIds:
             back = np.argsort(order)
             return ids[ranges(start[back], size[back])], size[back]
 
-        memory.texts = TextIds(encode)
+        memory.texts = _Texts(_Cuts(encode), Tokenizer.from_str(data.decode()))
     return memory.texts
 
 

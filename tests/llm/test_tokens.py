@@ -22,6 +22,8 @@ JSON = public_tokenizers.path("byte_bpe_50k.json")
 @pytest.fixture(scope="module")
 def hard(spark, corpus):
     more = ["a" * 301, "ab" * 200, "x" * 3000, "  x  \n\n y", " \t  \r\n ", "\x1c\x1d a\x85b 　c", " !", "a  !b", "\n b\n  c", "'s's 'll(x)'s"]
+    end = "<|endoftext|>"
+    more += [end, end * 3, f"{end} a b", f"a {end} b", f"a b {end}", f"a{end}b\n {end}", f"<|endoftext{end}|>", "<|endoftext|", "|> b", f"é{end}é " * 50]
     rows = [*corpus, *((1000 + i, t) for i, t in enumerate(more))]
     return rows, spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
 
@@ -60,7 +62,6 @@ def test_decode_rejects_unknown_ids(spark):
 def test_token_files(spark, hard, tmp_path, encoding):
     rows, df = hard
     library = Tokenizer.from_file(JSON)
-    library.encode_special_tokens = True
     path = str(tmp_path / encoding)
     token_files.write_tokens(df.withColumn("part", F.lit("x")).drop("part"), path, JSON, encoding=encoding, row_group_bytes=1 << 20)
     got = {r["doc_id"]: r for r in token_files.with_crc32(token_files.read_tokens(spark, path)).collect()}
