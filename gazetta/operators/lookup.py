@@ -62,11 +62,16 @@ def broadcast_if_small_result(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_R
     job -- and broadcast when small; then the other, large side of the join is
     never shuffled. Beyond a bound it is joined by shuffle as usual.
     """
+    return sized_result(df, max_rows, max_bytes)[0]
+
+
+def sized_result(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, int]:
+    """The same, and how many rows the side has."""
     from gazetta.operators.keys import materialize
 
     obs = Observation()
     stored = materialize(df.observe(obs, *_size(df)))
-    return F.broadcast(stored) if _fits(obs.get, max_rows, max_bytes) else stored
+    return F.broadcast(stored) if _fits(obs.get, max_rows, max_bytes) else stored, obs.get["rows"]
 
 
 def unique_by_key(lookup: DataFrame, keys: Sequence[str], order_by: str | None, payload: Sequence[str]) -> DataFrame:

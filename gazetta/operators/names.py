@@ -15,11 +15,11 @@ from gazetta.functions.text import (
     not_pseudo_language,
 )
 from gazetta.operators.keys import fresh
-from gazetta.operators.lookup import broadcast_if_bounded, broadcast_if_small_result
+from gazetta.operators.lookup import broadcast_if_bounded, broadcast_if_small_result, sized_result
 
-# ISO 639-1 codes are two letters, so a table unique on them has at most
-# 26 * 26 rows: a proven bound for broadcasting the language lookup.
-ISO_639_1_MAX_CODES = 26 * 26
+# Distinct values (languages) that an aggregation state may count, and rows of a
+# language table that is broadcast. There are at most 26 * 26 two-letter codes.
+MAX_COUNTED_VALUES = 10_000
 
 
 def filter_alternate_names(
@@ -68,36 +68,46 @@ def aggregate_alt_names(
     matched, in alphabetical order.
 
     Plan: filter and clean per row; broadcast-join the (bounded) language
-    table; count rows per (id, alt_name, language) with map-side partial
-    aggregation; then gather the at most ~677 (language, count) pairs of each
-    name and expand them into the list. A name repeated millions of times
-    therefore never piles its rows into one task: each map task sends one
-    row per language, and the final list is built from counts.
+    table; one aggregation by (id, alt_name) whose state counts each language
+    (at most as many as the language table has), merged in the map tasks and
+    again after the one exchange; then the counts are expanded into the list. A
+    name repeated millions of times therefore never piles its rows into one
+    task: each map task sends one state.
     """
     alts = filter_alternate_names(raw, latin_only, excluded_languages, language_col, name_col).select(
         F.col(id_col).alias("id"),
         clean_name(name_col).alias("alt_name"),
         language_or_none(language_col).alias("__lang"),
     )
-    names = broadcast_if_small_result(_language_names(codes, code_type), max(ISO_639_1_MAX_CODES, 10_000))
+    names, languages = sized_result(_language_names(codes, code_type), MAX_COUNTED_VALUES)
     labelled = alts.join(names, alts["__lang"] == names["__code"], "left").select(
         "id", "alt_name", "__lang_name"
     )
-    return langs_from_counts(labelled, ["id", "alt_name"], "__lang_name", "langs")
+    return langs_from_counts(labelled, ["id", "alt_name"], "__lang_name", "langs", values=languages)
 
 
-def langs_from_counts(df: DataFrame, keys: Sequence[str], value_col: str, out_col: str, sep: str = ", ") -> DataFrame:
+def langs_from_counts(
+    df: DataFrame, keys: Sequence[str], value_col: str, out_col: str, sep: str = ", ", values: int | None = None,
+) -> DataFrame:
     """Order-defined ``string_agg(value, sep)`` that keeps duplicates and skips NULLs.
 
-    Two-level: ``count`` per (keys, value) first, then a sorted list of
-    (value, count) pairs per key expanded with ``array_repeat``. State per
-    group is bounded by the number of distinct values, not the row count.
+    ``values``: a proven bound of the distinct values. Within
+    ``MAX_COUNTED_VALUES``, the values of a key are counted in one mergeable
+    state: Spark's frequent-items aggregate, which is exact while it tracks as
+    many items as there are values. So rows are exchanged once, after partial
+    aggregation. Without such a bound: ``count`` per (keys, value) first, then a
+    sorted list of (value, count) pairs per key. Either way state per group
+    follows the distinct values, not the rows.
     """
-    per_value = df.groupBy(*keys, value_col).agg(F.count(F.lit(1)).alias("__n"))
-    pair = F.when(
-        F.col(value_col).isNotNull(), F.struct(F.col(value_col).alias("v"), F.col("__n").alias("n"))
-    )
-    pairs = per_value.groupBy(*keys).agg(F.sort_array(F.collect_list(pair)).alias("__pairs"))
+    if values is not None and values < MAX_COUNTED_VALUES:
+        tracked = values + 1  # NULL may count as one
+        counts = df.groupBy(*keys).agg(F.expr(f"approx_top_k(`{value_col}`, {tracked}, {tracked})").alias("__counts"))
+        pairs = counts.select(*keys, F.sort_array(F.transform(
+            F.filter("__counts", lambda x: x["item"].isNotNull()), lambda x: F.struct(x["item"].alias("v"), x["count"].alias("n")))).alias("__pairs"))
+    else:
+        per_value = df.groupBy(*keys, value_col).agg(F.count(F.lit(1)).alias("__n"))
+        pair = F.when(F.col(value_col).isNotNull(), F.struct(F.col(value_col).alias("v"), F.col("__n").alias("n")))
+        pairs = per_value.groupBy(*keys).agg(F.sort_array(F.collect_list(pair)).alias("__pairs"))
     general = F.array_join(
         F.flatten(F.transform("__pairs", lambda p: F.array_repeat(p["v"], p["n"].cast("int")))), sep
     )

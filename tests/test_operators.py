@@ -238,3 +238,19 @@ def test_default_completion_is_idempotent(spark):
     once = add_missing_defaults_by_name(names, ents, "id", "name", "id", "name")
     twice = add_missing_defaults_by_name(once, ents, "id", "name", "id", "name")
     assert sorted(map(tuple, once.collect()), key=str) == sorted(map(tuple, twice.collect()), key=str)
+
+
+def test_language_counts_in_one_state_are_exact(spark):
+    """As many languages as the bound says, unequal counts, NULLs, a hot name."""
+    from gazetta.operators.names import langs_from_counts
+
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 50).alias("id"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("n"), F.col("id") % 400)).alias("alt_name"),
+        F.when(F.col("id") % 7 != 0, F.concat(F.lit("language "), (F.col("id") * F.col("id")) % 677)).alias("l"))
+    distinct = rows.select("l").where("l IS NOT NULL").distinct().count()
+    assert distinct > 300
+    two_level = langs_from_counts(rows, ["id", "alt_name"], "l", "langs").collect()
+    one_state = langs_from_counts(rows.repartition(13), ["id", "alt_name"], "l", "langs", values=distinct).collect()
+    assert sorted(map(tuple, one_state), key=str) == sorted(map(tuple, two_level), key=str) and len(two_level) > 300
+    assert any(r["langs"] is None for r in langs_from_counts(rows.where("l IS NULL"), ["id", "alt_name"], "l", "langs", values=0).collect())
