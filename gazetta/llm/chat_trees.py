@@ -45,7 +45,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from gazetta.llm.pieces import PATTERN
-from gazetta.llm.util import forget, materialise, read_table, ship, worker_memory
+from gazetta.llm.util import forget, materialise, read_table, scratch_path, ship, worker_memory
 
 MAX_TOKENS, MAX_MEMBERS, PART_TOKENS = 8_192, 1_024, 262_144
 TRAINED = "assistant"
@@ -90,8 +90,13 @@ def parse_turn(formatted: str) -> tuple[str, str]:
 
 # -- tokens --------------------------------------------------------------------
 
+def _kind(tokens: int) -> np.dtype:
+    return np.dtype("<u2" if tokens <= 1 << 16 else "<u4")
+
+
 class _Tokens:
-    """A byte-level vocabulary: text to ids (as bytes of 32-bit integers) and back."""
+    """A byte-level vocabulary: text to ids (as bytes of unsigned integers, of 16
+    bits if the vocabulary allows) and back."""
 
     def __init__(self, data: bytes):
         import base64
@@ -101,6 +106,7 @@ class _Tokens:
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in data.splitlines() if line)}
         self.encoding = tiktoken.Encoding("chat", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.bytes = [b""] * (max(ranks.values()) + 1)
+        self.kind = _kind(len(self.bytes))
         for k, v in ranks.items():
             self.bytes[v] = k
         self.heads: dict[str, bytes] = {}
@@ -108,7 +114,7 @@ class _Tokens:
 
     def ids(self, text: str) -> bytes:
         if len(text) <= SLICE:
-            return np.array(self.encoding.encode_ordinary(text), np.int32).tobytes()
+            return np.array(self.encoding.encode_ordinary(text), self.kind).tobytes()
         return b"".join(self.ids(text[i: i + SLICE]) for i in range(0, len(text), SLICE))
 
     def head(self, role: str) -> bytes:
@@ -152,6 +158,7 @@ def _formatted_parts(df: DataFrame, vocabulary, trained: str, part_tokens: int)
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
         tokens = _tokens(vocabulary.value)
+        width = tokens.kind.itemsize
         now, out, held = None, [], 0  # the open part, finished ones, their tokens
 
         def close(last: bool):
@@ -168,13 +175,13 @@ def _formatted_parts(df: DataFrame, vocabulary, trained: str, part_tokens: int)
                     now = {"conv_id": conv, "part": 0, "base": 0, "path": [bytes(8)], "turns": [], "size": 0}
                 head, body = tokens.head(role), tokens.ids(escape(text))
                 ids = head + body + tokens.end
-                if now["turns"] and now["size"] + len(ids) // 4 > part_tokens:
+                if now["turns"] and now["size"] + len(ids) // width > part_tokens:
                     close(False)
                     now = {"conv_id": conv, "part": now["part"] + 1, "base": now["base"] + now["size"], "path": now["path"][-1:], "turns": [], "size": 0}
                 now["path"].append(hashlib.blake2b(now["path"][-1] + ids, digest_size=8).digest())
-                loss = (len(head) // 4, (len(head) + len(body)) // 4) if role == trained else (0, 0)
+                loss = (len(head) // width, (len(head) + len(body)) // width) if role == trained else (0, 0)
                 now["turns"].append({"ids": ids, "loss_from": loss[0], "loss_to": loss[1]})
-                now["size"] += len(ids) // 4
+                now["size"] += len(ids) // width
                 if held >= SEND:
                     yield _send(out, schema)
                     out, held = [], 0
@@ -193,7 +200,8 @@ def _formatted_parts(df: DataFrame, vocabulary, trained: str, part_tokens: int)
 class _Sequence:
     """Nodes, in the order of their tokens, and members of an open sequence."""
 
-    def __init__(self):
+    def __init__(self, kind: np.dtype):
+        self.kind = kind  # of the tokens
         self.nodes, self.members, self.size = [], [], 0
         self.path: list[int] = []  # nodes of the last conversation
         self.start = None  # what it continues: (hash of the turns before, position)
@@ -221,7 +229,7 @@ class _Sequence:
                     attend[-1] = {"start": attend[-1]["start"], "end": up["end"]}
                 else:
                     attend.append({"start": up["start"], "end": up["end"]})
-            size = len(turn["ids"]) // 4
+            size = len(turn["ids"]) // self.kind.itemsize
             self.path.append(len(self.nodes))
             self.nodes.append({"turn": turn, "start": self.size, "end": self.size + size, "parent": parent, "attend": attend, "position": position})
             self.size, position = self.size + size, position + size
@@ -232,26 +240,26 @@ class _Sequence:
         for v in self.nodes:
             loss[v["start"] + v["turn"]["loss_from"]: v["start"] + v["turn"]["loss_to"]] = True
         return {
-            "sequence": number, "tokens": np.frombuffer(b"".join(v["turn"]["ids"] for v in self.nodes), np.int32),
+            "sequence": number, "tokens": np.frombuffer(b"".join(v["turn"]["ids"] for v in self.nodes), self.kind).astype(np.int32),
             "positions": np.concatenate([v["position"] + np.arange(v["end"] - v["start"]) for v in self.nodes]), "loss_mask": loss,
             "nodes": [{k: v[k] for k in ("start", "end", "parent", "attend")} for v in self.nodes], "members": self.members,
             "cut": any(m["part"] or not m["last"] for m in self.members)}
 
 
-def _trees(parts: DataFrame, max_tokens: int, max_members: int) -> DataFrame:
+def _trees(parts: DataFrame, kind: np.dtype, max_tokens: int, max_members: int) -> DataFrame:
     schema = _arrow(SEQUENCES)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, now, out, held = TaskContext.get().partitionId() << 32, _Sequence(), [], 0
+        number, now, out, held = TaskContext.get().partitionId() << 32, _Sequence(kind), [], 0
         for batch in batches:
             for k in range(batch.num_rows):
                 row = {name: batch.column(i)[k].as_py() for i, name in enumerate(batch.schema.names)}
                 start = (row["path"][:8], row["base"])
                 shared = now.shared(start, row["turns"])
-                more = sum(len(t["ids"]) // 4 for t in row["turns"][shared:])
+                more = sum(len(t["ids"]) // kind.itemsize for t in row["turns"][shared:])
                 if now.members and (now.size + more > max_tokens or len(now.members) >= max_members):
                     out.append(now.row(number))
-                    held, number, now, shared = held + now.size, number + 1, _Sequence(), 0
+                    held, number, now, shared = held + now.size, number + 1, _Sequence(kind), 0
                     if held >= SEND:
                         yield _send(out, schema)
                         out, held = [], 0
@@ -274,7 +282,18 @@ def chat_trees(
     byte-level vocabulary with ranks."""
     ship(df.sparkSession)
     rows = df.select(F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), F.col(text_col).alias("text"))
-    return _trees(_formatted_parts(rows, _vocabulary(df.sparkSession, vocabulary), trained, part_tokens), max_tokens, max_members)
+    data = _vocabulary(df.sparkSession, vocabulary)
+    # Written once: ranges are sampled first, and would turn every text into tokens twice.
+    parts = materialise(_formatted_parts(rows, data, trained, part_tokens), "formatted")
+    return _trees(parts, _Tokens(data.value).kind, max_tokens, max_members)
+
+
+def write_sequences(sequences: DataFrame, path: str) -> DataFrame:
+    """Write SEQUENCES rows as Parquet, positions as differences (they count on
+    by one nearly everywhere), and read them back."""
+    (sequences.write.option("compression", "zstd").option("parquet.writer.version", "PARQUET_2_0")
+     .option("parquet.enable.dictionary#positions.list.element", "false").parquet(path))
+    return sequences.sparkSession.read.schema(sequences.schema).parquet(path)
 
 
 def read_conversations(sequences: DataFrame, vocabulary: str) -> DataFrame:
@@ -349,7 +368,7 @@ def op12_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = r"\### Assistant: </turn> ok"
     chats = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     added = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], chats.schema)
-    return digests(materialise(chat_trees(chats.unionByName(added), path), "chats"), path)
+    return digests(write_sequences(chat_trees(chats.unionByName(added), path), scratch_path(spark, "chats")), path)
 
 
 #: The formatted length is that of the template, computed from the texts.
