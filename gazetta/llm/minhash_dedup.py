@@ -232,13 +232,15 @@ def _links(docs: DataFrame, sets: DataFrame, reps: DataFrame, text_col: str, k:
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, threshold: float = 0.8,
 ) -> tuple[DataFrame, DataFrame]:
-    """``docs`` written with a row id ``rid``, and (rid, id, n, root,
+    """``docs`` written with a row id as its last column (``rid``, with underscores
+    behind it if ``docs`` has a column of that name), and (rid, id, n, root,
     component_id) for each of its rows; rows of one root are near duplicates."""
-    docs = materialise(docs.withColumn("rid", F.monotonically_increasing_id()), "documents")
-    sets = materialise(_sets(docs, id_col, text_col, shingle), "sets")
+    docs = materialise(docs.withColumn(fresh(docs.columns, "rid"), F.monotonically_increasing_id()), "documents")
+    rows = docs.select(F.col(docs.columns[-1]).alias("rid"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    sets = materialise(_sets(rows, "id", "text", shingle), "sets")
     filled = sets.where("n > 0")
     groups = materialise(filled.groupBy("f1", "f2", "n").agg(F.min("rid").alias("rep")), "groups")
-    comps = _links(docs, filled, groups.select("rep"), text_col, shingle, threshold)
+    comps = _links(rows, filled, groups.select("rep"), "text", shingle, threshold)
     rooted = (sets.join(groups, ["f1", "f2", "n"], "left")
               .join(comps, F.col("rep") == F.col("node"), "left")
               .select("rid", "id", "n", F.coalesce("root", "rep", "rid").alias("root")))
@@ -249,16 +251,12 @@ def near_duplicates(
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, threshold: float = 0.8) -> DataFrame:
     """One row of each group of near duplicates, the one with the smallest id, with its columns."""
-    columns = docs.columns
-    rid = fresh(columns, "rid")
-    if rid != "rid":  # a clashing column of the input goes by another name meanwhile
-        docs = docs.withColumnRenamed(next(c for c in columns if c.lower() == "rid"), rid)
     all_rows, found = near_duplicates(docs, id_col, text_col, shingle, threshold)
+    rid = all_rows.columns[-1]
     best = F.min_by("rid", F.struct(F.col("id").isNull(), "id", "rid")).alias("best")
     first = found.groupBy("root").agg(best, F.count(F.lit(1)).alias("n")).where("n > 1").select("root", "best")
-    gone = found.join(first, "root").where("rid <> best").select("rid")
-    kept = all_rows.join(few(gone, "gone"), "rid", "left_anti").drop("rid")
-    return kept.toDF(*(c if c != rid else next(x for x in columns if x.lower() == "rid") for c in kept.columns)) if rid != "rid" else kept
+    gone = found.join(first, "root").where("rid <> best").select(F.col("rid").alias(rid))
+    return all_rows.join(few(gone, "gone"), rid, "left_anti").drop(rid)
 
 
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

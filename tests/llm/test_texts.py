@@ -100,7 +100,8 @@ def groups(corpus, k):
 def test_near_duplicates(docs, corpus):
     for k in (2, 5):
         want = groups(corpus, k)
-        _, found = near_duplicates(docs.drop("rid"), shingle=k)
+        all_rows, found = near_duplicates(docs, shingle=k)
+        assert all_rows.columns == [*docs.columns, "rid_"] and {r["rid"] for r in all_rows.collect()} == {7}  # its own column stays
         assert {r["id"]: (r["n"], r["component_id"]) for r in found.collect()} == want
         kept = keep_one(docs, shingle=k)
         assert kept.columns == docs.columns
