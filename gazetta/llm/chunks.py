@@ -25,6 +25,10 @@ from gazetta.llm.util import BATCH_BYTES, forget, materialise, text_slices
 BUCKET_BYTES = 32 << 20
 HASHES = "bucket int, chunk long, once binary, more binary"
 FOUND = "chunk long, found binary"
+#: The same with a weight (long) for each hash of ``once``, then of ``more``; and
+#: those of ``found`` whose weights exceed a budget.
+WEIGHED = HASHES + ", weights binary"
+FOUND_HEAVY = FOUND + ", heavy binary"
 
 
 def pack(table: pa.Table | pa.RecordBatch) -> bytes:
@@ -63,10 +67,18 @@ def bucket_count(chunks: DataFrame) -> int:
     return max(8, -(-total // BUCKET_BYTES))
 
 
-def bucketed(chunk: int, hashes: np.ndarray, buckets: int, more: np.ndarray | None = None) -> pa.RecordBatch:
+def bucketed(
+    chunk: int, hashes: np.ndarray, buckets: int, more: np.ndarray | None = None, weights: np.ndarray | None = None,
+) -> pa.RecordBatch:
     """Rows for ``recurring`` from the hashes of a chunk. ``more``: those of
-    them that count as twice already; by default, those repeated in ``hashes``."""
-    values, n = np.unique(hashes, return_counts=True)
+    them that count as twice already; by default, those repeated in ``hashes``.
+    ``weights``: of each of ``hashes``, summed by value."""
+    if weights is None:
+        values, n = np.unique(hashes, return_counts=True)
+    else:
+        values, where, n = np.unique(hashes, return_inverse=True, return_counts=True)
+        weight = np.zeros(len(values), np.int64)
+        np.add.at(weight, where, weights)
     twice = n > 1 if more is None else np.isin(values, more)
     bucket = ((values >> np.uint64(24)) % np.uint64(buckets)).astype(np.int32)
     order = np.argsort(bucket, kind="stable")
@@ -77,10 +89,13 @@ def bucketed(chunk: int, hashes: np.ndarray, buckets: int, more: np.ndarray | No
         lo = hi = lo[:0]
     once = [values[a:b][~twice[a:b]].tobytes() for a, b in zip(lo, hi)]
     rest = [values[a:b][twice[a:b]].tobytes() for a, b in zip(lo, hi)]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(bucket[lo], pa.int32()), pa.array(np.full(len(lo), chunk), pa.int64()),
-         pa.array(once, pa.binary()), pa.array(rest, pa.binary())],
-        names=["bucket", "chunk", "once", "more"])
+    columns = {"bucket": pa.array(bucket[lo], pa.int32()), "chunk": pa.array(np.full(len(lo), chunk), pa.int64()),
+               "once": pa.array(once, pa.binary()), "more": pa.array(rest, pa.binary())}
+    if weights is not None:
+        weight = weight[order]
+        columns["weights"] = pa.array(
+            [np.concatenate([weight[a:b][~twice[a:b]], weight[a:b][twice[a:b]]]).tobytes() for a, b in zip(lo, hi)], pa.binary())
+    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
 def blob(cells) -> np.ndarray:
@@ -118,6 +133,25 @@ def recurring(hashes: DataFrame) -> DataFrame:
     return hashes.groupBy("bucket").applyInArrow(_meet, FOUND)
 
 
+def recurring_weighed(hashes: DataFrame, budget: int) -> DataFrame:
+    """FOUND_HEAVY rows from WEIGHED ones: as ``recurring``, and which of them
+    weigh more than ``budget`` over all chunks."""
+
+    def meet(table: pa.Table) -> pa.Table:
+        found = _meet(table)
+        once, more, weights = (
+            [np.frombuffer(x, kind) for x in table[c].to_pylist()]
+            for c, kind in (("once", np.uint64), ("more", np.uint64), ("weights", np.int64)))
+        values, where = np.unique(np.concatenate([v for pair in zip(once, more) for v in pair]), return_inverse=True)
+        total = np.zeros(len(values), np.int64)
+        np.add.at(total, where, np.concatenate(weights))
+        heavy = values[total > budget]
+        mine = [np.frombuffer(x, np.uint64) for x in found["found"].to_pylist()]
+        return found.append_column("heavy", pa.array([x[np.isin(x, heavy)].tobytes() for x in mine], pa.binary()))
+
+    return hashes.groupBy("bucket").applyInArrow(meet, FOUND_HEAVY)
+
+
 def each_chunk(chunks: DataFrame, fn: Callable[[int, pa.Table], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     def run(batches):
         for batch in batches:
@@ -140,5 +174,5 @@ def each_chunk_with(chunks: DataFrame, found: DataFrame, fn, schema) -> DataFram
             .cogroup(found.groupBy("chunk")).applyInArrow(run, schema))
 
 
-__all__ = ["BATCH_BYTES", "FOUND", "HASHES", "blob", "bucket_count", "bucketed", "each_chunk", "each_chunk_with", "pack",
-           "recurring", "to_chunks", "unpack"]
+__all__ = ["BATCH_BYTES", "FOUND", "HASHES", "WEIGHED", "blob", "bucket_count", "bucketed", "each_chunk", "each_chunk_with",
+           "pack", "recurring", "recurring_weighed", "to_chunks", "unpack"]

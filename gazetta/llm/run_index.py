@@ -8,7 +8,10 @@ id; every byte under a match goes. Strings that match share their minimizer
    in a match;
 2. around the others, the text is cut into segments (the strings that have this
    occurrence as minimizer: at most ``length - k + 1`` of them), which go, equal
-   ones of a chunk once, to the bucket of the minimizer;
+   ones of a chunk once, to the bucket of the minimizer; where the segments of
+   one minimizer are too many for a task (a passage that very many texts go on
+   from differently), each of their strings is a segment and goes to the bucket
+   of its own hash, so that a group holds the versions of one string, not of a passage;
 3. a bucket builds a run-compressed Burrows-Wheeler transform of its distinct
    segments: run heads, the suffix-array samples at run ends, and the rows
    where suffixes stop agreeing in ``length`` bytes (thresholds) with the
@@ -37,18 +40,37 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from gazetta.llm.chunks import HASHES, blob, bucket_count, bucketed, each_chunk, each_chunk_with, recurring, to_chunks
+from gazetta.llm.chunks import WEIGHED, blob, bucket_count, bucketed, each_chunk, each_chunk_with, recurring_weighed, to_chunks
 from gazetta.llm.context_mixing import _unzip, _zip
-from gazetta.llm.util import hash_ranges, materialise, ranges, read_table, text_bytes
+from gazetta.llm.util import fresh, hash_ranges, materialise, ranges, read_table, text_bytes
 
 LENGTH = 50
 #: Text bytes behind one bucket of segments: its task sorts their suffixes.
 INDEX_BYTES = 1 << 20
+#: Bytes of segments (of all chunks) behind one minimizer, above which its group is split.
+HEAVY_BYTES = 1 << 20
 _NULL_ID = np.iinfo(np.int64).max
 
 
 # -- the index ------------------------------------------------------------------
 
+class Marks:
+    """Marked rows of a range (run heads, thresholds): a bit a row, and the
+    marks before each 64 of them."""
+
+    def __init__(self, rows: np.ndarray, n: int):
+        bits = np.zeros(-(-max(n, 1) // 64) * 64, np.uint8)
+        bits[rows] = 1
+        self.words = np.packbits(bits, bitorder="little").view("<u8")
+        self.before = np.searchsorted(rows, np.arange(len(self.words)) * 64).astype(np.int32)
+
+    def last(self, row: np.ndarray) -> np.ndarray:
+        """Number of the last mark at or before each row (the first mark is row 0)."""
+        word = row >> 6
+        upto = np.uint64(0xFFFFFFFFFFFFFFFF) >> (63 - (row & 63)).astype(np.uint64)
+        return self.before[word] + np.bitwise_count(self.words[word] & upto).astype(np.int64) - 1
+
+
 class RunIndex:
     """Run-compressed BWT of a collection of byte strings (at most some hundred
     bytes each). Suffixes end with their string; a string's end sorts before
@@ -101,9 +123,7 @@ class RunIndex:
         new[1:] = ~(whole[1:] & whole[:-1] & (a[1:] == a[:-1]) & (b[1:] == b[:-1]))
         self.threshold = np.flatnonzero(new)
         self.least = np.minimum.reduceat(document[string[order]], self.threshold) if n else np.zeros(0, np.int64)
-        # Rank directories of the run heads and of the thresholds.
-        self.run_of = np.repeat(np.arange(len(head), dtype=np.int32), run_size)
-        self.block_of = (np.cumsum(new) - 1).astype(np.int32)
+        self.runs, self.blocks = Marks(head, n), Marks(self.threshold, n)
         self.jump = self.run_target - self.run_start
 
     @staticmethod
@@ -116,7 +136,7 @@ class RunIndex:
 
     def step(self, row: np.ndarray) -> np.ndarray:
         """Row of the suffix one symbol longer, for each row."""
-        return self.jump[self.run_of[row]] + row
+        return self.jump[self.runs.last(row)] + row
 
     def stream(self):
         """Backwards through all strings at once: (strings, place, the smallest
@@ -128,7 +148,7 @@ class RunIndex:
             row, strings, place = self.step(row[more]), strings[more], place[more] - 1
             whole = self.size[strings] - place >= self.length
             if whole.any():
-                yield strings[whole], place[whole], self.least[self.block_of[row[whole]]]
+                yield strings[whole], place[whole], self.least[self.blocks.last(row[whole])]
 
 
 # -- segments ---------------------------------------------------------------------
@@ -185,28 +205,55 @@ class Segments:
         self.gram, self.start, self.windows, self.doc = self.gram[keep], self.start[keep], self.windows[keep], self.doc[keep]
         return self
 
+    def split(self, heavy: np.ndarray, raw: np.ndarray, length: int) -> "Segments":
+        """Each of the ``heavy`` segments as one segment a string, under the
+        hash of that string in place of its minimizer's."""
+        times = np.where(heavy, self.windows, 1)
+        at = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        own = np.repeat(heavy, times)
+        self.gram, self.start, self.windows, self.doc = (np.repeat(x, times) for x in (self.gram, self.start, self.windows, self.doc))
+        self.start += at
+        self.windows[own] = 1
+        self.gram[own] = hash_ranges(raw, self.start[own], np.full(own.sum(), length, np.int64))
+        return self
+
 
 def _ids(table: pa.Table, id_col: str) -> np.ndarray:
     return np.asarray(pa.compute.fill_null(table[id_col].combine_chunks().cast(pa.int64()), _NULL_ID))
 
 
 def _anchors(chunk: int, table: pa.Table, id_col: str, text_col: str, length: int, buckets: int):
-    s = Segments(*text_bytes(table[text_col]), length)
+    raw, offsets = text_bytes(table[text_col])
+    s = Segments(raw, offsets, length)
     _, number = np.unique(_ids(table, id_col), return_inverse=True)
     # Hashes that two documents of the chunk hold count as found already.
     order = np.lexsort((number[s.doc], s.gram))
     gram, doc = s.gram[order], number[s.doc][order]
     twice = gram[1:][(gram[1:] == gram[:-1]) & (doc[1:] != doc[:-1])]
-    yield bucketed(chunk, s.gram, buckets, more=np.unique(twice))
+    # The bytes that would follow each hash to its group: those of equal segments once.
+    size = s.windows + length - 1
+    weight = size.copy()
+    order = np.argsort(s.gram, kind="stable")
+    same = s.gram[order][1:] == s.gram[order][:-1]
+    again = order[np.concatenate([same, [False]]) | np.concatenate([[False], same])] if len(order) else order
+    key = hash_ranges(raw, s.start[again], size[again])
+    by = np.lexsort((key, s.gram[again]))
+    equal = (key[by][1:] == key[by][:-1]) & (s.gram[again][by][1:] == s.gram[again][by][:-1])
+    weight[again[by][1:][equal]] = 0
+    yield bucketed(chunk, s.gram, buckets, more=np.unique(twice), weights=weight)
 
 
 class _Chosen:
-    """A chunk's segments around found minimizers, equal ones once, by bucket."""
+    """A chunk's segments around found minimizers (heavy ones: a segment a
+    string), equal ones once, by bucket."""
 
-    def __init__(self, table, found: np.ndarray, id_col, text_col, length, buckets):
+    def __init__(self, table, found: np.ndarray, heavy: np.ndarray, id_col, text_col, length, buckets):
         self.raw, self.offsets = text_bytes(table[text_col])
         s = Segments(self.raw, self.offsets, length)
-        self.all = s.only(np.isin(s.gram, found))
+        s = s.only(np.isin(s.gram, found))
+        if len(heavy):
+            s = s.split(np.isin(s.gram, heavy), self.raw, length)
+        self.all = s
         self.id = _ids(table, id_col)[s.doc]
         size = s.windows + length - 1
         key = hash_ranges(self.raw, s.start, size)
@@ -224,21 +271,19 @@ class _Chosen:
         self.cut = np.searchsorted(bucket[by], np.arange(buckets + 1))
 
 
-SEGMENTS = "bucket int, chunk long, gram binary, windows binary, id binary, raw binary"
+SEGMENTS = "bucket int, chunk long, windows binary, id binary, raw binary"
 MARKS = "chunk long, bucket int, marks binary"
 
 
 def _send(chunk, table, found, id_col, text_col, length, buckets) -> pa.Table:
-    c = _Chosen(table, blob(found["found"]), id_col, text_col, length, buckets)
+    c = _Chosen(table, blob(found["found"]), blob(found["heavy"]), id_col, text_col, length, buckets)
     out = []
-    for b in range(buckets):
+    for b in np.flatnonzero(np.diff(c.cut)).tolist():
         i = c.first[c.cut[b]: c.cut[b + 1]]
-        if len(i):
-            windows = c.all.windows[i]
-            gram = (c.all.gram[i] >> np.uint64(32)).astype(np.uint32)
-            out.append((b, chunk, _zip(gram), _zip(windows.astype(np.int32)), _zip(c.id[i]), _zip(c.raw[ranges(c.all.start[i], windows + length - 1)])))
-    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
-    return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(list(zip(*out)) or [()] * 6, kinds)], names=[x.split()[0] for x in SEGMENTS.split(", ")])
+        windows = c.all.windows[i]
+        out.append((b, chunk, _zip(windows.astype(np.int32)), _zip(c.id[i]), _zip(c.raw[ranges(c.all.start[i], windows + length - 1)])))
+    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(list(zip(*out)) or [()] * 5, kinds)], names=[x.split()[0] for x in SEGMENTS.split(", ")])
 
 
 def _mark(length: int):
@@ -254,24 +299,16 @@ def _mark(length: int):
         key, first, where = np.unique(hash_ranges(raw, start, size), return_index=True, return_inverse=True)
         least = np.full(len(key), _NULL_ID)
         np.minimum.at(least, where, ids)
-        # A minimizer with one version only: all its strings are in the smallest document.
-        gram = np.concatenate([_unzip(r["gram"], np.uint32) for r in rows])[first]
-        _, group, versions = np.unique(gram, return_inverse=True, return_counts=True)
-        several = versions[group] > 1
         # Bit p of a segment's mark: its string at place p is in a smaller document.
-        marks = np.where(~several[where] & (ids > least[where]), np.uint64(0xFFFFFFFFFFFFFFFF), np.uint64(0))
-        some = np.flatnonzero(several)
-        if len(some):
-            chosen = first[some]
-            index = RunIndex(raw[ranges(start[chosen], size[chosen])], size[chosen], least[some], length)
-            members = np.argsort(where, kind="stable")
-            count = np.bincount(where, minlength=len(key))
-            at = (np.cumsum(count) - count)[some]
-            count = count[some]
-            for strings, place, smallest in index.stream():
-                i = members[ranges(at[strings], count[strings])]
-                lower = np.repeat(smallest, count[strings]) < ids[i]
-                marks[i[lower]] |= np.uint64(1) << np.repeat(place, count[strings])[lower].astype(np.uint64)
+        marks = np.zeros(len(ids), np.uint64)
+        index = RunIndex(raw[ranges(start[first], size[first])], size[first], least, length)
+        members = np.argsort(where, kind="stable")
+        count = np.bincount(where, minlength=len(key))
+        at = np.cumsum(count) - count
+        for strings, place, smallest in index.stream():
+            i = members[ranges(at[strings], count[strings])]
+            lower = np.repeat(smallest, count[strings]) < ids[i]
+            marks[i[lower]] |= np.uint64(1) << np.repeat(place, count[strings])[lower].astype(np.uint64)
         ends = np.cumsum(per_row)
         return pa.table({"chunk": table["chunk"], "bucket": table["bucket"],
                          "marks": pa.array([_zip(marks[e - n: e]) for e, n in zip(ends, per_row)], pa.binary())})
@@ -281,28 +318,30 @@ def _mark(length: int):
 
 def remove_matches(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-    names: tuple[str, str, str] = ("n_bytes", "n_removed", "removed"),
+    names: tuple[str, str, str] = ("n_bytes", "n_removed", "removed"), heavy_bytes: int = HEAVY_BYTES,
 ) -> DataFrame:
     """``df`` with ``text_col`` as the bytes that remain, plus columns for the
-    number of bytes, of removed bytes, and the removed runs (start, end)."""
+    number of bytes, of removed bytes, and the removed runs (start, end).
+    ``heavy_bytes``: segment bytes beyond which a minimizer's group is split;
+    the result does not depend on it."""
     if length < 24:
         raise ValueError("matches must have at least 24 bytes")
     chunks = to_chunks(df, text_col, "bytes")
     buckets = bucket_count(chunks)
-    anchors = each_chunk(chunks, lambda c, t: _anchors(c, t, id_col, text_col, length, buckets), HASHES)
-    found = materialise(recurring(anchors), "minimizers")
+    anchors = each_chunk(chunks, lambda c, t: _anchors(c, t, id_col, text_col, length, buckets), WEIGHED)
+    found = materialise(recurring_weighed(anchors, heavy_bytes), "minimizers")
     indexes = max(8, -(-(chunks.agg(F.sum("bytes")).first()[0] or 0) // INDEX_BYTES))
     sent = each_chunk_with(chunks, found, lambda c, t, f: _send(c, t, f, id_col, text_col, length, indexes), SEGMENTS)
     marks = sent.groupBy("bucket").applyInArrow(_mark(length), MARKS)
 
-    n_bytes, n_removed, removed = names
+    n_bytes, n_removed, removed = (fresh(df.columns, x) for x in names)
     fields = [T.StructField(f.name, T.BinaryType()) if f.name == text_col else f for f in df.schema.fields]
     schema = T.StructType([*fields, T.StructField(n_bytes, T.LongType()), T.StructField(n_removed, T.LongType()),
                            T.StructField(removed, T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])))])
     arrow = to_arrow_schema(schema)
 
     def cut(chunk, table, right):
-        c = _Chosen(table, blob(right["found"]), id_col, text_col, length, indexes)
+        c = _Chosen(table, blob(right["found"]), blob(right["heavy"]), id_col, text_col, length, indexes)
         mark = np.zeros(len(c.first), np.uint64)
         for b, data in zip(right["bucket"].to_pylist(), right["marks"].to_pylist()):
             if data:

@@ -1,15 +1,18 @@
 """Passages, bytes, near duplicates and leaks against brute force."""
 
 import hashlib
+import random
 from collections import Counter
 
+import numpy as np
+import pytest
 from cases import lower, words
 from pyspark.sql import functions as F
 
 from gazetta.llm.components import components
 from gazetta.llm.decontaminate import flag
 from gazetta.llm.minhash_dedup import keep_one, near_duplicates
-from gazetta.llm.run_index import remove_matches
+from gazetta.llm.run_index import Marks, Segments, remove_matches
 from gazetta.llm.substring_dedup import COVERS, substring_dedup
 
 
@@ -53,19 +56,57 @@ def test_substring_dedup_leaves_untouched_texts(docs, corpus):
             assert r["text"] == (dict(corpus)[r["doc_id"]] or "")
 
 
-def test_remove_matches(docs, corpus):
-    for length in (50, 24, 90):
-        seen, got = set(), {r["doc_id"]: r for r in remove_matches(docs, length=length).collect()}
-        assert len(got) == len(corpus)
-        for i, t in corpus:
-            b = (t or "").encode()
-            strings = [b[s: s + length] for s in range(len(b) - length + 1)]
-            gone = covered(len(b), [s for s, x in enumerate(strings) if x in seen], length)
+@pytest.mark.parametrize("length, heavy", [(50, 1 << 20), (24, 1 << 20), (90, 1 << 20), (50, 400), (24, 0)])
+def test_remove_matches(docs, corpus, length, heavy):
+    seen, got = set(), {r["doc_id"]: r for r in remove_matches(docs, length=length, heavy_bytes=heavy).collect()}
+    assert len(got) == len(corpus)
+    for i, t in corpus:
+        b = (t or "").encode()
+        strings = [b[s: s + length] for s in range(len(b) - length + 1)]
+        gone = covered(len(b), [s for s, x in enumerate(strings) if x in seen], length)
+        seen.update(strings)
+        r = got[i]
+        assert (r["n_bytes"], r["n_removed"]) == (len(b), sum(gone)), (length, i)
+        assert bytes(r["text"]) == bytes(x for x, g in zip(b, gone) if not g)
+        assert [(x["start"], x["end"]) for x in r["removed"]] == runs(gone)
+
+
+def test_remove_matches_of_a_passage_with_many_ends(spark):
+    rng = random.Random(3)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(120))
+    rows = [(i, "".join(rng.choice("klmnopqrst") for _ in range(40)) + passage + "".join(rng.choice("uvwxyz0123") for _ in range(40)))
+            for i in range(3000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    for heavy in (1 << 12, 1 << 20):
+        got = {r["doc_id"]: (r["n_removed"], bytes(r["text"])) for r in remove_matches(frame, heavy_bytes=heavy).collect()}
+        seen = set()
+        for i, t in rows:
+            b = t.encode()
+            strings = [b[s: s + 50] for s in range(len(b) - 49)]
+            gone = covered(len(b), [s for s, x in enumerate(strings) if x in seen], 50)
             seen.update(strings)
-            r = got[i]
-            assert (r["n_bytes"], r["n_removed"]) == (len(b), sum(gone)), (length, i)
-            assert bytes(r["text"]) == bytes(x for x, g in zip(b, gone) if not g)
-            assert [(x["start"], x["end"]) for x in r["removed"]] == runs(gone)
+            assert got[i] == (sum(gone), bytes(x for x, g in zip(b, gone) if not g)), i
+
+
+def test_heavy_segments_become_one_group_a_string():
+    rng = random.Random(4)
+    passage = bytes(rng.randrange(97, 123) for _ in range(100))
+    texts = [bytes(rng.randrange(97, 123) for _ in range(60)) + passage + bytes(rng.randrange(97, 123) for _ in range(60)) for _ in range(500)]
+    raw = np.frombuffer(b"".join(texts), np.uint8)
+    s = Segments(raw, np.arange(501) * 220, 50)
+    strings = sorted(bytes(raw[a + j: a + j + 50]) for a, n in zip(s.start, s.windows) for j in range(n))
+    gram, count = np.unique(s.gram, return_counts=True)
+    s = s.split(np.isin(s.gram, gram[count > 100]), raw, 50)
+    assert strings == sorted(bytes(raw[a + j: a + j + 50]) for a, n in zip(s.start, s.windows) for j in range(n))
+    versions = {}
+    for g, a, n in zip(s.gram, s.start, s.windows):
+        versions.setdefault(int(g), set()).add(bytes(raw[a: a + n + 49]))
+    assert max(map(len, versions.values())) <= 100
+
+
+def test_marks_give_the_last_mark_at_or_before():
+    rows = np.unique(np.concatenate([[0, 63, 64, 127, 128], np.random.default_rng(5).integers(0, 1000, 90)]))
+    assert (Marks(rows, 1000).last(np.arange(1000)) == np.searchsorted(rows, np.arange(1000), side="right") - 1).all()
 
 
 def test_remove_matches_ids(spark):
