@@ -16,7 +16,8 @@ sent to the executors; it has a fixed size, whatever the corpus.
 
 Defined results: null or empty text has no tokens, and no tokens decode to
 empty bytes; null ids in a token list are an error of the caller; ids outside
-the vocabulary raise; other columns pass through; repeated rows are rows.
+the vocabulary raise; other columns pass through; repeated rows are rows. Where
+a column has an output's name, the output's name gets ``_`` appended until it is free.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gazetta.llm.pieces import TextIds, by_match
-from gazetta.llm.util import ranges, read_table, ship, text_bytes, text_slices, worker_memory
+from gazetta.llm.util import fresh, ranges, read_table, ship, text_bytes, text_slices, worker_memory
 
 LONG = 48
 #: Words and tokens that one query of a worker's database handles.
@@ -191,6 +192,8 @@ def encode(df: DataFrame, path: str, text_col: str = "text", out: str = "ids", d
     ids decode to (in the same worker, which then holds one database)."""
     data = _vocabulary(df.sparkSession, path)
     others = [c for c in df.columns if c != text_col]
+    out = fresh(others, out)
+    decoded = fresh([*others, out], decoded) if decoded else None
     schema = T.StructType([df.schema[c] for c in others] + [T.StructField(out, T.ArrayType(T.IntegerType()))]
                           + ([T.StructField(decoded, T.BinaryType())] if decoded else []))
 
@@ -211,6 +214,7 @@ def encode(df: DataFrame, path: str, text_col: str = "text", out: str = "ids", d
 def decode(df: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """``df`` with a binary column ``out``: the bytes of the tokens in ``ids_col``."""
     data = _vocabulary(df.sparkSession, path)
+    out = fresh(df.columns, out)
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.BinaryType())])
     at = df.columns.index(ids_col)
 

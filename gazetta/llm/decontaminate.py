@@ -16,7 +16,9 @@ each sent to all tasks, and every document is compared with every block.
 Defined results: null or empty texts and items match nothing; items shorter
 than an n-gram use their whole word sequence as seed; repeated documents, and
 equal items under other ids, each give their own matches; null ids are carried
-along; empty tables give an empty result; other columns pass through ``flag``.
+along; empty tables give an empty result; other columns pass through ``flag``;
+where one has the name of its output, the output's name gets ``_`` appended
+until it is free.
 """
 
 from __future__ import annotations
@@ -214,6 +216,7 @@ def flag(
     start and end in words of the document."""
     spark = docs.sparkSession
     ship(spark)
+    out = fresh(docs.columns, out)
     items = bench.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text")).where("text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // BLOCK_BYTES))

@@ -18,7 +18,8 @@ Defined results: null and empty texts have the features of a text without
 words and get a score like any other; ids labelled twice are positives if all
 their labels are 1; with no positive, or no unlabelled text, every score is 0.5;
 repeated rows are scored alike; an empty table gives an empty result; other
-columns pass through.
+columns pass through; where one has an output's name, the output's
+name gets ``_`` appended until it is free.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gazetta.llm.util import Words, hash_ranges, read_table, ship, text_bytes, text_slices, window_hashes
+from gazetta.llm.util import Words, fresh, hash_ranges, read_table, ship, text_bytes, text_slices, window_hashes
 
 MAX_POSITIVES = 20_000
 MAX_UNLABELLED = 30_000
@@ -216,6 +217,7 @@ def score_quality(
     good = labels.where(train_ids).groupBy(id_col).agg(F.min(F.coalesce("quality", F.lit(0))).alias("q")).where("q = 1")
     model = train(_sample(learn, good, id_col, text_col, max_positives), _sample(learn, learn, id_col, text_col, max_unlabelled))
     others = [c for c in docs.columns if c != text_col]
+    out = fresh(others, out)
     schema = T.StructType([docs.schema[c] for c in others] + [T.StructField(out, T.DoubleType())])
 
     def run(batches):

@@ -14,7 +14,8 @@ labels gets no cutoff for that rule, which then rejects nothing there.
 Defined results: null or empty text has no words and fails the base rules; a
 null stratum is a stratum of its own; a null or repeated document id stays as
 many rows as it has; a document labelled twice is good only if all its labels
-are 1; an empty table gives an empty result; extra columns pass through.
+are 1; an empty table gives an empty result; extra columns pass through; where
+one has the name of the output, the output's name gets ``_`` appended until it is free.
 """
 
 from __future__ import annotations
@@ -161,6 +162,7 @@ def apply_rules(
     """``docs`` (without the text if ``keep_text`` is false) plus a struct ``out``
     of measures, ``base_failed``, ``rejected_by`` (rules) and ``kept``."""
     cols = [c for c in docs.columns if keep_text or c != text_col]
+    out, in_stratum, its_cutoffs = (fresh(docs.columns, x) for x in (out, "__stratum", "__cutoffs"))
     m = fresh(docs.columns + [out], "__m")
     measured = materialise(measures(docs, text_col, m).select(*cols, m), "quality")
     s = F.coalesce(F.concat(F.lit("s"), F.col(stratum_col)), F.lit(""))
@@ -168,10 +170,10 @@ def apply_rules(
     good = good.join(good_labels(labels), F.col(id_col) == F.col("__good_id"), "left_semi")
     cutoffs = materialise(learn_cutoffs(good, m, "stratum"), "cutoffs")
     few = cutoffs.count() <= BROADCAST_STRATA
-    cutoffs = cutoffs.select(F.col("stratum").alias("__stratum"), F.col("cutoffs").alias("__cutoffs"))
-    joined = measured.join(F.broadcast(cutoffs) if few else cutoffs, s == F.col("__stratum"), "left")
+    cutoffs = cutoffs.select(F.col("stratum").alias(in_stratum), F.col("cutoffs").alias(its_cutoffs))
+    joined = measured.join(F.broadcast(cutoffs) if few else cutoffs, s == F.col(in_stratum), "left")
     hits = F.filter(F.array(*(
-        F.when(share(F.col(m), r) > F.try_element_at("__cutoffs", F.lit(r)), F.lit(r)) for r in RULES)), lambda x: x.isNotNull())
+        F.when(share(F.col(m), r) > F.try_element_at(its_cutoffs, F.lit(r)), F.lit(r)) for r in RULES)), lambda x: x.isNotNull())
     kept = ~base_failed(F.col(m)) & (F.size(hits) == 0)
     verdict = F.struct(*(F.col(m)[k].alias(k) for k in MEASURES), base_failed(F.col(m)).alias("base_failed"),
                        hits.alias("rejected_by"), kept.alias("kept"))

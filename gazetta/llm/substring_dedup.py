@@ -11,7 +11,8 @@ and exchanged; those that occur twice are repeated, and their words removed.
 Defined results: null or empty text has no words and stays empty; null or
 repeated ids are rows like any other (two rows with equal text are copies of
 each other); windows are judged on the input, all copies are removed; an empty
-table gives an empty result; other columns pass through unchanged.
+table gives an empty result; other columns pass through unchanged; where one
+has an output's name, the output's name gets ``_`` appended until it is free.
 """
 
 from __future__ import annotations
@@ -135,7 +136,7 @@ def substring_dedup(
         w = _words(table, text_col)
         return pa.Table.from_batches([bucketed(chunk, plan.candidates(w, w.hashes(), blob(found["found"]))[1], buckets)])
 
-    n_words, n_removed, removed = names
+    n_words, n_removed, removed = (fresh(df.columns, x) for x in names)
     schema = T.StructType([*df.schema.fields, T.StructField(n_words, T.LongType()), T.StructField(n_removed, T.LongType()),
                            T.StructField(removed, T.ArrayType(T.StructType([
                                T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])))])

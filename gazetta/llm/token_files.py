@@ -13,7 +13,9 @@ Ids are the library's with its defaults: a string of an added token in a text
 
 Defined results: null or empty text has the end id alone; rows of equal order
 value follow each other by text; null order values come first; an empty table
-gives no files and reads back as no rows; other columns are kept in the files.
+gives no files and reads back as no rows; other columns are kept in the files,
+and one that has a name of the format (``part``, ``start``, ``n_tokens``,
+``ids``) gets ``_`` appended to its own until that is free.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gazetta.llm.pieces import _Pool, cuts, per_group
-from gazetta.llm.util import hash_ranges, ranges, read_table, scratch_path, ship, text_bytes, text_slices, worker_memory
+from gazetta.llm.util import fresh, hash_ranges, ranges, read_table, scratch_path, ship, text_bytes, text_slices, worker_memory
 
 END_ID = 2
 #: Distinct cuts whose ids a worker keeps.
@@ -164,6 +166,10 @@ def _tokenizer(data: bytes) -> _Texts:
     return memory.texts
 
 
+#: Columns of the files besides the table's own.
+FORMAT = ("part", "start", "n_tokens", "ids")
+
+
 def write_tokens(
     df: DataFrame, path: str, tokenizer_path: str, text_col: str = "text", order_col: str = "doc_id", end_id: int = END_ID,
     encoding: str = "dictionary", row_group_bytes: int = 32 << 20, page_bytes: int = 256 << 10,
@@ -173,6 +179,10 @@ def write_tokens(
     ship(spark)
     with open(tokenizer_path, "rb") as f:
         data = spark.sparkContext.broadcast(f.read())  # a vocabulary: its size does not depend on the corpus
+    for c in df.columns:
+        if c != text_col and c.lower() in FORMAT:
+            own = fresh([*df.columns, *FORMAT], c)
+            df, order_col = df.withColumnRenamed(c, own), own if c == order_col else order_col
     others = [c for c in df.columns if c != text_col]
     schema = T.StructType([df.schema[c] for c in others] + [
         T.StructField("part", T.IntegerType()), T.StructField("start", T.LongType()),
@@ -208,15 +218,17 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.parquet(path)
     files = rows.groupBy("part").agg(F.max(F.col("start") + F.col("n_tokens")).alias("total"))
     before = F.coalesce(F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    index = files.select(F.col("part").alias("__part"), before.alias("__before"))  # a row a file
+    part, shift = fresh(rows.columns, "__part"), fresh(rows.columns, "__before")
+    index = files.select(F.col("part").alias(part), before.alias(shift))  # a row a file
     if files.count() <= BROADCAST_FILES:
         index = F.broadcast(index)
-    return rows.join(index, rows.part == F.col("__part")).withColumn("start", F.col("start") + F.col("__before")).drop("part", "__part", "__before")
+    return rows.join(index, rows.part == F.col(part)).withColumn("start", F.col("start") + F.col(shift)).drop("part", part, shift)
 
 
 def with_crc32(df: DataFrame, ids_col: str = "ids", out: str = "ids_crc32") -> DataFrame:
     """``ids_col`` replaced by the crc32 of its ids as little-endian unsigned 32-bit integers."""
     others = [c for c in df.columns if c != ids_col]
+    out = fresh(others, out)
     schema = T.StructType([df.schema[c] for c in others] + [T.StructField(out, T.LongType())])
 
     def run(batches):
