@@ -79,28 +79,44 @@ class RunIndex:
     def __init__(self, raw: np.ndarray, size: np.ndarray, document: np.ndarray, length: int):
         n_strings = len(size)
         self.n_strings, self.size, self.length = n_strings, size, length
-        # Symbols 1..256, with a 0 after each string.
+        # Symbols from 1 (in byte order), with a 0 after each string.
         ends = np.cumsum(size)
-        sym = np.insert(raw.astype(np.uint64) + np.uint64(1), ends, 0)
+        used = np.flatnonzero(np.bincount(raw, minlength=256))
+        dense = np.zeros(256, np.uint64)
+        dense[used] = np.arange(1, len(used) + 1)
+        sym = np.insert(dense[raw], ends, 0)
         string = np.repeat(np.arange(n_strings), size + 1)
         n = len(sym)
+        place = np.arange(n)
         stop = np.cumsum(size + 1)  # one past each string's end symbol
-        left = stop[string] - np.arange(n)  # symbols of the suffix, its end included
-        pad = np.concatenate([sym, np.zeros(8, np.uint64)])
+        left = stop[string] - place  # symbols of the suffix, its end included
+        # Ranks by the first ``depth`` symbols, from as many ranks of the round before as a key holds.
+        wide = len(used).bit_length()
+        depth = min(length, 63 // max(wide, 1))
+        pad = np.concatenate([sym, np.zeros(depth, np.uint64)])
         key = np.zeros(n, np.uint64)
-        for j in range(7):
-            key = (key << np.uint64(9)) | np.where(left > j, pad[j: j + n], 0).astype(np.uint64)
-        rank, depth, agree = self._ranks(key), 7, None
+        for j in range(depth):
+            key = (key << np.uint64(wide)) | np.where(left > j, pad[j: j + n], 0).astype(np.uint64)
         longest = int(size.max()) + 1 if n_strings else 1
+        bits, tie = n.bit_length(), np.uint64(n_strings.bit_length())
+        rank, agree = self._ranks(key), (0, None)
         while True:
             if depth <= length:
                 agree = (depth, rank)
             if depth >= longest:
+                last = rank.astype(np.uint64)
                 break
-            after = np.where(left > depth, rank[np.minimum(np.arange(n) + depth, n - 1)] + 1, 0)
-            rank = self._ranks(rank.astype(np.uint64) * np.uint64(n + 1) + after.astype(np.uint64))
-            depth *= 2
-        order = np.argsort(rank.astype(np.uint64) * np.uint64(n_strings + 1) + string.astype(np.uint64))
+            pair = 2 * depth >= longest and 2 * bits + int(tie) <= 64
+            parts = 2 if pair else max(2, 64 // bits)
+            key = rank.astype(np.uint64)
+            for j in range(1, parts):
+                after = np.where(left > j * depth, rank[np.minimum(place + j * depth, n - 1)] + 1, 0)
+                key = (key << np.uint64(bits)) | after.astype(np.uint64)
+            if pair:
+                last = key
+                break
+            rank, depth = self._ranks(key), depth * parts
+        order = np.argsort((last << tie) | string.astype(np.uint64))
         # The transform: the symbol before each suffix (a string's first suffix: its end).
         first = np.cumsum(size + 1) - size - 1
         before = np.where(order == first[string[order]], 0, sym[np.maximum(order - 1, 0)]).astype(np.int64)
@@ -116,11 +132,13 @@ class RunIndex:
         last = order[head + run_size - 1]
         self.sample_string, self.sample_place = string[last], last - first[string[last]]
         # Thresholds: rows whose suffix does not share its first ``length`` symbols with the row before.
-        d, r = agree
         whole = left[order] > length
-        a, b = r[order], r[np.minimum(order + length - d, n - 1)]
         new = np.ones(n, bool)
-        new[1:] = ~(whole[1:] & whole[:-1] & (a[1:] == a[:-1]) & (b[1:] == b[:-1]))
+        new[1:] = ~(whole[1:] & whole[:-1])
+        d, r = agree
+        for at in [*range(0, length - d, d), length - d]:
+            part = r[np.minimum(order + at, n - 1)]
+            new[1:] |= part[1:] != part[:-1]
         self.threshold = np.flatnonzero(new)
         self.least = np.minimum.reduceat(document[string[order]], self.threshold) if n else np.zeros(0, np.int64)
         self.runs, self.blocks = Marks(head, n), Marks(self.threshold, n)
