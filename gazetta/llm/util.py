@@ -214,12 +214,31 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: Longer ranges are hashed each as a whole, not in step with the others.
+LONG_RANGE = 4096
+
+
+def _hash_long(whole: np.ndarray) -> np.ndarray:
+    """A sum of mixed lanes, each with its place; a megabyte at a time."""
+    total = np.uint64(0)
+    for at in range(0, len(whole), 1 << 20):
+        part = whole[at: at + (1 << 20)]
+        lanes = np.concatenate([part, np.zeros(-len(part) % 8, np.uint8)]).view("<u8")
+        place = np.arange(at // 8, at // 8 + len(lanes), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        total = total + mix(mix(lanes ^ place) + place).sum(dtype=np.uint64)
+    return total
+
+
 def hash_ranges(raw: np.ndarray, start: np.ndarray, size: np.ndarray, seed: int = 0) -> np.ndarray:
     """64-bit hash of each byte range, eight bytes at a time."""
     padded = np.concatenate([raw, np.zeros(8, np.uint8)])
     lanes = np.ndarray((len(padded) - 7,), dtype="<u8", buffer=padded.data, strides=(1,))
     h = mix(size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
-    active, done = np.arange(len(start)), 0
+    long = size > LONG_RANGE
+    for i in np.flatnonzero(long):
+        h[i] ^= _hash_long(raw[start[i]: start[i] + size[i]])
+        h[i: i + 1] = mix(h[i: i + 1])
+    active, done = np.flatnonzero(~long), 0
     while len(active):
         rest = size[active] - done
         lane = lanes[start[active] + done]

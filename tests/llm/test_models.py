@@ -105,6 +105,31 @@ def test_units_cover_the_text(corpus):
         at += n
 
 
+def test_long_words_are_cut():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    text = "".join(rng.choice(list("acgt"), 1_000_000)) + " end"
+    u = context_mixing.Units(*text_bytes(pa.array([text, "end"], pa.string())))
+    assert (u.end - u.start).max() == context_mixing.LONGEST and u.per_text.tolist() == [15_626, 1]
+    assert u.raw.tobytes() == b"".join(t.encode() + bytes([context_mixing.END]) for t in (text, "end"))
+    assert (u.state[1:15_625] == 9).all()
+
+
+def test_long_ranges_hash_by_content():
+    from gazetta.llm.util import hash_ranges
+
+    rng = np.random.default_rng(6)
+    word = rng.integers(97, 123, 3_000_001).astype(np.uint8)
+    other = word.copy()
+    other[1_500_000] ^= 1
+    swapped = np.concatenate([word[8:16], word[:8], word[16:]])
+    raw = np.concatenate([np.zeros(3, np.uint8), word, other, swapped, word])
+    n = len(word)
+    h = hash_ranges(raw, np.array([3, 3 + n, 3 + 2 * n, 3 + 3 * n]), np.full(4, n))
+    assert h[0] == h[3] and len(set(h[:3].tolist())) == 3
+
+
 def test_bit_probabilities_sum_to_one():
     """Over all bytes that could come next, the model's probabilities sum to one."""
     rng = np.random.default_rng(2)
@@ -196,5 +221,5 @@ def test_map_counts_all_units():
         size = rng.integers(1, 15, n)
         bucket = context_mixing.Bucket(rng.integers(97, 123, size.sum()).astype(np.uint8), size, np.zeros(n, np.int64), rng.integers(0, 4, n))
         pairs, total = bucket.pairs, bucket.occurrences()
-        seen, ones = context_mixing.Mixer().of(context_mixing.bit_counts(pairs, total).ravel()).count_map(bucket)
+        _, _, seen, ones = context_mixing.Mixer().of(context_mixing.bit_counts(pairs, total).ravel()).learn(bucket)
         assert seen.sum() == 8 * (size * bucket.count).sum() and 0 < ones.sum() < seen.sum()
