@@ -74,12 +74,24 @@ def clear_scratch(spark: SparkSession, paths: list[str] | None = None) -> int:
     return len(paths)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialise(df: DataFrame, name: str, once: bool = False) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read that copy:
-    later branches and retries after a lost executor never recompute it."""
+    later branches and retries after a lost executor never recompute it.
+    ``once``: Spark may drop the shuffle files when it is written."""
     ship(df.sparkSession)
     path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEAN, None)
+    if once:
+        conf.set(_CLEAN, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if once:
+            conf.unset(_CLEAN) if before is None else conf.set(_CLEAN, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -220,13 +232,13 @@ LONG_RANGE = 4096
 
 def _hash_long(whole: np.ndarray) -> np.ndarray:
     """A sum of mixed lanes, each with its place; a megabyte at a time."""
-    total = np.uint64(0)
+    total = np.zeros(1, np.uint64)
     for at in range(0, len(whole), 1 << 20):
         part = whole[at: at + (1 << 20)]
         lanes = np.concatenate([part, np.zeros(-len(part) % 8, np.uint8)]).view("<u8")
         place = np.arange(at // 8, at // 8 + len(lanes), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         total = total + mix(mix(lanes ^ place) + place).sum(dtype=np.uint64)
-    return total
+    return total[0]
 
 
 def hash_ranges(raw: np.ndarray, start: np.ndarray, size: np.ndarray, seed: int = 0) -> np.ndarray:
