@@ -165,6 +165,58 @@ def test_scores(docs, corpus, empty):
     assert math.isclose(untrained[4]["score"], -8 * 4 * math.log10(2), rel_tol=1e-6)
 
 
+def plain_units(text):
+    """(bytes, state) of each unit, by a loop over bytes."""
+    space, out, start = b" \t\n\v\f\r", [], 0
+    raw = (text or "").encode() + bytes([context_mixing.END])
+    for i, x in enumerate(raw):
+        if x in space or x == context_mixing.END:
+            for at in range(start, i + 1, context_mixing.LONGEST):
+                last = raw[at - 2] if at > 1 else context_mixing.END
+                state = 9 if at > start else 0 if at == 0 else 1 + (last in b".!?:") + 2 * (raw[at - 1] != 32) + 4 * (last in space)
+                out.append((raw[at: min(at + context_mixing.LONGEST, i + 1)], state))
+            start = i + 1
+    return out
+
+
+def test_continuations(spark, corpus):
+    """Of learned texts every unit is one that followed, so their scores come
+    from counts alone; against dictionaries. Words out of order cost more."""
+    rng = np.random.default_rng(7)
+    long = max((t for _, t in corpus if t), key=lambda t: len(t) if len(t) < 20_000 else 0)
+    shuffled = " ".join(rng.permutation(long.split()))
+    texts = [*corpus, (1_000_001, " a  b"), (1_000_003, " a b" + "c" * 200), (1_000_005, shuffled)]
+    held_out = {i for i, _ in texts if i % 3 == 0 or i == 1_000_005}
+    seen, both = Counter(), Counter()
+    units = {i: plain_units(t) for i, t in texts}
+    for i in units.keys() - held_out:
+        seen.update([None, *units[i]][:-1])
+        both.update(zip([None, *units[i]], units[i]))
+    cell = lambda n: math.ceil(math.log2(n + 1))
+    met, known = Counter(), Counter()
+    for (a, b), n in both.items():
+        met[cell(seen[a] - 1)] += n
+        known[cell(seen[a] - 1)] += n if n > 1 else 0
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    got = {r["id"]: r for r in context_mixing.score_texts(df, ~F.col("doc_id").isin(held_out)).collect()}
+    for i in units.keys() - held_out:
+        want = sum(math.log10((known[cell(seen[a])] + 0.5) / (met[cell(seen[a])] + 1) * both[a, b] / seen[a]) for a, b in zip([None, *units[i]], units[i]))
+        assert math.isclose(got[i]["score"], want, rel_tol=1e-9)
+        assert math.isclose(got[i]["bits_per_byte"], -want / math.log10(2) / max(1, got[i]["n_bytes"]), rel_tol=1e-9)
+    near = next(i for i, t in corpus if t == long)
+    if near not in held_out:
+        assert got[1_000_005]["score"] < 1.3 * got[near]["score"]
+
+
+def test_text_without_spaces(spark):
+    rng = np.random.default_rng(8)
+    texts = [(i, "".join(rng.choice(list("ACGT"), 2_000_000 if i == 1 else 500)), i) for i in range(1, 8)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, score long")
+    got = {r["id"]: r for r in context_mixing.score_texts(docs, F.col("doc_id") != 2).collect()}
+    assert got[1]["n_bytes"] == 2_000_000 and got[1]["n_tokens"] == 2
+    assert 2 < got[2]["bits_per_byte"] < 4  # four letters at random: two bits each, the first bits and the end besides
+
+
 def test_context_counts_are_exact(spark):
     """Every bit's counts, against a dictionary: no context shares another's, however many there are."""
     rng = np.random.default_rng(3)
