@@ -20,6 +20,9 @@ from gazetta.operators.lookup import broadcast_if_bounded, broadcast_if_small_re
 # Distinct values (languages) that an aggregation state may count, and rows of a
 # language table that is broadcast. There are at most 26 * 26 two-letter codes.
 MAX_COUNTED_VALUES = 10_000
+# Languages that have a column of counts each (8 bytes a name); with more of
+# them, the state holds only those that a name has.
+MAX_VALUE_COLUMNS = 16
 
 
 def filter_alternate_names(
@@ -70,7 +73,9 @@ def aggregate_alt_names(
     Plan: filter and clean per row; broadcast-join the (bounded) language
     table; one aggregation by (id, alt_name) whose state counts each language
     (at most as many as the language table has), merged in the map tasks and
-    again after the one exchange; then the counts are expanded into the list. A
+    again after the one exchange; then the counts are expanded into the list.
+    For few languages the state is a row of counts, which Spark keeps in a hash
+    map; a larger one makes it sort the rows once there are over 128 names. A
     name repeated millions of times therefore never piles its rows into one
     task: each map task sends one state.
     """
@@ -83,14 +88,18 @@ def aggregate_alt_names(
     labelled = alts.join(names, alts["__lang"] == names["__code"], "left").select(
         "id", "alt_name", "__lang_name"
     )
-    return langs_from_counts(labelled, ["id", "alt_name"], "__lang_name", "langs", values=languages)
+    known = [r[0] for r in names.select("__lang_name").distinct().collect()] if languages <= MAX_VALUE_COLUMNS else None
+    return langs_from_counts(labelled, ["id", "alt_name"], "__lang_name", "langs", values=languages, known=known)
 
 
 def langs_from_counts(
     df: DataFrame, keys: Sequence[str], value_col: str, out_col: str, sep: str = ", ", values: int | None = None,
+    known: Sequence[str | None] | None = None,
 ) -> DataFrame:
     """Order-defined ``string_agg(value, sep)`` that keeps duplicates and skips NULLs.
 
+    ``known``: all values there are, if few: each is counted in a column of its
+    own, in a hash aggregation.
     ``values``: a proven bound of the distinct values. Within
     ``MAX_COUNTED_VALUES``, the values of a key are counted in one mergeable
     state: Spark's frequent-items aggregate, which is exact while it tracks as
@@ -99,6 +108,8 @@ def langs_from_counts(
     sorted list of (value, count) pairs per key. Either way state per group
     follows the distinct values, not the rows.
     """
+    if known is not None:
+        return _langs_from_columns(df, keys, value_col, out_col, sep, sorted(v for v in known if v is not None))
     if values is not None and values < MAX_COUNTED_VALUES:
         tracked = values + 1  # NULL may count as one
         counts = df.groupBy(*keys).agg(F.expr(f"approx_top_k(`{value_col}`, {tracked}, {tracked})").alias("__counts"))
@@ -118,6 +129,17 @@ def langs_from_counts(
     return pairs.select(*keys, F.when(size == 1, single).when(size > 1, general).alias(out_col))
 
 
+def _langs_from_columns(df: DataFrame, keys: Sequence[str], value_col: str, out_col: str, sep: str, values: Sequence[str]) -> DataFrame:
+    """``langs_from_counts`` with one count a value; ``values`` in the order of the list."""
+    n = [fresh(keys, f"__n{i}") for i in range(len(values))]
+    value = F.col(value_col)
+    counts = df.groupBy(*keys).agg(*([F.count(F.when(value == F.lit(v), 1)).alias(c) for c, v in zip(n, values)] or [F.lit(None).alias(fresh(keys, "__none"))]))
+    # each value as often as counted, with a separator behind it; the last one goes
+    parts = [F.when(F.col(c) > 0, F.repeat(F.lit(v + sep), F.col(c).cast("int"))).otherwise(F.lit("")) for c, v in zip(n, values)]
+    text = F.concat(F.lit(""), *parts)
+    return counts.select(*keys, F.when(text != "", F.left(text, F.length(text) - F.lit(len(sep)))).alias(out_col))
+
+
 def attach_alternates(
     entities: DataFrame,
     alt_names: DataFrame,

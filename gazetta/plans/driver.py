@@ -188,7 +188,6 @@ WHERE language IS NULL OR language NOT IN ({SQL_PSEUDO})
 GROUP BY 1, 2"""
 
 WORD_CHARS = (" ", "\t", "\n", "\r")
-WORD_BREAK = "[ \t\n\r]+"
 
 
 def doc_word_alternates(spark: SparkSession, d: str) -> DataFrame:
@@ -216,9 +215,13 @@ def doc_words(spark: SparkSession, d: str, language) -> DataFrame:
     lines = F.concat(F.split(text, "\n"), F.array_repeat(F.lit("\n"), n_empty))
     rows = _t(spark, d, "documents").select(
         F.col("doc_id").alias("geoname_id"), language.alias("iso_language"), F.explode(lines).alias("line")).hint("rebalance")
+    # one-character breaks are cut without a regular expression
     line = F.col("line")
-    words = F.when(line == "\n", F.array(F.lit(""))).otherwise(F.filter(F.split(line, WORD_BREAK), lambda w: w != ""))
-    return rows.select("geoname_id", "iso_language", F.explode(words).alias("alternate_name"))
+    blanks = F.when(F.contains(line, F.lit("\t")) | F.contains(line, F.lit("\r")), F.translate(line, "\t\r", "  ")).otherwise(line)
+    words = F.when(line == "\n", F.array(line)).otherwise(F.split(blanks, " "))
+    word = F.col("alternate_name")
+    rows = rows.select("geoname_id", "iso_language", F.explode(words).alias("alternate_name")).where(word != "")
+    return rows.withColumn("alternate_name", F.when(word == "\n", F.lit("")).otherwise(word))
 
 
 SQL_DOC_WORDS = r"""raw AS (

@@ -254,3 +254,26 @@ def test_language_counts_in_one_state_are_exact(spark):
     one_state = langs_from_counts(rows.repartition(13), ["id", "alt_name"], "l", "langs", values=distinct).collect()
     assert sorted(map(tuple, one_state), key=str) == sorted(map(tuple, two_level), key=str) and len(two_level) > 300
     assert any(r["langs"] is None for r in langs_from_counts(rows.where("l IS NULL"), ["id", "alt_name"], "l", "langs", values=0).collect())
+
+
+def test_few_languages_are_counted_in_columns_by_hashing(spark):
+    """Same lists as the counting of any number of values, without a sort: names
+    that are empty, hold the separator, or are known but never occur; NULLs."""
+    from gazetta.operators.names import MAX_VALUE_COLUMNS, langs_from_counts
+
+    values = ["", "a, b", "Dutch", "Zulu", "é", "\U0001f600", "\uffff"]
+    rows = spark.range(20_000).select(
+        (F.col("id") % 40).alias("id"), F.concat(F.lit("n"), F.col("id") % 300).alias("alt_name"),
+        F.when(F.col("id") % 40 != 7, F.element_at(F.array(*map(F.lit, values)), (F.pmod(F.hash("id"), F.lit(3)) + F.col("id") % 5 + 1).cast("int"))).alias("l"))
+    assert rows.where("l = ''").count() and rows.where("l IS NULL").count()
+    any_number = langs_from_counts(rows, ["id", "alt_name"], "l", "langs").collect()
+    few = langs_from_counts(rows, ["id", "alt_name"], "l", "langs", known=[*values, "never", None])
+    assert sorted(map(tuple, few.collect()), key=str) == sorted(map(tuple, any_number), key=str)
+    assert any(r["langs"] is None for r in any_number)
+    assert [r["langs"] for r in langs_from_counts(rows.where("id = 7"), ["id", "alt_name"], "l", "langs", known=[]).collect()] == [None] * few.where("id = 7").count()
+
+    raw = rows.select(F.col("id").alias("geoname_id"), F.col("l").alias("iso_language"), F.col("alt_name").alias("alternate_name"))
+    for n, operator in ((3, "HashAggregate"), (MAX_VALUE_COLUMNS + 1, "ObjectHashAggregate")):
+        codes = spark.createDataFrame([(f"c{i}", f"Language {i}") for i in range(n)], "code string, name string")
+        plan = aggregate_alt_names(raw, codes)._jdf.queryExecution().sparkPlan().toString()
+        assert ("ObjectHashAggregate" in plan) == (operator == "ObjectHashAggregate"), plan

@@ -77,3 +77,17 @@ def test_dense_ids_read_only_what_is_needed(spark):
     schemas = [line.split("ReadSchema: ")[1] for line in p.splitlines() if "ReadSchema: " in line]
     # the counts come from the footers alone; the row index is the reader's own
     assert sorted(schemas) == ["struct<>", "struct<o_custkey:bigint,_tmp_metadata_row_index:bigint>"]
+
+
+def test_words_of_lines_are_the_words_of_the_text(spark, tmp_path):
+    """Tabs, carriage returns, runs of blanks, empty and missing texts; no regular expression, no lambda per line."""
+    from gazetta.plans.driver import doc_word_alternates
+
+    texts = ["a b", " a\tb\r\nc ", "\n\n", "", None, "\ta\t\t b", "a\r", "x\u000by  z", "one", "\r", " \n\t\r "]
+    rows = [(i, t, "en" if i % 2 else "es") for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = doc_word_alternates(spark, str(tmp_path))
+    whole = spark.read.parquet(str(tmp_path / "documents.parquet")).selectExpr("doc_id", "explode(split(text, '[ \t\n\r]+')) AS word")
+    assert sorted((r["geoname_id"], r["alternate_name"]) for r in got.collect()) == sorted(map(tuple, whole.collect()))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "]+" not in plan, plan
