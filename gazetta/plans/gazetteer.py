@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from gazetta.operators.dedup import dedupe_places, drop_ambiguous_alternates
 from gazetta.operators.keys import assert_unique
 from gazetta.operators.lookup import broadcast_if_bounded
-from gazetta.operators.names import aggregate_alt_names
+from gazetta.operators.names import aggregate_alt_names, filter_alternate_names
 from gazetta.plans.tables import (
     CITY_NAMES_FIRST_ID,
     COUNTRY_NAMES_FIRST_ID,
@@ -176,8 +176,10 @@ def _build(
         "alt_names": (read_alt_names, "alt_names"),
     }
     place = lambda k, kind: lambda: first_malformed(spark, src(k), kind, quoting, multi_line)
+    # alternates without a real language or, unless asked for, of other scripts end here: checked, but not written
+    used = {"alt_names": lambda df: filter_alternate_names(df, not include_nonlatin).select("geoname_id", "iso_language", "alternate_name")}
     raw = _together({
-        k: lambda k=k, read=read, kind=kind: land(read(spark, src(k), quoting, multi_line), landed(k), kind, place(k, kind))
+        k: lambda k=k, read=read, kind=kind: land(read(spark, src(k), quoting, multi_line), landed(k), kind, place(k, kind), used.get(k))
         for k, (read, kind) in readers.items()})
 
     def languages_and_alternates() -> None:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gazetta.operators.keys import KeyViolation
+from gazetta.operators.keys import KeyViolation, fresh
 from gazetta.operators.lookup import broadcast_if_bounded
 from gazetta.session import stored
 from gazetta.sources import schemas
@@ -182,37 +182,46 @@ def _checked(df: DataFrame, schema: T.StructType | None) -> DataFrame:
     return df.select(*(column(c) for c in df.columns))
 
 
-def land(df: DataFrame, path: str, kind: str, place: Callable[[], str | None] | None = None) -> DataFrame:
+def land(
+    df: DataFrame, path: str, kind: str, place: Callable[[], str | None] | None = None,
+    used: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Parse every column by writing the raw rows to Parquet; read them back.
 
     Raises on the first malformed row (FAILFAST sees every column here), on a
     missing required value and on a negative unsigned count; the last two are
-    counted during the write. ``place`` is only called then, to say where the
+    noted during the write. ``place`` is only called then, to say where the
     bad record is. Required text columns come back as ``''`` where the field
-    was empty.
+    was empty. ``used`` says which rows and columns later steps use: every row is
+    parsed and checked, then only those are written.
     """
     t0 = time.perf_counter()
     missing, negative = schemas.REQUIRED.get(kind, []), schemas.NON_NEGATIVE.get(kind, [])
     counted = Observation()
     rules = {f"missing required value: {c}": F.col(c).isNull() for c in missing} | {f"negative count: {c}": F.col(c) < 0 for c in negative}
     names = list(rules)
-    watched = df.observe(counted, F.count(F.lit(1)).alias("rows"), *(F.count_if(rules[n]).alias(f"rule{i}") for i, n in enumerate(names)))
+    # one bit a rule: an observed row costs by the number of its columns and totals
+    broken = F.lit(0)
+    for i, n in enumerate(names):
+        broken = broken.bitwiseOR(F.when(rules[n], F.lit(1 << i)).otherwise(F.lit(0)))
+    flag, text = fresh(df.columns, "__broken"), set(schemas.REQUIRED_TEXT.get(kind, []))
+    rows = df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) if c in text else F.col(c) for c in df.columns], broken.alias(flag))
+    # the filter stays above the observation, so rows that it drops are parsed and checked
+    watched = rows.observe(counted, F.count(F.lit(1)).alias("rows"), F.bit_or(flag).alias("broken")).drop(flag)
+    kept = used(watched) if used else watched
     try:
-        watched.write.mode("overwrite").parquet(path)
+        kept.write.mode("overwrite").parquet(path)
     except Exception as error:
         where = place() if place else None
         if where is None:
             raise
         raise KeyViolation(where) from error
     got = counted.get
-    broken = [n for i, n in enumerate(names) if got.get(f"rule{i}")]
-    if broken:
-        raise KeyViolation((place() if place else None) or f"{broken[0]} in {path}")
-    landed = df.sparkSession.read.parquet(path)
+    found = [n for i, n in enumerate(names) if (got.get("broken") or 0) >> i & 1]
+    if found:
+        raise KeyViolation((place() if place else None) or f"{found[0]} in {path}")
     log.info("landed %s: %s rows in %.2fs", path, got.get("rows"), time.perf_counter() - t0)
-    text = set(schemas.REQUIRED_TEXT.get(kind, []))
-    return landed.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) if c in text else F.col(c)
-                           for c in landed.columns])
+    return df.sparkSession.read.parquet(path)
 
 
 def read_lang_codes(spark: SparkSession, path: str, quoting: str = QUOTE_CSV, multi_line: bool = False) -> DataFrame:

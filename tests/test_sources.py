@@ -238,3 +238,30 @@ def test_place_of_the_bad_record(spark, scratch, cut_finely, multi_line):
             land(read_alt_names(spark, folder, multi_line=multi_line), os.path.join(scratch, f"landed{n}"), "alt_names",
                  lambda: first_malformed(spark, folder, "alt_names", multi_line=multi_line))
     assert first_malformed(spark, os.path.join(folder, "a.txt"), "alt_names", multi_line=multi_line) is None
+
+
+def _used(df):
+    return df.where("alternate_name <= 'ZZ'").select("geoname_id", "alternate_name")
+
+
+def test_landing_writes_what_is_used(spark, scratch):
+    """Rows and columns that no later step uses are not written; an empty name is '' to the filter too."""
+    p = write(os.path.join(scratch, "a.txt"), [tsv((1, 2, "en", "X", "", "", "", "", "", "")), tsv((2, 3, "en", "x", 1, 0, "", "", "", "")), tsv((3, 4, "", "", "", "", "", "", "", ""))])
+    got = land(read_alt_names(spark, p), os.path.join(scratch, "landed"), "alt_names", used=_used)
+    assert got.columns == ["geoname_id", "alternate_name"]
+    assert sorted(map(tuple, got.collect())) == [(2, "X"), (4, "")]
+
+
+@pytest.mark.parametrize("row", [
+    ("", 2, "en", "x", "", "", "", "", "", ""),      # no id, in a column that is not written
+    (1, "", "en", "x", "", "", "", "", "", ""),
+    (1, 2, "en", "x", "", "", "", -1, "", ""),       # a negative flag
+    (1, 2, "en", "x", "", "", "many", "", "", ""),   # no number in a column that is not written
+    (1, 2, "en", "x", "", "", "", "", ""),           # too few fields
+    (1, 2, "en", "x", "", "", "", "", "", "", ""),   # too many
+])
+def test_rows_that_are_not_used_are_checked(spark, scratch, row):
+    p = write(os.path.join(scratch, "a.txt"), [tsv((1, 2, "en", "X", "", "", "", "", "", "")), tsv(row)])
+    with pytest.raises(Exception) as error:
+        land(read_alt_names(spark, p), os.path.join(scratch, "landed"), "alt_names", lambda: first_malformed(spark, p, "alt_names"), used=_used)
+    assert isinstance(error.value, KeyViolation) and "line 2" in str(error.value)
