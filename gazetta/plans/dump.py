@@ -39,6 +39,13 @@ def _write(df: DataFrame, path: str, header: bool = False) -> None:
      .option("quote", '"').option("escape", '"').option("emptyValue", "").csv(path))
 
 
+def _field(c: Column) -> Column:
+    """A text as a field of a line, quoted if it holds a tab, a quote or a line break."""
+    special = F.contains(c, F.lit('"')) | F.contains(c, F.lit("\t")) | F.contains(c, F.lit("\n")) | F.contains(c, F.lit("\r"))
+    quoted = F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    return F.coalesce(F.when(special, quoted).otherwise(c), F.lit(""))
+
+
 def _blank(n: int) -> list:
     return [F.lit(None).cast("string") for _ in range(n)]
 
@@ -54,9 +61,10 @@ def write_dump(spark: SparkSession, sf_dir: str, out_dir: str) -> str:
     # words split per line after the lines are spread (exactly the whole-text split);
     # ids only need to be unique, and the file is written once
     words = driver.doc_words(spark, sf_dir, language_of_source())
-    _write(words.select(
-        F.monotonically_increasing_id().alias("alternate_name_id"), "geoname_id", "iso_language",
-        "alternate_name", *_blank(6)), path("alt_names"))
+    # by far the longest file: its lines are put together here, at half the cost of the CSV writer
+    fields = [F.monotonically_increasing_id().cast("string"), F.coalesce(F.col("geoname_id").cast("string"), F.lit("")),
+              _field(F.col("iso_language")), _field(F.col("alternate_name")), *[F.lit("")] * 6]
+    words.select(F.concat_ws("\t", *fields).alias("value")).write.mode("overwrite").text(path("alt_names"))
 
     admins = driver.customer_admins(spark, sf_dir)
     for level, key in (("admin1", "admin1"), ("admin2", "admin2")):

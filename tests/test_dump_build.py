@@ -5,7 +5,8 @@ import os
 from pyspark.sql import functions as F
 
 from gazetta.plans.dump import write_dump
-from gazetta.plans.gazetteer import build_gazetteer
+from gazetta.plans.gazetteer import FILES, build_gazetteer
+from gazetta.sources.geonames import read_alt_names
 
 
 def test_build_on_derived_dump(spark, tmp_path):
@@ -31,3 +32,21 @@ def test_build_on_derived_dump(spark, tmp_path):
     cols = ["city_id", "alt_name", "langlist"]
     assert sorted(map(tuple, out2["src.city_names"].select(cols).collect())) == sorted(
         map(tuple, names.select(cols).collect()))
+
+
+def test_dumped_words_read_back_as_they_are(spark, tmp_path):
+    """Quotes anywhere, control characters at the ends, a language with a tab, missing values."""
+    source = "/root/testdata/sf0.001"
+    (tmp_path / "in").mkdir()
+    for t in ("region", "nation", "customer", "events"):
+        os.symlink(f"{source}/{t}.parquet", tmp_path / "in" / f"{t}.parquet")
+    text = '"A "B" C"D "" " \x1fE\x1f \x0bF\x0b G\\ \u00a0H\u00a0 #I -J'
+    docs = [(30, text, "en", "src0"), (31, text, None, "src1"), (32, text, "a\tb", "src2"), (33, "", "en", "src3"), (34, None, "en", "src0")]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "in" / "documents.parquet"))
+    dump = write_dump(spark, str(tmp_path / "in"), str(tmp_path / "dump"))
+    got = read_alt_names(spark, os.path.join(dump, FILES["alt_names"])).collect()
+    words = [w for w in text.split(" ")]
+    want = [(i, lang, w) for i, lang in ((30, "en"), (31, None), (32, "a\tb")) for w in words] + [(33, "link", None)]
+    key = lambda r: tuple(map(str, r))
+    assert sorted(((r["geoname_id"], r["iso_language"], r["alternate_name"]) for r in got), key=key) == sorted(want, key=key)
+    assert len({r["alternate_name_id"] for r in got}) == len(want)
