@@ -6,19 +6,21 @@ of the place with the document's id; customers are cities (id = custkey +
 25, so documents 25+ name cities and documents 0-24 name countries);
 nations are countries; admin areas come from grouping the customers; events
 are the non-country features. Each file is written by Spark as a directory
-of tab-separated part files, which the readers accept as one input.
+of tab-separated, compressed part files, which the readers accept as one input.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from gazetta.plans import driver
 from gazetta.plans.gazetteer import FILES
 
+# Compressed files are read by one task each, so none may hold more rows.
+COMPRESSION, ROWS_PER_FILE = "lz4", 2_000_000
 CITY_ID_OFFSET = 25
 REGION_ID_OFFSET = 10_000_000
 # Sources whose words stand for links, airport codes and the like: their
@@ -34,8 +36,12 @@ def language_of_source() -> Column:
     return out
 
 
+def _writer(df: DataFrame) -> DataFrameWriter:
+    return df.write.mode("overwrite").option("compression", COMPRESSION).option("maxRecordsPerFile", ROWS_PER_FILE)
+
+
 def _write(df: DataFrame, path: str, header: bool = False) -> None:
-    (df.write.mode("overwrite").option("sep", "\t").option("header", str(header).lower())
+    (_writer(df).option("sep", "\t").option("header", str(header).lower())
      .option("quote", '"').option("escape", '"').option("emptyValue", "").csv(path))
 
 
@@ -64,7 +70,7 @@ def write_dump(spark: SparkSession, sf_dir: str, out_dir: str) -> str:
     # by far the longest file: its lines are put together here, at half the cost of the CSV writer
     fields = [F.monotonically_increasing_id().cast("string"), F.coalesce(F.col("geoname_id").cast("string"), F.lit("")),
               _field(F.col("iso_language")), _field(F.col("alternate_name")), *[F.lit("")] * 6]
-    words.select(F.concat_ws("\t", *fields).alias("value")).write.mode("overwrite").text(path("alt_names"))
+    _writer(words.select(F.concat_ws("\t", *fields).alias("value"))).text(path("alt_names"))
 
     admins = driver.customer_admins(spark, sf_dir)
     for level, key in (("admin1", "admin1"), ("admin2", "admin2")):

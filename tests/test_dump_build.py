@@ -50,3 +50,19 @@ def test_dumped_words_read_back_as_they_are(spark, tmp_path):
     key = lambda r: tuple(map(str, r))
     assert sorted(((r["geoname_id"], r["iso_language"], r["alternate_name"]) for r in got), key=key) == sorted(want, key=key)
     assert len({r["alternate_name_id"] for r in got}) == len(want)
+
+
+def test_dump_is_compressed_in_files_of_bounded_rows(spark, tmp_path, monkeypatch):
+    """The text of the dump is several times its words; a compressed file can't be split among tasks."""
+    from gazetta.plans import dump as module
+
+    monkeypatch.setattr(module, "ROWS_PER_FILE", 700, raising=False)
+    data = write_dump(spark, "/root/testdata/sf0.001", str(tmp_path / "dump"))
+    for name in FILES.values():
+        parts = [x for x in os.listdir(os.path.join(data, name)) if x.startswith("part-")]
+        assert parts and all(x.endswith(".lz4") for x in parts), name
+    rows = spark.read.text(os.path.join(data, FILES["alt_names"]))
+    sizes = [r["count"] for r in rows.groupBy(F.col("_metadata.file_name")).count().collect()]
+    assert max(sizes) <= 700 < sum(sizes)
+    text = rows.select(F.sum(F.octet_length("value") + 1)).first()[0]
+    assert sum(os.path.getsize(os.path.join(data, FILES["alt_names"], x)) for x in os.listdir(os.path.join(data, FILES["alt_names"]))) < 0.7 * text
