@@ -66,11 +66,12 @@ def write_dump(spark: SparkSession, sf_dir: str, out_dir: str) -> str:
 
     # words split per line after the lines are spread (exactly the whole-text split);
     # ids only need to be unique, and the file is written once
-    words = driver.doc_words(spark, sf_dir, language_of_source())
-    # by far the longest file: its lines are put together here, at half the cost of the CSV writer
-    fields = [F.monotonically_increasing_id().cast("string"), F.coalesce(F.col("geoname_id").cast("string"), F.lit("")),
-              _field(F.col("iso_language")), _field(F.col("alternate_name")), *[F.lit("")] * 6]
-    _writer(words.select(F.concat_ws("\t", *fields).alias("value"))).text(path("alt_names"))
+    # by far the longest file: its lines are put together here, at half the cost of the CSV
+    # writer; what all words of a document share is made once a document, before they are split
+    shared = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("\t"), _field(language_of_source()), F.lit("\t"))
+    words = driver.doc_words(spark, sf_dir, shared)
+    line = F.concat(F.monotonically_increasing_id().cast("string"), F.lit("\t"), F.col("iso_language"), _field(F.col("alternate_name")), F.lit("\t" * 6))
+    _writer(words.select(line.alias("value"))).text(path("alt_names"))
 
     admins = driver.customer_admins(spark, sf_dir)
     for level, key in (("admin1", "admin1"), ("admin2", "admin2")):
