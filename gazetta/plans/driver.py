@@ -187,6 +187,9 @@ FROM lines LEFT JOIN codes ON codes.code = language
 WHERE language IS NULL OR language NOT IN ({SQL_PSEUDO})
 GROUP BY 1, 2"""
 
+# Text whose words one task counts: its distinct words have to fit the hash map
+# of a task, or Spark sorts the rest of them.
+TEXT_PER_TASK = 16 << 20
 WORD_CHARS = (" ", "\t", "\n", "\r")
 
 
@@ -200,7 +203,7 @@ def doc_words(spark: SparkSession, d: str, language) -> DataFrame:
     """``(geoname_id, iso_language, alternate_name)`` for every word of every document.
 
     Same tokens as splitting each whole text on runs of white space, but
-    computed per line after the lines are rebalanced, so even one huge document
+    computed per line after the lines are dealt out, so even one huge document
     is split by many tasks. Splitting lines yields the same non-empty words; the
     empty tokens of a whole-text split (one for an empty text, else one for
     leading and one for trailing white space) travel as further elements of the
@@ -213,8 +216,10 @@ def doc_words(spark: SparkSession, d: str, language) -> DataFrame:
         ends = ends | F.endswith(text, F.lit(ch))
     n_empty = F.when(text == "", F.lit(1)).otherwise(F.when(starts, 1).otherwise(0) + F.when(ends, 1).otherwise(0))
     lines = F.concat(F.split(text, "\n"), F.array_repeat(F.lit("\n"), n_empty))
-    rows = _t(spark, d, "documents").select(
-        F.col("doc_id").alias("geoname_id"), language.alias("iso_language"), F.explode(lines).alias("line")).hint("rebalance")
+    docs = _t(spark, d, "documents")
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    tasks = max(-(-size // TEXT_PER_TASK), spark.sparkContext.defaultParallelism)
+    rows = docs.select(F.col("doc_id").alias("geoname_id"), language.alias("iso_language"), F.explode(lines).alias("line")).repartition(tasks)
     # one-character breaks are cut without a regular expression
     line = F.col("line")
     blanks = F.when(F.contains(line, F.lit("\t")) | F.contains(line, F.lit("\r")), F.translate(line, "\t\r", "  ")).otherwise(line)

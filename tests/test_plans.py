@@ -91,3 +91,12 @@ def test_words_of_lines_are_the_words_of_the_text(spark, tmp_path):
     assert sorted((r["geoname_id"], r["alternate_name"]) for r in got.collect()) == sorted(map(tuple, whole.collect()))
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "lambda" not in plan and "]+" not in plan, plan
+
+
+def test_words_per_task_are_bounded(spark, monkeypatch):
+    """The tasks that count words follow the text, whatever sizes AQE aims at."""
+    monkeypatch.setattr(driver, "TEXT_PER_TASK", 10_000, raising=False)
+    size = spark.read.parquet(f"{SF}/documents.parquet").selectExpr("sum(octet_length(text))").first()[0]
+    words = driver.doc_word_alternates(spark, SF)
+    sizes = [r["n"] for r in words.selectExpr("spark_partition_id() AS p", "octet_length(alternate_name) AS n").groupBy("p").sum("n").toDF("p", "n").collect()]
+    assert size > 50_000 and len(sizes) == max(-(-size // 10_000), spark.sparkContext.defaultParallelism) and max(sizes) < 15_000
