@@ -12,7 +12,8 @@ id; every byte under a match goes. Strings that match share their minimizer
    one minimizer are too many for a task (a passage that very many texts go on
    from differently), each of their strings is a segment and goes to the bucket
    of its own hash, so that a group holds the versions of one string, not of a passage;
-3. a bucket builds a run-compressed Burrows-Wheeler transform of its distinct
+   a chunk's segments for a bucket are one row, ordered by index;
+3. for each of its indexes a bucket builds a run-compressed Burrows-Wheeler transform of its distinct
    segments: run heads, the suffix-array samples at run ends, and the rows
    where suffixes stop agreeing in ``length`` bytes (thresholds) with the
    smallest document between two of them. Segments are streamed backwards
@@ -45,8 +46,11 @@ from gazetta.llm.context_mixing import _unzip, _zip
 from gazetta.llm.util import fresh, hash_ranges, materialise, ranges, read_table, text_bytes
 
 LENGTH = 50
-#: Text bytes behind one bucket of segments: its task sorts their suffixes.
-INDEX_BYTES = 1 << 20
+#: Text bytes behind one index: its strings' suffixes are sorted at a time. A
+#: bucket has as many indexes as it has text (``bucket_count``).
+INDEX_BYTES = 1 << 17
+#: Buckets of segments at least, so that a small table is work for many tasks.
+LEAST_BUCKETS = 64
 #: Bytes of segments (of all chunks) behind one minimizer, above which its group is split.
 HEAVY_BYTES = 1 << 20
 _NULL_ID = np.iinfo(np.int64).max
@@ -87,16 +91,19 @@ class RunIndex:
         sym = np.insert(dense[raw], ends, 0)
         string = np.repeat(np.arange(n_strings), size + 1)
         n = len(sym)
-        place = np.arange(n)
         stop = np.cumsum(size + 1)  # one past each string's end symbol
-        left = stop[string] - place  # symbols of the suffix, its end included
+        left = np.repeat(stop, size + 1) - np.arange(n)  # symbols of the suffix, its end included
         # Ranks by the first ``depth`` symbols, from as many ranks of the round before as a key holds.
         wide = len(used).bit_length()
         depth = min(length, 63 // max(wide, 1))
-        pad = np.concatenate([sym, np.zeros(depth, np.uint64)])
-        key = np.zeros(n, np.uint64)
-        for j in range(depth):
-            key = (key << np.uint64(wide)) | np.where(left > j, pad[j: j + n], 0).astype(np.uint64)
+        key, have = sym.copy(), 1
+        while have < depth:  # by doubling
+            more = min(have, depth - have)
+            after = np.zeros(n, np.uint64)
+            after[: max(0, n - have)] = key[have:] >> np.uint64(wide * (have - more))
+            after[left <= have] = 0
+            key = (key << np.uint64(wide * more)) | after
+            have += more
         longest = int(size.max()) + 1 if n_strings else 1
         bits, tie = n.bit_length(), np.uint64(n_strings.bit_length())
         rank, agree = self._ranks(key), (0, None)
@@ -110,16 +117,18 @@ class RunIndex:
             parts = 2 if pair else max(2, 64 // bits)
             key = rank.astype(np.uint64)
             for j in range(1, parts):
-                after = np.where(left > j * depth, rank[np.minimum(place + j * depth, n - 1)] + 1, 0)
-                key = (key << np.uint64(bits)) | after.astype(np.uint64)
+                after = np.zeros(n, np.uint64)
+                after[: max(0, n - j * depth)] = rank[j * depth:] + 1
+                after[left <= j * depth] = 0
+                key = (key << np.uint64(bits)) | after
             if pair:
                 last = key
                 break
             rank, depth = self._ranks(key), depth * parts
         order = np.argsort((last << tie) | string.astype(np.uint64))
         # The transform: the symbol before each suffix (a string's first suffix: its end).
-        first = np.cumsum(size + 1) - size - 1
-        before = np.where(order == first[string[order]], 0, sym[np.maximum(order - 1, 0)]).astype(np.int64)
+        first = stop - size - 1
+        before = np.concatenate([[0], sym[:-1]])[order].astype(np.int64)
         head = np.flatnonzero(np.concatenate([[True], before[1:] != before[:-1]]))
         self.run_start, self.run_symbol = head, before[head]
         run_size = np.diff(np.concatenate([head, [n]]))
@@ -263,9 +272,9 @@ def _anchors(chunk: int, table: pa.Table, id_col: str, text_col: str, length: in
 
 class _Chosen:
     """A chunk's segments around found minimizers (heavy ones: a segment a
-    string), equal ones once, by bucket."""
+    string), equal ones once, by index."""
 
-    def __init__(self, table, found: np.ndarray, heavy: np.ndarray, id_col, text_col, length, buckets):
+    def __init__(self, table, found: np.ndarray, heavy: np.ndarray, id_col, text_col, length, indexes):
         self.raw, self.offsets = text_bytes(table[text_col])
         s = Segments(self.raw, self.offsets, length)
         s = s.only(np.isin(s.gram, found))
@@ -277,59 +286,79 @@ class _Chosen:
         key = hash_ranges(self.raw, s.start, size)
         order = np.lexsort((self.id, key))
         head = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]])) if len(order) else order
-        #: The segment of the smallest id of each group of equal ones, by bucket.
+        #: The segment of the smallest id of each group of equal ones, by index.
         self.first = order[head]
         group = np.empty(len(order), np.int64)
         group[order] = np.cumsum(np.isin(np.arange(len(order)), head)) - 1 if len(order) else 0
-        bucket = ((s.gram[self.first] >> np.uint64(24)) % np.uint64(buckets)).astype(np.int64)
-        by = np.lexsort((key[self.first], bucket))
+        index = ((s.gram[self.first] >> np.uint64(24)) % np.uint64(indexes)).astype(np.int64)
+        by = np.lexsort((key[self.first], index))
         place = np.empty(len(by), np.int64)
         place[by] = np.arange(len(by))
         self.first, self.group = self.first[by], place[group] if len(by) else group
-        self.cut = np.searchsorted(bucket[by], np.arange(buckets + 1))
+        #: Segments of each index.
+        self.count = np.bincount(index, minlength=indexes).astype(np.int32)
 
+    def by_bucket(self, each: int):
+        """(bucket of ``each`` indexes, its range of ``first``), empty ones left out."""
+        cut = np.concatenate([[0], np.cumsum(self.count)])[::each]
+        some = np.flatnonzero(np.diff(cut))
+        return zip(some.tolist(), cut[some].tolist(), cut[some + 1].tolist())
 
-SEGMENTS = "bucket int, chunk long, windows binary, id binary, raw binary"
+
+#: ``counts``: segments of each of the bucket's indexes (int32).
+SEGMENTS = "bucket int, chunk long, counts binary, windows binary, id binary, raw binary"
 MARKS = "chunk long, bucket int, marks binary"
 
 
-def _send(chunk, table, found, id_col, text_col, length, buckets) -> pa.Table:
-    c = _Chosen(table, blob(found["found"]), blob(found["heavy"]), id_col, text_col, length, buckets)
+def _send(chunk, table, found, id_col, text_col, length, buckets, each) -> pa.Table:
+    c = _Chosen(table, blob(found["found"]), blob(found["heavy"]), id_col, text_col, length, buckets * each)
     out = []
-    for b in np.flatnonzero(np.diff(c.cut)).tolist():
-        i = c.first[c.cut[b]: c.cut[b + 1]]
+    for b, lo, hi in c.by_bucket(each):
+        i = c.first[lo:hi]
         windows = c.all.windows[i]
-        out.append((b, chunk, _zip(windows.astype(np.int32)), _zip(c.id[i]), _zip(c.raw[ranges(c.all.start[i], windows + length - 1)])))
-    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-    return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(list(zip(*out)) or [()] * 5, kinds)], names=[x.split()[0] for x in SEGMENTS.split(", ")])
+        out.append((b, chunk, c.count[b * each: (b + 1) * each].tobytes(), _zip(windows.astype(np.uint8)), _zip(c.id[i]),
+                    _zip(c.raw[ranges(c.all.start[i], windows + length - 1)])))
+    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(list(zip(*out)) or [()] * 6, kinds)], names=[x.split()[0] for x in SEGMENTS.split(", ")])
+
+
+def _index_marks(key: np.ndarray, start: np.ndarray, size: np.ndarray, ids: np.ndarray, raw: np.ndarray, length: int) -> np.ndarray:
+    """Bit p of a segment's mark: its string at place p is in a smaller document."""
+    key, first, where = np.unique(key, return_index=True, return_inverse=True)
+    least = np.full(len(key), _NULL_ID)
+    np.minimum.at(least, where, ids)
+    marks = np.zeros(len(ids), np.uint64)
+    index = RunIndex(raw[ranges(start[first], size[first])], size[first], least, length)
+    members = np.argsort(where, kind="stable")
+    count = np.bincount(where, minlength=len(key))
+    at = np.cumsum(count) - count
+    for strings, place, smallest in index.stream():
+        i = members[ranges(at[strings], count[strings])]
+        lower = np.repeat(smallest, count[strings]) < ids[i]
+        marks[i[lower]] |= np.uint64(1) << np.repeat(place, count[strings])[lower].astype(np.uint64)
+    return marks
+
+
+def _mark(length: int, each: int):
+    def run(table: pa.Table) -> pa.Table:
+        count = np.array([np.frombuffer(x.as_buffer(), np.int32) for c in table["counts"].chunks for x in c], np.int64)
 
+        def column(name, kind):
+            return np.concatenate([_unzip(x.as_buffer(), kind) for c in table[name].chunks for x in c])
 
-def _mark(length: int):
-    def run(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        windows = [_unzip(r["windows"], np.int32).astype(np.int64) for r in rows]
-        ids = np.concatenate([_unzip(r["id"], np.int64) for r in rows])
-        raw = np.concatenate([_unzip(r["raw"], np.uint8) for r in rows])
-        per_row = [len(w) for w in windows]
-        windows = np.concatenate(windows)
-        size = windows + length - 1
+        size = column("windows", np.uint8).astype(np.int64) + (length - 1)
+        ids, raw = column("id", np.int64), column("raw", np.uint8)
         start = np.cumsum(size) - size
-        key, first, where = np.unique(hash_ranges(raw, start, size), return_index=True, return_inverse=True)
-        least = np.full(len(key), _NULL_ID)
-        np.minimum.at(least, where, ids)
-        # Bit p of a segment's mark: its string at place p is in a smaller document.
+        key = hash_ranges(raw, start, size)
+        # The segments of an index, chunk by chunk: all chunks have theirs in the order of the indexes.
+        of = np.argsort(np.repeat(np.tile(np.arange(each, dtype=np.int32), len(count)), count.ravel()), kind="stable")
         marks = np.zeros(len(ids), np.uint64)
-        index = RunIndex(raw[ranges(start[first], size[first])], size[first], least, length)
-        members = np.argsort(where, kind="stable")
-        count = np.bincount(where, minlength=len(key))
-        at = np.cumsum(count) - count
-        for strings, place, smallest in index.stream():
-            i = members[ranges(at[strings], count[strings])]
-            lower = np.repeat(smallest, count[strings]) < ids[i]
-            marks[i[lower]] |= np.uint64(1) << np.repeat(place, count[strings])[lower].astype(np.uint64)
-        ends = np.cumsum(per_row)
+        for own in np.split(of, np.cumsum(count.sum(axis=0))[:-1]):
+            if len(own):
+                marks[own] = _index_marks(key[own], start[own], size[own], ids[own], raw, length)
+        ends = np.cumsum(count.sum(axis=1))
         return pa.table({"chunk": table["chunk"], "bucket": table["bucket"],
-                         "marks": pa.array([_zip(marks[e - n: e]) for e, n in zip(ends, per_row)], pa.binary())})
+                         "marks": pa.array([_zip(x) for x in np.split(marks, ends[:-1])], pa.binary())})
 
     return run
 
@@ -348,9 +377,10 @@ def remove_matches(
     buckets = bucket_count(chunks)
     anchors = each_chunk(chunks, lambda c, t: _anchors(c, t, id_col, text_col, length, buckets), WEIGHED)
     found = materialise(recurring_weighed(anchors, heavy_bytes), "minimizers")
-    indexes = max(8, -(-(chunks.agg(F.sum("bytes")).first()[0] or 0) // INDEX_BYTES))
-    sent = each_chunk_with(chunks, found, lambda c, t, f: _send(c, t, f, id_col, text_col, length, indexes), SEGMENTS)
-    marks = sent.groupBy("bucket").applyInArrow(_mark(length), MARKS)
+    groups = max(LEAST_BUCKETS, buckets)
+    each = max(1, -(-(chunks.agg(F.sum("bytes")).first()[0] or 0) // (groups * INDEX_BYTES)))
+    sent = each_chunk_with(chunks, found, lambda c, t, f: _send(c, t, f, id_col, text_col, length, groups, each), SEGMENTS)
+    marks = sent.groupBy("bucket").applyInArrow(_mark(length, each), MARKS)
 
     n_bytes, n_removed, removed = (fresh(df.columns, x) for x in names)
     fields = [T.StructField(f.name, T.BinaryType()) if f.name == text_col else f for f in df.schema.fields]
@@ -359,11 +389,11 @@ def remove_matches(
     arrow = to_arrow_schema(schema)
 
     def cut(chunk, table, right):
-        c = _Chosen(table, blob(right["found"]), blob(right["heavy"]), id_col, text_col, length, indexes)
+        c = _Chosen(table, blob(right["found"]), blob(right["heavy"]), id_col, text_col, length, groups * each)
         mark = np.zeros(len(c.first), np.uint64)
-        for b, data in zip(right["bucket"].to_pylist(), right["marks"].to_pylist()):
-            if data:
-                mark[c.cut[b]: c.cut[b + 1]] = _unzip(data, np.uint64)
+        returned = {b: data for b, data in zip(right["bucket"].to_pylist(), right["marks"].to_pylist()) if data}
+        for b, lo, hi in c.by_bucket(each):
+            mark[lo:hi] = _unzip(returned[b], np.uint64)
         n = len(c.raw)
         edge = np.zeros(n + 1, np.int64)
         if len(c.first):

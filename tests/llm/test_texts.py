@@ -9,6 +9,7 @@ import pytest
 from cases import lower, words
 from pyspark.sql import functions as F
 
+from gazetta.llm import run_index
 from gazetta.llm.components import components
 from gazetta.llm.decontaminate import flag
 from gazetta.llm.minhash_dedup import keep_one, near_duplicates
@@ -88,6 +89,18 @@ def test_remove_matches_of_a_passage_with_many_ends(spark):
             assert got[i] == (sum(gone), bytes(x for x, g in zip(b, gone) if not g)), i
 
 
+def test_remove_matches_sends_a_row_a_bucket_whatever_the_indexes(spark, monkeypatch):
+    rng = random.Random(8)
+    body = "".join(rng.choice("abcdefgh ") for _ in range(20_000))
+    frame = spark.createDataFrame([(i, body + str(i)) for i in range(4)], "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(run_index, "INDEX_BYTES", 64)  # some 1250 indexes
+    sent, each_chunk_with = [], run_index.each_chunk_with
+    monkeypatch.setattr(run_index, "each_chunk_with", lambda *a: sent.append(each_chunk_with(*a)) or sent[-1])
+    assert {r["doc_id"]: r["n_removed"] for r in remove_matches(frame).collect()} == {0: 0, 1: 20_000, 2: 20_000, 3: 20_000}
+    rows = sent[0].groupBy("chunk").count().collect()
+    assert rows and max(r["count"] for r in rows) <= 64
+
+
 def test_heavy_segments_become_one_group_a_string():
     rng = random.Random(4)
     passage = bytes(rng.randrange(97, 123) for _ in range(100))
