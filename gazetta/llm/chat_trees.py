@@ -45,7 +45,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from gazetta.llm.pieces import PATTERN
-from gazetta.llm.util import forget, materialise, read_table, scratch_path, ship, worker_memory
+from gazetta.llm.util import ARROW_ROWS, CLEAN, forget, materialise, read_table, scratch_path, settings, ship, worker_memory
 
 MAX_TOKENS, MAX_MEMBERS, PART_TOKENS = 8_192, 1_024, 262_144
 TRAINED = "assistant"
@@ -53,6 +53,10 @@ TRAINED = "assistant"
 SLICE = 16_384
 #: Tokens or rows that a task gathers before it sends them on.
 SEND = 1 << 18
+#: Turns or conversations, and sequences, that go to a Python worker at a time.
+BATCH_ROWS, BATCH_SEQUENCES = 2_048, 128
+#: Bytes behind a row group of sequences: Spark unfolds the arrays of one at a time.
+ROW_GROUP = 8 << 20
 _HEAD = re.compile(r"### ((?:[^\\:]++|\\.)*+): ", re.S)
 _END = "</turn>\n"
 
@@ -284,25 +288,27 @@ def chat_trees(
     rows = df.select(F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), F.col(text_col).alias("text"))
     data = _vocabulary(df.sparkSession, vocabulary)
     # Written once: ranges are sampled first, and would turn every text into tokens twice.
-    parts = materialise(_formatted_parts(rows, data, trained, part_tokens), "formatted")
+    parts = materialise(_formatted_parts(rows, data, trained, part_tokens), "formatted", once=True, batch_rows=BATCH_ROWS)
     return _trees(parts, _Tokens(data.value).kind, max_tokens, max_members)
 
 
 def write_sequences(sequences: DataFrame, path: str) -> DataFrame:
     """Write SEQUENCES rows as Parquet, positions as differences (they count on
     by one nearly everywhere), and read them back."""
-    (sequences.write.option("compression", "zstd").option("parquet.writer.version", "PARQUET_2_0")
-     .option("parquet.enable.dictionary#positions.list.element", "false").parquet(path))
+    with settings(sequences.sparkSession, {CLEAN: "true", ARROW_ROWS: BATCH_ROWS}):
+        (sequences.write.option("compression", "zstd").option("parquet.writer.version", "PARQUET_2_0").option("parquet.block.size", ROW_GROUP)
+         .option("parquet.enable.dictionary#positions.list.element", "false").parquet(path))
     return sequences.sparkSession.read.schema(sequences.schema).parquet(path)
 
 
-def read_conversations(sequences: DataFrame, vocabulary: str) -> DataFrame:
+def read_conversations(sequences: DataFrame, vocabulary: str, then=None, ddl: str = CONVERSATIONS) -> DataFrame:
     """CONVERSATIONS rows, one for each member: its formatted text, turns, and
-    the texts under the loss mask, decoded from the tokens of its nodes."""
+    the texts under the loss mask, decoded from the tokens of its nodes.
+    ``then``: makes lists of ``ddl`` rows of lists of these, in the same worker."""
     ship(sequences.sparkSession)
-    data, schema = _vocabulary(sequences.sparkSession, vocabulary), _arrow(CONVERSATIONS)
+    data, schema = _vocabulary(sequences.sparkSession, vocabulary), _arrow(ddl)
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
         tokens = _tokens(data.value)
         for batch in batches:
             for k in range(batch.num_rows):
@@ -321,11 +327,15 @@ def read_conversations(sequences: DataFrame, vocabulary: str) -> DataFrame:
                                     "trained": [under[v] for v in path if mask[nodes[v]["start"]: nodes[v]["end"]].any()]})
                     held += len(out[-1]["formatted"])
                     if held >= 4 * SEND:
-                        yield _send(out, schema)
+                        yield out
                         out, held = [], 0
-                yield _send(out, schema)
+                yield out
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in then(read(batches)) if then else read(batches):
+            yield _send(out, schema)
 
-    return sequences.select("tokens", "loss_mask", "nodes", "members").mapInArrow(read, CONVERSATIONS)
+    return sequences.select("tokens", "loss_mask", "nodes", "members").mapInArrow(send, ddl)
 
 
 # -- query ---------------------------------------------------------------------------
@@ -333,32 +343,46 @@ def read_conversations(sequences: DataFrame, vocabulary: str) -> DataFrame:
 DIGESTS = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
 
+def _digest(groups: Iterator[list]) -> Iterator[list]:
+    """DIGESTS rows, one a conversation, of CONVERSATIONS rows whose parts follow each other."""
+    names = [x.split()[0] for x in DIGESTS.split(", ")]
+    counts, turns, loss = [0, 0, 0], hashlib.sha256(), hashlib.sha256()
+    for rows in groups:
+        out = []
+        for row in rows:
+            turns.update("".join([f"{t['role']}\n{t['text']}\n" for t in row["turns"]]).encode())
+            under = "".join(row["trained"])
+            loss.update(under.encode())
+            counts = [counts[0] + len(row["turns"]), counts[1] + len(under), counts[2] + len(row["formatted"])]
+            if row["last"]:
+                out.append(dict(zip(names, [row["conv_id"], counts[0], turns.hexdigest(), counts[1], loss.hexdigest(), counts[2]])))
+                counts, turns, loss = [0, 0, 0], hashlib.sha256(), hashlib.sha256()
+        yield out
+
+
+def _digest_whole(groups: Iterator[list]) -> Iterator[list]:
+    """Of those that are one part."""
+    return _digest([row for row in rows if row["part"] == 0 and row["last"]] for rows in groups)
+
+
 def _digests(rows: DataFrame) -> DataFrame:
     """One row a conversation, of CONVERSATIONS rows whose parts follow each other in a task."""
     schema = _arrow(DIGESTS)
 
     def work(batches):
-        counts, turns, loss, out = [0, 0, 0], hashlib.sha256(), hashlib.sha256(), []
-        for batch in batches:
-            for row in batch.to_pylist():
-                turns.update("".join([f"{t['role']}\n{t['text']}\n" for t in row["turns"]]).encode())
-                under = "".join(row["trained"])
-                loss.update(under.encode())
-                counts = [counts[0] + len(row["turns"]), counts[1] + len(under), counts[2] + len(row["formatted"])]
-                if row["last"]:
-                    out.append(dict(zip(schema.names, [row["conv_id"], counts[0], turns.hexdigest(), counts[1], loss.hexdigest(), counts[2]])))
-                    counts, turns, loss = [0, 0, 0], hashlib.sha256(), hashlib.sha256()
-            yield _send(out, schema)
-            out = []
+        for out in _digest([batch.slice(k, 1).to_pylist()[0]] for batch in batches for k in range(batch.num_rows)):
+            if out:
+                yield _send(out, schema)
 
     return rows.mapInArrow(work, DIGESTS)
 
 
 def digests(sequences: DataFrame, vocabulary: str) -> DataFrame:
-    """Digests of the conversations as read back. Only parts of cut ones are exchanged."""
-    whole = read_conversations(sequences, vocabulary).where("part = 0 AND last")
+    """Digests of the conversations as read back: of those that are one part where
+    they are read, so that no text leaves the worker. Only parts of cut ones are exchanged."""
+    whole = read_conversations(sequences, vocabulary, _digest_whole, DIGESTS)
     parts = read_conversations(sequences.where("cut"), vocabulary).where("NOT (part = 0 AND last)")
-    return _digests(whole).unionByName(_digests(parts.repartition("conv_id").sortWithinPartitions("conv_id", "part")))
+    return whole.unionByName(_digests(parts.repartition("conv_id").sortWithinPartitions("conv_id", "part")))
 
 
 def op12_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -368,7 +392,8 @@ def op12_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = r"\### Assistant: </turn> ok"
     chats = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     added = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], chats.schema)
-    return digests(write_sequences(chat_trees(chats.unionByName(added), path), scratch_path(spark, "chats")), path)
+    sequences = write_sequences(chat_trees(chats.unionByName(added), path), scratch_path(spark, "chats"))
+    return materialise(digests(sequences, path), "digests", batch_rows=BATCH_SEQUENCES)
 
 
 #: The formatted length is that of the template, computed from the texts.

@@ -1,11 +1,14 @@
 """Prefix trees of conversations: exact round trips, sharing, attention."""
 
+import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from gazetta.llm import chat_trees as C
+from gazetta.llm.util import ARROW_ROWS, materialise
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -88,6 +91,33 @@ def test_positions_go_on_over_parts(spark):
     assert sum(len(r["members"]) for r in parts) > 5
 
 
+@pytest.mark.parametrize("limits", [{}, {"max_tokens": 300, "max_members": 7, "part_tokens": 200}])
+def test_digests_are_made_where_texts_are_read(spark, tmp_path, limits):
+    rows = conversations()
+    out = C.digests(C.write_sequences(C.chat_trees(frame(spark, rows), PATH, **limits), str(tmp_path / "sequences")), PATH)
+    # One worker reads and digests whole conversations; only cut ones go from a reader to another worker.
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 3
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    expected = set()
+    for c, turns in grouped(rows).items():
+        under = "".join(t for role, t in turns if role == "assistant")
+        formatted = "".join(C.header(a) + C.escape(b) + "</turn>\n" for a, b in turns)
+        expected.add((c, len(turns), sha("".join(f"{a}\n{b}\n" for a, b in turns)), len(under), sha(under), len(formatted)))
+    got = [tuple(r) for r in out.collect()]
+    assert set(got) == expected and len(got) == len(expected)
+
+
+def test_rows_that_go_to_a_worker_at_a_time(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    before = spark.conf.get(ARROW_ROWS)
+    out = materialise(spark.range(100).coalesce(1).mapInArrow(sizes, "n long"), "sizes", batch_rows=7)
+    assert sorted(r["n"] for r in out.collect()) == [2, *[7] * 14]
+    assert spark.conf.get(ARROW_ROWS) == before
+
+
 def test_empty(spark):
     empty = frame(spark, conversations()).limit(0)
     assert C.digests(C.chat_trees(empty, PATH), PATH).collect() == []
