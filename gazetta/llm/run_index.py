@@ -180,15 +180,15 @@ class RunIndex:
 
 # -- segments ---------------------------------------------------------------------
 
-def gram_hashes(raw: np.ndarray, k: int) -> np.ndarray:
-    """Hash of the ``k`` >= 8 bytes from each place that has so many."""
+def gram_hashes(raw: np.ndarray, k: int, places: np.ndarray | None = None) -> np.ndarray:
+    """Hash of the ``k`` >= 8 bytes from each place that has so many, or from ``places``."""
     n = len(raw) - k + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
     lanes = np.ndarray((len(raw) - 7,), "<u8", np.ascontiguousarray(raw).data, strides=(1,))
-    h = np.zeros(n, np.uint64)
+    h = np.zeros(n if places is None else len(places), np.uint64)
     for at in [*range(0, k - 8, 8), k - 8]:
-        h += lanes[at: at + n]
+        h += lanes[at: at + n] if places is None else lanes[places + at]
         h *= np.uint64(0x9FB21C651E98DF25)
         h ^= h >> np.uint64(29)
     h *= np.uint64(0xD6E8FEB86659FD93)
@@ -196,6 +196,10 @@ def gram_hashes(raw: np.ndarray, k: int) -> np.ndarray:
     return h
 
 
+#: Strings whose minimizers are looked for at a time.
+BLOCK = 1 << 16
+
+
 class Segments:
     """Minimizer segments of a chunk: ``gram`` (the minimizer's hash), byte
     ``start`` and number of ``windows`` (strings) of each, and its text."""
@@ -204,28 +208,32 @@ class Segments:
         k = max(16, length - 34)
         wide = length - k + 1
         ends, sizes = offsets[1:], np.diff(offsets)
-        gram = gram_hashes(raw, k)
-        # Hash above, place below: the leftmost of equal minima.
-        least = gram & np.uint64(0xFFFFFFFF00000000)
-        least |= np.arange(len(least), dtype=np.uint64)
-        size = 1
-        while size * 2 <= wide:
-            least = np.minimum(least[:-size], least[size:]) if len(least) > size else least[:0]
-            size *= 2
-        if wide > size:
-            least = np.minimum(least[: size - wide], least[wide - size:]) if len(least) > wide - size else least[:0]
+        n = max(0, len(raw) - length + 1)
+        place = np.empty(n, np.int32)  # of each string's minimizer
+        for a in range(0, n, BLOCK):
+            b = min(n, a + BLOCK)
+            # Hash above, place below: the leftmost of equal minima.
+            least = gram_hashes(raw[a: b + length - 1], k) & np.uint64(0xFFFFFFFF00000000)
+            least |= np.arange(len(least), dtype=np.uint64)
+            size = 1
+            while size * 2 <= wide:
+                least = np.minimum(least[:-size], least[size:])
+                size *= 2
+            if wide > size:
+                least = np.minimum(least[: size - wide], least[wide - size:])
+            place[a:b] = least & np.uint64(0xFFFFFFFF)
+            place[a:b] += a
         # Strings that reach over the end of their text do not count.
-        whole = np.ones(len(least) + 1, bool)
+        whole = np.ones(n + 1, bool)
         whole[-1] = False
         short = np.minimum(sizes, length - 1)
         over = ranges(ends - short, short)
         whole[over[over < len(whole)]] = False
-        place = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        change = np.ones(len(least) + 1, bool)
-        change[1:-1] = (place[1:] != place[:-1]) | ~whole[: len(least) - 1] if len(least) else change[1:-1]
+        change = np.ones(n + 1, bool)
+        change[1:-1] = (place[1:] != place[:-1]) | ~whole[: n - 1] if n else change[1:-1]
         head = np.flatnonzero(whole & change)
         last = np.flatnonzero(whole[:-1] & (change[1:] | ~whole[1:]))
-        self.gram, self.start, self.windows = gram[place[head]], head, last - head + 1
+        self.gram, self.start, self.windows = gram_hashes(raw, k, place[head]), head, last - head + 1
         self.doc = np.searchsorted(offsets, head, side="right") - 1
 
     def only(self, keep: np.ndarray) -> "Segments":
@@ -363,6 +371,23 @@ def _mark(length: int, each: int):
     return run
 
 
+def _under(n: int, start: np.ndarray, windows: np.ndarray, marks: np.ndarray, length: int) -> np.ndarray:
+    """Which of ``n`` bytes are under a marked string of these segments (all
+    strings of all segments start at different places)."""
+    edge = np.zeros(n + 1, np.int32)
+    marks = marks & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (64 - windows).astype(np.uint64))
+    every = np.bitwise_count(marks) == windows
+    edge[start[every]] += 1
+    edge[start[every] + windows[every] + length - 1] -= 1
+    some = np.flatnonzero(~every & (marks != 0))
+    seg = np.repeat(some, windows[some])
+    place = ranges(np.zeros(len(some), np.int64), windows[some])
+    at = (start[seg] + place)[(marks[seg] >> place.astype(np.uint64)) & np.uint64(1) == 1]
+    edge[at] += 1
+    edge[at + length] -= 1
+    return np.cumsum(edge[:n], dtype=np.int32) > 0
+
+
 def remove_matches(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
     names: tuple[str, str, str] = ("n_bytes", "n_removed", "removed"), heavy_bytes: int = HEAVY_BYTES,
@@ -395,20 +420,12 @@ def remove_matches(
         for b, lo, hi in c.by_bucket(each):
             mark[lo:hi] = _unzip(returned[b], np.uint64)
         n = len(c.raw)
-        edge = np.zeros(n + 1, np.int64)
-        if len(c.first):
-            own = mark[c.group]
-            # An equal segment of a larger id: the one of the smallest id holds all its strings.
-            own = np.where(c.id > c.id[c.first][c.group], np.uint64(0xFFFFFFFFFFFFFFFF), own)
-            seg = np.repeat(np.arange(len(own)), c.all.windows)
-            place = np.arange(len(seg)) - np.repeat(np.cumsum(c.all.windows) - c.all.windows, c.all.windows)
-            hit = (own[seg] >> place.astype(np.uint64)) & np.uint64(1) == 1
-            at = c.all.start[seg[hit]] + place[hit]
-            np.add.at(edge, at, 1)
-            np.add.at(edge, at + length, -1)
-        gone = np.cumsum(edge)[:n] > 0
+        own = mark[c.group]
+        # An equal segment of a larger id: the one of the smallest id holds all its strings.
+        own[c.id > c.id[c.first][c.group]] = np.uint64(0xFFFFFFFFFFFFFFFF)
+        gone = _under(n, c.all.start, c.all.windows, own, length)
         texts = len(c.offsets) - 1
-        kept = np.concatenate([[0], np.cumsum(~gone)])[c.offsets]
+        kept = np.concatenate([np.zeros(1, np.int32), np.cumsum(~gone, dtype=np.int32)])[c.offsets]
         doc_start = np.zeros(n + 1, bool)
         doc_start[c.offsets] = True
         begin = np.flatnonzero(gone & (doc_start[:n] | ~np.concatenate([[False], gone[:-1]])))

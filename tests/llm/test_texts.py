@@ -117,6 +117,32 @@ def test_heavy_segments_become_one_group_a_string():
     assert max(map(len, versions.values())) <= 100
 
 
+def test_segments_do_not_depend_on_blocks(monkeypatch):
+    rng = np.random.default_rng(10)
+    for length in (24, 50, 90):
+        offsets = np.concatenate([[0], np.cumsum(rng.integers(0, 300, 12))])
+        raw = rng.integers(97, 101, offsets[-1]).astype(np.uint8)
+        found = []
+        for block in (1 << 16, 7, 100):
+            monkeypatch.setattr(run_index, "BLOCK", block)
+            s = Segments(raw, offsets, length)
+            found.append([x.tolist() for x in (s.gram, s.start, s.windows, s.doc)])
+        assert found[0] == found[1] == found[2] and sum(found[0][2]) == np.maximum(np.diff(offsets) - length + 1, 0).sum()
+
+
+def test_bytes_under_marked_strings():
+    rng = np.random.default_rng(9)
+    for length in (24, 50):
+        windows = rng.integers(1, 36, 40)
+        after = windows + rng.integers(0, 90, 40) * rng.integers(0, 2, 40)
+        start = np.cumsum(after) - after
+        n = int(start[-1] + windows[-1] + length - 1)
+        full = (np.uint64(1) << windows.astype(np.uint64)) - np.uint64(1)
+        marks = rng.integers(0, 1 << 36, 40).astype(np.uint64) * rng.integers(0, 2, 40).astype(np.uint64) | full * rng.integers(0, 2, 40).astype(np.uint64)
+        starts = [int(a) + p for a, w, m in zip(start, windows, marks) for p in range(w) if int(m) >> p & 1]
+        assert run_index._under(n, start, windows, marks, length).tolist() == covered(n, starts, length)
+
+
 def test_marks_give_the_last_mark_at_or_before():
     rows = np.unique(np.concatenate([[0, 63, 64, 127, 128], np.random.default_rng(5).integers(0, 1000, 90)]))
     assert (Marks(rows, 1000).last(np.arange(1000)) == np.searchsorted(rows, np.arange(1000), side="right") - 1).all()
