@@ -401,7 +401,7 @@ def remove_matches(
     chunks = to_chunks(df, text_col, "bytes")
     buckets = bucket_count(chunks)
     anchors = each_chunk(chunks, lambda c, t: _anchors(c, t, id_col, text_col, length, buckets), WEIGHED)
-    found = materialise(recurring_weighed(anchors, heavy_bytes), "minimizers")
+    found = materialise(recurring_weighed(anchors, heavy_bytes), "minimizers", once=True)
     groups = max(LEAST_BUCKETS, buckets)
     each = max(1, -(-(chunks.agg(F.sum("bytes")).first()[0] or 0) // (groups * INDEX_BYTES)))
     sent = each_chunk_with(chunks, found, lambda c, t, f: _send(c, t, f, id_col, text_col, length, groups, each), SEGMENTS)
